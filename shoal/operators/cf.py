@@ -49,18 +49,24 @@ def item_cf(df: DataFrame, version: str = "V1", block_rows: int = BLOCK_ROWS) ->
         "item_1", "item_2", (F.col("dot") / (F.col("norm_1") * F.col("norm_2"))).alias("sim"))
 
 
-def within_band(df: DataFrame, key: str, low: float | None = None, high: float | None = None,
-                distinct: str | None = None) -> DataFrame:
-    """Rows whose key has between ``low`` and ``high`` rows (or distinct values), both included."""
-    if low is None and high is None:
-        return df
+def band_keys(df: DataFrame, key: str, low: float | None = None, high: float | None = None,
+              distinct: str | None = None) -> DataFrame:
+    """Keys with between ``low`` and ``high`` rows (or distinct values), both included."""
     size = F.count_distinct(distinct) if distinct else F.count("*")
     counts = df.groupBy(key).agg(size.alias("_n"))
     if low is not None:
         counts = counts.where(F.col("_n") >= low)
     if high is not None:
         counts = counts.where(F.col("_n") <= high)
-    return df.join(counts.select(key), key, "left_semi")
+    return counts.select(key)
+
+
+def within_band(df: DataFrame, key: str, low: float | None = None, high: float | None = None,
+                distinct: str | None = None) -> DataFrame:
+    """Rows whose key lies in the band of :func:`band_keys`."""
+    if low is None and high is None:
+        return df
+    return df.join(band_keys(df, key, low, high, distinct), key, "left_semi")
 
 
 def swing(df: DataFrame, version: str = "V1", alpha: float = 1.0, user_items: tuple = (None, None),
@@ -85,7 +91,7 @@ def swing(df: DataFrame, version: str = "V1", alpha: float = 1.0, user_items: tu
     ratings = everything
     for key, (low, high) in (("item_id", item_users), ("user_id", user_items)):
         if low is not None or high is not None:
-            ratings = ratings.join(within_band(everything, key, low, high).select(key).distinct(), key, "left_semi")
+            ratings = ratings.join(band_keys(everything, key, low, high), key, "left_semi")
 
     # Users with one item form no item pair.
     sized = ratings.join(group_sizes(ratings, ["user_id"], block_rows), "user_id")
