@@ -8,11 +8,14 @@ from .pairs import BLOCK_ROWS, group_sizes, pair_up, pairs_within
 
 
 def ratings_of(df: DataFrame, user: str | None = None, item: str | None = None, score: str | None = None) -> DataFrame:
-    """``user_id, item_id, score`` as string, string, double; by position unless named.
+    """``user_id, item_id, score`` as string, string, double.
 
-    One row per user and item is expected.
+    Columns of these names are taken, else the first three by position, unless
+    named otherwise. One row per user and item is expected.
     """
-    names = [user or df.columns[0], item or df.columns[1], score or df.columns[2]]
+    standard = ["user_id", "item_id", "score"]
+    found = standard if set(standard) <= set(df.columns) else df.columns[:3]
+    names = [given or by_place for given, by_place in zip((user, item, score), found)]
     return df.select(F.col(names[0]).cast("string").alias("user_id"), F.col(names[1]).cast("string").alias("item_id"),
                      F.col(names[2]).cast("double").alias("score"))
 
@@ -66,7 +69,7 @@ def within_band(df: DataFrame, key: str, low: float | None = None, high: float |
     """Rows whose key lies in the band of :func:`band_keys`."""
     if low is None and high is None:
         return df
-    return df.join(band_keys(df, key, low, high, distinct), key, "left_semi")
+    return df.join(band_keys(df, key, low, high, distinct), key, "left_semi").select(*df.columns)
 
 
 def swing(df: DataFrame, version: str = "V1", alpha: float = 1.0, user_items: tuple = (None, None),

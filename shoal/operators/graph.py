@@ -47,7 +47,7 @@ def node_index(edges: DataFrame) -> DataFrame:
 
 def deep_walk(df: DataFrame, seq_length: int = 20, keep: str = "end", directed: bool = False, mode: str = "dfs",
               bfs_ratio: float = 0.5, seed=42) -> DataFrame:
-    """``walk, pos, node``: one walk from every node with an edge out, as long rows.
+    """``walk, pos, node``: one walk from every node with an edge out, as long rows in the order of ``pos``.
 
     seq_length + 1 steps, each to a neighbour drawn by edge weight. With mode
     ``dfs&bfs`` a step draws a second neighbour of the same node when its coin is
@@ -80,7 +80,7 @@ def deep_walk(df: DataFrame, seq_length: int = 20, keep: str = "end", directed:
             "walk", "node", "buckets", F.col("dst").alias("first"), F.col("next_buckets").alias("first_buckets"))
         if mode == "dfs":
             state = checkpointed(moved.select("walk", F.col("first").alias("node"), F.col("first_buckets").alias("buckets")))
-            steps.append(state.select("walk", F.lit(2 * step + 1).alias("pos"), "node"))
+            steps.append(state.select("walk", F.lit(step + 1).alias("pos"), "node"))
         else:
             moved = moved.withColumn("_single", uniform(seed, "walk", F.lit(f"{step}c")) < bfs_ratio)
             again = drawn(moved.where(~F.col("_single")), f"{step}b").select(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.draws import uniform
 from ..functions.nested import json_list
-from ..functions.numeric import ratio, ucb_log, ucb_sqrt, wilson
+from ..functions.numeric import finite, ratio, ucb_log, ucb_sqrt, wilson
 from .cf import band_keys, within_band
 from .filters import FIRST_GAME, activity_band, allow_deny
 from .topn import list_of, lists_of, top_n
@@ -103,7 +103,7 @@ def _both_bands(rows: DataFrame, users: tuple, items: tuple) -> DataFrame:
     """Open bands for users and items, both judged on all rows."""
     keep_users = band_keys(rows, "user_id", users[0] + 1, users[1] - 1)
     keep_items = band_keys(rows, "item_id", items[0] + 1, items[1] - 1)
-    return rows.join(keep_users, "user_id", "left_semi").join(keep_items, "item_id", "left_semi")
+    return rows.join(keep_users, "user_id", "left_semi").join(keep_items, "item_id", "left_semi").select(*rows.columns)
 
 
 def keyword_scores_sampled(log: DataFrame, crowded: int = 10_000, fraction: float = 0.05, times: float = 1,
@@ -285,7 +285,8 @@ def cold_start(log: DataFrame, pool: DataFrame, name: str, n: int = 200, formula
     bound = (ucb_log if formula == "log" else ucb_sqrt)(ratio("got", "seen"), mean, F.col("seen"))
     counted = pool.select("item_id").join(per_item, "item_id", "left").na.fill(0, ["seen", "got"])
     scored = counted.withColumn("score", F.when(F.col("seen") == 0, F.lit(UNSEEN_SCORE)).when(F.col("got") > 0, bound))
-    kept = scored.where(F.col("score").isNotNull() & ((F.col("seen") == 0) | (F.col("score") > overall)))
+    # Below a mean exposure of 1 the square root has no value: such items carry no score.
+    kept = scored.where(finite("score") & ((F.col("seen") == 0) | (F.col("score") > overall)))
     return list_of(kept, name, "item_id", "score", n)
 
 

@@ -41,6 +41,8 @@ def grid(left: DataFrame, right: DataFrame, keys: list[str], member: str, block_
         right = right.withColumn("_lb", lb.scalar()).withColumn("_rb", rb.scalar())
     block = lambda n: F.pmod(F.xxhash64(F.col(member)), F.col(n)).cast("int")
     others = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    # Fresh column instances on one side, for both may come from one frame.
+    right = right.select([F.col(c).alias(c) for c in right.columns])
     left = left.withColumn("_row", block("_lb")).withColumn("_col", others("_rb"))
     right = right.withColumn("_col", block("_rb")).withColumn("_row", others("_lb"))
     return left.drop("_lb", "_rb"), right.drop("_lb", "_rb")

@@ -254,14 +254,14 @@ define("itemcf", "ratings", """SELECT a.item_id AS item_1, b.item_id AS item_2,
     JOIN (SELECT item_id, sqrt(sum(score * score)) AS norm FROM ratings GROUP BY item_id) na ON a.item_id = na.item_id
     JOIN (SELECT item_id, sqrt(sum(score * score)) AS norm FROM ratings GROUP BY item_id) nb ON b.item_id = nb.item_id
     GROUP BY a.item_id, b.item_id""")
-define("i2i", "itemcf", """SELECT id, item, score, row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, item) AS rank FROM (
-    SELECT item_1 AS id, item_2 AS item, sim AS score FROM itemcf UNION ALL SELECT item_2, item_1, sim FROM itemcf)
+define("i2i", "itemcf", """SELECT id, item, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, item) AS rank FROM (
+    SELECT item_1 AS id, item_2 AS item, round(sim, 12) AS score FROM itemcf UNION ALL SELECT item_2, item_1, round(sim, 12) FROM itemcf)
     QUALIFY rank <= 20""")
 
 
 def i2i_lists(t, n=20):
-    """itemCF lists; similarities are compared to nine places, so that ties go by item on every engine."""
-    return i2i_top_n(item_cf(t.ratings()).withColumn("sim", F.round("sim", 9)), n)
+    """itemCF lists; similarities are compared to twelve places, so that ties go by item on every engine."""
+    return i2i_top_n(item_cf(t.ratings()).withColumn("sim", F.round("sim", 12)), n)
 
 
 @query("i2i_stats", """SELECT count(*) AS items, max(n) AS max_neighbours, min(n) AS min_neighbours, round(max(hi), 6) AS max_score,

@@ -63,7 +63,7 @@ define("bh_pairs", "behaviour_ratings", _pairs_cte("behaviour_ratings"))
 define("bh_swing_rows", "bh_pairs", _swing_cte("bh_pairs"))
 define("bh_swing", "bh_swing_rows", "SELECT item_1, item_2, sum(w) AS sim FROM bh_swing_rows GROUP BY ALL")
 _MIRROR = """SELECT id, item, round(score, 6) AS score FROM (SELECT item_1 AS id, item_2 AS item, sim AS score FROM {t}
-    UNION ALL SELECT item_2, item_1, sim FROM {t}) WHERE {cond} QUALIFY row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, item) <= {n}"""
+    UNION ALL SELECT item_2, item_1, sim FROM {t}) WHERE {cond} QUALIFY row_number() OVER (PARTITION BY id ORDER BY round(score, 12) DESC, item) <= {n}"""
 _ALLOWED = "item IN (SELECT CAST(item_id AS VARCHAR) FROM pool) AND item NOT IN (SELECT CAST(item_id AS VARCHAR) FROM denied)"
 
 
@@ -75,22 +75,22 @@ def _pool(t):
     return t.latest_catalog().where(F.col("level") != "D").select("item_id")
 
 
-def _nine(df):
-    return df.withColumn("sim", F.round("sim", 9))
+def _twelve(df):
+    return df.withColumn("sim", F.round("sim", 12))
 
 
 @query("swing_query_i2i", _MIRROR.format(t="kw_swing", cond=_ALLOWED, n=30), "kw_swing pool denied")
 def _(t):
-    lists = i2i_top_n(_nine(cf.swing(_keyword_ratings(t))), 30, allow=_pool(t), deny=t.denied_items())
+    lists = i2i_top_n(_twelve(cf.swing(_keyword_ratings(t))), 30, allow=_pool(t), deny=t.denied_items())
     return lists.select("id", "item", r6("score"))
 
 
 @query("swing_merged_i2i", """WITH both_swings AS (SELECT item_1, item_2, sum(sim) AS sim FROM (SELECT * FROM kw_swing UNION ALL SELECT * FROM bh_swing) GROUP BY ALL)
-    """ + _MIRROR.format(t="both_swings", cond="round(score, 9) >= 0.1 AND " + _ALLOWED, n=100), "kw_swing bh_swing pool denied")
+    """ + _MIRROR.format(t="both_swings", cond="round(score, 12) >= 0.1 AND " + _ALLOWED, n=100), "kw_swing bh_swing pool denied")
 def _(t):
     searched = cf.swing(_keyword_ratings(t))
     used = cf.swing(hot.behaviour_scores(t.track(), hot.ACTION_WEIGHTS))
-    lists = i2i_top_n(_nine(cf.merge_similarities(searched, used)), 100, min_score=0.1, allow=_pool(t), deny=t.denied_items())
+    lists = i2i_top_n(_twelve(cf.merge_similarities(searched, used)), 100, min_score=0.1, allow=_pool(t), deny=t.denied_items())
     return lists.select("id", "item", r6("score"))
 
 
@@ -135,10 +135,10 @@ define("tfidf", "texts", """SELECT id, term, tf * ln(((SELECT count(*) FROM text
 
 @query("tfidf_topn", """WITH n AS (SELECT id, sqrt(sum(weight * weight)) AS norm FROM tfidf GROUP BY id HAVING sum(weight * weight) > 0),
     u AS (SELECT t.id, term, weight / norm AS w FROM tfidf t JOIN n ON t.id = n.id WHERE weight <> 0),
-    s AS (SELECT a.id, b.id AS item, round(sum(a.w * b.w), 9) AS score FROM u a JOIN u b ON a.term = b.term AND a.id <> b.id GROUP BY ALL)
+    s AS (SELECT a.id, b.id AS item, round(sum(a.w * b.w), 12) AS score FROM u a JOIN u b ON a.term = b.term AND a.id <> b.id GROUP BY ALL)
     SELECT id, item, round(score, 6) AS score FROM s WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, item) <= 10""", "tfidf")
 def _(t):
-    return textsim.tfidf_top_n(t.texts(), 10, digits=9).select("id", "item", r6("score"))
+    return textsim.tfidf_top_n(t.texts(), 10).select("id", "item", r6("score"))
 
 
 @query("tfidf_hashed")

@@ -212,7 +212,7 @@ def _(t):
     return ops.trim_similar(lists, allowed, min_sim=0.2, n=5)
 
 
-@query("export_vectors", """SELECT CAST(vec_id AS VARCHAR) AS id, len(embedding) AS size, round(list_sum(list_transform(embedding, x -> CAST(x AS DOUBLE))), 4) AS total
+@query("export_vectors", """SELECT CAST(vec_id AS VARCHAR) AS id, len(embedding) AS size, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 4) AS total
     FROM embeddings WHERE len(embedding) = 64""")
 def _(t):
     rows = export_vectors(t.table("embeddings"), "vec_id", "embedding", 64)

@@ -77,7 +77,6 @@ class Tables:
         """Two dated snapshots of the item catalog."""
         size = F.col("p_size")
         level = (F.when(size <= 10, "S").when(size <= 20, "A").when(size <= 30, "B").when(size <= 40, "C").otherwise("D"))
-        score = (F.col("p_retailprice") - 900) / 20
         base = (self.table("part").withColumn("brand", brand_number())
                 .join(self.regions(), F.col("p_partkey") % 25 == F.col("n_nationkey")))
         snapshots = F.array(F.lit(OLD_SNAPSHOT), F.lit(NEW_SNAPSHOT))
@@ -88,7 +87,7 @@ class Tables:
                     F.concat_ws(" ", "p_name", "brand").alias("displayname"), level.alias("level"),
                     (F.col("brand") + F.when(F.col("p_partkey") % 3 == 0, 100).otherwise(0)).alias("category_id"),
                     F.col("brand").cast("long").alias("developer_id"), F.col("p_type").alias("publisher"),
-                    score.alias("gp_score"), score.alias("display_score"),
+                    (size / 10).alias("gp_score"), (F.col("brand") / 5).alias("display_score"),
                     F.concat(F.lit('["'), size.cast("string"), F.lit('","'), F.col("brand").cast("string"), F.lit('"]')).alias("tagids"),
                     F.concat(F.lit("AppStore/"), F.col("p_partkey").cast("string"),
                              F.when((F.col("p_partkey") % 10 == 0) & (F.col("date") == NEW_SNAPSHOT), "-new").otherwise("")).alias("icon"),

@@ -24,7 +24,7 @@ _CLICK = "action = 'item_click' AND date BETWEEN '20240101' AND '20240130'"
 _DOWN = "action = 'download_install' AND date BETWEEN '20240110' AND '20240130'"
 _INST = "action = 'install' AND date BETWEEN '20240115' AND '20240130'"
 _ACT = "action = 'activate' AND date BETWEEN '20240120' AND '20240130'"
-_GAME, _APP = "category_id >= 100", "category_id BETWEEN 0 AND 99"
+_GAME, _APP = "class >= 100", "class BETWEEN 0 AND 99"
 _SETS = {"click": _CLICK, "click_app": f"{_CLICK} AND {_APP}", "click_game": f"{_CLICK} AND {_GAME}", "download": _DOWN,
          "download_app": f"{_DOWN} AND {_APP}", "download_game": f"{_DOWN} AND {_GAME}", "install": _INST, "activate": _ACT,
          "click_download_app": f"(({_CLICK}) OR ({_DOWN})) AND {_APP}", "click_download_game": f"(({_CLICK}) OR ({_DOWN})) AND {_GAME}"}
@@ -37,7 +37,7 @@ def _profile(t):
 
 
 @query("user_behaviour_profile", f"""SELECT user_id, {', '.join(f'{_set(c)} AS {n}' for n, c in _SETS.items())}
-    FROM track t LEFT JOIN latest l ON t.item_id = l.item_id WHERE ({_CLICK}) OR ({_DOWN}) OR ({_INST}) OR ({_ACT}) GROUP BY user_id""", "track latest")
+    FROM track t LEFT JOIN category_map l ON t.item_id = l.item_id WHERE ({_CLICK}) OR ({_DOWN}) OR ({_INST}) OR ({_ACT}) GROUP BY user_id""", "track category_map")
 def _(t):
     return _profile(t).select("user_id", *[F.when(F.col(n).isNotNull(), joined(n, n)).alias(n) for n in _SETS])
 
@@ -102,14 +102,15 @@ def _(t):
     return _tier(t)
 
 
-@query("user_active_flag", "SELECT * FROM active", "active")
+@query("user_active_flag", "SELECT user_id, coalesce(is_active, 0) AS is_active, coalesce(is_passive, 0) AS is_passive FROM active", "active")
 def _(t):
-    return _active(t)
+    return _active(t).na.fill(0)
 
 
-@query("user_level_flags", "SELECT * FROM level_flags", "level_flags")
+@query("user_level_flags", """SELECT user_id, coalesce(usage_high, 0) AS usage_high, coalesce(usage_mid, 0) AS usage_mid,
+    coalesce(usage_low, 0) AS usage_low FROM level_flags""", "level_flags")
 def _(t):
-    return profiles.level_flags(_levels(t), "usage")
+    return profiles.level_flags(_levels(t), "usage").na.fill(0)
 
 
 @query("user_game_flag", """SELECT user_id, 1 AS is_game_user FROM track WHERE item_id IN (SELECT item_id FROM latest WHERE category_id >= 100)
@@ -126,15 +127,19 @@ def _(t):
     return found.select("user_id", "is_sensitive", joined("items", "items"))
 
 
-@query("user_hierarchy", """SELECT user_id, is_glide, is_not_glide, is_light, is_middle, is_heavy, is_active, is_passive, usage_high, usage_mid, usage_low
+_FLAGS = ", ".join(f"coalesce({c}, -1) AS {c}" for c in ("is_glide", "is_not_glide", "is_light", "is_middle", "is_heavy", "is_active",
+                                                          "is_passive", "usage_high", "usage_mid", "usage_low"))
+
+
+@query("user_hierarchy", f"""SELECT user_id, {_FLAGS}
     FROM glide FULL JOIN tier USING (user_id) FULL JOIN active USING (user_id) FULL JOIN level_flags USING (user_id)""", "glide tier active level_flags")
 def _(t):
-    return profiles.merged([_glide(t), _tier(t), _active(t), profiles.level_flags(_levels(t), "usage")], only_valid=True)
+    return profiles.merged([_glide(t), _tier(t), _active(t), profiles.level_flags(_levels(t), "usage")], only_valid=True).na.fill(-1)
 
 
 @query("user_features", """WITH a AS (SELECT user_id, CASE WHEN clicks_week > 1 THEN 'v3' ELSE 'v6' END AS audience FROM push_users),
     f AS (SELECT id AS user_id, label, vector FROM vectors WHERE label <> 4)
-    SELECT user_id, audience, CAST(label AS INTEGER) AS label, CAST(coalesce(len(vector), 64) AS INTEGER) AS size, round(coalesce(list_sum(vector), 0), 4) AS total
+    SELECT user_id, audience, CAST(coalesce(label, -1) AS INTEGER) AS label, CAST(coalesce(len(vector), 64) AS INTEGER) AS size, round(coalesce(list_sum(vector), 0), 4) AS total
     FROM a FULL JOIN f USING (user_id)""", "push_users vectors")
 def _(t):
     audiences = t.push_users().select("user_id", F.when(F.col("clicks_week") > 1, "v3").otherwise("v6").alias("audience"))
@@ -142,7 +147,7 @@ def _(t):
         F.col("vec_id").cast("string").alias("user_id"), "label", F.col("embedding").cast("array<double>").alias("vector"))
     rows = profiles.user_features(audiences, features, ["vector"], 64)
     total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x)
-    return rows.select("user_id", "audience", "label", F.size("vector").alias("size"), F.round(total, 4).alias("total"))
+    return rows.select("user_id", "audience", F.coalesce("label", F.lit(-1)).alias("label"), F.size("vector").alias("size"), F.round(total, 4).alias("total"))
 
 
 define("month_hours", "search_hours", "SELECT DISTINCT user_id, hour FROM search_hours WHERE date BETWEEN '20240101' AND '20240130'")

@@ -89,8 +89,8 @@ def _(t):
 
 
 @query("fn_ngram_jaccard", """WITH s AS (SELECT p_partkey, replace(lower(x), ' ', '') AS x, replace(lower(y), ' ', '') AS y FROM name_pairs),
-    g AS (SELECT p_partkey, list_distinct(list_transform(range(1, length(x)), i -> substr(x, i, 2))) AS gx,
-        list_distinct(list_transform(range(1, length(y)), i -> substr(y, i, 2))) AS gy FROM s)
+    g AS (SELECT p_partkey, list_distinct(list_transform(range(1, length(x)), lambda i: substr(x, i, 2))) AS gx,
+        list_distinct(list_transform(range(1, length(y)), lambda i: substr(y, i, 2))) AS gy FROM s)
     SELECT p_partkey, round(len(list_intersect(gx, gy)) / len(list_distinct(list_concat(gx, gy))), 6) AS similarity, 0.0::DOUBLE AS too_short FROM g""", "name_pairs")
 def _(t):
     return _name_pairs(t).select("p_partkey", r6(text.ngram_jaccard("x", "y", 2), "similarity"),
@@ -149,7 +149,7 @@ def _(t):
 
 
 @query("fn_level_split", """SELECT o_orderkey, array_to_string(list_sort(list_distinct(list_filter(string_split(o_orderstatus || ',' || substr(o_orderpriority, 3), ''),
-    x -> x <> ',' AND x <> ''))), ',') AS letters FROM orders""")
+    lambda x: x <> ',' AND x <> ''))), ',') AS letters FROM orders""")
 def _(t):
     levels = F.concat_ws(",", "o_orderstatus", F.expr("substr(o_orderpriority, 3)"))
     return t.table("orders").select("o_orderkey", joined(text.level_set(levels), "letters"))

@@ -13,7 +13,7 @@ _CTES: dict[str, tuple[str, str]] = {
         CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
         CASE event_type WHEN 'view' THEN 'item_exposure' WHEN 'click' THEN 'item_click' WHEN 'purchase' THEN 'download_install'
              WHEN 'error' THEN 'uninstall' ELSE CASE WHEN event_id % 2 = 0 THEN 'install' ELSE 'activate' END END AS action,
-        strftime(ts, '%Y%m%d') AS date, epoch_ms(ts) AS time_ms, CAST(hour(ts) AS INTEGER) AS hour, value,
+        strftime(ts, '%Y%m%d') AS date, epoch_us(ts) // 1000 AS time_ms, CAST(hour(ts) AS INTEGER) AS hour, value,
         CASE event_id % 3 WHEN 0 THEN 'recommend' WHEN 1 THEN 'app_detail' ELSE 'search' END AS page,
         CASE WHEN event_id % 2 = 0 THEN 'recommend' ELSE 'search' END AS pre_page,
         CASE WHEN event_id % 7 < 5 THEN 'recApps' ELSE 'banner' END AS card_type,
@@ -35,7 +35,7 @@ _CTES: dict[str, tuple[str, str]] = {
     "catalog": ("regions", """SELECT p_partkey AS item_id, p_name || ' ' || brand AS displayname,
         CASE WHEN p_size <= 10 THEN 'S' WHEN p_size <= 20 THEN 'A' WHEN p_size <= 30 THEN 'B' WHEN p_size <= 40 THEN 'C' ELSE 'D' END AS level,
         CAST(brand + CASE WHEN p_partkey % 3 = 0 THEN 100 ELSE 0 END AS INTEGER) AS category_id, CAST(brand AS BIGINT) AS developer_id,
-        p_type AS publisher, (p_retailprice - 900) / 20 AS gp_score, (p_retailprice - 900) / 20 AS display_score,
+        p_type AS publisher, p_size / 10 AS gp_score, brand / 5 AS display_score,
         '["' || p_size || '","' || brand || '"]' AS tagids,
         'AppStore/' || p_partkey || CASE WHEN p_partkey % 10 = 0 AND day = '20240130' THEN '-new' ELSE '' END AS icon,
         locale, cluster, day AS date, p_size AS audit_tag
@@ -46,11 +46,11 @@ _CTES: dict[str, tuple[str, str]] = {
     "denied": ("latest", "SELECT item_id FROM latest WHERE audit_tag IN (7, 13)"),
     "vectors": ("", "SELECT CAST(vec_id AS VARCHAR) AS id, label, CAST(embedding AS DOUBLE[]) AS vector FROM embeddings"),
     "texts": ("", """SELECT CAST(doc_id AS VARCHAR) AS id,
-        list_filter(string_split_regex(lower(text), '[^a-z]+'), w -> w <> '') AS words FROM documents"""),
+        list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda w: w <> '') AS words FROM documents"""),
     "edges": ("ratings", "SELECT 'u' || user_id AS src, 'i' || item_id AS dst, score AS weight FROM ratings"),
     "push_log": ("", """SELECT CAST(user_id AS VARCHAR) AS user_id, strftime(ts, '%Y%m%d') AS log_date,
         json_extract_string(props, '$.k') AS item_id, CASE WHEN event_type = 'click' THEN 'CLICK' ELSE 'EXPOSE' END AS type,
-        CAST(event_id AS VARCHAR) AS push_id, epoch_ms(ts) AS reach_ms, strftime(ts, '%Y%m%d') AS push_date,
+        CAST(event_id AS VARCHAR) AS push_id, epoch_us(ts) // 1000 AS reach_ms, strftime(ts, '%Y%m%d') AS push_date,
         strftime(ts, '%H') AS push_hour, lpad(CAST((minute(ts) // 15) * 15 AS VARCHAR), 2, '0') AS push_minute,
         CASE event_id % 3 WHEN 0 THEN 'SH' WHEN 1 THEN 'BSOF' ELSE 'BSPT' END AS task_id FROM events"""),
     "recall_hits": ("track", """SELECT DISTINCT user_id, 'g' || (event_id % 3) AS mark, CAST(event_id % 3 AS INTEGER) AS slot,

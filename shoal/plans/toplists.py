@@ -112,9 +112,9 @@ def _trend(t, day=_TODAY, before=_BEFORE):
     return rows.select(F.col("item_id").cast("string").alias("item"), F.col("ratio").alias("score"))
 
 
-@query("trending_items", """SELECT 'trending' AS list_id, item, round(score, 6) AS score FROM trend ORDER BY round(score, 9) DESC, item LIMIT 200""", "trend")
+@query("trending_items", """SELECT 'trending' AS list_id, item, round(score, 6) AS score FROM trend ORDER BY round(score, 12) DESC, item LIMIT 200""", "trend")
 def _(t):
-    rows = _trend(t).withColumn("score", F.round("score", 9))
+    rows = _trend(t).withColumn("score", F.round("score", 12))
     return hot.list_of(rows, "trending", "item", "score", 200).withColumn("score", F.round("score", 6))
 
 
@@ -124,14 +124,14 @@ def _(t):
         FROM track, days WHERE action = 'item_click' GROUP BY day, item_id),
     lists AS (SELECT item_id, t / (b / 7) AS score FROM counts WHERE t >= 1 AND b > 1 AND t / (b / 7) >= 1.2)
     SELECT 'trending_week' AS list_id, CAST(item_id AS VARCHAR) AS item, round(max(score), 6) AS score FROM lists GROUP BY item_id
-    ORDER BY round(max(score), 9) DESC, item LIMIT 200""", "track")
+    ORDER BY round(max(score), 12) DESC, item LIMIT 200""", "track")
 def _(t):
     history = None
     for back in range(1, 8):
         day = day_shift(_TODAY, -back)
         part = _trend(t, day, (day_shift(day, -7), day_shift(day, -1)))
         history = part if history is None else history.unionByName(part)
-    rounded = lambda df: df.withColumn("score", F.round("score", 9))
+    rounded = lambda df: df.withColumn("score", F.round("score", 12))
     return hot.merge_lists(rounded(history), rounded(_trend(t)), "trending_week").withColumn("score", F.round("score", 6))
 
 
@@ -146,7 +146,7 @@ def _cold_sql(bound: str) -> str:
     scored AS (SELECT item_id, seen, CASE WHEN seen = 0 THEN 10000.0 WHEN got > 0 THEN {bound} END AS score,
         (SELECT got / users FROM g) AS overall FROM i)
     SELECT 'cold' AS list_id, CAST(item_id AS VARCHAR) AS item, round(score, 6) AS score FROM scored
-    WHERE score IS NOT NULL AND (seen = 0 OR score > overall) ORDER BY round(score, 9) DESC, item LIMIT 200"""
+    WHERE score IS NOT NULL AND (seen = 0 OR score > overall) ORDER BY round(score, 12) DESC, item LIMIT 200"""
 
 
 _MEAN = "((SELECT users / size FROM g) / 10)"
@@ -161,9 +161,7 @@ def _(t):
 @query("cold_start_ucb_v2", _cold_sql(f"CASE WHEN {_MEAN} >= 1 THEN got / seen + sqrt(log10({_MEAN}) / seen) END"), "track latest")
 def _(t):
     pool = t.latest_catalog().where(F.col("level") == "S").select("item_id")
-    cold = hot.cold_start(t.track(), pool, "cold", formula="sqrt")
-    # Below a mean exposure of 1 the bound is not a number: such items carry no score.
-    return cold.where(~F.isnan("score")).withColumn("score", F.round("score", 6))
+    return hot.cold_start(t.track(), pool, "cold", formula="sqrt").withColumn("score", F.round("score", 6))
 
 
 define("recalled", "recall_hits", """SELECT DISTINCT CAST(item_id AS BIGINT) AS item_id FROM (SELECT item_id, count(*) AS n, max(channel) AS c
@@ -217,23 +215,23 @@ _RATE = """WITH days AS (SELECT DISTINCT user_id, item_id, action, date FROM tra
         FROM days JOIN {map} m ON days.item_id = m.item_id GROUP BY ALL),
     scored AS (SELECT user_id, class, """ + wilson_sql("c", "e") + """ AS score FROM sums WHERE c <= e)
     SELECT user_id, {cols}, round(score, 6) AS score FROM scored WHERE score > 0
-    QUALIFY row_number() OVER (PARTITION BY user_id{part} ORDER BY round(score, 9) DESC, class) <= {n}"""
+    QUALIFY row_number() OVER (PARTITION BY user_id{part} ORDER BY round(score, 12) DESC, class) <= {n}"""
 define("category_map", "latest", "SELECT item_id, category_id AS class FROM latest")
 
 
-def _nine(df):
-    return df.withColumn("score", F.round("score", 9))
+def _twelve(df):
+    return df.withColumn("score", F.round("score", 12))
 
 
 @query("user_hot_category", _RATE.format(map="category_map", cols="CASE WHEN class >= 100 THEN 'game' ELSE 'app' END AS kind, class",
                                          part=", class >= 100", n=10), "track category_map")
 def _(t):
-    rates = _nine(hot.user_class_rate(t.track(), _classes(t)))
+    rates = _twelve(hot.user_class_rate(t.track(), _classes(t)))
     return hot.favourite_categories(rates).select("user_id", "kind", "class", r6("score"))
 
 
 @query("user_hot_category_install", """SELECT user_id, CASE WHEN class >= 100 THEN 'game' ELSE 'app' END AS kind, class, CAST(count(*) AS DOUBLE) AS score
-    FROM track JOIN category_map USING (item_id) WHERE action = 'install' GROUP BY ALL
+    FROM track JOIN category_map USING (item_id) WHERE action = 'install' GROUP BY user_id, class
     QUALIFY row_number() OVER (PARTITION BY user_id, class >= 100 ORDER BY count(*) DESC, class) <= 10""", "track category_map")
 def _(t):
     return hot.favourite_categories(hot.user_class_counts(t.track(), _classes(t))).select("user_id", "kind", "class", "score")
@@ -241,7 +239,7 @@ def _(t):
 
 @query("user_hot_tag", _RATE.format(map="tag_map", cols="class", part="", n=100), "track tag_map")
 def _(t):
-    return hot.favourite_classes(_nine(hot.user_class_rate(t.track(), _tags(t)))).select("user_id", "class", r6("score"))
+    return hot.favourite_classes(_twelve(hot.user_class_rate(t.track(), _tags(t)))).select("user_id", "class", r6("score"))
 
 
 @query("user_category_weighted", """SELECT user_id, class, count(*) FILTER (action IN ('item_click', 'download_install')) / 4
@@ -257,7 +255,7 @@ def usage(t):
     return t.track().select("user_id", "item_id", (F.col("hour") + 1).cast("double").alias("frequency"), F.col("value").alias("duration"))
 
 
-define("usage_scores", "track", """SELECT user_id, item_id, 5 * avg(value) + 3 * avg(hour + 1) AS score FROM track GROUP BY ALL
+define("usage_scores", "track", """SELECT user_id, item_id, 5 * avg(value) + 3 * avg(hour + 1) AS score FROM track GROUP BY user_id, item_id
     HAVING avg(value) > 0 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) <= 10""")
 
 
@@ -266,17 +264,17 @@ def _(t):
     return hot.top_usage(usage(t)).select("user_id", "item_id", r6("score"))
 
 
-define("knn_rows", "vectors", """SELECT a.id, b.id AS item, round(list_distance(a.vector, b.vector), 9) AS distance
+define("knn_rows", "vectors", """SELECT a.id, b.id AS item, round(list_distance(a.vector, b.vector), 12) AS distance
     FROM vectors a JOIN vectors b ON a.id <> b.id QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY distance, b.id) <= 120""")
 
 
 def _knn_rows(t):
     """The rows of an external neighbour file: id, distance, item, best 120 by Euclidean distance."""
     near = knn(t.vectors(), 120, "euclidean").withColumnRenamed("score", "distance")
-    return near.select("id", F.round("distance", 9).alias("distance"), "item")
+    return near.select("id", F.round("distance", 12).alias("distance"), "item")
 
 
-_LISTS = """SELECT id, item, round(100 - distance, 6) AS score, CAST(row_number() OVER (PARTITION BY id ORDER BY round(100 - distance, 9) DESC, item) AS INTEGER) AS rank
+_LISTS = """SELECT id, item, round(100 - distance, 6) AS score, CAST(row_number() OVER (PARTITION BY id ORDER BY 100 - distance DESC, item) AS INTEGER) AS rank
     FROM knn_rows WHERE item IN (SELECT id FROM vectors WHERE label <> 3){more} QUALIFY rank <= 100"""
 
 
