@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .pairs import BLOCK_ROWS, group_sizes, pair_up, pairs_within
+from ..session import stored
+from .pairs import BLOCK_ROWS, group_sizes, large_groups, pair_up
 
 
 def ratings_of(df: DataFrame, user: str | None = None, item: str | None = None, score: str | None = None) -> DataFrame:
@@ -41,11 +42,15 @@ def item_cf(df: DataFrame, version: str = "V1", block_rows: int = BLOCK_ROWS) ->
     if version not in ("V1", "V2"):
         raise ValueError(f"unknown itemCF version {version}")
     ratings = ratings_of(df)
-    sized = ratings.join(group_sizes(ratings, ["user_id"], block_rows), "user_id")
-    pairs = pair_up(sized, ["user_id"], "item_id", ["score"], ["group_rows"])
+    ratings = stored(ratings, "ratings")
+    sizes = group_sizes(ratings, ["user_id"])
+    large = large_groups(sizes, ["user_id"], block_rows)
     term = F.col("score_1") * F.col("score_2")
     if version == "V2":
+        pairs = pair_up(ratings.join(sizes, "user_id"), ["user_id"], "item_id", ["score"], ["group_rows"], large)
         term = term / F.sqrt(F.col("group_rows"))
+    else:
+        pairs = pair_up(ratings, ["user_id"], "item_id", ["score"], large=large)
     dots = (pairs.groupBy(F.col("item_id_1").alias("item_1"), F.col("item_id_2").alias("item_2"))
             .agg(F.sum(term).alias("dot")))
     return _with_norms(dots, _norms(ratings)).select(
@@ -97,10 +102,15 @@ def swing(df: DataFrame, version: str = "V1", alpha: float = 1.0, user_items: tu
             ratings = ratings.join(band_keys(everything, key, low, high), key, "left_semi")
 
     # Users with one item form no item pair.
-    sized = ratings.join(group_sizes(ratings, ["user_id"], block_rows), "user_id")
-    pairs = pair_up(sized, ["user_id"], "item_id", ["score"], ["group_rows"]).select(
+    ratings = stored(ratings, "ratings")
+    sizes = group_sizes(ratings, ["user_id"]).where(F.col("group_rows") >= 2)
+    pairs = pair_up(ratings.join(sizes, "user_id"), ["user_id"], "item_id", ["score"], ["group_rows"],
+                    large_groups(sizes, ["user_id"], block_rows)).select(
         F.col("item_id_1").alias("item_1"), F.col("item_id_2").alias("item_2"), "user_id",
         F.col("score_1").alias("si"), F.col("score_2").alias("sj"), F.col("group_rows").cast("double").alias("k"))
+    payload = {"V1": [], "V1p1": ["si", "sj"], "V2": ["k"], "V3": ["si", "sj", "k"]}[version]
+    # Read by the sums per item pair and by both sides of the user-pair join.
+    pairs = stored(pairs.select("item_1", "item_2", "user_id", *dict.fromkeys([*payload, "k"])), "item-pairs")
 
     # A user with themselves shares all k(k-1)/2 pairs: no join needed for that part.
     own = 1 / (F.lit(alpha) + F.col("k") * (F.col("k") - 1) / 2)
@@ -112,11 +122,10 @@ def swing(df: DataFrame, version: str = "V1", alpha: float = 1.0, user_items: tu
         own = own * 2 * F.col("si") * F.col("sj")
     per_pair = pairs.groupBy("item_1", "item_2").agg(F.count("*").alias("users"), F.sum(own).alias("part"))
 
-    # Only item pairs with at least two users go into the user-pair join.
-    shared = per_pair.where(F.col("users") >= 2).select(
-        "item_1", "item_2", F.ceil(F.col("users") / block_rows).cast("int").alias("blocks"))
-    crossed = pair_up(pairs.join(shared, ["item_1", "item_2"]), ["item_1", "item_2"], "user_id",
-                      [] if version == "V1" else ["k"] if version == "V2" else ["si", "sj", "k"])
+    # An item pair has no more users than either item: where no item is crowded, no pair is.
+    crowded = large_groups(group_sizes(ratings, ["item_id"]), ["item_id"], block_rows) is not None
+    large = large_groups(per_pair.withColumnRenamed("users", "group_rows"), ["item_1", "item_2"], block_rows) if crowded else None
+    crossed = pair_up(pairs, ["item_1", "item_2"], "user_id", payload, large=large)
     # Counting aggregates map-side and the join spreads a hot user pair, so no
     # task has to hold all common pairs of two users at once.
     common = crossed.groupBy("user_id_1", "user_id_2").agg(F.count("*").cast("double").alias("n"))

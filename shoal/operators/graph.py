@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.draws import uniform
-from ..session import checkpointed
-from .sampling import bucket_of, draw_table, weighted_draws
+from ..session import bucketed, stored
+from .sampling import bucket_counts, bucket_of, draw_table, weighted_draws
 
 
 def edges_of(df: DataFrame) -> DataFrame:
@@ -55,45 +55,50 @@ def deep_walk(df: DataFrame, seq_length: int = 20, keep: str = "end", directed:
     without edges stops there. ``keep`` filters the nodes shown: the graph's
     start nodes, end nodes or all.
 
-    A step is one equi join of the walks' heads with the draw table; heads on a
-    hub spread over the hub's buckets. Steps are checkpointed, so the plan
-    stays short and a lost executor costs one step.
+    A step is one equi join of the walks' heads with the bucketed draw table;
+    heads on a hub spread over the hub's buckets. Every step is stored, so the
+    plan stays short and a lost executor costs one step.
     """
     edges = edges_of(df)
-    table = draw_table(merged_edges(edges, directed))
-    sizes = table.select("src", "buckets").distinct()
+    graph = stored(merged_edges(edges, directed), "edges")
+    counts = stored(bucket_counts(graph), "bucket-counts")
     # The next node's bucket count rides along, which saves a join per step.
-    table = checkpointed(table.drop("buckets").join(
-        sizes.select(F.col("src").alias("dst"), F.col("buckets").alias("next_buckets")), "dst", "left"))
-    heads = sizes.select(F.col("src").alias("walk"), F.col("src").alias("node"), "buckets")
+    following = counts.select(F.col("src").alias("dst"), F.col("buckets").alias("next_buckets"))
+    draws = draw_table(graph, counts).drop("buckets").join(following, "dst", "left")
+    heads = counts.select(F.col("src").alias("walk"), F.col("src").alias("node"), "buckets")
     steps = [heads.select("walk", F.lit(0).alias("pos"), "node")]
 
-    def drawn(frame: DataFrame, label: str) -> DataFrame:
-        keyed = (frame.withColumn("u", uniform(seed, "walk", F.lit(label)))
-                 .withColumn("bucket", bucket_of(F.col("u"), F.col("buckets"))))
-        return keyed.join(table.withColumnRenamed("src", "node"), ["node", "bucket"]).where(
-            (F.col("u") >= F.col("low")) & (F.col("u") < F.col("high")))
-
-    for step in range(seq_length + 1):
-        heads = heads.where(F.col("buckets").isNotNull())
-        moved = drawn(heads, f"{step}a").select(
-            "walk", "node", "buckets", F.col("dst").alias("first"), F.col("next_buckets").alias("first_buckets"))
-        if mode == "dfs":
-            state = checkpointed(moved.select("walk", F.col("first").alias("node"), F.col("first_buckets").alias("buckets")))
-            steps.append(state.select("walk", F.lit(step + 1).alias("pos"), "node"))
-        else:
+    with bucketed((draws, ["src", "bucket"])) as (table,):
+
+        def drawn(frame: DataFrame, label: str) -> DataFrame:
+            keyed = (frame.withColumn("u", uniform(seed, "walk", F.lit(label)))
+                     .withColumn("bucket", bucket_of(F.col("u"), F.col("buckets"))))
+            return keyed.join(table.withColumnRenamed("src", "node"), ["node", "bucket"]).where(
+                (F.col("u") >= F.col("low")) & (F.col("u") < F.col("high")))
+
+        for step in range(seq_length + 1):
+            heads = heads.where(F.col("buckets").isNotNull())
+            moved = drawn(heads, f"{step}a").select(
+                "walk", "node", "buckets", F.col("dst").alias("first"), F.col("next_buckets").alias("first_buckets"))
+            if mode == "dfs":
+                heads = stored(moved.select("walk", F.col("first").alias("node"), F.col("first_buckets").alias("buckets")), "step")
+                steps.append(heads.select("walk", F.lit(step + 1).alias("pos"), "node"))
+                continue
             moved = moved.withColumn("_single", uniform(seed, "walk", F.lit(f"{step}c")) < bfs_ratio)
             again = drawn(moved.where(~F.col("_single")), f"{step}b").select(
                 "walk", "first", F.col("dst").alias("second"), F.col("next_buckets").alias("buckets"))
             single = moved.where("_single").select(
                 "walk", "first", F.lit(None).cast("string").alias("second"), F.col("first_buckets").alias("buckets"))
-            state = checkpointed(single.unionByName(again))
+            state = stored(single.unionByName(again), "step")
             steps.append(state.select("walk", F.lit(2 * step + 1).alias("pos"), F.col("first").alias("node")))
             steps.append(state.where(F.col("second").isNotNull())
                          .select("walk", F.lit(2 * step + 2).alias("pos"), F.col("second").alias("node")))
-            state = state.select("walk", F.coalesce("second", "first").alias("node"), "buckets")
-        heads = state
-    walks = reduce(DataFrame.unionByName, steps)
+            heads = state.select("walk", F.coalesce("second", "first").alias("node"), "buckets")
+    return _shown(reduce(DataFrame.unionByName, steps), edges, keep)
+
+
+def _shown(walks: DataFrame, edges: DataFrame, keep: str) -> DataFrame:
+    """Only the wanted node type; every walked node is in the graph, so ``all`` needs no filter."""
     return walks if keep == "all" else walks.join(nodes_of(edges, keep), "node", "left_semi").select("walk", "pos", "node")
 
 
@@ -128,7 +133,8 @@ def second_order(edges: DataFrame, p: float = 1.0, q: float = 1.0) -> DataFrame:
 def edge_probabilities(df: DataFrame, directed: bool = True, max_neighbours: int = 10_000, p: float = 1.0,
                        q: float = 1.0, seed=42) -> DataFrame:
     """:func:`second_order` on the capped graph: at most ``max_neighbours`` rows per edge."""
-    return second_order(capped_neighbours(merged_edges(edges_of(df), directed), max_neighbours, seed), p, q)
+    graph = stored(merged_edges(edges_of(df), directed), "edges")
+    return second_order(capped_neighbours(graph, max_neighbours, seed), p, q)
 
 
 def node2vec_walks(df: DataFrame, seq_length: int = 5, keep: str = "end", directed: bool = True,
@@ -140,26 +146,26 @@ def node2vec_walks(df: DataFrame, seq_length: int = 5, keep: str = "end", direct
     times with rate equal to its weight, a plain aggregate that combines map-side.
     """
     edges = edges_of(df)
-    graph = checkpointed(capped_neighbours(merged_edges(edges, directed), max_neighbours, seed))
-    known = graph.select(F.col("src").alias("prev"), F.col("dst").alias("next"), F.lit(True).alias("_known"))
-    hops = graph.select(F.col("src").alias("cur"), F.col("dst").alias("next"), "weight")
+    graph = stored(capped_neighbours(stored(merged_edges(edges, directed), "edges"), max_neighbours, seed), "graph")
     heads = graph.select("src").distinct().select(F.col("src").alias("walk"), F.lit(None).cast("string").alias("prev"), F.col("src").alias("cur"))
     steps = [heads.select("walk", F.lit(0).alias("pos"), F.col("cur").alias("node"))]
-    for step in range(seq_length + 1):
-        options = heads.join(hops, "cur")
-        rate = F.col("weight")
-        if step > 0:
-            options = options.join(known, ["prev", "next"], "left")
-            rate = (F.when(F.col("next") == F.col("prev"), rate * F.lit(1.0 / p))
-                    .when(F.col("_known"), rate).otherwise(rate * F.lit(1.0 / q)))
-        # 1 - u lies in (0, 1], so the logarithm is finite.
-        time = -F.log(1 - uniform(seed, "walk", F.lit(step), "next")) / rate
-        heads = checkpointed(options.withColumn("_time", time).groupBy("walk", "cur").agg(
-            F.min_by("next", F.struct("_time", "next")).alias("next")).select(
-            "walk", F.col("cur").alias("prev"), F.col("next").alias("cur")))
-        steps.append(heads.select("walk", F.lit(step + 1).alias("pos"), F.col("cur").alias("node")))
-    walks = reduce(DataFrame.unionByName, steps)
-    return walks if keep == "all" else walks.join(nodes_of(edges, keep), "node", "left_semi").select("walk", "pos", "node")
+    with bucketed((graph, ["src"]), (graph.select("src", "dst"), ["src", "dst"])) as (by_node, by_edge):
+        hops = by_node.select(F.col("src").alias("cur"), F.col("dst").alias("next"), "weight")
+        known = by_edge.select(F.col("src").alias("prev"), F.col("dst").alias("next"), F.lit(True).alias("_known"))
+        for step in range(seq_length + 1):
+            options = heads.join(hops, "cur")
+            rate = F.col("weight")
+            if step > 0:
+                options = options.join(known, ["prev", "next"], "left")
+                rate = (F.when(F.col("next") == F.col("prev"), rate * F.lit(1.0 / p))
+                        .when(F.col("_known"), rate).otherwise(rate * F.lit(1.0 / q)))
+            # 1 - u lies in (0, 1], so the logarithm is finite.
+            time = -F.log(1 - uniform(seed, "walk", F.lit(step), "next")) / rate
+            heads = stored(options.withColumn("_time", time).groupBy("walk", "cur").agg(
+                F.min_by("next", F.struct("_time", "next")).alias("next")).select(
+                "walk", F.col("cur").alias("prev"), F.col("next").alias("cur")), "step")
+            steps.append(heads.select("walk", F.lit(step + 1).alias("pos"), F.col("cur").alias("node")))
+    return _shown(reduce(DataFrame.unionByName, steps), edges, keep)
 
 
 def paths(walks: DataFrame) -> DataFrame:

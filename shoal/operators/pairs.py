@@ -4,47 +4,71 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import stored, wide_partitions
+
 # Rows of one group that one task may compare with each other.
 BLOCK_ROWS = 2048
 
 
-def group_sizes(df: DataFrame, keys: list[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``keys, group_rows, blocks`` of the groups with at least two rows."""
-    return (df.groupBy(*keys).agg(F.count("*").alias("group_rows")).where(F.col("group_rows") >= 2)
-            .withColumn("blocks", F.ceil(F.col("group_rows") / block_rows).cast("int")))
+def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, group_rows``"""
+    return df.groupBy(*keys).agg(F.count("*").alias("group_rows"))
+
+
+def large_groups(sizes: DataFrame, keys: list[str], block_rows: int = BLOCK_ROWS) -> DataFrame | None:
+    """``keys, blocks`` of the groups over one block, or None where a check finds none."""
+    large = sizes.where(F.col("group_rows") > block_rows).select(
+        *keys, F.ceil(F.col("group_rows") / block_rows).cast("int").alias("blocks"))
+    return None if large.isEmpty() else stored(large, "large-groups")
 
 
-def pair_up(rows: DataFrame, keys: list[str], member: str, payload: list[str] = (), once: list[str] = ()) -> DataFrame:
+def pair_up(df: DataFrame, keys: list[str], member: str, payload: list[str] = (), once: list[str] = (),
+            large: DataFrame | None = None) -> DataFrame:
     """Pairs ``member_1 < member_2`` of rows that share ``keys``.
 
-    ``rows`` carries ``blocks`` from :func:`group_sizes`. A group of b blocks
-    is spread over a b × b grid: the left copy of a row goes to every cell of its
-    row of the grid, the right copy to every cell of its column, so two rows meet
-    in exactly one cell and no task compares more than block × block rows. Groups
-    of one block are joined as they are. Nothing is capped.
+    Groups of one block are joined as they are, both sides from one shuffle. A
+    group of b blocks (``large``, see :func:`large_groups`) is spread over a
+    b × b grid: the left copy of a row goes to every cell of its row of the grid,
+    the right copy to every cell of its column, so two rows meet in exactly one
+    cell and no task compares more than block × block rows of it. Nothing is
+    capped.
 
     ``payload`` columns come back as ``c_1`` and ``c_2``; ``once`` columns are
     constant within the group and come back unchanged.
     """
-    rows = rows.withColumn("_block", F.pmod(F.xxhash64(F.col(member)), F.col("blocks")).cast("int"))
+    columns = list(dict.fromkeys([*keys, *once, member, *payload]))
+    rows = df.select(*columns)
+    width = wide_partitions(df.sparkSession)
+
+    def side(frame: DataFrame, n: int, *extra: str) -> DataFrame:
+        kept = [c for c in once if c not in keys] if n == 1 else []
+        return frame.select(*keys, *kept, F.col(member).alias(f"{member}_{n}"),
+                            *[F.col(c).alias(f"{c}_{n}") for c in payload], *extra)
+
+    def matched(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        return left.join(right, on).where(F.col(f"{member}_1") < F.col(f"{member}_2"))
+
+    usual = rows if large is None else rows.join(large.select(*keys), keys, "left_anti")
+    usual = usual.repartition(width, *keys)
+    pairs = matched(side(usual, 1), side(usual, 2), keys)
+    if large is None:
+        return pairs
+    crowded = rows.join(large, keys).withColumn("_block", F.pmod(F.xxhash64(F.col(member)), F.col("blocks")).cast("int"))
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = rows.select(*keys, *once, F.col(member).alias(f"{member}_1"), *[F.col(c).alias(f"{c}_1") for c in payload],
-                       F.col("_block").alias("_row"), others.alias("_col"))
-    right = rows.select(*keys, F.col(member).alias(f"{member}_2"), *[F.col(c).alias(f"{c}_2") for c in payload],
-                        others.alias("_row"), F.col("_block").alias("_col"))
-    return (left.join(right, [*keys, "_row", "_col"]).where(F.col(f"{member}_1") < F.col(f"{member}_2"))
-            .drop("_row", "_col"))
+    cell = [*keys, "_row", "_col"]
+    left = crowded.withColumn("_row", F.col("_block")).withColumn("_col", others).repartition(width, *cell)
+    right = crowded.withColumn("_col", F.col("_block")).withColumn("_row", others).repartition(width, *cell)
+    in_cells = matched(side(left, 1, "_row", "_col"), side(right, 2, "_row", "_col"), cell)
+    return pairs.unionByName(in_cells.select(*pairs.columns))
 
 
-def pairs_within(df: DataFrame, keys: list[str], member: str, payload: list[str] = (),
-                 once: list[str] = (), block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """:func:`pair_up` with the group sizes counted here."""
-    sized = df.join(group_sizes(df, keys, block_rows).drop("group_rows"), keys)
-    return pair_up(sized, keys, member, payload, once)
+def pairs_within(df: DataFrame, keys: list[str], member: str, payload: list[str] = (), block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """:func:`pair_up` with the group sizes checked here; ``df`` is read twice."""
+    return pair_up(df, keys, member, payload, large=large_groups(group_sizes(df, keys), keys, block_rows))
 
 
 def co_counts(df: DataFrame, key: str, member: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """How many groups hold both members of a pair: ``item_1, item_2, n``."""
-    pairs = pairs_within(df.select(key, member).distinct(), [key], member, block_rows=block_rows)
+    pairs = pairs_within(stored(df.select(key, member).distinct(), "members"), [key], member, block_rows=block_rows)
     return (pairs.groupBy(F.col(f"{member}_1").alias("item_1"), F.col(f"{member}_2").alias("item_2"))
             .agg(F.count("*").alias("n")))

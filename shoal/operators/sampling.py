@@ -46,18 +46,30 @@ def running_weights(edges: DataFrame) -> DataFrame:
         "src", "dst", "weight", (F.col("_shift") + F.col("_upto") - F.col("weight")).alias("below"), "total")
 
 
-def draw_table(edges: DataFrame) -> DataFrame:
+def bucket_counts(edges: DataFrame) -> DataFrame:
+    """``src, buckets``: the larger of a node's edges out and in.
+
+    Walks arrive over the edges in, so a crowded node has as many buckets to
+    spread its arrivals over.
+    """
+    live = edges.where(F.col("weight") > 0)
+    out = live.groupBy("src").agg(F.count("*").alias("_out"))
+    into = live.groupBy(F.col("dst").alias("src")).agg(F.count("*").alias("_in"))
+    return out.join(into, "src", "left").select("src", F.greatest("_out", F.coalesce("_in", F.lit(0))).alias("buckets"))
+
+
+def draw_table(edges: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Guide table for weighted draws: ``src, bucket, low, high, dst, buckets``.
 
-    A node with d edges has d buckets of equal probability; an edge is listed in
-    every bucket its interval [low, high) of the unit range touches, at most 2d
-    rows per node. A draw looks up one bucket, about two rows, and not all edges
-    of a hub.
+    A node has buckets of equal probability (:func:`bucket_counts`); an edge is
+    listed in every bucket its interval [low, high) of the unit range touches, so
+    the table has at most as many rows as edges and buckets together. A draw
+    looks up one bucket and not all edges of a hub.
     """
     sums = running_weights(edges.where(F.col("weight") > 0))
-    degree = edges.where(F.col("weight") > 0).groupBy("src").agg(F.count("*").alias("buckets"))
     low, high = F.col("below") / F.col("total"), (F.col("below") + F.col("weight")) / F.col("total")
-    ranged = sums.join(degree, "src").withColumn("low", low).withColumn("high", high)
+    ranged = (sums.join(bucket_counts(edges) if counts is None else counts, "src")
+              .withColumn("low", low).withColumn("high", high))
     last = F.col("buckets") - 1
     first_bucket = F.least(last, F.floor(F.col("low") * F.col("buckets")))
     last_bucket = F.least(last, F.floor(F.col("high") * F.col("buckets")))
@@ -68,11 +80,11 @@ def bucket_of(u: Column, buckets: Column) -> Column:
     return F.least(buckets - 1, F.floor(u * buckets))
 
 
-def weighted_draws(edges: DataFrame, draws: int, seed, table: DataFrame | None = None) -> DataFrame:
+def weighted_draws(edges: DataFrame, draws: int, seed) -> DataFrame:
     """``src, draw, dst``: targets drawn with replacement in proportion to their weight."""
-    table = draw_table(edges) if table is None else table
-    nodes = edges.where(F.col("weight") > 0).groupBy("src").agg(F.count("*").alias("_n"))
-    wanted = (nodes.select("src", "_n", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw"))
+    counts = bucket_counts(edges)
+    table = draw_table(edges, counts)
+    wanted = (counts.select("src", F.col("buckets").alias("_n"), F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw"))
               .withColumn("u", uniform(seed, "src", "draw"))
               .withColumn("bucket", bucket_of(F.col("u"), F.col("_n"))))
     return (wanted.join(table.drop("buckets"), ["src", "bucket"])

@@ -135,8 +135,8 @@ def _(t):
     return hot.merge_lists(rounded(history), rounded(_trend(t)), "trending_week").withColumn("score", F.round("score", 6))
 
 
-def _cold_sql(bound: str) -> str:
-    return f"""WITH p AS (SELECT item_id FROM latest WHERE level = 'S'),
+def _cold_sql(bound: str, pool: str = "") -> str:
+    return f"""WITH p AS (SELECT item_id FROM latest WHERE level = 'S'{pool}),
     f AS (SELECT item_id, user_id, max(CASE WHEN page = 'recommend' AND action = 'item_exposure' THEN 1 ELSE 0 END) AS s,
         max(CASE WHEN page LIKE '%detail%' AND action = 'download_install' AND install_status = 'download_request'
             AND install_type IN ('manual_install', 'auto_install') THEN 1 ELSE 0 END) AS d
@@ -146,7 +146,7 @@ def _cold_sql(bound: str) -> str:
     scored AS (SELECT item_id, seen, CASE WHEN seen = 0 THEN 10000.0 WHEN got > 0 THEN {bound} END AS score,
         (SELECT got / users FROM g) AS overall FROM i)
     SELECT 'cold' AS list_id, CAST(item_id AS VARCHAR) AS item, round(score, 6) AS score FROM scored
-    WHERE score IS NOT NULL AND (seen = 0 OR score > overall) ORDER BY round(score, 12) DESC, item LIMIT 200"""
+    WHERE score IS NOT NULL AND (seen = 0 OR score > overall) ORDER BY round(score, 12) DESC, item LIMIT 1000"""
 
 
 _MEAN = "((SELECT users / size FROM g) / 10)"
@@ -155,13 +155,15 @@ _MEAN = "((SELECT users / size FROM g) / 10)"
 @query("cold_start_ucb", _cold_sql(f"got / seen + log10({_MEAN} / seen)"), "track latest")
 def _(t):
     pool = t.latest_catalog().where(F.col("level") == "S").select("item_id")
-    return hot.cold_start(t.track(), pool, "cold").withColumn("score", F.round("score", 6))
+    return hot.cold_start(t.track(), pool, "cold", 1000).withColumn("score", F.round("score", 6))
 
 
-@query("cold_start_ucb_v2", _cold_sql(f"CASE WHEN {_MEAN} >= 1 THEN got / seen + sqrt(log10({_MEAN}) / seen) END"), "track latest")
+@query("cold_start_ucb_v2", _cold_sql(f"CASE WHEN {_MEAN} >= 1 THEN got / seen + sqrt(log10({_MEAN}) / seen) END",
+                                      " AND category_id >= 100 AND item_id IN (SELECT item_id FROM track)"), "track latest")
 def _(t):
-    pool = t.latest_catalog().where(F.col("level") == "S").select("item_id")
-    return hot.cold_start(t.track(), pool, "cold", formula="sqrt").withColumn("score", F.round("score", 6))
+    games = filters.by_class(t.latest_catalog().where(F.col("level") == "S"), "game")
+    pool = games.join(t.track().select("item_id"), "item_id", "left_semi").select("item_id")
+    return hot.cold_start(t.track(), pool, "cold", 1000, formula="sqrt").withColumn("score", F.round("score", 6))
 
 
 define("recalled", "recall_hits", """SELECT DISTINCT CAST(item_id AS BIGINT) AS item_id FROM (SELECT item_id, count(*) AS n, max(channel) AS c

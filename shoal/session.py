@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +49,43 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/shoal/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: cuts the lineage and survives the loss of executors."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written once under the shared folder and read back.
+
+    For frames that several branches read: the plan starts anew, the columns are
+    pruned per reader, and a lost executor costs no recomputation.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def bucketed(*frames: tuple[DataFrame, list[str]]):
+    """Bucketed tables under the shared folder, one per frame and its keys.
+
+    For frames joined on the same keys many times: the bucketed side stays where
+    it is. The catalog entries go at the end of the block, when the results of
+    the joins have been stored.
+    """
+    tables = []
+    try:
+        for df, keys in frames:
+            spark, name = df.sparkSession, f"shoal_{uuid.uuid4().hex}"
+            width = wide_partitions(spark)
+            (df.repartition(width, *keys).write.bucketBy(width, *keys).option("path", scratch_path(spark, "buckets"))
+             .saveAsTable(name, format="parquet"))
+            tables.append((spark, name))
+        yield [spark.read.table(name) for spark, name in tables]
+    finally:
+        for spark, name in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def wide_partitions(spark: SparkSession) -> int:
+    """Partitions of a shuffle whose rows multiply in the next join.
+
+    AQE judges a shuffle by its size and would merge its partitions into few,
+    so these shuffles name their number, the session's shuffle width.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
