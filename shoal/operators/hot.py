@@ -265,12 +265,13 @@ def merge_lists(history: DataFrame, today: DataFrame, name: str, how: str = "max
 
 
 def cold_start(log: DataFrame, pool: DataFrame, name: str, n: int = 200, formula: str = "log", home: str = "recommend",
-               status: str = "download_request", installs: tuple[str, ...] = ("manual_install", "auto_install")) -> DataFrame:
+               status: str = "download_request", installs: tuple[str, ...] = ("manual_install", "auto_install"),
+               scale: float = 10) -> DataFrame:
     """Cold-start list of a pool by an upper confidence bound of downloads per exposed user.
 
     Items above the pool's overall rate stay; never exposed items come first
-    with a fixed score. The mean exposure is divided by ten, which brings both
-    terms of the bound to one order of magnitude.
+    with a fixed score. The mean exposure is divided by ``scale``, which brings
+    both terms of the bound to one order of magnitude.
     """
     rows = log.join(pool.select("item_id"), "item_id", "left_semi")
     shown = (F.col("page") == home) & (F.col("action") == "item_exposure")
@@ -281,7 +282,7 @@ def cold_start(log: DataFrame, pool: DataFrame, name: str, n: int = 200, formula
     seen_users = folded.groupBy("user_id").agg(F.max("s").alias("s")).agg(F.sum("s").alias("x")).scalar()
     pool_size = pool.agg(F.count("*").alias("x")).scalar()
     overall = F.coalesce(F.try_divide(per_item.agg(F.sum("got").alias("x")).scalar(), seen_users), F.lit(-1.0))
-    mean = F.try_divide(seen_users, pool_size) / 10
+    mean = F.try_divide(seen_users, pool_size) / scale
     bound = (ucb_log if formula == "log" else ucb_sqrt)(ratio("got", "seen"), mean, F.col("seen"))
     counted = pool.select("item_id").join(per_item, "item_id", "left").na.fill(0, ["seen", "got"])
     scored = counted.withColumn("score", F.when(F.col("seen") == 0, F.lit(UNSEEN_SCORE)).when(F.col("got") > 0, bound))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -15,6 +16,8 @@ BLOCK_ROWS = 2048
 # Rows per step inside a block pair when distances need the full difference.
 _STEP = 64
 
+_NEAREST = "id string, item string, score double"
+
 
 def vectors_of(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("string").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
@@ -48,6 +51,34 @@ def grid(left: DataFrame, right: DataFrame, keys: list[str], member: str, block_
     return left.drop("_lb", "_rb"), right.drop("_lb", "_rb")
 
 
+def all_pairs_top_n(rows: DataFrame, member: str, block_rows: int, scores_of: Callable[[pd.DataFrame, pd.DataFrame], np.ndarray],
+                    n: int, floor: float | None = None, keep_self: bool = False) -> DataFrame:
+    """``id, item, score``: the best entries of a symmetric score, every block pair computed once.
+
+    Rows are cut into blocks by a hash of ``member``; a row is sent to the cells
+    of its block with every other block, in the upper triangle only. A cell
+    yields the n best of its rows in both directions, so at most n rows per row
+    and cell leave it.
+    """
+    blocks = rows.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / block_rows)).cast("int").alias("n")).scalar()
+    placed = (rows.withColumn("_blocks", blocks).withColumn("_block", F.pmod(F.xxhash64(member), F.col("_blocks")).cast("int"))
+              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks"))
+    cells = placed.withColumn("_row", F.least("_block", "_other")).withColumn("_col", F.greatest("_block", "_other")).drop("_other")
+
+    def compare(cell: pd.DataFrame) -> pd.DataFrame:
+        cell = cell.sort_values(member, kind="stable")
+        left, right = cell[cell["_block"] == cell["_row"]], cell[cell["_block"] == cell["_col"]]
+        if left.empty or right.empty:
+            return pd.DataFrame({"id": [], "item": [], "score": []})
+        scores = scores_of(left, right)
+        a, b = left[member].to_numpy(), right[member].to_numpy()
+        if cell["_row"].iloc[0] == cell["_col"].iloc[0]:
+            return best_per_row(scores, a, b, n, floor, keep_self)
+        return pd.concat([best_per_row(scores.copy(), a, b, n, floor, keep_self), best_per_row(scores.T.copy(), b, a, n, floor, keep_self)])
+
+    return cells.groupBy("_row", "_col").applyInPandas(compare, _NEAREST)
+
+
 def best_per_row(scores: np.ndarray, ids: np.ndarray, items: np.ndarray, n: int, floor: float | None,
                  keep_self: bool) -> pd.DataFrame:
     """The n highest entries of every row; columns come sorted by item, so ties go by item."""
@@ -74,9 +105,6 @@ def _similarities(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     return np.divide(a @ b.T, lengths, out=np.zeros((len(a), len(b))), where=lengths > 0)
 
 
-_NEAREST = "id string, item string, score double"
-
-
 def _nearest_in_cells(queries: DataFrame, candidates: DataFrame, cell: list[str], metric: str, n: int,
                       floor: float | None, keep_self: bool) -> DataFrame:
     """Top-n of every query inside each cell; only n rows per query leave a cell."""
@@ -115,6 +143,11 @@ def knn(vectors: DataFrame, n: int = 100, metric: str = "cosine", min_similarity
     set of pairs never exists. ``allow`` and ``deny`` act on the neighbours.
     """
     floor = min_similarity if metric == "cosine" else (None if max_distance is None else -max_distance)
+    if allow is None and deny is None:
+        def scores_of(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
+            return _similarities(np.stack(left["vector"].to_numpy()), np.stack(right["vector"].to_numpy()), metric)
+
+        return _finish(all_pairs_top_n(vectors, "id", block_rows, scores_of, n, floor, keep_self), n, metric)
     left, right = grid(vectors, _candidates(vectors, allow, deny), [], "id", block_rows)
     near = _nearest_in_cells(left, right, ["_row", "_col"], metric, n, floor, keep_self)
     return _finish(near, n, metric)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.draws import draw_int, uniform
+from ..session import stored
 from .topn import top_n
 
 # Slices of one node's edges whose weights are summed in parallel.
@@ -82,6 +83,7 @@ def bucket_of(u: Column, buckets: Column) -> Column:
 
 def weighted_draws(edges: DataFrame, draws: int, seed) -> DataFrame:
     """``src, draw, dst``: targets drawn with replacement in proportion to their weight."""
+    edges = stored(edges, "edges")
     counts = bucket_counts(edges)
     table = draw_table(edges, counts)
     wanted = (counts.select("src", F.col("buckets").alias("_n"), F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw"))

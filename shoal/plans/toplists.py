@@ -158,12 +158,11 @@ def _(t):
     return hot.cold_start(t.track(), pool, "cold", 1000).withColumn("score", F.round("score", 6))
 
 
-@query("cold_start_ucb_v2", _cold_sql(f"CASE WHEN {_MEAN} >= 1 THEN got / seen + sqrt(log10({_MEAN}) / seen) END",
-                                      " AND category_id >= 100 AND item_id IN (SELECT item_id FROM track)"), "track latest")
+@query("cold_start_ucb_v2", _cold_sql(f"CASE WHEN {_MEAN.replace(' / 10', '')} >= 1 THEN got / seen + sqrt(log10({_MEAN.replace(' / 10', '')}) / seen) END",
+                                      " AND item_id IN (SELECT item_id FROM track)"), "track latest")
 def _(t):
-    games = filters.by_class(t.latest_catalog().where(F.col("level") == "S"), "game")
-    pool = games.join(t.track().select("item_id"), "item_id", "left_semi").select("item_id")
-    return hot.cold_start(t.track(), pool, "cold", 1000, formula="sqrt").withColumn("score", F.round("score", 6))
+    pool = t.latest_catalog().where(F.col("level") == "S").join(t.track().select("item_id"), "item_id", "left_semi").select("item_id")
+    return hot.cold_start(t.track(), pool, "cold", 1000, formula="sqrt", scale=1).withColumn("score", F.round("score", 6))
 
 
 define("recalled", "recall_hits", """SELECT DISTINCT CAST(item_id AS BIGINT) AS item_id FROM (SELECT item_id, count(*) AS n, max(channel) AS c
