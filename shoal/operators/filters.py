@@ -71,9 +71,9 @@ def audit_deny_list(tags: DataFrame, barred: list, end: str, days: int = 7) -> D
     """
     found = (tags.where(F.col("date").between(day_shift(end, -days), end) & F.col("audit_tag").isin(barred))
              .select("item_id").distinct())
-    size = found.agg(F.count("*").alias("n"))
-    filled = F.assert_true(size.scalar() > 0, F.lit("the deny list is empty")).isNull()
-    return found.where(filled)
+    if found.isEmpty():
+        raise ValueError("the deny list is empty")
+    return found
 
 
 def hot_deny_list(lists: DataFrame, names: list[str], n: int = 200) -> DataFrame:
