@@ -201,15 +201,18 @@ def word2vec_items(sequences: DataFrame, column: str = "path", size: int = 128,
     return model.getVectors().select(F.col("word").alias("item"), vector_to_array("vector").alias("vector"))
 
 
-def item_sequences(df: DataFrame, user: str, item: str, order: str, max_length: int = 20) -> DataFrame:
-    """``user, chunk, path``: each user's items in time order, cut into sentences.
+def item_sequences(df: DataFrame, user: str, item: str, order: str, max_length: int = 20, slice_rows: int = 100_000) -> DataFrame:
+    """``user, slice, chunk, path``: each user's items in time order, cut into sentences.
 
-    Sentences of at most ``max_length`` items are what the model trains on anyway,
-    so a very active user becomes many rows and not one long array.
+    ``order`` is a number. Sentences of at most ``max_length`` items are what the
+    model trains on anyway. A user with more than ``slice_rows`` rows is first
+    cut into equal stretches of time, which are ordered in different tasks.
     """
-    at = Window.partitionBy(user, "_day").orderBy(order, item)
-    daily = df.withColumn("_day", F.floor(F.col(order) / 86_400_000)).withColumn("_i", F.row_number().over(at) - 1)
-    chunk = F.floor(F.col("_i") / max_length)
+    busy = df.groupBy(user).agg(F.count("*").alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi")).where(F.col("_n") > slice_rows)
+    slices = F.ceil(F.col("_n") / slice_rows)
+    at = F.floor((F.col(order) - F.col("_lo")) * slices / (F.col("_hi") - F.col("_lo") + 1))
+    cut = df.join(busy, user, "left").withColumn("slice", F.coalesce(at, F.lit(0)).cast("int"))
+    place = F.row_number().over(Window.partitionBy(user, "slice").orderBy(order, item)) - 1
+    numbered = cut.withColumn("_i", place).withColumn("chunk", F.floor(F.col("_i") / max_length).cast("int"))
     ordered = F.array_sort(F.collect_list(F.struct("_i", F.col(item).cast("string").alias("item"))))
-    return (daily.withColumn("chunk", chunk).groupBy(user, "_day", "chunk")
-            .agg(F.transform(ordered, lambda s: s["item"]).alias("path")).select(user, "chunk", "path"))
+    return numbered.groupBy(user, "slice", "chunk").agg(F.transform(ordered, lambda s: s["item"]).alias("path"))

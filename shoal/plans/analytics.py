@@ -231,14 +231,12 @@ def _(t):
     return graph.node2vec_walks(t.edges(), seq_length=2, directed=False, p=2.0, q=0.5, seed="n2v")
 
 
-@query("skipgram_pairs", """WITH d AS (SELECT user_id, item_id, time_ms, time_ms // 86400000 AS day FROM track),
-    o AS (SELECT user_id, day, item_id, row_number() OVER (PARTITION BY user_id, day ORDER BY time_ms, item_id) - 1 AS i FROM d)
+@query("skipgram_pairs", """WITH o AS (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY time_ms, item_id) - 1 AS i FROM track)
     SELECT CAST(a.item_id AS VARCHAR) AS centre, CAST(b.item_id AS VARCHAR) AS context, count(*) AS n
-    FROM o a JOIN o b ON a.user_id = b.user_id AND a.day = b.day AND a.i // 20 = b.i // 20 AND a.i <> b.i AND abs(a.i - b.i) <= 2 GROUP BY ALL""", "track")
+    FROM o a JOIN o b ON a.user_id = b.user_id AND a.i // 20 = b.i // 20 AND a.i <> b.i AND abs(a.i - b.i) <= 2 GROUP BY ALL""", "track")
 def _(t):
     sentences = graph.item_sequences(t.track().select("user_id", "item_id", "time_ms"), "user_id", "item_id", "time_ms")
-    walks = sentences.select(F.xxhash64("user_id", "chunk", F.array_join("path", ",")).alias("_"), "path")
-    return graph.window_pairs(walks, 2).groupBy("centre", "context").agg(F.count("*").alias("n"))
+    return graph.window_pairs(sentences, 2).groupBy("centre", "context").agg(F.count("*").alias("n"))
 
 
 @query("kmeans_best_k")

@@ -114,6 +114,9 @@ def test_sequences_are_cut_and_ordered(spark):
     rows = spark.createDataFrame([("u", n, n * 1000) for n in range(25)], "user_id string, item_id int, time_ms long")
     got = sorted((r.chunk, r.path) for r in graph.item_sequences(rows, "user_id", "item_id", "time_ms", 10).collect())
     assert [len(p) for _, p in got] == [10, 10, 5] and got[0][1] == [str(n) for n in range(10)]
+    sliced = graph.item_sequences(rows, "user_id", "item_id", "time_ms", 10, slice_rows=5).orderBy("slice", "chunk").collect()
+    assert [r.slice for r in sliced] == list(range(5))
+    assert [x for r in sliced for x in r.path] == [str(n) for n in range(25)]
 
 
 def test_silhouette_takes_the_nearest_other_centre(spark):
