@@ -81,6 +81,7 @@ def test_edit_pairs_find_everything(spark):
     for most in (1, 2):
         got = {(r.name_1, r.name_2): r.distance for r in textsim.edit_pairs(frame, "name", most).collect()}
         assert got == {(a, b): distance(a, b) for a in names for b in names if a != b and distance(a, b) <= most}
+    assert textsim.edit_pairs(frame, "name", 2, block_rows=3).count() == len(got)
     got = {(r.name_1, r.name_2) for r in textsim.edit_pairs(frame, "name", 0.25, share=True).collect()}
     assert got == {(a, b) for a in names for b in names if a != b and distance(a, b) / len(a) <= 0.25}
 
