@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -192,17 +191,7 @@ def recall_against(found: DataFrame, exact: DataFrame) -> DataFrame:
     return hits.agg((F.count("_hit") / F.count("*")).alias("recall"), F.count("*").alias("wanted"))
 
 
-def unit_vectors(vectors: DataFrame) -> DataFrame:
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x * x))
-    return vectors.select("id", F.when(length > 0, F.transform("vector", lambda x: x / length)).otherwise(
-        F.col("vector")).alias("vector"))
-
-
 def export_vectors(df: DataFrame, id_col: str, vector_col: str, size: int) -> DataFrame:
     """Vectors of the given length as ``id, value`` with space-joined numbers."""
     text = F.array_join(F.transform(F.col(vector_col), lambda x: x.cast("string")), " ")
     return df.where(F.size(vector_col) == size).select(F.col(id_col).cast("string").alias("id"), text.alias("value"))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -23,11 +23,6 @@ def sample_k_per_key(df: DataFrame, keys: list[str], member: str, k: int, seed)
     return top_n(drawn, keys, [F.asc("_draw"), F.asc(member)], k, rank=None).drop("_draw")
 
 
-def split_parts(df: DataFrame, key: str, n: int, seed) -> DataFrame:
-    """Every row in one of n random parts, ``part`` from 1 to n."""
-    return df.withColumn("part", (F.floor(uniform(seed, key) * n) + 1).cast("int"))
-
-
 def running_weights(edges: DataFrame) -> DataFrame:
     """``src, dst, weight, below, total``: weight of the node's edges before this one, and of all.
 

@@ -9,7 +9,7 @@ from ..operators.cf import item_cf
 from ..operators.topn import i2i_stats, i2i_top_n, rank_any_under, recall_counts
 from ..sources import logs
 from .base import joined, query, r6
-from .inputs import AS_OF, NEW_SNAPSHOT
+from .inputs import NEW_SNAPSHOT
 from .sqltext import define, u01, wilson_sql
 
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.dates import day_of
 from ..operators import audience, hot, profiles, sampling
 from ..session import scratch_path
 from ..sources import sinks
-from .base import joined, query, r6
-from .inputs import AS_OF, NEW_SNAPSHOT
+from .base import joined, query
+from .inputs import NEW_SNAPSHOT
 from .sqltext import define, draw, u01
 from .toplists import usage
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators.topn import lists_of
 from ..session import scratch_path
 from ..sources import dated, docs, logs, sinks
 from .base import joined, query, r6
