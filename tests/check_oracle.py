@@ -61,10 +61,11 @@ def differences(got: pd.DataFrame, want: pd.DataFrame) -> list[str]:
 
 
 def main() -> None:
-    from shoal.plans import ORACLES, QUERIES
+    import __spark_entry__ as registered
     from shoal.session import build_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
     names = sys.argv[2:] or list(QUERIES)
     spark = build_session("check", "local[8]", 8, {"spark.ui.enabled": "false", "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
