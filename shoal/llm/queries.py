@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +31,88 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import token_files
 
     return token_files(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
+
+
+@query
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack, pieces
+
+    return pack(pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1, cap=4096), 4096)
+
+
+@query
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import shares
+
+    return shares(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op4_mix_sources"] = r"""
+WITH base AS (
+  SELECT doc_id, source,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         -ln((CAST(CAST('0x' || substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) AS DOUBLE)
+              + 1.0::DOUBLE) / 4503599627370497.0::DOUBLE)
+         / (CASE WHEN length(text) > 0
+                 THEN 0.1::DOUBLE + 0.9::DOUBLE * length(regexp_replace(text, '[^\p{L}\x20\x09-\x0D]+', '', 'g'))
+                      / length(text)
+                 ELSE 1.0::DOUBLE END) AS key
+  FROM documents),
+per AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM base GROUP BY source),
+weighed AS (
+  SELECT *, source_size * 2.0::DOUBLE AS cap,
+         [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w,
+         sum(source_size) OVER () * 1.5::DOUBLE AS total
+  FROM per),
+levels AS (
+  SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed),
+goal AS (
+  SELECT source, source_size,
+         CASE WHEN level * w <= cap
+              THEN least(cap, min(CASE WHEN level * w <= cap THEN level END) OVER () * w) ELSE cap END AS target
+  FROM levels),
+summed AS (
+  SELECT b.*, g.source_size, g.target,
+         CASE WHEN g.source_size > 0 THEN CAST(floor(g.target / g.source_size) AS BIGINT) ELSE 0 END AS epochs,
+         coalesce(sum(size) OVER (PARTITION BY b.source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM base b JOIN goal g ON b.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target,
+       CAST(epochs * size + greatest(0, least(size, CAST(round(target - epochs * source_size) AS BIGINT) - before)) AS BIGINT) AS taken
+FROM summed
+"""
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archived
+
+    return archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import crc_mod, identify
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
+    found = identify(docs, ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+ORACLES["op10_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (
+  SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(((CAST('0x' || substr(h, CAST(1 + 10 * (i // 8) AS BIGINT), 10) AS BIGINT) >> CAST(35 - 5 * (i % 8) AS INT)) & 31) + 1 AS BIGINT), 1)), '')
+           AS payload_digest,
+         min(page_id) OVER (PARTITION BY html) AS first_id
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d
+"""

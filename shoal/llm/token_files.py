@@ -40,25 +40,29 @@ BLOCK_IDS = 256
 SHARD_IDS = 4_000_000
 
 
-def token_rows(docs: DataFrame, vocabulary: str, end_id: int | None, blank_joins: bool,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``ids`` (little-endian unsigned 32-bit) of each whole text, null texts empty, then ``end_id``."""
-    tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
+def token_rows(docs: DataFrame, vocabulary: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text",
+               narrow: bool = False) -> DataFrame:
+    """``doc_id``, ``ids`` of each whole text, null texts empty, then ``end_id``.
+
+    Ids are little-endian unsigned 32-bit integers; with ``narrow``, two bytes where all ids of the text fit, behind
+    a mark.
+    """
+    tail = np.array([] if end_id is None else [end_id], dtype="<u4")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tool = encoder(vocabulary, blank_joins)
+        tool = encoder(vocabulary)
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
             for part in batches_of(texts):
-                ids = [x + tail for x in tool.encode(texts[part])]
-                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[part].array, "ids": ids})
+                ids = [np.concatenate([x, tail]) for x in tool.encode(texts[part])]
+                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[part].array,
+                                    "ids": [_narrow(x) if narrow else x.tobytes() for x in ids]})
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return picked.mapInPandas(run, "doc_id long, ids binary")
 
 
 def _narrow(ids: np.ndarray) -> bytes:
-    """Two bytes an id where they fit, with a mark in front."""
     small = not len(ids) or int(ids.max()) < 1 << 16
     return (b"\2" + ids.astype("<u2").tobytes()) if small else (b"\4" + ids.astype("<u4").tobytes())
 
@@ -67,17 +71,13 @@ def _wide(data: bytes) -> np.ndarray:
     return np.frombuffer(data, dtype="<u2" if data[:1] == b"\2" else "<u4", offset=1)
 
 
-def _stored_tokens(rows: DataFrame) -> DataFrame:
-    """Written once: the counts and the coding read the same ids."""
-
+def _narrowed(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch["ids"] = [_narrow(np.frombuffer(x, dtype="<u4")) for x in batch["ids"]]
             yield batch
 
-    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "ids")
-    rows.mapInPandas(run, "doc_id long, ids binary").write.option("compression", "zstd").parquet(path)
-    return spark.read.schema("doc_id long, ids binary").parquet(path)
+    return rows.select("doc_id", "ids").mapInPandas(run, "doc_id long, ids binary")
 
 
 def global_counts(tokens: DataFrame) -> np.ndarray:
@@ -171,14 +171,16 @@ def _write_shards(coded: DataFrame, folder: str, lengths: bytes, block: int, sha
 
 
 def write_token_files(tokens: DataFrame, folder: str, block: int = BLOCK_IDS, shard_ids: int = SHARD_IDS,
-                      max_bits: int = MAX_BITS) -> DataFrame:
-    """Write (doc_id, ids) as shards in ascending doc_id order under ``folder``.
+                      max_bits: int = MAX_BITS, narrow: bool = False) -> DataFrame:
+    """Write (doc_id, ids) as shards in ascending doc_id order under ``folder``; ``narrow`` as of ``token_rows``.
 
     Returns the manifest: ``part, shard, name, n_docs, n_ids, start`` (ids in all shards before). Rows without a
     doc_id come first; rows that share one stand together. An empty table makes no file.
     """
     spark = tokens.sparkSession
-    kept = _stored_tokens(tokens)
+    held = scratch_path(spark, "ids")  # written once: the counts and the coding read the same ids
+    (tokens if narrow else _narrowed(tokens)).write.option("compression", "zstd").parquet(held)
+    kept = spark.read.schema("doc_id long, ids binary").parquet(held)
     lengths = code_lengths(global_counts(kept), max_bits).tobytes()
     ordered = (_coded(kept, lengths, block).repartitionByRange(wide_partitions(spark), "doc_id")
                .sortWithinPartitions("doc_id", "n", "bits"))
@@ -248,13 +250,13 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, with
                     *(["ids"] if with_ids else [])))
 
 
-def token_files(docs: DataFrame, vocabulary: str, end_id: int = 2, blank_joins: bool = True) -> DataFrame:
+def token_files(docs: DataFrame, vocabulary: str, end_id: int = 2) -> DataFrame:
     """Tokenize whole texts, write them as shards in the shared folder and read the shards back.
 
     Null texts are empty and hold the end id alone; an empty table gives no rows.
     """
     spark, folder = docs.sparkSession, scratch_path(docs.sparkSession, "token-files")
-    manifest = write_token_files(token_rows(docs, vocabulary, end_id, blank_joins), folder)
+    manifest = write_token_files(token_rows(docs, vocabulary, end_id, narrow=True), folder, narrow=True)
     if manifest.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     return read_token_files(spark, folder, manifest)

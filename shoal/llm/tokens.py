@@ -1,82 +1,106 @@
 """Ids of whole texts by a public tokenizer, with the ids of repeated words kept.
 
-Both vocabularies split a text at blanks before any merge, so a text is encoded
-stretch by stretch, and a stretch met before is looked up. The lookup table
-belongs to the Python worker and is bounded; a stretch beyond the bound is
-encoded anew each time. The ids equal those of the whole text, which tests check.
+The vocabularies used here cut a text into words before any merge, and never merge
+across a single blank or line feed between two characters that aren't white space.
+So a text is cut there, each distinct stretch (with the blank before it) is encoded
+once, and the text's ids are put together from its stretches. The ids equal those
+of the whole text, which tests check. Stretches are told apart by 64-bit hashes. The
+table of known stretches belongs to the Python worker and is bounded; a stretch
+beyond the bound is encoded anew with each batch.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 
-#: Stretches remembered by one worker, and the longest one it remembers.
-KEPT_STRETCHES = 700_000
-KEPT_LENGTH = 40
+from .words import span_hashes
 
-_BLANK_BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
-_ODD_BLANKS = re.compile(r"  |\n \n|[^\S \n]")
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+#: Stretches remembered by one worker.
+KEPT_STRETCHES = 1_500_000
 
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[32, 10]] = True
+_WHITE = np.zeros(256, dtype=bool)
+_WHITE[[*range(9, 14), *range(28, 33)]] = True
+# First, last but one and last bytes of the white space beyond ASCII in UTF-8; a few other characters share them.
+_WIDE_FIRST, _WIDE_MIDDLE, _WIDE_LAST = (np.zeros(256, dtype=bool) for _ in range(3))
+_WIDE_FIRST[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+_WIDE_MIDDLE[[0xC2, 0x9A, 0x80, 0x81]] = True
+_WIDE_LAST[[0x85, 0x9F, *range(0x80, 0x8B), 0xA0, 0xA8, 0xA9, 0xAF]] = True
+_ENCODERS: dict[str, Encoder] = {}
 
-class Encoder:
-    """One vocabulary file in one worker.
 
-    ``blank_joins`` tells that the vocabulary ties a blank to the word after it
-    (byte-level vocabularies); otherwise blanks only separate.
-    """
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Places of blanks and line feeds between two characters that surely aren't white space."""
+    at = np.flatnonzero(_BLANK[data])
+    at = at[(at > 0) & (at < len(data) - 1)]
+    before, after = data[at - 1], data[at + 1]
+    unsure = _WHITE[before] | _WHITE[after] | _WIDE_FIRST[after]
+    unsure |= _WIDE_LAST[before] & _WIDE_MIDDLE[data[np.maximum(at - 2, 0)]]
+    return at[~unsure]
+
+
+class Encoder:
+    """One vocabulary file in one worker."""
 
-    def __init__(self, path: str, blank_joins: bool):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.blank_joins = blank_joins
-        self.kept: dict[str, bytes] = {}
-
-    def stretches(self, text: str) -> list[str]:
-        if not self.blank_joins:
-            return text.replace("\n", " ").split(" ")
-        if _ODD_BLANKS.search(text):
-            parts = _BLANK_BETWEEN_WORDS.split(text)
-        else:
-            parts = text.split(" ")
-        # The blank goes with the word after it, in the first stretch only if the text starts with it.
-        return parts[:1] + [" " + p for p in parts[1:]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        self.keys = np.zeros(0, dtype=np.uint64)
+        self.starts = self.sizes = np.zeros(0, dtype=np.int64)
+        self.flat = np.zeros(0, dtype="<u4")
+
+    def _with(self, keys: np.ndarray, stretches: list[bytes]) -> tuple[np.ndarray, ...]:
+        """The table with new stretches, whose keys ascend."""
+        lists = []
+        for at in range(0, len(stretches), 100):
+            part = [s.decode() for s in stretches[at:at + 100]]
+            lists += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+        new = np.fromiter(chain.from_iterable(lists), dtype="<u4", count=int(sizes.sum()))
+        starts = len(self.flat) + np.cumsum(sizes) - sizes
+        at = np.searchsorted(self.keys, keys)
+        return (np.insert(self.keys, at, keys), np.insert(self.starts, at, starts), np.insert(self.sizes, at, sizes),
+                np.concatenate([self.flat, new]))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [self.stretches(t) for t in texts]
-        wanted: set[str] = set()
-        for parts in split:
-            wanted.update(parts)
-        new = [p for p in wanted if p not in self.kept]
-        table, extra = self.kept, {}
-        room = KEPT_STRETCHES - len(self.kept)
-        for at in range(0, len(new), 5000):
-            part = new[at:at + 5000]
-            for text, coded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                ids = np.array(coded.ids, dtype="<u4").tobytes()
-                if room > 0 and len(text) <= KEPT_LENGTH:
-                    self.kept[text] = ids
-                    room -= 1
-                else:
-                    extra[text] = ids
-        if not extra:
-            return [b"".join(map(table.__getitem__, parts)) for parts in split]
-        return [b"".join([table[p] if p in table else extra[p] for p in parts]) for parts in split]
-
-
-def encoder(path: str, blank_joins: bool) -> Encoder:
-    key = (path, blank_joins)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, blank_joins)
-    return _ENCODERS[key]
+        raw = [t.encode() for t in texts]
+        joined = b"".join(raw)
+        if not joined:
+            return [np.zeros(0, dtype="<u4")] * len(texts)
+        data = np.frombuffer(joined, dtype=np.uint8)
+        bounds = np.cumsum([0, *map(len, raw)])
+        begin = np.sort(np.concatenate([cuts(data), bounds[:-1][np.diff(bounds) > 0]]))
+        begin = begin[np.append(True, begin[1:] != begin[:-1])]
+        end = np.append(begin[1:], len(data))
+        keys, first, inverse = np.unique(span_hashes(data, begin, end), return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        missing = self.keys[at] != keys if len(self.keys) else np.ones(len(keys), dtype=bool)
+        table = (self.keys, self.starts, self.sizes, self.flat)
+        if missing.any():
+            table = self._with(keys[missing], [joined[begin[i]:end[i]] for i in first[missing]])
+            if len(table[0]) <= KEPT_STRETCHES:
+                self.keys, self.starts, self.sizes, self.flat = table
+        place = np.searchsorted(table[0], keys)
+        starts, sizes = table[1][place][inverse], table[2][place][inverse]
+        ends = np.cumsum(sizes)
+        ids = table[3][np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
+        limits = np.concatenate([[0], ends])[np.searchsorted(begin, bounds)]
+        return [ids[a:b] for a, b in zip(limits[:-1], limits[1:], strict=True)]
+
+
+def encoder(path: str) -> Encoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def batches_of(values: list, size=len, limit: int = 1_000_000) -> Iterator[slice]:

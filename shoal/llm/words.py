@@ -56,7 +56,7 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
-def _span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A polynomial in the bytes of each span, modulo 2**64, mixed with its length.
 
     Runs over stretches of the data, so that the powers stay in cache; sums wrap.
@@ -92,7 +92,7 @@ def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np
     """Hash of every word of all texts, in order, and the index at which each text's words start."""
     data, starts = joined(texts, lower)
     begin, end = word_spans(data)
-    return _span_hashes(data, begin, end), np.searchsorted(begin, starts)
+    return span_hashes(data, begin, end), np.searchsorted(begin, starts)
 
 
 def window_hashes(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
