@@ -116,3 +116,35 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM d
 """
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import crc_mod
+    from .quality import THRESHOLD, scored
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False))
+    found = scored(docs, labels.select("doc_id", F.col("quality").cast("int").alias("label")), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "score",
+                        F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import scaled, top_k
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", scaled(F.col("embedding")).alias("numbers"))
+    return top_k(vectors, F.col("vec_id") % 100 == 0, 10)
+
+
+ORACLES["op1_top_k"] = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
