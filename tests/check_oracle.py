@@ -29,7 +29,9 @@ def connect(folder: str):
 
 def _kind(dtype) -> str:
     name = str(dtype)
-    return "text" if name in ("object", "str", "string") else name
+    if name in ("object", "str", "string"):
+        return "text"
+    return "float64" if name == "Int64" else name  # whole numbers with nulls
 
 
 def canonical(frame: pd.DataFrame) -> pd.DataFrame:
