@@ -148,3 +148,28 @@ s AS (
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents"), 13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op5_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), CAST([] AS VARCHAR[])) AS words FROM documents),
+w AS (
+  SELECT doc_id, unnest(range(1, len(words) - 11)) AS s, words FROM d WHERE len(words) >= 13),
+k AS (SELECT doc_id, s, md5(array_to_string(words[s:s + 12], ' ')) AS h FROM w),
+m AS (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY h) AS first_id FROM k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS i FROM m WHERE first_id < doc_id),
+lost AS (SELECT doc_id, count(*) AS n, list(i) AS gone FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(
+         CASE WHEN n IS NULL THEN words
+              ELSE [words[x] FOR x IN range(1, len(words) + 1) IF NOT list_contains(gone, x)] END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN lost USING (doc_id)
+"""
