@@ -173,3 +173,17 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS B
               ELSE [words[x] FOR x IN range(1, len(words) + 1) IF NOT list_contains(gone, x)] END, ' '), '')) AS kept_sha256
 FROM d LEFT JOIN lost USING (doc_id)
 """
+
+
+@query
+def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .syncmers import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import similar_groups
+
+    return similar_groups(table(spark, sf_dir, "documents"), per_cent=85, k=4)
