@@ -401,6 +401,17 @@ def similar_groups(docs: DataFrame, per_cent: int = SIMILARITY, k: int = SHINGLE
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
+def one_of_each(docs: DataFrame, per_cent: int = 80, k: int = 5) -> DataFrame:
+    """The rows of ``docs`` without those of which a similar one with a smaller doc_id is in the same group.
+
+    Rows without an id or words stay. Rows that share an id stay together if one of them has to.
+    """
+    found = similar_groups(docs, per_cent, k)
+    gone = (found.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_gone"))
+            .agg(F.max("component_id").alias("c")).filter("c < _gone").select("_gone"))
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
 def _verified(docs: DataFrame, maybe: DataFrame, nodes: DataFrame, rows: DataFrame, id_col: str, text_col: str, k: int,
               per_cent: int) -> DataFrame:
     """Exact links inside each candidate group; groups of many shingles are cut into blocks that meet two by two."""

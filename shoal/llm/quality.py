@@ -11,7 +11,7 @@ similarity.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -122,8 +122,8 @@ class Voters:
         return np.clip((weight @ self.labels) / weight.sum(axis=1), 0, 1)
 
 
-def scored(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
-    """``doc_id, score`` of every row of (doc_id, text); learns from ``labels`` (doc_id, label) where ``learn`` holds.
+def score_of(docs: DataFrame, labels: DataFrame, learn: Column) -> Callable[[Column], Column]:
+    """A function from a text column to its score; fitted on ``docs`` and ``labels`` (doc_id, label) where ``learn`` holds.
 
     The score is from 0 to 1, higher for texts like those labelled 1. Null texts count as empty, and an empty text
     is as near to every labelled text as to any other: it gets the share of good labels in the sample. Without any
@@ -143,15 +143,27 @@ def scored(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
     if len(drawn):
         terms = np.frombuffer(b"".join(drawn["terms"]), dtype=np.float32).reshape(-1, PLACES)
         voters = Voters(terms, drawn["label"].to_numpy())
-    shared = docs.sparkSession.sparkContext.broadcast(voters)
+    shared = docs.sparkSession.sparkContext.broadcast(voters)  # bounded by the sample and the dimensions
+
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        texts = [as_bytes(t) for t in text]
+        found = np.ones(len(texts))
+        for part in batches_of(texts, limit=500_000):
+            if shared.value is not None:
+                found[part] = shared.value.score(term_counts(texts[part]))
+        return pd.Series(found)
+
+    return score
+
+
+def scored(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
+    """``doc_id, score`` of every row of (doc_id, text); an empty table gives no rows."""
+    score = score_of(docs, labels, learn)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), score(F.col("text")).alias("score"))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [as_bytes(t) for t in batch["text"]]
-            found = np.ones(len(texts))
-            for part in batches_of(texts, limit=500_000):
-                if shared.value is not None:
-                    found[part] = shared.value.score(term_counts(texts[part]))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].array, "score": found})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(score, "doc_id long, score double")
+def accepted(docs: DataFrame, labels: DataFrame, learn: Column, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows whose score reaches the threshold, with all their columns."""
+    score = score_of(docs, labels, learn)
+    return docs.withColumn("_quality_score", score(F.col("text"))).filter(F.col("_quality_score") >= threshold).drop("_quality_score")

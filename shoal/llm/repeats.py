@@ -137,6 +137,21 @@ class _Group:
         return np.cumsum(change[:-1]) > 0
 
 
+def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """All rows and columns, with the repeated stretches out of ``text``; ``n_chars``, where present, follows it.
+
+    A document that an earlier one holds whole stays with an empty text.
+    """
+    others = tuple(c for c in docs.columns if c != "text")
+    found = remove_repeats(docs.withColumn("_doc_id", F.col("doc_id")).drop("doc_id"), window, "_doc_id", "text",
+                           tuple(c for c in others if c != "doc_id"), as_is=True)
+    out = found.withColumn("text", F.col("kept_text"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+                             .cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
 def _messages(rows: dict[str, list], group: int) -> pa.Table:
     n = len(rows["_b"])
     return pa.table({"_b": pa.array(rows["_b"], pa.int32()), "_g": pa.array([group] * n, pa.int32()),
@@ -182,11 +197,12 @@ def _said(table: pa.Table, kind: int) -> dict[int, bytes]:
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-                   keep: tuple[str, ...] = ()) -> DataFrame:
+                   keep: tuple[str, ...] = (), as_is: bool = False) -> DataFrame:
     """``doc_id, n_words, n_removed, removed, kept_text`` of every row, and the columns named in ``keep``.
 
     ``removed`` lists the removed stretches as word positions, first and one behind the last; ``kept_text`` has the
-    words that stay, one blank between them. ``window`` is odd. A null text has no words. A row without an id is
+    words that stay, one blank between them; with ``as_is`` a text that loses none stays as it is, a null text null.
+    ``window`` is odd. A null text has no words. A row without an id is
     compared with nothing and stays whole. Rows that share an id are one document to the comparison, each with its
     own words. Windows are judged on the input. An empty table gives no rows.
     """
@@ -224,7 +240,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                     spans[i] = edge.tolist()
                     lost[i] = int(mask.sum())
                     own = [w for w, g in zip(own, mask.tolist(), strict=True) if not g]
-            kept[i] = b" ".join(own).decode()
+            kept[i] = texts[i] if as_is and not lost[i] else b" ".join(own).decode()
         return pa.table({"doc_id": table["_id"], "n_words": pa.array(words, pa.int64()), "n_removed": pa.array(lost, pa.int64()),
                          "removed": pa.array(spans, pa.list_(pa.int64())), "kept_text": pa.array(kept, pa.string()),
                          **{f.name: table[f"_keep{i}"] for i, f in enumerate(passed)}})
