@@ -55,10 +55,11 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
            .withColumn("caps", F.coalesce(F.sum("cap").over(by_ratio.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
            .withColumn("rest", F.sum("w").over(by_ratio.rowsBetween(0, Window.unboundedFollowing)))
            .withColumn("level", (F.col("all") - F.col("caps")) / F.col("rest"))
-           .withColumn("free", F.col("level") * F.col("w") <= F.col("cap"))
-           .withColumn("level", F.min(F.when(F.col("free"), F.col("level"))).over(everything)))
-    return per.select("source", "source_size", F.when(F.col("free"), F.least("cap", F.col("level") * F.col("w")))
-                      .otherwise(F.col("cap")).alias("target"))
+           .withColumn("free", F.when(F.col("level") * F.col("w") <= F.col("cap"), F.struct("caps", "rest", "level")))
+           # Caps grow along the order, so the first source below its cap settles the level of all behind it.
+           .withColumn("first", F.min("free").over(everything)))
+    return per.select("source", "source_size", F.when(F.col("caps") >= F.col("first.caps"), F.least(
+        "cap", F.col("first.level") * F.col("w"))).otherwise(F.col("cap")).alias("target"))
 
 
 def shares(docs: DataFrame, seed: int = 42, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,

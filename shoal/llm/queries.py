@@ -65,15 +65,15 @@ weighed AS (
          [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w,
          sum(source_size) OVER () * 1.5::DOUBLE AS total
   FROM per),
-levels AS (
-  SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS pos,
+         (total - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
             / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM weighed),
+firsts AS (SELECT pos AS first_pos, level AS first_level FROM ranked WHERE level * w <= cap ORDER BY pos LIMIT 1),
 goal AS (
-  SELECT source, source_size,
-         CASE WHEN level * w <= cap
-              THEN least(cap, min(CASE WHEN level * w <= cap THEN level END) OVER () * w) ELSE cap END AS target
-  FROM levels),
+  SELECT source, source_size, CASE WHEN pos >= first_pos THEN least(cap, first_level * w) ELSE cap END AS target
+  FROM ranked LEFT JOIN firsts ON true),
 summed AS (
   SELECT b.*, g.source_size, g.target,
          CASE WHEN g.source_size > 0 THEN CAST(floor(g.target / g.source_size) AS BIGINT) ELSE 0 END AS epochs,
