@@ -7,11 +7,12 @@ independent. The steps:
 
 1. Equal sets are one node. Counts over all documents give the orders.
 2. Each group of documents asks buckets of shingles which of its first shingles other
-   nodes hold, in either order. A set without a partner in both orders drops out.
-3. Nodes that share a first shingle of the first order are compared where that shingle
-   lives, if they also share one of the second, by parity bitmaps: the bits in which two
-   bitmaps differ are a lower bound of the sets' difference. A shingle's nodes give the
-   links that hold them together, never all their pairs.
+   nodes hold, in either order, and for the first order by which nodes (a sum of their
+   hashes). A set without a partner in both orders drops out.
+3. Shingles held by the same nodes, as those of one passage are, make one list. A list's
+   nodes are compared, if they also share a shingle of the second order, by parity
+   bitmaps: the bits in which two bitmaps differ are a lower bound of the sets'
+   difference. A list gives the links that hold its nodes together, never all pairs.
 4. Only sets held together this way can be similar. They are brought together once and
    intersected exactly; links that hold a group together give the components.
 
@@ -164,27 +165,34 @@ class _Sets:
             yield int(bucket[a]) * 2 + which, slice(int(a), int(b))
 
     def ask(self) -> dict[str, list]:
-        """By bucket and order: the distinct first shingles and how many nodes of the group hold each."""
-        out: dict[str, list] = {"_b": [], "hashes": [], "counts": []}
+        """By bucket and order: the distinct first shingles, how many nodes of the group hold each, and their sum."""
+        out: dict[str, list] = {"_b": [], "hashes": [], "counts": [], "sums": []}
+        own = mix(self.node.view(np.uint64)) & np.uint64(0xFFFFFFFF)
         for which in (0, 1):
             starts = self.starts[which]
+            if not len(starts):
+                continue
             held = np.diff(np.append(starts, len(self.key[which])))
             low = (self.key[which][starts] & np.uint64(0xFFFFFFFF)).astype("<u4")
+            sums = np.add.reduceat(own[self.owner[which]], starts).astype("<u4") if which == 0 else np.zeros(len(starts), "<u4")
             for bucket, part in self._parts(which):
                 out["_b"].append(bucket)
                 out["hashes"].append(low[part].tobytes())
                 out["counts"].append(held[part].astype("<u4").tobytes())
+                out["sums"].append(sums[part].tobytes())
         return out
 
-    def learn(self, answers: dict[int, bytes]) -> None:
-        """Blocks of each first shingle's nodes: 0 where no other node holds it."""
-        self.blocks = []
+    def learn(self, answers: dict[int, tuple[bytes, bytes]]) -> None:
+        """Per first shingle the blocks its nodes are cut into (0 where no other node holds it) and their sum."""
+        self.blocks, self.sums = [], []
         for which in (0, 1):
-            of_run = np.zeros(len(self.starts[which]), dtype=np.int64)
-            for bucket, part in self._parts(which):
+            of_run, sums = np.zeros((2, len(self.starts[which])), dtype=np.int64)
+            for bucket, part in self._parts(which) if len(of_run) else ():
                 if bucket in answers:
-                    of_run[part] = np.frombuffer(answers[bucket], dtype="<u4")
-            self.blocks.append(of_run[run_ids(self.starts[which], len(self.key[which]))] if len(of_run) else of_run)
+                    of_run[part], sums[part] = (np.frombuffer(x, dtype="<u4") for x in answers[bucket])
+            run = run_ids(self.starts[which], len(self.key[which]))
+            self.blocks.append(of_run[run])
+            self.sums.append(sums[run])
 
     def entries(self) -> dict[str, list]:
         """By bucket: the lists (by key) that the nodes with a partner in both orders stand in, and those nodes."""
@@ -192,11 +200,11 @@ class _Sets:
         second = self.blocks[1] > 0
         marks = np.zeros((len(self.node), _MARKS), dtype=np.uint8)
         marks[self.owner[1][second], (mix(self.first[1][second]) % np.uint64(_MARKS)).astype(np.int64)] = 1
-        live = (self.blocks[0] > 0) & marks.any(axis=1)[self.owner[0]] if len(self.node) else np.zeros(0, dtype=bool)
-        shingle, owner, blocks = self.first[0][live], self.owner[0][live], self.blocks[0][live]
-        single = blocks == 1
-        keys, at = [mix(shingle[single])], [owner[single]]
-        for s, o, n in zip(shingle[~single].tolist(), owner[~single].tolist(), blocks[~single].tolist(), strict=True):
+        live = (self.blocks[0] > 0) & marks.any(axis=1)[self.owner[0]]
+        listed = np.unique(np.stack([self.sums[0][live], self.blocks[0][live], self.owner[0][live]]), axis=1)
+        single = listed[1] == 1
+        keys, at = [mix(listed[0][single].astype(np.uint64))], [listed[2][single]]
+        for s, n, o in zip(*listed[:, ~single].tolist(), strict=True):
             own = int(mix(self.node[o:o + 1].view(np.uint64))[0] % np.uint64(n))
             cells = [(min(own, other) * n + max(own, other) + 1) for other in range(n)]
             keys.append(mix(np.uint64(s) ^ mix(np.array(cells, dtype=np.uint64))))
@@ -207,7 +215,7 @@ class _Sets:
         key, owner, bucket = key[order], owner[order], bucket[order]
         packed = np.packbits(marks, axis=1)
         edge = runs(bucket)
-        for a, b in zip(edge, np.append(edge[1:], len(bucket)), strict=True):
+        for a, b in zip(edge, [*edge[1:], len(bucket)], strict=False):
             who, place = np.unique(owner[a:b], return_inverse=True)
             out["_b"].append(int(bucket[a]))
             out["keys"].append(key[a:b].astype("<u8").tobytes())
@@ -220,19 +228,22 @@ class _Sets:
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """For each asked shingle 0 if one node alone holds it, else the blocks its nodes are cut into."""
+    """For each asked shingle 0 if one node alone holds it, else the blocks of its nodes and their sum."""
     parts = [np.frombuffer(x, dtype="<u4") for x in table["hashes"].to_pylist()]
     hashes = np.concatenate(parts)
-    counts = np.frombuffer(b"".join(table["counts"].to_pylist()), dtype="<u4").astype(np.int64)
+    counts, sums = (np.frombuffer(b"".join(table[c].to_pylist()), dtype="<u4").astype(np.int64) for c in ("counts", "sums"))
     order = np.argsort(hashes, kind="stable")
     starts = runs(hashes[order])
     total = np.add.reduceat(counts[order], starts)
+    sums = np.where(total > 1, np.add.reduceat(sums[order], starts) & 0xFFFFFFFF, 0)
     blocks = np.where(total > 1, -(-total // LIST_NODES), 0)
-    out = np.zeros(len(order), dtype="<u4")
-    out[order] = blocks[run_ids(starts, len(order))]
-    ends = np.cumsum([len(p) for p in parts])
-    said = [out[b - len(p):b].tobytes() for b, p in zip(ends, parts, strict=True)]
-    return pa.table({"_g": table["_g"], "_b": table["_b"], "blocks": pa.array(said, pa.binary())})
+    run, ends = run_ids(starts, len(order)), np.cumsum([len(p) for p in parts])
+    said = {}
+    for name, values in (("blocks", blocks), ("sums", sums)):
+        out = np.zeros(len(order), dtype="<u4")
+        out[order] = values[run]
+        said[name] = pa.array([out[b - len(p):b].tobytes() for b, p in zip(ends, parts, strict=True)], pa.binary())
+    return pa.table({"_g": table["_g"], "_b": table["_b"], **said})
 
 
 def close_pairs(n: np.ndarray, bits: np.ndarray, marks: np.ndarray, per_cent: int = SIMILARITY) -> list[tuple[int, int]]:
@@ -369,7 +380,7 @@ def similar_groups(docs: DataFrame, per_cent: int = SIMILARITY, k: int = SHINGLE
         asked = _Sets(table, size).ask()
         count = len(asked["_b"])
         return pa.table({"_b": pa.array(asked["_b"], pa.int32()), "_g": pa.array([key[0].as_py()] * count, pa.int32()),
-                         "hashes": pa.array(asked["hashes"], pa.binary()), "counts": pa.array(asked["counts"], pa.binary())})
+                         **{c: pa.array(asked[c], pa.binary()) for c in ("hashes", "counts", "sums")}})
 
     def shared(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         return _shared(table)
@@ -378,7 +389,8 @@ def similar_groups(docs: DataFrame, per_cent: int = SIMILARITY, k: int = SHINGLE
         if not table.num_rows:
             return pa.table({"_b": pa.array([], pa.int32()), **{c: pa.array([], pa.binary()) for c in lists}})
         sets = _Sets(table, size)
-        sets.learn(dict(zip(said["_b"].to_pylist(), said["blocks"].to_pylist(), strict=True)))
+        told = zip(said["blocks"].to_pylist(), said["sums"].to_pylist(), strict=True)
+        sets.learn(dict(zip(said["_b"].to_pylist(), told, strict=True)))
         found = sets.entries()
         return pa.table({"_b": pa.array(found["_b"], pa.int32()), **{c: pa.array(found[c], pa.binary()) for c in lists}})
 
@@ -386,8 +398,8 @@ def similar_groups(docs: DataFrame, per_cent: int = SIMILARITY, k: int = SHINGLE
         return _candidates(table, per_cent)
 
     lists = ("keys", "at", "node", "n", "marks", "bits")
-    answers = (own.groupBy("_g").applyInArrow(ask, "_b int, _g int, hashes binary, counts binary")
-               .groupBy("_b").applyInArrow(shared, "_g int, _b int, blocks binary"))
+    answers = (own.groupBy("_g").applyInArrow(ask, "_b int, _g int, hashes binary, counts binary, sums binary")
+               .groupBy("_b").applyInArrow(shared, "_g int, _b int, blocks binary, sums binary"))
     entered = own.groupBy("_g").cogroup(answers.groupBy("_g")).applyInArrow(
         entries, "_b int, " + ", ".join(f"{c} binary" for c in lists))
     maybe = stored(components(entered.groupBy("_b").applyInArrow(candidates, "a long, b long")), "candidates")
@@ -409,7 +421,7 @@ def one_of_each(docs: DataFrame, per_cent: int = 80, k: int = 5) -> DataFrame:
     found = similar_groups(docs, per_cent, k)
     gone = (found.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_gone"))
             .agg(F.max("component_id").alias("c")).filter("c < _gone").select("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 def _verified(docs: DataFrame, maybe: DataFrame, nodes: DataFrame, rows: DataFrame, id_col: str, text_col: str, k: int,
