@@ -111,19 +111,23 @@ def mix(docs: DataFrame, seed: int = 42, weights: tuple[float, ...] = WEIGHTS, s
     plan = (shares(docs, seed, weights, share, most, quality)
             .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("nth").alias("_nth"),
                     F.col("size").alias("_size"), F.col("taken").alias("_taken")))
-    digest = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    twins = Window.partitionBy(F.col("doc_id").cast("long"), "_d").orderBy("source")
-    rows = docs.withColumn("_d", digest).withColumn("_n", F.row_number().over(twins))
-    both = rows.join(plan, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_d") == F.col("_digest"))
-                     & (F.col("_n") == F.col("_nth")))
-    whole = F.when(F.col("_size") > 0, F.floor(F.col("_taken") / F.col("_size"))).otherwise(F.lit(1)).cast("int")
-    rest = F.when(F.col("_size") > 0, F.col("_taken") % F.col("_size")).otherwise(F.lit(0))
-    uses = F.concat(F.array_repeat(F.lit(-1).cast("long"), F.col("_whole")),
-                    F.when(F.col("_rest") > 0, F.array(F.col("_rest"))).otherwise(F.array().cast("array<bigint>")))
-    used = both.withColumn("_whole", whole).withColumn("_rest", rest).withColumn("_use", F.explode(uses))
-    cut = F.concat_ws(" ", F.slice(F.regexp_extract_all("text", F.lit(WORD_PATTERN), F.lit(0)), F.lit(1), F.col("_use").cast("int")))
-    out = used.withColumn("text", F.when(F.col("_use") < 0, F.col("text")).otherwise(cut))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_use") < 0, F.col("n_chars"))
-                             .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")  # whatever its columns are called
+    twins = Window.partitionBy("id", "digest").orderBy("source")
+    rows = (docs.select(row, F.col("doc_id").cast("long").alias("id"), F.col("source").alias("source"),
+                        F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("digest"))
+            .withColumn("nth", F.row_number().over(twins)))
+    both = rows.join(plan, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+                     & (F.col("nth") == F.col("_nth")))
+    words = F.col("_size") > 0
+    whole = F.when(words, F.floor(F.col("_taken") / F.col("_size"))).otherwise(F.lit(1)).cast("int")
+    rest = F.when(words, F.col("_taken") % F.col("_size")).otherwise(F.lit(0))
+    uses = F.concat(F.array_repeat(F.lit(-1).cast("long"), whole),
+                    F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
+    used = both.withColumn("use", F.explode(uses))
+    cut = F.concat_ws(" ", F.slice(F.regexp_extract_all(F.col("row.text"), F.lit(WORD_PATTERN), F.lit(0)), F.lit(1), F.col("use").cast("int")))
+    columns = {c: F.col("row").getField(c) for c in docs.columns}
+    columns["text"] = F.when(F.col("use") < 0, columns["text"]).otherwise(cut)
+    if "n_chars" in columns:
+        columns["n_chars"] = (F.when(F.col("use") < 0, columns["n_chars"]).otherwise(F.length(cut))
+                              .cast(docs.schema["n_chars"].dataType))
+    return used.select(*[columns[c].alias(c) for c in docs.columns])

@@ -166,4 +166,4 @@ def scored(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame, learn: Column, threshold: float = THRESHOLD) -> DataFrame:
     """The rows whose score reaches the threshold, with all their columns."""
     score = score_of(docs, labels, learn)
-    return docs.withColumn("_quality_score", score(F.col("text"))).filter(F.col("_quality_score") >= threshold).drop("_quality_score")
+    return docs.filter(score(F.col("text")) >= threshold)

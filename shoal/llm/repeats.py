@@ -143,13 +143,12 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     A document that an earlier one holds whole stays with an empty text.
     """
     others = tuple(c for c in docs.columns if c != "text")
-    found = remove_repeats(docs.withColumn("_doc_id", F.col("doc_id")).drop("doc_id"), window, "_doc_id", "text",
-                           tuple(c for c in others if c != "doc_id"), as_is=True)
-    out = found.withColumn("text", F.col("kept_text"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-                             .cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    found = remove_repeats(docs, window, keep=others, as_is=True)
+    columns = {c: F.col(f"_keep{i}") for i, c in enumerate(others)} | {"text": F.col("kept_text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = (F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(columns["n_chars"])
+                              .cast(docs.schema["n_chars"].dataType))
+    return found.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def _messages(rows: dict[str, list], group: int) -> pa.Table:
@@ -198,7 +197,7 @@ def _said(table: pa.Table, kind: int) -> dict[int, bytes]:
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
                    keep: tuple[str, ...] = (), as_is: bool = False) -> DataFrame:
-    """``doc_id, n_words, n_removed, removed, kept_text`` of every row, and the columns named in ``keep``.
+    """``doc_id, n_words, n_removed, removed, kept_text`` of every row, and ``_keep0, _keep1, …`` for those in ``keep``.
 
     ``removed`` lists the removed stretches as word positions, first and one behind the last; ``kept_text`` has the
     words that stay, one blank between them; with ``as_is`` a text that loses none stays as it is, a null text null.
@@ -243,12 +242,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
             kept[i] = texts[i] if as_is and not lost[i] else b" ".join(own).decode()
         return pa.table({"doc_id": table["_id"], "n_words": pa.array(words, pa.int64()), "n_removed": pa.array(lost, pa.int64()),
                          "removed": pa.array(spans, pa.list_(pa.int64())), "kept_text": pa.array(kept, pa.string()),
-                         **{f.name: table[f"_keep{i}"] for i, f in enumerate(passed)}})
+                         **{f"_keep{i}": table[f"_keep{i}"] for i in range(len(passed))}})
 
     schema = StructType([StructField("doc_id", LongType()), StructField("n_words", LongType()), StructField("n_removed", LongType())])
     schema = schema.add("removed", ArrayType(LongType())).add("kept_text", StringType())
-    for f in passed:
-        schema = schema.add(f)
+    for i, f in enumerate(passed):
+        schema = schema.add(f"_keep{i}", f.dataType)
     hits = dealt.groupBy("_g").applyInArrow(probe, _MESSAGE).groupBy("_b").applyInArrow(_match_blocks, _ANSWER)
     windows = dealt.groupBy("_g").cogroup(hits.groupBy("_g")).applyInArrow(extend, _MESSAGE)
     earlier = windows.groupBy("_b").applyInArrow(_match_windows, _ANSWER)
