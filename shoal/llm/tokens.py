@@ -20,7 +20,7 @@ import numpy as np
 from .words import span_hashes
 
 #: Stretches remembered by one worker.
-KEPT_STRETCHES = 1_500_000
+KEPT_STRETCHES = 1_000_000
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[32, 10]] = True
