@@ -23,23 +23,26 @@ def sample_k_per_key(df: DataFrame, keys: list[str], member: str, k: int, seed)
     return top_n(drawn, keys, [F.asc("_draw"), F.asc(member)], k, rank=None).drop("_draw")
 
 
-def running_weights(edges: DataFrame) -> DataFrame:
-    """``src, dst, weight, below, total``: weight of the node's edges before this one, and of all.
+def unit_intervals(edges: DataFrame) -> DataFrame:
+    """``src, dst, weight, low, high``: the node's edges as intervals that cover [0, 1) once.
 
     Edges are ordered by the first hex digits of the target's MD5 and by target.
-    Sums run inside each of the 256 slices of a node and are shifted by the sums
-    of the slices before, so a hub's edges are not ordered in one task.
+    Sums run inside each of the 256 slices of a node and are shifted by the slices
+    before, so a hub's edges are not ordered in one task. An edge begins at the
+    very double at which the one before it ends, also across slices, and the last
+    ends at 1: the sums of the slices are their last running sums.
     """
     sliced = edges.withColumn("_slice", F.substring(F.md5("dst"), 1, _SLICE_HEX))
-    sums = sliced.groupBy("src", "_slice").agg(F.sum("weight").alias("_sum"))
-    node = Window.partitionBy("src").orderBy("_slice")
-    shifts = sums.select(
-        "src", "_slice", (F.sum("_sum").over(node) - F.col("_sum")).alias("_shift"),
-        F.sum("_sum").over(Window.partitionBy("src")).alias("total"))
-    within = Window.partitionBy("src", "_slice").orderBy("dst").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = sliced.withColumn("_upto", F.sum("weight").over(within))
+    within = Window.partitionBy("src", "_slice").orderBy("dst")
+    local = (sliced.withColumn("_upto", F.sum("weight").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+             .withColumn("_from", F.lag("_upto", 1, 0.0).over(within)))
+    sums = local.groupBy("src", "_slice").agg(F.max("_upto").alias("_sum"))
+    earlier = Window.partitionBy("src").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (sums.withColumn("_shift", F.coalesce(F.sum("_sum").over(earlier), F.lit(0.0)))
+              .withColumn("_total", F.max(F.col("_shift") + F.col("_sum")).over(Window.partitionBy("src"))).drop("_sum"))
     return local.join(shifts, ["src", "_slice"]).select(
-        "src", "dst", "weight", (F.col("_shift") + F.col("_upto") - F.col("weight")).alias("below"), "total")
+        "src", "dst", "weight", ((F.col("_shift") + F.col("_from")) / F.col("_total")).alias("low"),
+        ((F.col("_shift") + F.col("_upto")) / F.col("_total")).alias("high"))
 
 
 def bucket_counts(edges: DataFrame) -> DataFrame:
@@ -62,10 +65,8 @@ def draw_table(edges: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     the table has at most as many rows as edges and buckets together. A draw
     looks up one bucket and not all edges of a hub.
     """
-    sums = running_weights(edges.where(F.col("weight") > 0))
-    low, high = F.col("below") / F.col("total"), (F.col("below") + F.col("weight")) / F.col("total")
-    ranged = (sums.join(bucket_counts(edges) if counts is None else counts, "src")
-              .withColumn("low", low).withColumn("high", high))
+    live = unit_intervals(edges.where(F.col("weight") > 0).withColumn("weight", F.col("weight").cast("double")))
+    ranged = live.join(bucket_counts(edges) if counts is None else counts, "src")
     last = F.col("buckets") - 1
     first_bucket = F.least(last, F.floor(F.col("low") * F.col("buckets")))
     last_bucket = F.least(last, F.floor(F.col("high") * F.col("buckets")))
