@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stored
-from .pairs import BLOCK_ROWS, group_sizes, large_groups, pair_up
+from .pairs import BLOCK_ROWS, co_counts, group_sizes, large_groups, pair_up
 
 
 def ratings_of(df: DataFrame, user: str | None = None, item: str | None = None, score: str | None = None) -> DataFrame:
@@ -126,12 +126,11 @@ def swing(df: DataFrame, version: str = "V1", alpha: float = 1.0, user_items: tu
     crowded = large_groups(group_sizes(ratings, ["item_id"]), ["item_id"], block_rows) is not None
     large = large_groups(per_pair.withColumnRenamed("users", "group_rows"), ["item_1", "item_2"], block_rows) if crowded else None
     crossed = pair_up(pairs, ["item_1", "item_2"], "user_id", payload, large=large)
-    # Counting aggregates map-side and the join spreads a hot user pair, so no
-    # task has to hold all common pairs of two users at once.
-    common = crossed.groupBy("user_id_1", "user_id_2").agg(F.count("*").cast("double").alias("n"))
-    if classic:
-        # n pairs come from x items with x(x-1)/2 = n.
-        common = common.withColumn("n", (1 + F.sqrt(1 + 8 * F.col("n"))) / 2)
+    # Users who share m items share m(m-1)/2 item pairs: the items' users give m, so the join above runs once.
+    common = co_counts(ratings, "item_id", "user_id", block_rows).select(
+        F.col("item_1").alias("user_id_1"), F.col("item_2").alias("user_id_2"), F.col("n").cast("double").alias("n"))
+    if not classic:
+        common = common.withColumn("n", F.col("n") * (F.col("n") - 1) / 2)
     term = 1 / (F.lit(alpha) + F.col("n"))
     if version in ("V2", "V3"):
         term = term / F.sqrt(F.col("k_1") * F.col("k_2"))
