@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.draws import uniform
-from ..session import bucketed, stored
+from ..session import bucketed, stored, wide_partitions
 from .sampling import bucket_counts, bucket_of, draw_table, weighted_draws
 
 
@@ -130,15 +130,15 @@ def second_order(edges: DataFrame, p: float = 1.0, q: float = 1.0) -> DataFrame:
             .select("prev", "cur", "next", "kind", (F.col("weight") * scale).alias("weight")))
 
 
-def edge_probabilities(df: DataFrame, directed: bool = True, max_neighbours: int = 10_000, p: float = 1.0,
+def edge_probabilities(df: DataFrame, directed: bool = True, max_neighbours: int | None = None, p: float = 1.0,
                        q: float = 1.0, seed=42) -> DataFrame:
-    """:func:`second_order` on the capped graph: at most ``max_neighbours`` rows per edge."""
+    """:func:`second_order`; with ``max_neighbours``, on the graph in which no node has more edges."""
     graph = stored(merged_edges(edges_of(df), directed), "edges")
-    return second_order(capped_neighbours(graph, max_neighbours, seed), p, q)
+    return second_order(graph if max_neighbours is None else capped_neighbours(graph, max_neighbours, seed), p, q)
 
 
 def node2vec_walks(df: DataFrame, seq_length: int = 5, keep: str = "end", directed: bool = True,
-                   max_neighbours: int = 10_000, p: float = 1.0, q: float = 1.0, seed=42) -> DataFrame:
+                   max_neighbours: int | None = None, p: float = 1.0, q: float = 1.0, seed=42) -> DataFrame:
     """``walk, pos, node``: walks whose steps depend on the last two nodes.
 
     The first step goes by edge weight, the seq_length steps after it by the
@@ -146,7 +146,9 @@ def node2vec_walks(df: DataFrame, seq_length: int = 5, keep: str = "end", direct
     times with rate equal to its weight, a plain aggregate that combines map-side.
     """
     edges = edges_of(df)
-    graph = stored(capped_neighbours(stored(merged_edges(edges, directed), "edges"), max_neighbours, seed), "graph")
+    graph = stored(merged_edges(edges, directed), "edges")
+    if max_neighbours is not None:
+        graph = stored(capped_neighbours(graph, max_neighbours, seed), "graph")
     heads = graph.select("src").distinct().select(F.col("src").alias("walk"), F.lit(None).cast("string").alias("prev"), F.col("src").alias("cur"))
     steps = [heads.select("walk", F.lit(0).alias("pos"), F.col("cur").alias("node"))]
     # Plain joins, not bucketed ones: AQE can split the heads that meet on a hub.
@@ -174,45 +176,53 @@ def paths(walks: DataFrame) -> DataFrame:
     return walks.groupBy("walk").agg(F.transform(ordered, lambda s: s["node"]).alias("path"))
 
 
-def window_pairs(sequences: DataFrame, window: int = 5, column: str = "path") -> DataFrame:
-    """``centre, context, offset`` for positions at most ``window`` apart in each row's sequence."""
-    last = F.size(column) - 1
-    around = F.transform(F.col(column), lambda node, i: F.struct(
-        node.alias("centre"), F.transform(
-            F.filter(F.sequence(F.greatest(F.lit(0), i - window), F.least(last, i + window)), lambda j: j != i),
-            lambda j: F.struct(F.get(F.col(column), j).alias("context"), (j - i).alias("offset"))).alias("near")))
-    return (sequences.select(F.explode(around).alias("c")).select("c.centre", F.explode("c.near").alias("n"))
-            .select("centre", "n.context", "n.offset"))
-
-
 def skip_gram_pairs(walks: DataFrame, window: int = 5) -> DataFrame:
-    """:func:`window_pairs` over the paths of walks."""
-    return window_pairs(paths(walks), window)
+    """``centre, context, offset`` of places at most ``window`` apart in ``walk, pos, node``.
 
+    An equi join on (walk, place): no sequence is collected or cut, whatever its length.
+    """
+    offsets = F.explode(F.array(*[F.lit(k) for k in range(-window, window + 1) if k]))
+    near = walks.select("walk", F.col("node").alias("centre"), F.col("pos").alias("_at"), offsets.alias("offset"))
+    near = near.withColumn("pos", F.col("_at") + F.col("offset"))
+    return near.join(walks.select("walk", "pos", F.col("node").alias("context")), ["walk", "pos"]).select("centre", "context", "offset")
 
-def word2vec_items(sequences: DataFrame, column: str = "path", size: int = 128, min_count: int = 500, window: int = 5,
-                   max_length: int = 20, max_iter: int = 2, partitions: int = 1, seed: int = 42) -> DataFrame:
-    """``item, vector`` from item sequences. The vocabulary is bounded by ``min_count``."""
-    from pyspark.ml.feature import Word2Vec
-    from pyspark.ml.functions import vector_to_array
 
-    model = Word2Vec(vectorSize=size, minCount=min_count, windowSize=window, maxSentenceLength=max_length,
-                     maxIter=max_iter, numPartitions=partitions, seed=seed, inputCol=column, outputCol="_v").fit(sequences)
-    return model.getVectors().select(F.col("word").alias("item"), vector_to_array("vector").alias("vector"))
+def item_positions(df: DataFrame, user: str, item: str, order: str) -> DataFrame:
+    """``walk, pos, node``: each user's items in time order, ties by item.
 
+    ``order`` is a number. Places are counted inside slices of time, shifted by the
+    slices before, so a busy user's items are ordered in different tasks. The slices'
+    bounds share out the rows and do not change the places.
+    """
+    n = min(1024, wide_partitions(df.sparkSession))
+    cut = df.agg(F.percentile_approx(order, [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else None
+    bounds = F.array(*[F.lit(x) for x in sorted(set(cut or []))])
+    sliced = df.withColumn("_slice", F.size(F.filter(bounds, lambda b: b <= F.col(order))) if cut else F.lit(0))
+    earlier = Window.partitionBy(user).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (sliced.groupBy(user, "_slice").agg(F.count("*").alias("_n"))
+              .select(user, "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift")))
+    place = F.row_number().over(Window.partitionBy(user, "_slice").orderBy(order, item)) - 1
+    return (sliced.withColumn("_in", place).join(shifts, [user, "_slice"])
+            .select(F.col(user).alias("walk"), (F.col("_shift") + F.col("_in")).cast("int").alias("pos"), F.col(item).cast("string").alias("node")))
+
+
+def sentences(places: DataFrame, length: int) -> DataFrame:
+    """``walk, path``: sequences as sentences of ``length`` nodes, which bound what one row holds."""
+    chunk = F.floor(F.col("pos") / length)
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "node")))
+    return places.groupBy("walk", chunk.alias("chunk")).agg(F.transform(ordered, lambda s: s["node"]).alias("path")).drop("chunk")
 
-def item_sequences(df: DataFrame, user: str, item: str, order: str, max_length: int = 20, slice_rows: int = 100_000) -> DataFrame:
-    """``user, slice, chunk, path``: each user's items in time order, cut into sentences.
 
-    ``order`` is a number. Sentences of at most ``max_length`` items are what the
-    model trains on anyway. A user with more than ``slice_rows`` rows is first
-    cut into equal stretches of time, which are ordered in different tasks.
+def word2vec_items(sequences: DataFrame, min_count: int, column: str = "path", size: int = 128, window: int = 5,
+                   max_length: int = 1000, max_iter: int = 2, partitions: int | None = None, seed: int = 42) -> DataFrame:
+    """``item, vector`` from item sequences, trained in as many tasks as a shuffle has.
+
+    Items with fewer than ``min_count`` occurrences have no vector. Spark cuts sentences at ``max_length``.
     """
-    busy = df.groupBy(user).agg(F.count("*").alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi")).where(F.col("_n") > slice_rows)
-    slices = F.ceil(F.col("_n") / slice_rows)
-    at = F.floor((F.col(order) - F.col("_lo")) * slices / (F.col("_hi") - F.col("_lo") + 1))
-    cut = df.join(busy, user, "left").withColumn("slice", F.coalesce(at, F.lit(0)).cast("int"))
-    place = F.row_number().over(Window.partitionBy(user, "slice").orderBy(order, item)) - 1
-    numbered = cut.withColumn("_i", place).withColumn("chunk", F.floor(F.col("_i") / max_length).cast("int"))
-    ordered = F.array_sort(F.collect_list(F.struct("_i", F.col(item).cast("string").alias("item"))))
-    return numbered.groupBy(user, "slice", "chunk").agg(F.transform(ordered, lambda s: s["item"]).alias("path"))
+    from pyspark.ml.feature import Word2Vec
+    from pyspark.ml.functions import vector_to_array
+
+    model = Word2Vec(vectorSize=size, minCount=min_count, windowSize=window, maxSentenceLength=max_length, maxIter=max_iter,
+                     numPartitions=partitions or wide_partitions(sequences.sparkSession), seed=seed, inputCol=column,
+                     outputCol="_v").fit(sequences)
+    return model.getVectors().select(F.col("word").alias("item"), vector_to_array("vector").alias("vector"))

@@ -87,7 +87,7 @@ def _(t):
     """ + _MIRROR.format(t="both_swings", cond="round(score, 12) >= 0.1 AND " + _ALLOWED, n=100), "kw_swing bh_swing pool denied")
 def _(t):
     searched = cf.swing(_keyword_ratings(t))
-    used = cf.swing(hot.behaviour_scores(t.track(), hot.ACTION_WEIGHTS))
+    used = cf.swing(hot.behaviour_scores(t.track(), hot.ACTION_WEIGHTS, users=(1, 50), items=(1, 10_000)))
     lists = i2i_top_n(_twelve(cf.merge_similarities(searched, used)), 100, min_score=0.1, allow=_pool(t), deny=t.denied_items())
     return lists.select("id", "item", r6("score"))
 
@@ -149,10 +149,13 @@ def _(t):
     return cf.als_top_k(t.ratings(), 10, rank=8, max_iter=3)
 
 
+def _item_positions(t):
+    return graph.item_positions(t.track().select("user_id", "item_id", "time_ms"), "user_id", "item_id", "time_ms")
+
+
 @query("word2vec_items")
 def _(t):
-    sentences = graph.item_sequences(t.track().select("user_id", "item_id", "time_ms"), "user_id", "item_id", "time_ms")
-    return graph.word2vec_items(sentences, size=16, min_count=5).select("item", F.size("vector").alias("length"))
+    return graph.word2vec_items(graph.sentences(_item_positions(t), 1000), min_count=5, size=16).select("item", F.size("vector").alias("length"))
 
 
 @query("graph_node_index", """WITH n AS (SELECT src AS node FROM edges UNION SELECT dst FROM edges)
@@ -229,12 +232,29 @@ def _(t):
     return graph.node2vec_walks(t.edges(), seq_length=2, directed=False, p=2.0, q=0.5, seed="n2v")
 
 
-@query("skipgram_pairs", """WITH o AS (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY time_ms, item_id) - 1 AS i FROM track)
+@query("skipgram_pairs", """WITH o AS (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY time_ms, item_id) AS i FROM track)
     SELECT CAST(a.item_id AS VARCHAR) AS centre, CAST(b.item_id AS VARCHAR) AS context, count(*) AS n
-    FROM o a JOIN o b ON a.user_id = b.user_id AND a.i // 20 = b.i // 20 AND a.i <> b.i AND abs(a.i - b.i) <= 2 GROUP BY ALL""", "track")
+    FROM o a JOIN o b ON a.user_id = b.user_id AND a.i <> b.i AND abs(a.i - b.i) <= 2 GROUP BY ALL""", "track")
+def _(t):
+    return graph.skip_gram_pairs(_item_positions(t), 2).groupBy("centre", "context").agg(F.count("*").alias("n"))
+
+
+_WALK_PAIRS = """WITH walks AS MATERIALIZED ({walks}) SELECT a.node AS centre, b.node AS context, count(*) AS n
+    FROM walks a JOIN walks b ON a.walk = b.walk AND a.pos <> b.pos AND abs(a.pos - b.pos) <= 2 GROUP BY ALL"""
+
+
+@query("skipgram_deepwalk", _WALK_PAIRS.format(walks=_walk_sql("walk", 4)), "edges intervals")
+def _(t):
+    return _walk_pairs(graph.deep_walk(t.edges(), seq_length=3, seed="walk"))
+
+
+@query("skipgram_node2vec", _WALK_PAIRS.format(walks=_node2vec_sql("n2v", 3)), "both_ways")
 def _(t):
-    sentences = graph.item_sequences(t.track().select("user_id", "item_id", "time_ms"), "user_id", "item_id", "time_ms")
-    return graph.window_pairs(sentences, 2).groupBy("centre", "context").agg(F.count("*").alias("n"))
+    return _walk_pairs(graph.node2vec_walks(t.edges(), seq_length=2, directed=False, p=2.0, q=0.5, seed="n2v"))
+
+
+def _walk_pairs(walks):
+    return graph.skip_gram_pairs(walks, 2).groupBy("centre", "context").agg(F.count("*").alias("n"))
 
 
 @query("kmeans_best_k")
