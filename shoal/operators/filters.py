@@ -13,7 +13,7 @@ ZERO_ID = "00000000-0000-0000-0000-000000000000"
 FIRST_GAME = 100
 
 # Reference spelling of "all of one cluster" and the joint name of lists.
-ALL_SUFFIX, JOINT_NAME = "_ALL", "OTHER"
+JOINT_NAME = "OTHER"
 
 
 def locales_of(regions: DataFrame, wanted: str, widening: tuple[str, ...] = ()) -> DataFrame:
@@ -141,13 +141,13 @@ def item_tags_filtered(latest: DataFrame, exposures: DataFrame, downloads: DataF
     return tags.join(common, "tag", "left_semi").join(good, "tag", "left_semi")
 
 
-def activity_band(df: DataFrame, user: str, item: str, user_items: tuple = (1, 100), item_users: tuple = (1, 10_000)) -> DataFrame:
-    """Open ranges: users with a < items < b, then items with a < users < b among their rows."""
-    kept = within_band(df, user, user_items[0] + 1, user_items[1] - 1)
-    return within_band(kept, item, item_users[0] + 1, item_users[1] - 1)
+def activity_band(df: DataFrame, user: str, item: str, user_items: tuple | None = None, item_users: tuple | None = None) -> DataFrame:
+    """Open ranges, off by default: users with a < items < b, then items with a < users < b among their rows."""
+    kept = df if user_items is None else within_band(df, user, user_items[0] + 1, user_items[1] - 1)
+    return kept if item_users is None else within_band(kept, item, item_users[0] + 1, item_users[1] - 1)
 
 
-def drop_heavy(df: DataFrame, user: str, item: str, most: int = 300) -> DataFrame:
+def drop_heavy(df: DataFrame, user: str, item: str, most: int) -> DataFrame:
     """Drop users with more than ``most`` distinct items."""
     heavy = df.groupBy(user).agg(F.count_distinct(item).alias("n")).where(F.col("n") > most).select(user)
     return df.join(heavy, user, "left_anti")

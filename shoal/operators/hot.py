@@ -76,13 +76,13 @@ def keyword_totals(log: DataFrame) -> DataFrame:
 CLICK_WEIGHT, DOWNLOAD_WEIGHT, INSTALL_WEIGHT = 10, 50, 100
 
 
-def keyword_scores(log: DataFrame, kind: str, times: float = 1, users: tuple = (1, 100), items: tuple = (1, 10_000)) -> DataFrame:
+def keyword_scores(log: DataFrame, kind: str, times: float = 1, users: tuple | None = None, items: tuple | None = None) -> DataFrame:
     """``user_id, item_id, score`` with keywords in the place of users.
 
     ``wilson``: lower bound of downloads per exposure, no bands. ``downloads``:
     download count, keywords banded first and items on what is left. ``weighted``:
     weighted bounds of clicks, downloads and installs, both bands on all rows.
-    ``times`` scales the score.
+    ``times`` scales the score; ``users`` and ``items`` are open bands, off by default.
     """
     totals = keyword_totals(log)
     if kind == "wilson":
@@ -99,15 +99,17 @@ def keyword_scores(log: DataFrame, kind: str, times: float = 1, users: tuple = (
     raise ValueError(f"unknown keyword score {kind}")
 
 
-def _both_bands(rows: DataFrame, users: tuple, items: tuple) -> DataFrame:
-    """Open bands for users and items, both judged on all rows."""
-    keep_users = band_keys(rows, "user_id", users[0] + 1, users[1] - 1)
-    keep_items = band_keys(rows, "item_id", items[0] + 1, items[1] - 1)
-    return rows.join(keep_users, "user_id", "left_semi").join(keep_items, "item_id", "left_semi").select(*rows.columns)
+def _both_bands(rows: DataFrame, users: tuple | None, items: tuple | None, distinct: bool = False) -> DataFrame:
+    """Open bands for users and items where given, both judged on all rows."""
+    kept = rows
+    for key, other, band in (("user_id", "item_id", users), ("item_id", "user_id", items)):
+        if band is not None:
+            kept = kept.join(band_keys(rows, key, band[0] + 1, band[1] - 1, other if distinct else None), key, "left_semi")
+    return kept.select(*rows.columns)
 
 
-def keyword_scores_sampled(log: DataFrame, crowded: int = 10_000, fraction: float = 0.05, times: float = 1,
-                           users: tuple = (1, 100), seed=42) -> DataFrame:
+def keyword_scores_sampled(log: DataFrame, crowded: int, fraction: float, times: float = 1,
+                           users: tuple | None = None, seed=42) -> DataFrame:
     """Download scores where items with more than ``crowded`` keywords keep a seeded sample of their rows."""
     rows = keyword_totals(log).select("user_id", "item_id", (F.col("download_uv") * times).cast("double").alias("score"))
     heavy = band_keys(rows, "item_id", crowded + 1)
@@ -130,25 +132,25 @@ def _score_rows(rows: DataFrame, score: Column) -> DataFrame:
             .select("user_id", F.col("item_id").cast("string").alias("item_id"), "score").where(F.col("score") > 0))
 
 
-def behaviour_scores(log: DataFrame, weights: dict[str, int], users: tuple = (1, 50), items: tuple = (1, 10_000)) -> DataFrame:
+def behaviour_scores(log: DataFrame, weights: dict[str, int], users: tuple | None = None, items: tuple | None = None) -> DataFrame:
     """``user_id, item_id, score``: weights of the daily actions, users banded by distinct items, then items by distinct users."""
     rows = daily_actions(log, weights)
-    rows = within_band(rows, "user_id", users[0] + 1, users[1] - 1, distinct="item_id")
-    rows = within_band(rows, "item_id", items[0] + 1, items[1] - 1, distinct="user_id")
+    if users is not None:
+        rows = within_band(rows, "user_id", users[0] + 1, users[1] - 1, distinct="item_id")
+    if items is not None:
+        rows = within_band(rows, "item_id", items[0] + 1, items[1] - 1, distinct="user_id")
     return _score_rows(rows, _weight(weights))
 
 
-def behaviour_scores_active(log: DataFrame, flags: DataFrame, weights: dict[str, int], users: tuple = (1, 100),
-                            items: tuple = (1, 10_000), id_length: int | None = None) -> DataFrame:
+def behaviour_scores_active(log: DataFrame, flags: DataFrame, weights: dict[str, int], users: tuple | None = None,
+                            items: tuple | None = None, id_length: int | None = None) -> DataFrame:
     """As :func:`behaviour_scores` with active users counted four times and passive users once.
 
     ``flags`` holds ``user_id, is_active, is_passive``. With ``id_length``, users
     whose id has another length count as passive.
     """
     rows = daily_actions(log, weights)
-    keep_users = band_keys(rows, "user_id", users[0] + 1, users[1] - 1, distinct="item_id")
-    keep_items = band_keys(rows, "item_id", items[0] + 1, items[1] - 1, distinct="user_id")
-    rows = (rows.join(keep_users, "user_id", "left_semi").join(keep_items, "item_id", "left_semi").join(flags, "user_id", "left"))
+    rows = _both_bands(rows, users, items, distinct=True).join(flags, "user_id", "left")
     proper = F.lit(True) if id_length is None else F.length("user_id") == id_length
     active = F.coalesce(F.col("is_active") == 1, F.lit(False)) & proper
     passive = F.coalesce(F.col("is_passive") == 1, F.lit(False)) | ~proper
@@ -339,18 +341,23 @@ def favourite_classes(scores: DataFrame, n: int = 100) -> DataFrame:
 
 def weighted_categories(log: DataFrame, classes: DataFrame, n: int, views: tuple[str, ...] = ("item_click", "download_install"),
                         installs: tuple[str, ...] = ("install",), downloads: tuple[str, ...] = ("download_install",),
-                        most_downloads: int = 200) -> DataFrame:
+                        most_downloads: int | None = None) -> DataFrame:
     """``user_id, class, score``: views / 4 + installs / 2, the n best per user.
 
-    Users need a day with at most ``most_downloads`` downloaded items.
+    With ``most_downloads``, users need a day with at most so many downloaded items.
     """
-    sane = (log.where(F.col("action").isin(*downloads)).groupBy("user_id", "date").agg(F.count_distinct("item_id").alias("_n"))
-            .where(F.col("_n") <= most_downloads).select("user_id").distinct())
-    rows = log.join(sane, "user_id", "left_semi").join(classes, "item_id")
+    rows = log if most_downloads is None else _with_modest_day(log, downloads, most_downloads)
+    rows = rows.join(classes, "item_id")
     score = F.count_if(F.col("action").isin(*views)) / 4 + F.count_if(F.col("action").isin(*installs)) / 2
     return favourite_classes(rows.groupBy("user_id", "class").agg(score.alias("score")), n)
 
 
+def _with_modest_day(log: DataFrame, downloads: tuple[str, ...], most: int) -> DataFrame:
+    sane = (log.where(F.col("action").isin(*downloads)).groupBy("user_id", "date").agg(F.count_distinct("item_id").alias("_n"))
+            .where(F.col("_n") <= most).select("user_id").distinct())
+    return log.join(sane, "user_id", "left_semi")
+
+
 def top_usage(usage: DataFrame, n: int = 10) -> DataFrame:
     """``user_id, item_id, score, rank``: 5 · mean duration + 3 · mean frequency, the n best per user."""
     means = usage.groupBy("user_id", "item_id").agg(F.avg("frequency").alias("f"), F.avg("duration").alias("d"))

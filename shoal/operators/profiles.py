@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.nested import union_of
 from .filters import FIRST_GAME, valid_id
+from .sets import dedup
 
 # Tier limits in seconds, card position of a glide user, vector length.
 LIGHT_BELOW, HEAVY_ABOVE = 6, 20
@@ -136,13 +137,18 @@ def sensitive_users(profiles: DataFrame, columns: list[str], barred: DataFrame)
     return hits.groupBy("user_id").agg(F.collect_set("item").alias("items")).withColumn("is_sensitive", F.lit(1))
 
 
+def _one_per(df: DataFrame, key: str) -> DataFrame:
+    """One row per key, the least by its other columns."""
+    return df.select(key).distinct() if df.columns == [key] else dedup(df, [key], [])
+
+
 def merged(sources: list[DataFrame], key: str = "user_id", only_valid: bool = False) -> DataFrame:
     """Full outer join of any number of frames on one key, one row per key from each.
 
     All sides are hashed by the same key, so each is shuffled once.
     """
     sides = [s.where(valid_id(key)) if only_valid else s for s in sources]
-    return reduce(lambda a, b: a.join(b, key, "full"), [s.dropDuplicates([key]) for s in sides])
+    return reduce(lambda a, b: a.join(b, key, "full"), [_one_per(s, key) for s in sides])
 
 
 def user_features(audiences: DataFrame, features: DataFrame, vectors: list[str], size: int = EMBEDDING_SIZE) -> DataFrame:
@@ -152,5 +158,5 @@ def user_features(audiences: DataFrame, features: DataFrame, vectors: list[str],
     """
     first = audiences.groupBy("user_id").agg(F.min("audience").alias("audience"))
     zeros = F.array_repeat(F.lit(0.0), size)
-    joined = first.join(features.dropDuplicates(["user_id"]), "user_id", "full")
+    joined = first.join(_one_per(features, "user_id"), "user_id", "full")
     return joined.withColumns({v: F.coalesce(F.col(v), zeros) for v in vectors})

@@ -223,10 +223,10 @@ def _(t):
     return sets.select("user_id", text("downloads"), text("clicks"))
 
 
-@query("exposure_thresholds", """WITH c AS (SELECT user_id, item_id, count(*) AS n FROM track GROUP BY ALL)
+@query("exposure_thresholds", """WITH c AS (SELECT user_id, item_id, count(*) AS n FROM track WHERE action = 'item_exposure' GROUP BY ALL)
     SELECT user_id, k AS threshold, CAST(item_id AS VARCHAR) AS item FROM c, (VALUES (1), (2), (6), (8)) v(k) WHERE n >= k""", "track")
 def _(t):
-    maps = hot.exposure_thresholds(t.track(), "user_id", "item_id")
+    maps = hot.exposure_thresholds(t.track().where(F.col("action") == "item_exposure"), "user_id", "item_id")
     parts = [maps.select("user_id", F.lit(k).alias("threshold"), F.explode_outer(F.map_keys(f"seen_{k}")).alias("item")) for k in hot.THRESHOLDS]
     rows = parts[0]
     for part in parts[1:]:
@@ -346,7 +346,7 @@ define("behaviour_kept", "behaviour", """SELECT * FROM (SELECT * FROM behaviour
 @query("behaviour_score", """SELECT user_id, CAST(item_id AS VARCHAR) AS item_id, CAST(sum(CASE action WHEN 'download_install' THEN 2 ELSE 3 END) AS DOUBLE) AS score
     FROM behaviour_kept GROUP BY user_id, item_id""", "behaviour_kept")
 def _(t):
-    return hot.behaviour_scores(t.track(), hot.ACTION_WEIGHTS)
+    return hot.behaviour_scores(t.track(), hot.ACTION_WEIGHTS, users=(1, 50), items=(1, 10_000))
 
 
 @query("behaviour_score_active", """WITH band AS (SELECT * FROM behaviour WHERE user_id IN (SELECT user_id FROM behaviour GROUP BY user_id
@@ -360,7 +360,7 @@ def _(t):
     from ..operators.profiles import active_flags
 
     flags = active_flags(t.track().where(F.col("date") == NEW_SNAPSHOT), home="home", ignored=["update"], page_refs=["miniCard"])
-    return hot.behaviour_scores_active(t.track(), flags, hot.ACTION_WEIGHTS)
+    return hot.behaviour_scores_active(t.track(), flags, hot.ACTION_WEIGHTS, users=(1, 100), items=(1, 10_000))
 
 
 @query("item_downloads", """SELECT item_id, count(DISTINCT user_id) AS downloads FROM track WHERE action = 'activate' AND cluster = 'ASIA'

@@ -12,9 +12,6 @@ from .base import query, r6
 from .inputs import AS_OF
 from .sqltext import define
 
-_LOCALES = """SELECT event_id, locale FROM track WHERE cluster IN ({clusters}) OR locale IN ({locales})"""
-
-
 @query("locale_filter", """SELECT 'list' AS predicate, count(*) AS n FROM track WHERE locale IN ('NATION_3', 'NATION_4')
     UNION ALL SELECT 'cluster', count(*) FROM track WHERE cluster = 'ASIA'
     UNION ALL SELECT 'member', count(*) FROM track WHERE cluster = (SELECT cluster FROM regions WHERE locale = 'NATION_7')

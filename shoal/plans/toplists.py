@@ -248,7 +248,7 @@ def _(t):
     WHERE user_id IN (SELECT user_id FROM track WHERE action = 'download_install' GROUP BY user_id, date HAVING count(DISTINCT item_id) <= 200)
     GROUP BY user_id, class QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, class) <= 10""", "track category_map")
 def _(t):
-    return hot.weighted_categories(t.track(), _classes(t), 10)
+    return hot.weighted_categories(t.track(), _classes(t), 10, most_downloads=200)
 
 
 def usage(t):

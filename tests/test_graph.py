@@ -1,5 +1,6 @@
 """Walks, draws, windows and clusters."""
 
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -110,13 +111,27 @@ def test_word2vec_vocabulary(spark):
     assert got == {"a": 4, "b": 4, "c": 4}
 
 
-def test_sequences_are_cut_and_ordered(spark):
-    rows = spark.createDataFrame([("u", n, n * 1000) for n in range(25)], "user_id string, item_id int, time_ms long")
-    got = sorted((r.chunk, r.path) for r in graph.item_sequences(rows, "user_id", "item_id", "time_ms", 10).collect())
-    assert [len(p) for _, p in got] == [10, 10, 5] and got[0][1] == [str(n) for n in range(10)]
-    sliced = graph.item_sequences(rows, "user_id", "item_id", "time_ms", 10, slice_rows=5).orderBy("slice", "chunk").collect()
-    assert [r.slice for r in sliced] == list(range(5))
-    assert [x for r in sliced for x in r.path] == [str(n) for n in range(25)]
+def test_places_follow_time_and_lose_no_pair(spark):
+    rows = [("u", n, n * 1000) for n in range(250)] + [("v", 3, 500), ("v", 2, 500), ("v", 1, 400)]
+    frame = spark.createDataFrame(rows, "user_id string, item_id int, time_ms long")
+    places = graph.item_positions(frame, "user_id", "item_id", "time_ms")
+    got = {(r.walk, r.pos): r.node for r in places.collect()}
+    assert [got["u", n] for n in range(250)] == [str(n) for n in range(250)]
+    assert [got["v", n] for n in range(3)] == ["1", "2", "3"]
+    pairs = graph.skip_gram_pairs(places, 2)
+    assert pairs.count() == 2 * (249 + 248) + 2 * (2 + 1)
+    assert sorted(len(r.path) for r in graph.sentences(places, 100).collect()) == [3, 50, 100, 100]
+
+
+def test_fractional_weights_leave_no_gap_and_no_overlap(spark):
+    rng = random.Random(3)
+    rows = [("h", f"t{n}", rng.random() * 10 ** rng.randrange(-3, 4)) for n in range(3000)] + [("s", "a", 0.1), ("s", "b", 0.2), ("s", "c", 0.7)]
+    frame = spark.createDataFrame(rows, "src string, dst string, weight double")
+    for node in ("h", "s"):
+        spans = sorted((r.low, r.high) for r in sampling.unit_intervals(frame).where(F.col("src") == node).collect())
+        assert spans[0][0] == 0.0 and spans[-1][1] == 1.0
+        assert all(x[1] == y[0] for x, y in zip(spans, spans[1:], strict=False))
+    assert sampling.weighted_draws(frame, 20, "f").count() == 2 * 20
 
 
 def test_silhouette_takes_the_nearest_other_centre(spark):

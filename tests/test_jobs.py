@@ -63,7 +63,7 @@ def test_weighted_categories_score(spark):
     rows = [("u", 1, "item_click", "d"), ("u", 1, "download_install", "d"), ("u", 1, "install", "d"), ("v", 1, "item_click", "d")]
     log = spark.createDataFrame(rows, "user_id string, item_id int, action string, date string")
     classes = spark.createDataFrame([(1, 5)], "item_id int, class int")
-    assert [(r.user_id, r.score) for r in hot.weighted_categories(log, classes, 3).collect()] == [("u", 1.0)]
+    assert [(r.user_id, r.score) for r in hot.weighted_categories(log, classes, 3, most_downloads=200).collect()] == [("u", 1.0)]
 
 
 def test_usage_is_ordered_by_score(spark):
