@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources import dated, docs, logs, sinks
 from .base import joined, query, r6
 from .inputs import AS_OF, NEW_SNAPSHOT, OLD_SNAPSHOT
@@ -39,6 +42,54 @@ def _(t):
     return dated.latest_partition(t.catalog(), AS_OF)
 
 
+@query("read_latest_complete_folder", "SELECT event_id, action, date FROM track WHERE date = '20240119'", "track")
+def _(t):
+    """Folders of three days, the newest of them without its mark."""
+    base, rows = scratch_path(t.spark, "folders"), t.track().select("event_id", "action", "date")
+    for day, marked in (("20240118", True), ("20240119", True), ("20240120", False)):
+        sinks.overwrite_partition(rows.where(F.col("date") == day).drop("date"), base, {"date": day}, marked)
+    day = dated.latest_complete_day(t.spark, base, AS_OF)
+    return dated.read_days(t.spark, base, day, day).select("event_id", "action", "date")
+
+
+@contextmanager
+def _databases(spark, *regions: str):
+    """Databases of their own under the shared folder, gone at the end of the block."""
+    names = {region: f"shoal_{region}_{uuid4().hex}" for region in regions}
+    try:
+        for name in names.values():
+            spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'database')}'")
+        yield names
+    finally:
+        for name in names.values():
+            spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+@query("read_region_table", """SELECT 'RU' AS locale, c_custkey, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'
+    UNION ALL SELECT 'ID', c_custkey, c_acctbal FROM customer WHERE c_mktsegment <> 'BUILDING'""")
+def _(t):
+    customers = t.table("customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    with _databases(t.spark, "ru", "other") as names:
+        for region, rows in (("ru", F.col("c_mktsegment") == "BUILDING"), ("other", F.col("c_mktsegment") != "BUILDING")):
+            customers.where(rows).drop("c_mktsegment").write.saveAsTable(f"{names[region]}.customers", format="parquet")
+        read = [dated.region_table(t.spark, "customers", locale, {"RU": names["ru"]}, names["other"])
+                .select(F.lit(locale).alias("locale"), "c_custkey", "c_acctbal") for locale in ("RU", "ID")]
+        return stored(read[0].unionByName(read[1]), "regions")
+
+
+@query("append_existing_table", """SELECT event_id, action, date FROM track WHERE date <= '20240115'
+    UNION ALL SELECT event_id, action, date FROM track WHERE date > '20240115'""", "track")
+def _(t):
+    """A table that exists, with its partitions, and two appends of which the second has its columns in another order."""
+    rows = t.track().select("event_id", "action", "date")
+    with _databases(t.spark, "append") as names:
+        name = f"{names['append']}.log"
+        t.spark.sql(f"CREATE TABLE {name} (event_id BIGINT, action STRING, date STRING) USING parquet PARTITIONED BY (date)")
+        sinks.append_table(rows.where(F.col("date") <= "20240115"), name)
+        sinks.append_table(rows.where(F.col("date") > "20240115").select("date", "action", "event_id"), name)
+        return stored(t.spark.read.table(name), "appended")
+
+
 @query("read_latest_snapshot", "SELECT item_id, displayname, level, category_id, date FROM latest", "latest")
 def _(t):
     return dated.read_latest(t.catalog(), AS_OF).select("item_id", "displayname", "level", "category_id", "date")

@@ -8,10 +8,14 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 
-def overwrite_partition(df: DataFrame, base: str, partition: dict[str, str]) -> str:
-    """Replace one static partition of a path-partitioned table and return its folder."""
+def overwrite_partition(df: DataFrame, base: str, partition: dict[str, str], marked: bool = True) -> str:
+    """Replace one static partition of a path-partitioned table and return its folder.
+
+    The folder gets a ``_SUCCESS`` mark, unless more is to be written before it counts as complete.
+    """
     folder = "/".join([base, *[f"{k}={v}" for k, v in partition.items()]])
-    df.write.mode("overwrite").parquet(folder)
+    mark = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": str(marked).lower()}
+    df.write.mode("overwrite").options(**mark).parquet(folder)
     return folder
 
 
@@ -35,7 +39,8 @@ def write_json_lines(df: DataFrame, path: str, partitions: int | None = None) ->
 
 
 def append_table(df: DataFrame, table: str) -> None:
-    df.writeTo(table).append()
+    """Add the rows to an existing table, columns by name."""
+    df.select(*df.sparkSession.read.table(table).columns).write.insertInto(table)
 
 
 def write_single_file(df: DataFrame, path: str, kind: str = "csv", options: dict[str, str] | None = None) -> None:
@@ -71,11 +76,12 @@ def gate_reject_rate(results: DataFrame, ok: str = "ok", limit: float = 0.1) ->
 
 def write_rows(df: DataFrame, connect: Callable, statement: str, columns: list[str], attempts: int = 3,
                limit: float = 0.1, pause: float = 0.5) -> dict[str, int]:
-    """Row upserts through a DB-API connection opened once per partition.
+    """Upserts through a DB-API connection opened once per partition.
 
     ``connect`` returns a connection and ``statement`` is a prepared
-    insert-or-update with one placeholder per column. Every row is tried
-    ``attempts`` times; the write fails when more than ``limit`` stay rejected.
+    insert-or-update with one placeholder per column. A batch goes in one
+    transaction; only the rows of a failed batch are tried one by one, each
+    ``attempts`` times. The write fails when more than ``limit`` stay rejected.
     """
 
     def write(batches: Iterable) -> Iterable:
@@ -83,21 +89,29 @@ def write_rows(df: DataFrame, connect: Callable, statement: str, columns: list[s
 
         connection = connect()
         good = bad = 0
+
+        def sent(rows: list[tuple]) -> bool:
+            try:
+                connection.cursor().executemany(statement, rows)
+                connection.commit()
+            except Exception:  # noqa: BLE001 - any driver error counts as a failed try
+                connection.rollback()
+                return False
+            return True
+
+        def sent_at_last(row: tuple) -> bool:
+            for attempt in range(attempts):
+                if attempt:
+                    time.sleep(pause)
+                if sent([row]):
+                    return True
+            return False
+
         try:
             for batch in batches:
-                for values in batch[columns].itertuples(index=False, name=None):
-                    for attempt in range(attempts):
-                        try:
-                            connection.cursor().execute(statement, values)
-                            connection.commit()
-                            good += 1
-                            break
-                        except Exception:  # noqa: BLE001 - any driver error counts as a failed try
-                            connection.rollback()
-                            if attempt == attempts - 1:
-                                bad += 1
-                            else:
-                                time.sleep(pause)
+                rows = list(batch[columns].itertuples(index=False, name=None))
+                accepted = len(rows) if not rows or sent(rows) else sum(sent_at_last(row) for row in rows)
+                good, bad = good + accepted, bad + len(rows) - accepted
         finally:
             connection.close()
         yield pd.DataFrame({"accepted": [good], "rejected": [bad]})

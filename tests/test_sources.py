@@ -85,6 +85,38 @@ def test_row_writer_with_an_in_process_database(spark, tmp_path):
         sinks.write_rows(rows, connect, statement, ["k", "v"], attempts=1, limit=0.01, pause=0)
 
 
+def test_row_writer_sends_good_batches_whole(spark, tmp_path):
+    path = str(tmp_path / "db.sqlite")
+    with sqlite3.connect(path) as con:
+        con.execute("CREATE TABLE t (k INTEGER PRIMARY KEY, v TEXT)")
+    rows = spark.createDataFrame([(n % 30, str(n)) for n in range(60)], "k int, v string").coalesce(1)
+    statement = "INSERT INTO t (k, v) VALUES (?, ?) ON CONFLICT (k) DO UPDATE SET v = excluded.v"
+    assert sinks.write_rows(rows, lambda: sqlite3.connect(path, timeout=30), statement, ["k", "v"]) == {"accepted": 60, "rejected": 0}
+    assert sqlite3.connect(path).execute("SELECT count(*), min(CAST(v AS INTEGER)) FROM t").fetchone() == (30, 30)
+    assert sinks.write_rows(rows.limit(0), lambda: sqlite3.connect(path, timeout=30), statement, ["k", "v"]) == {"accepted": 0, "rejected": 0}
+
+
+def test_unmarked_folder_is_not_complete(spark, tmp_path):
+    base = str(tmp_path / "days")
+    rows = spark.range(3)
+    sinks.overwrite_partition(rows, base, {"date": "20240101"})
+    sinks.overwrite_partition(rows, base, {"date": "20240102"}, marked=False)
+    assert dated.latest_complete_day(spark, base, "20240103") == "20240101"
+    assert dated.read_days(spark, base, "20240102", "20240102").count() == 3
+
+
+def test_append_goes_by_name(spark):
+    name = "append_by_name"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} (a INT, b STRING, d STRING) USING parquet PARTITIONED BY (d)")
+    try:
+        sinks.append_table(spark.createDataFrame([("x", "u", 1)], "d string, b string, a int"), name)
+        sinks.append_table(spark.createDataFrame([(2, "v", "x")], "a int, b string, d string"), name)
+        assert sorted(map(tuple, spark.read.table(name).collect())) == [(1, "u", "x"), (2, "v", "x")]
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_jdbc_options_carry_the_range(spark):
     options = jdbc.jdbc_options("jdbc:x", "t", "u", "p", "id", 0, 100, 4)
     assert options["numPartitions"] == "4" and options["partitionColumn"] == "id" and options["dbtable"] == "t"
