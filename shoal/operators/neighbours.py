@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -14,6 +15,10 @@ from .topn import top_n
 BLOCK_ROWS = 2048
 # Rows per step inside a block pair when distances need the full difference.
 _STEP = 64
+# Dimensions of that difference held at once.
+_DIMS = 32
+# Rows below which a block is not cut further for the sake of idle cores.
+SMALL_BLOCK = 256
 
 _NEAREST = "id string, item string, score double"
 
@@ -59,7 +64,10 @@ def all_pairs_top_n(rows: DataFrame, member: str, block_rows: int, scores_of: Ca
     yields the n best of its rows in both directions, so at most n rows per row
     and cell leave it.
     """
-    blocks = rows.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / block_rows)).cast("int").alias("n")).scalar()
+    # Enough cells for all cores, unless blocks would become small.
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    spread = F.least(F.lit(math.ceil(math.sqrt(2 * cores))), F.ceil(F.count("*") / SMALL_BLOCK))
+    blocks = rows.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / block_rows), spread).cast("int").alias("n")).scalar()
     placed = (rows.withColumn("_blocks", blocks).withColumn("_block", F.pmod(F.xxhash64(member), F.col("_blocks")).cast("int"))
               .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks"))
     cells = placed.withColumn("_row", F.least("_block", "_other")).withColumn("_col", F.greatest("_block", "_other")).drop("_other")
@@ -98,7 +106,10 @@ def _similarities(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     if metric == "euclidean":
         out = np.empty((len(a), len(b)))
         for start in range(0, len(a), _STEP):
-            out[start:start + _STEP] = -np.sqrt(((a[start:start + _STEP, None, :] - b[None, :, :]) ** 2).sum(axis=2))
+            squares = np.zeros((len(a[start:start + _STEP]), len(b)))
+            for d in range(0, a.shape[1], _DIMS):
+                squares += ((a[start:start + _STEP, None, d:d + _DIMS] - b[None, :, d:d + _DIMS]) ** 2).sum(axis=2)
+            out[start:start + _STEP] = -np.sqrt(squares)
         return out
     lengths = np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=1)[None, :]
     return np.divide(a @ b.T, lengths, out=np.zeros((len(a), len(b))), where=lengths > 0)
