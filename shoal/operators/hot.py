@@ -376,9 +376,24 @@ def knn_rows_to_lists(rows: DataFrame, n: int = 100, base: float = 100.0, max_di
     return top_n(scored, ["id"], [F.desc("score"), F.asc("item")], n)
 
 
-# Prefix and length of a hot query's catalog id.
+# Prefix and length of a hot query's catalog id, its title and where it is available.
 QUERY_PREFIX, QUERY_ID_LENGTH = "bs_", 17
+QUERY_TITLE, QUERY_AVAILABILITY = "全网热搜", "browser"
 
 
 def query_id(source_id: Column) -> Column:
     return F.substring(F.concat(F.lit(QUERY_PREFIX), source_id), 1, QUERY_ID_LENGTH)
+
+
+def project_hot_queries(queries: DataFrame) -> DataFrame:
+    """The source columns as ``org_*`` text, and the catalog's own columns of a hot query."""
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.S")
+    day = lambda c: F.date_format(c, "yyyyMMdd")
+    plain = ("id", "name", "source", "image_url", "abstract", "type", "category", "position", "status")
+    return queries.select(
+        *[F.col(c).cast("string").alias(f"org_{c}") for c in plain],
+        stamp("create_time").alias("org_create_time"), stamp("update_time").alias("org_update_time"),
+        F.col("show_title").cast("string").alias("org_show_title"), query_id(F.col("id").cast("string")).alias("id"),
+        F.lit(QUERY_TITLE).alias("title"), F.col("name").alias("subtitle"), F.lit("").alias("url"),
+        day("create_time").alias("create_time_date"), day("update_time").alias("update_time_date"),
+        F.lit(QUERY_AVAILABILITY).alias("availability"))

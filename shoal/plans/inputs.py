@@ -152,6 +152,13 @@ class Tables:
             F.count_distinct(F.when(F.col("date") >= week, F.col("date"))).alias("click_days_week"),
             F.count_distinct("date").alias("click_days_month"))
 
+    def push_customers(self) -> DataFrame:
+        """All customers as push users, with clicks from their columns; most of them never search."""
+        clicks = F.col("c_nationkey").cast("long")
+        return self.table("customer").select(
+            F.col("c_custkey").cast("string").alias("user_id"), (clicks % 5).alias("clicks_week"), clicks.alias("clicks_month"),
+            (clicks % 5).alias("click_days_week"), clicks.alias("click_days_month"))
+
     def searches(self) -> DataFrame:
         """``user_id, time_ms, date`` of searches."""
         return self.track().where(F.col("action") == "item_exposure").select("user_id", "time_ms", "date")

@@ -179,12 +179,12 @@ def _(t):
     return t.spark.read.parquet(path).select("package", "user_id")
 
 
-@query("audience_search_or_random_hour", f"""WITH p AS (SELECT user_id FROM push_users WHERE clicks_week >= 3),
+@query("audience_search_or_random_hour", f"""WITH p AS (SELECT user_id FROM push_customers WHERE clicks_week >= 3),
     a AS (SELECT p.user_id, coalesce(h.hour, CAST(floor({u01('hour', 'p.user_id')} * 15) + 8 AS INTEGER)) AS hour FROM p LEFT JOIN
-        (SELECT DISTINCT user_id, hour FROM search_hours WHERE date BETWEEN '20240128' AND '20240130') h ON p.user_id = h.user_id)
-    SELECT user_id, hour FROM a WHERE {u01('share', 'user_id', 'hour')} < 0.5""", "push_users search_hours")
+        (SELECT DISTINCT user_id, hour FROM search_hours WHERE date BETWEEN '20240101' AND '20240130') h ON p.user_id = h.user_id)
+    SELECT user_id, hour FROM a WHERE {u01('share', 'user_id', 'hour')} < 0.5""", "push_customers search_hours")
 def _(t):
-    rows = audience.search_or_random_hour(t.searches(), t.push_users(), ("20240128", "20240130"), "hour", min_week=3)
+    rows = audience.search_or_random_hour(t.searches(), t.push_customers(), _MONTH, "hour", min_week=3)
     return sampling.hash_sample(rows, 0.5, "share", "user_id", "hour")
 
 
@@ -202,10 +202,10 @@ def _(t):
     return audience.month_not_week(t.searches(), t.push_users(), _MONTH, 3, 3)
 
 
-@query("audience_random_hour", f"""SELECT user_id, CAST(floor({u01('lonely', 'user_id')} * 15) + 8 AS INTEGER) AS hour FROM push_users WHERE clicks_month > 0
-    AND user_id NOT IN (SELECT user_id FROM searches WHERE date BETWEEN '20240127' AND '20240130')""", "push_users searches")
+@query("audience_random_hour", f"""SELECT user_id, CAST(floor({u01('lonely', 'user_id')} * 15) + 8 AS INTEGER) AS hour FROM push_customers WHERE clicks_month > 0
+    AND user_id NOT IN (SELECT user_id FROM searches WHERE date BETWEEN '20240101' AND '20240130')""", "push_customers searches")
 def _(t):
-    return audience.without_search(t.searches(), t.push_users(), ("20240127", "20240130"), "lonely")
+    return audience.without_search(t.searches(), t.push_customers(), _MONTH, "lonely")
 
 
 def _hours_sql(seed: str, hours: tuple[int, ...], users: str) -> str:
@@ -231,11 +231,11 @@ def _(t):
     return audience.lapsed_n_hours(t.searches(), t.push_users(), _MONTH, "lapsed")
 
 
-@query("audience_no_search", """SELECT user_id FROM (SELECT DISTINCT user_id FROM push_users WHERE click_days_week > 1 AND clicks_week > 1)
-    WHERE user_id NOT IN (SELECT user_id FROM searches WHERE date BETWEEN '20240127' AND '20240130') UNION ALL SELECT user_id FROM allow_users""",
-       "push_users searches allow_users")
+@query("audience_no_search", """SELECT user_id FROM (SELECT DISTINCT user_id FROM push_customers WHERE click_days_week > 1 AND clicks_week > 1)
+    WHERE user_id NOT IN (SELECT user_id FROM searches WHERE date BETWEEN '20240101' AND '20240130') UNION ALL SELECT user_id FROM allow_users""",
+       "push_customers searches allow_users")
 def _(t):
-    return audience.no_search(t.searches(), t.push_users(), ("20240127", "20240130"), t.allow_users())
+    return audience.no_search(t.searches(), t.push_customers(), _MONTH, t.allow_users())
 
 
 @query("split_audience", f"""SELECT CAST(floor({u01('split', 'user_id')} * 4) + 1 AS INTEGER) AS part, user_id FROM push_users
@@ -244,10 +244,16 @@ def _(t):
     return audience.split_audience(t.push_users().select("user_id"), t.allow_users(), 4, "split")
 
 
-@query("hot_query_project", """SELECT substr('bs_' || md5(p_name || p_partkey), 1, 17) AS id, CAST(p_partkey AS VARCHAR) AS org_id, p_name AS subtitle, '' AS url,
-    strftime(o_orderdate, '%Y%m%d') AS create_time_date, 'browser' AS availability FROM part JOIN orders ON p_partkey = o_orderkey""")
+@query("hot_query_project", """SELECT CAST(o_orderkey AS VARCHAR) AS org_id, o_orderpriority AS org_name, 'orders' AS org_source, '' AS org_image_url,
+    CAST(o_custkey AS VARCHAR) AS org_abstract, o_orderstatus AS org_type, o_orderpriority AS org_category, CAST(o_custkey % 50 AS VARCHAR) AS org_position,
+    CASE o_orderstatus WHEN 'F' THEN '1' ELSE '0' END AS org_status, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '.0' AS org_create_time,
+    strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') || '.0' AS org_update_time, o_orderstatus AS org_show_title,
+    substr('bs_' || o_orderkey, 1, 17) AS id, '全网热搜' AS title, o_orderpriority AS subtitle, '' AS url, strftime(o_orderdate, '%Y%m%d') AS create_time_date,
+    strftime(o_orderdate + INTERVAL 1 DAY, '%Y%m%d') AS update_time_date, 'browser' AS availability FROM orders""")
 def _(t):
-    rows = t.table("part").join(t.table("orders"), F.col("p_partkey") == F.col("o_orderkey"))
-    return rows.select(hot.query_id(F.md5(F.concat("p_name", F.col("p_partkey").cast("string")))).alias("id"), F.col("p_partkey").cast("string").alias("org_id"),
-                       F.col("p_name").alias("subtitle"), F.lit("").alias("url"),
-                       F.date_format("o_orderdate", "yyyyMMdd").alias("create_time_date"), F.lit("browser").alias("availability"))
+    status, made = F.col("o_orderstatus"), F.col("o_orderdate")
+    return hot.project_hot_queries(t.table("orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"), F.lit("orders").alias("source"), F.lit("").alias("image_url"),
+        F.col("o_custkey").alias("abstract"), status.alias("type"), F.col("o_orderpriority").alias("category"),
+        (F.col("o_custkey") % 50).alias("position"), F.when(status == "F", 1).otherwise(0).alias("status"), made.alias("create_time"),
+        (made + F.expr("INTERVAL 1 DAY")).alias("update_time"), status.alias("show_title")))

@@ -59,6 +59,8 @@ _CTES: dict[str, tuple[str, str]] = {
     "push_users": ("track", """SELECT user_id, count(*) FILTER (date >= '20240124') AS clicks_week, count(*) AS clicks_month,
         count(DISTINCT date) FILTER (date >= '20240124') AS click_days_week, count(DISTINCT date) AS click_days_month
         FROM track WHERE action = 'item_click' AND date < '20240131' AND date >= '20240101' GROUP BY user_id"""),
+    "push_customers": ("", """SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_nationkey % 5 AS clicks_week, c_nationkey AS clicks_month,
+        c_nationkey % 5 AS click_days_week, c_nationkey AS click_days_month FROM customer"""),
     "searches": ("track", "SELECT user_id, time_ms, date FROM track WHERE action = 'item_exposure'"),
     "search_hours": ("searches", """SELECT DISTINCT user_id, CAST((time_ms // 3600000) % 24 AS INTEGER) AS hour, date FROM searches"""),
     "allow_users": ("", "SELECT CAST(c_custkey AS VARCHAR) AS user_id FROM customer WHERE c_acctbal > 9500"),
