@@ -6,6 +6,8 @@ import math
 
 from pyspark.sql import Column, functions as F
 
+from .draws import draw_int
+
 # The score interval's z and the smoothing of its formula.
 WILSON_Z = 1.96
 
@@ -74,7 +76,8 @@ def ucb_sqrt(rate, mean_trials, trials) -> Column:
 
 
 def hash_bucket(c, n: int) -> Column:
-    return F.pmod(F.hash(as_col(c)), F.lit(n))
+    """Bucket from 0 to n - 1 of a value's text, by its MD5."""
+    return F.pmod(draw_int("bucket", as_col(c)), F.lit(n)).cast("int")
 
 
 def finite(c) -> Column:

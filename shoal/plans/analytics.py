@@ -126,20 +126,25 @@ def _(t):
     return neighbours.recall_against(found, neighbours.knn(t.vectors(), 10))
 
 
-define("tfidf", "texts", """SELECT id, term, tf * ln(((SELECT count(*) FROM texts) + 1) / (df + 1)) AS weight FROM
-    (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(words) AS term FROM texts) GROUP BY ALL)
-    JOIN (SELECT term, count(DISTINCT id) AS df FROM (SELECT id, unnest(words) AS term FROM texts) GROUP BY term) USING (term)""")
+_TFIDF = """SELECT id, term, tf * ln(((SELECT count(*) FROM texts) + 1) / (df + 1)) AS weight FROM
+    (SELECT id, term, count(*) AS tf FROM (SELECT id, {term} AS term FROM (SELECT id, unnest(words) AS word FROM texts)) GROUP BY ALL)
+    JOIN (SELECT term, count(DISTINCT id) AS df FROM (SELECT id, {term} AS term FROM (SELECT id, unnest(words) AS word FROM texts)) GROUP BY term) USING (term)"""
+define("tfidf", "texts", _TFIDF.format(term="word"))
+define("tfidf_buckets", "texts", _TFIDF.format(term=f"CAST({draw('bucket', 'word')} % 4096 AS BIGINT)"))
 
 
-@query("tfidf_topn", """WITH n AS (SELECT id, sqrt(sum(weight * weight)) AS norm FROM tfidf GROUP BY id HAVING sum(weight * weight) > 0),
-    u AS (SELECT t.id, term, weight / norm AS w FROM tfidf t JOIN n ON t.id = n.id WHERE weight <> 0),
+_TFIDF_TOP = """WITH n AS (SELECT id, sqrt(sum(weight * weight)) AS norm FROM {tfidf} GROUP BY id HAVING sum(weight * weight) > 0),
+    u AS (SELECT t.id, term, weight / norm AS w FROM {tfidf} t JOIN n ON t.id = n.id WHERE weight <> 0),
     s AS (SELECT a.id, b.id AS item, round(sum(a.w * b.w), 12) AS score FROM u a JOIN u b ON a.term = b.term AND a.id <> b.id GROUP BY ALL)
-    SELECT id, item, round(score, 6) AS score FROM s WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, item) <= 10""", "tfidf")
+    SELECT id, item, round(score, 6) AS score FROM s WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, item) <= 10"""
+
+
+@query("tfidf_topn", _TFIDF_TOP.format(tfidf="tfidf"), "tfidf")
 def _(t):
     return textsim.tfidf_top_n(t.texts(), 10).select("id", "item", r6("score"))
 
 
-@query("tfidf_hashed")
+@query("tfidf_hashed", _TFIDF_TOP.format(tfidf="tfidf_buckets"), "tfidf_buckets")
 def _(t):
     return textsim.tfidf_top_n(t.texts(), 10, features=4096).select("id", "item", r6("score"))
 

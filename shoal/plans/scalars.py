@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from ..functions import dates, nested, numeric, sql as sql_functions, text
 from .base import joined, query, r6
-from .sqltext import define, wilson_sql
+from .sqltext import define, draw, wilson_sql
 
 
 @query("fn_round_step", "SELECT c_custkey, floor(c_acctbal * 100 + 0.5) / 100 AS cents, floor(c_acctbal * 4 + 0.5) / 4 AS quarters FROM customer")
@@ -49,7 +49,7 @@ def _(t):
     return _vector_pairs(t).select("vec_id", r6(numeric.cosine("x", "y"), "similarity"), r6(numeric.cosine(F.col("x"), zeros), "with_zero"))
 
 
-@query("fn_hash_bucket")
+@query("fn_hash_bucket", f"SELECT CAST({draw('bucket', 'c_name')} % 16 AS INTEGER) AS bucket, count(*) AS n FROM customer GROUP BY 1")
 def _(t):
     return t.table("customer").groupBy(numeric.hash_bucket("c_name", 16).alias("bucket")).agg(F.count("*").alias("n"))
 

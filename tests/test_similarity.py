@@ -132,3 +132,13 @@ def test_symmetric_and_diff(spark):
     new = spark.createDataFrame([(1, "x"), (2, "y2"), (3, "z"), (4, None)], "k int, icon string")
     old = spark.createDataFrame([(1, "x"), (2, "y")], "k int, icon string")
     assert {r.icon for r in sets.snapshot_diff(new, old, "k", "icon").collect()} == {"y2", "z"}
+
+
+def test_rare_terms_in_steps_equal_one_product(monkeypatch):
+    rng = np.random.default_rng(3)
+    left, right = rng.random((7, 60)) * (rng.random((7, 60)) < 0.2), rng.random((9, 60)) * (rng.random((9, 60)) < 0.2)
+    sides = [(*np.nonzero(m), m[np.nonzero(m)]) for m in (left, right)]
+    for step in (1, 5, 1 << 22):
+        monkeypatch.setattr(textsim, "_PRODUCT_STEP", step)
+        monkeypatch.setattr(textsim, "_COMMON_SHARE", 1.0)
+        assert np.allclose(textsim._sparse_product(*sides, 7, 9), left @ right.T)
