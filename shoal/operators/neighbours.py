@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable
 
@@ -170,6 +171,12 @@ def neighbour_text(lists: DataFrame, digits: int = 6) -> DataFrame:
     return lists.groupBy("id").agg(F.array_join(F.transform(ordered, lambda e: e["part"]), ",").alias("value"))
 
 
+def sign_planes(seed, count: int, dim: int) -> np.ndarray:
+    """Projections with entries 1 and -1, drawn as functions/draws.py draws from plane and dimension."""
+    digests = [hashlib.md5(f"{seed}|{p}|{d}".encode()).hexdigest() for p in range(count) for d in range(dim)]
+    return np.array([1.0 - 2.0 * (int(x[:8], 16) % 2) for x in digests]).reshape(count, dim)
+
+
 def knn_lsh(vectors: DataFrame, n: int = 100, bits: int = 8, tables: int = 16, min_similarity: float | None = None,
             allow: DataFrame | None = None, deny: DataFrame | None = None, seed: int = 42,
             block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -180,7 +187,7 @@ def knn_lsh(vectors: DataFrame, n: int = 100, bits: int = 8, tables: int = 16, m
     is spread over many tasks.
     """
     dim = vectors.select(F.size("vector").alias("d")).first().d
-    planes = np.random.default_rng(seed).standard_normal((tables * bits, dim))
+    planes = sign_planes(seed, tables * bits, dim)
     powers = 1 << np.arange(bits)
 
     @F.pandas_udf("array<int>")

@@ -120,10 +120,15 @@ def _(t):
     return neighbours.neighbour_text(neighbours.knn(t.vectors(), 5))
 
 
-@query("knn_lsh")
+@query("knn_lsh", f"""WITH planes AS (SELECT p, list(CAST(1 - 2 * ({draw('lsh', 'p', 'd')} % 2) AS DOUBLE) ORDER BY d) AS plane FROM
+        (SELECT range AS p FROM range(96)), (SELECT unnest(range((SELECT max(len(vector)) FROM vectors))) AS d) GROUP BY p),
+    sig AS (SELECT id, p // 4 AS t, sum(CASE WHEN list_inner_product(CAST(vector AS DOUBLE[]), plane) >= 0 THEN 1 << CAST(p % 4 AS INTEGER) ELSE 0 END) AS bucket
+        FROM vectors, planes GROUP BY ALL),
+    met AS (SELECT DISTINCT x.id, y.id AS item FROM sig x JOIN sig y ON x.t = y.t AND x.bucket = y.bucket AND x.id <> y.id),
+    near AS (SELECT m.id, m.item, list_cosine_similarity(a.vector, b.vector) AS score FROM met m JOIN vectors a ON a.id = m.id JOIN vectors b ON b.id = m.item)
+    SELECT id, item, round(score, 6) AS score FROM near QUALIFY row_number() OVER (PARTITION BY id ORDER BY round(score, 12) DESC, item) <= 10""", "vectors")
 def _(t):
-    found = neighbours.knn_lsh(t.vectors(), 10, bits=4, tables=24)
-    return neighbours.recall_against(found, neighbours.knn(t.vectors(), 10))
+    return neighbours.knn_lsh(t.vectors(), 10, bits=4, tables=24, seed="lsh").select("id", "item", r6("score"))
 
 
 _TFIDF = """SELECT id, term, tf * ln(((SELECT count(*) FROM texts) + 1) / (df + 1)) AS weight FROM
