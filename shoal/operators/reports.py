@@ -147,11 +147,26 @@ def active_stats(track: DataFrame) -> DataFrame:
 
 
 def funnel_report(track: DataFrame, by_model: bool = False) -> DataFrame:
-    """Means over the experiments (or per experiment) that reached every stage, with uninstall rates."""
-    joined = reduce(lambda a, b: a.join(b, _DIMS), [exposure_stats(track), download_stats(track), install_stats(track), active_stats(track)])
+    """Means over the experiments (or per experiment) that reached every stage, with uninstall rates.
+
+    The track is folded once, to one row per user and item with the counts of all stages.
+    """
+    gap = F.col("uninstall_ms") - F.col("time_ms")
+    home = _reached_home()
+    downloaded = home & _user_install(REQUESTED)
+    folded = track.dropna(subset=_DIMS).groupBy(*_DIMS, "user_id", "item_id").agg(
+        F.count_if(F.col("page").isin(*HOME_PAGES) & (F.col("action") == "item_exposure")).alias("s"),
+        F.count_if(downloaded).alias("d"), F.count_if(home & _user_install(INSTALLED)).alias("i"),
+        F.count_if(home & (F.col("action") == "activate")).alias("a"), F.count_if(downloaded & (gap > 0)).alias("u"),
+        F.count_if(downloaded & (gap > 0) & (gap < HOUR_MS)).alias("h"))
+    counts = folded.groupBy(*_DIMS).agg(
+        F.sum("s").alias("exposure_app_pv"), F.count_if(F.col("d") > 0).alias("download_puv"),
+        F.count_if(F.col("i") > 0).alias("install_puv"), F.sum("u").alias("uninstall_puv_day"),
+        F.sum("h").alias("uninstall_puv_hour"), F.sum("a").alias("active_pv"))
+    reached = counts.where("download_puv > 0 AND install_puv > 0 AND active_pv > 0")
     names = ["exposure_app_pv", "download_puv", "install_puv", "uninstall_puv_day", "uninstall_puv_hour"]
     dims = _DIMS if by_model else ["date", "level"]
-    means = joined.groupBy(*dims).agg(*[F.avg(n).alias(n) for n in names])
+    means = reached.groupBy(*dims).agg(*[F.avg(n).alias(n) for n in names])
     rate = lambda n: F.round(ratio(n, "install_puv"), 4)
     return (means.withColumn("uninstall_day_rate", rate("uninstall_puv_day"))
             .withColumn("uninstall_hour_rate", rate("uninstall_puv_hour")))
