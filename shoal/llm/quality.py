@@ -11,7 +11,7 @@ similarity.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -72,6 +72,21 @@ def term_counts(texts: list[bytes]) -> np.ndarray:
     return out
 
 
+def sparse(row: np.ndarray) -> tuple[bytes, bytes]:
+    """The places of a row's terms and their weights."""
+    at = np.flatnonzero(row).astype("<u2")
+    return at.tobytes(), row[at].tobytes()
+
+
+def dense(places: Iterable[bytes], terms: Iterable[bytes]) -> np.ndarray:
+    """Rows of terms from those of ``sparse``."""
+    places = list(places)
+    out = np.zeros((len(places), PLACES), dtype=np.float32)
+    for row, at, weights in zip(out, places, terms, strict=True):
+        row[np.frombuffer(at, dtype="<u2")] = np.frombuffer(weights, dtype=np.float32)
+    return out
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
     """``doc_id, text, label`` of at most ``PER_LABEL`` texts per label, those with the smallest hash of their id.
 
@@ -87,12 +102,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFr
 
 
 class Voters:
-    """The map and the mapped sample: (places × dimensions) and (sample × dimensions) numbers."""
+    """The map and the mapped sample: (places × dimensions) and (sample × dimensions) numbers.
+
+    The sample's terms are weighed in place, as they are the largest thing the driver holds.
+    """
 
     def __init__(self, terms: np.ndarray, labels: np.ndarray):
         rng = np.random.default_rng(7)
         self.idf = np.log((1 + len(terms)) / (1 + (terms > 0).sum(axis=0))).astype(np.float32) + 1
-        x = self._weighed(terms)
+        x = self._weighed(terms, out=terms)
         draw = rng.standard_normal((x.shape[1], DIMENSIONS + 16)).astype(np.float32)
         basis = x @ draw
         for _ in range(3):
@@ -105,9 +123,10 @@ class Voters:
         self.vectors = self._mapped(x)
         self.labels = labels.astype(np.float32)
 
-    def _weighed(self, terms: np.ndarray) -> np.ndarray:
-        x = terms * self.idf
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    def _weighed(self, terms: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+        x = np.multiply(terms, self.idf, out=out)
+        x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-12)[:, None]
+        return x
 
     def _mapped(self, x: np.ndarray) -> np.ndarray:
         z = x @ self.map
@@ -133,16 +152,15 @@ def score_of(docs: DataFrame, labels: DataFrame, learn: Column) -> Callable[[Col
         for batch in batches:
             texts = [as_bytes(t) for t in batch["text"]]
             for part in batches_of(texts):
-                rows = term_counts(texts[part])
+                rows = [sparse(r) for r in term_counts(texts[part])]
                 yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[part].array, "label": batch["label"].iloc[part].array,
-                                    "terms": [r.tobytes() for r in rows]})
+                                    "places": [at for at, _ in rows], "terms": [r for _, r in rows]})
 
     drawn = labelled_sample(docs, labels, learn).select(F.col("doc_id").cast("long"), "text", "label").mapInPandas(
-        vectors, "doc_id long, label int, terms binary").toPandas().sort_values(["doc_id", "terms"])
+        vectors, "doc_id long, label int, places binary, terms binary").toPandas().sort_values(["doc_id", "places", "terms"])
     voters = None
     if len(drawn):
-        terms = np.frombuffer(b"".join(drawn["terms"]), dtype=np.float32).reshape(-1, PLACES)
-        voters = Voters(terms, drawn["label"].to_numpy())
+        voters = Voters(dense(drawn["places"], drawn["terms"]), drawn["label"].to_numpy())
     shared = docs.sparkSession.sparkContext.broadcast(voters)  # bounded by the sample and the dimensions
 
     @F.pandas_udf("double")
