@@ -107,9 +107,12 @@ def search_bucket(query_ids: np.ndarray, queries: np.ndarray, least: np.ndarray,
         q, t = queries[i] / own[i], min(cosine[i], 1.0)
         fit = np.arange(len(ids))
         for f in np.argsort(-np.abs(q))[:FOCUS]:
-            width = np.sqrt(max(0.0, (1 - t * t) * (1 - q[f] * q[f]))) + 1e-7
+            width = np.sqrt(max(0.0, (1 - t * t) * (1 - q[f] * q[f])))
+            # Beyond t the axis itself lies within reach, so that the coordinate goes up to its end.
+            low = -1.0 if q[f] < -t else q[f] * t - width
+            high = 1.0 if q[f] > t else q[f] * t + width
             x = vectors[fit, f] / np.maximum(lengths[fit], 1e-300)
-            fit = fit[np.abs(x - q[f] * t) <= width]
+            fit = fit[(x >= low - 1e-7) & (x <= high + 1e-7)]
         found += best(int(query_ids[i]), products(queries[i:i + 1], vectors[fit])[0], ids[fit], k, least[i])
     rest = np.flatnonzero(~near)
     with np.errstate(divide="ignore", invalid="ignore"):

@@ -59,6 +59,38 @@ def test_pruning_loses_nothing():
     assert topk.products(huge[:1], huge).tolist() == [[2**63 - 1, 2**63 - 1]]
 
 
+def test_pruning_keeps_parallel_and_sparse_vectors():
+    rng = np.random.default_rng(4)
+    cases = [rng.integers(-1000, 1000, (300, dim)) for dim in (1, 2)]
+    for dim in (3, 16):  # one dominant coordinate of either sign, of different lengths
+        axes = np.eye(dim)[rng.integers(dim, size=300)] * rng.choice([-1, 1], (300, 1)) * rng.integers(500, 1500, (300, 1))
+        cases += [axes, axes + rng.standard_normal((300, dim)) * 100]
+    cases.append(np.array([[950, 312], [1900, 624], [2375, 780], [1000, 800]]))
+    for vectors in cases:
+        vectors = np.unique(np.floor(vectors).astype(np.int64), axis=0)
+        vectors = vectors[np.argsort(-topk._lengths(vectors), kind="stable")]
+        ids, n = np.arange(len(vectors)), len(vectors)
+        scores = topk.products(vectors, vectors)
+        for place in (1, 3, 12):  # bounds from tight to loose
+            least = np.sort(scores, axis=1)[:, -min(place, n)].astype(float)
+            got = collections.defaultdict(list)
+            for q, i, s in topk.search_bucket(ids, vectors, least, ids, vectors, 10):
+                got[q].append((-s, i))
+            for q, row in enumerate(scores):
+                want = sorted((-int(s), i) for i, s in enumerate(row) if i != q and s >= least[q])[:10]
+                assert sorted(got[q]) == want
+
+
+def test_top_k_of_one_hot_like_vectors(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(rng.standard_normal() * 5)]) for i in range(300)]
+    rows += [(1000 + i, (np.eye(4)[rng.integers(4)] * rng.uniform(-9, 9) + rng.standard_normal(4) * 0.1).tolist()) for i in range(600)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").select("vec_id", topk.scaled(F.col("embedding")).alias("numbers"))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(topk, "BUCKET", 64)
+        assert sorted(map(tuple, topk.top_k(vectors, F.col("vec_id") % 100 == 0, 10).collect())) == brute_top(rows, 10)
+
+
 @pytest.fixture(scope="module")
 def judged(spark, make_docs):
     rng = random.Random(3)
