@@ -6,7 +6,7 @@ three-word runs and how many words at once it repeats, and how long its words ar
 sample of labelled texts give a latent-semantic map (truncated SVD of weighted
 terms). The mapped sample is broadcast, every text is compared with all of it by
 blocked matrix products, and the labels of its nearest neighbours vote, each by its
-similarity.
+similarity and by the number of labelled texts it stands for.
 """
 
 from __future__ import annotations
@@ -88,16 +88,19 @@ def dense(places: Iterable[bytes], terms: Iterable[bytes]) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
-    """``doc_id, text, label`` of at most ``PER_LABEL`` texts per label, those with the smallest hash of their id.
+    """``doc_id, text, label, stands`` of at most ``PER_LABEL`` texts per label, those with the smallest hash of their id.
 
-    Rows without an id or a label aren't learnt from; an id with several labels counts with the smallest.
+    ``stands`` is how many labelled ids each one stands for: all of its label over those drawn. Rows without an id or a label aren't learnt from; an id with several labels counts with the smallest.
     """
     marked = (labels.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull()).groupBy("doc_id")
               .agg(F.min("label").alias("label")).filter(learn))
     order = [F.md5(F.col("doc_id").cast("string").cast("binary")), F.col("doc_id")]
     ranked = marked.withColumn("nth", F.row_number().over(Window.partitionBy("label").orderBy(*order)))
     rows = ranked.filter(F.col("nth") <= PER_LABEL).select("doc_id", "label").collect()  # at most PER_LABEL per label
-    picked = docs.sparkSession.createDataFrame([tuple(r) for r in rows], "doc_id long, label int")
+    counts = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}  # one row per label
+    picked = docs.sparkSession.createDataFrame(
+        [(r["doc_id"], r["label"], counts[r["label"]] / min(counts[r["label"]], PER_LABEL)) for r in rows],
+        "doc_id long, label int, stands double")
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
 
@@ -107,7 +110,7 @@ class Voters:
     The sample's terms are weighed in place, as they are the largest thing the driver holds.
     """
 
-    def __init__(self, terms: np.ndarray, labels: np.ndarray):
+    def __init__(self, terms: np.ndarray, labels: np.ndarray, stands: np.ndarray):
         rng = np.random.default_rng(7)
         self.idf = np.log((1 + len(terms)) / (1 + (terms > 0).sum(axis=0))).astype(np.float32) + 1
         x = self._weighed(terms, out=terms)
@@ -122,6 +125,7 @@ class Voters:
         self.map = np.ascontiguousarray(rows[:DIMENSIONS].T)
         self.vectors = self._mapped(x)
         self.labels = labels.astype(np.float32)
+        self.stands = stands
 
     def _weighed(self, terms: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
         x = np.multiply(terms, self.idf, out=out)
@@ -133,11 +137,15 @@ class Voters:
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
 
     def score(self, terms: np.ndarray) -> np.ndarray:
-        """Share of good labels among the nearest neighbours, weighted by similarity; ties at the edge all vote."""
+        """Share of good labels among the nearest neighbours; ties at the edge all vote.
+
+        A vote counts by similarity and by how many labelled texts its text stands for, so that a thinned label
+        keeps its share.
+        """
         similar = self._mapped(self._weighed(terms)) @ self.vectors.T
         k = min(NEIGHBOURS, similar.shape[1])
         edge = np.partition(similar, similar.shape[1] - k, axis=1)[:, -k][:, None]
-        weight = np.where(similar >= edge, np.maximum(similar, 1e-6) ** 4, 0)
+        weight = np.where(similar >= edge, np.maximum(similar, 1e-6) ** 4, 0) * self.stands
         return np.clip((weight @ self.labels) / weight.sum(axis=1), 0, 1)
 
 
@@ -145,7 +153,7 @@ def score_of(docs: DataFrame, labels: DataFrame, learn: Column) -> Callable[[Col
     """A function from a text column to its score; fitted on ``docs`` and ``labels`` (doc_id, label) where ``learn`` holds.
 
     The score is from 0 to 1, higher for texts like those labelled 1. Null texts count as empty, and an empty text
-    is as near to every labelled text as to any other: it gets the share of good labels in the sample. Without any
+    is as near to every labelled text as to any other: it gets the share of good labels. Without any
     label the score is 1, as nothing speaks against a text.
     """
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,13 +162,14 @@ def score_of(docs: DataFrame, labels: DataFrame, learn: Column) -> Callable[[Col
             for part in batches_of(texts):
                 rows = [sparse(r) for r in term_counts(texts[part])]
                 yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[part].array, "label": batch["label"].iloc[part].array,
+                                    "stands": batch["stands"].iloc[part].array,
                                     "places": [at for at, _ in rows], "terms": [r for _, r in rows]})
 
-    drawn = labelled_sample(docs, labels, learn).select(F.col("doc_id").cast("long"), "text", "label").mapInPandas(
-        vectors, "doc_id long, label int, places binary, terms binary").toPandas().sort_values(["doc_id", "places", "terms"])
+    drawn = labelled_sample(docs, labels, learn).select(F.col("doc_id").cast("long"), "text", "label", "stands").mapInPandas(
+        vectors, "doc_id long, label int, stands double, places binary, terms binary").toPandas().sort_values(["doc_id", "places", "terms"])
     voters = None
     if len(drawn):
-        voters = Voters(dense(drawn["places"], drawn["terms"]), drawn["label"].to_numpy())
+        voters = Voters(dense(drawn["places"], drawn["terms"]), drawn["label"].to_numpy(), drawn["stands"].to_numpy())
     shared = docs.sparkSession.sparkContext.broadcast(voters)  # bounded by the sample and the dimensions
 
     @F.pandas_udf("double")

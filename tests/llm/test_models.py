@@ -119,6 +119,20 @@ def test_quality_on_held_out_documents(judged, no_docs):
     assert {r.score for r in quality.scored(docs, labels.limit(0), learn).collect()} == {1.0}
 
 
+def test_scores_do_not_depend_on_the_size_of_the_sample(spark, make_docs, monkeypatch):
+    rng = random.Random(11)
+    rows = [(i, " ".join(rng.choice(["one", "two", "three", "four", "five", "six"]) for _ in range(40)), "en", "a") for i in range(1200)]
+    rows.append((2000, "", "en", "a"))
+    marks = [(i, int(rng.random() < 0.75)) for i in range(1000)]  # labels say nothing about these texts: every neighbourhood is mixed
+    docs, labels = make_docs(rows), spark.createDataFrame(marks, "doc_id long, label int")
+    share = np.mean([label for _, label in marks])
+    for per_label in (2000, 400, 100):
+        monkeypatch.setattr(quality, "PER_LABEL", per_label)
+        found = {r.doc_id: r.score for r in quality.scored(docs, labels, F.lit(True)).collect()}
+        assert abs(found[2000] - share) < 1e-6
+        assert abs(np.mean([found[i] for i in range(1000, 1200)]) - share) < 0.08
+
+
 def test_language_on_held_out_documents(make_docs, no_docs):
     rng = random.Random(4)
     syllables = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["schr", "eng", "ich", "ung"], "cc": ["ção", "lhe", "nho", "ais"]}
