@@ -1,9 +1,10 @@
 """Fingerprints of documents from closed syncmers, in Spark's own functions only.
 
-A text is cut into words (longer ones into pieces). Of its runs of three words those
-are kept whose least word, by hash, stands first or last: closed syncmers over words.
-The choice looks at nothing outside the run, so two texts keep the same runs wherever
-they agree. A fingerprint is the smallest hashes of the kept runs.
+A text is cut into words; a long word gives way to all its substrings of a few code
+points, one from each code point. Of the runs of three words those are kept whose least
+word, by hash, stands first or last: closed syncmers over words, and over code points
+inside long words. The choice looks at nothing outside the run, so two texts keep the
+same runs wherever they agree, with or without blanks. A fingerprint is the smallest hashes of the kept runs.
 """
 
 from __future__ import annotations
@@ -13,18 +14,23 @@ from pyspark.sql import functions as F
 
 from shoal.session import wide_partitions
 
-#: Words of a run, hashes in a fingerprint, longest piece of a word. The inner substrings are single words.
+#: Words of a run, code points of the longest word taken whole, code points of a longer one's substrings.
 RUN = 3
+WHOLE = 16
+GRAM = 8
+#: Hashes in a fingerprint.
 KEPT = 64
-PIECE = 16
+_INK = r"[^\x20\x09-\x0D]"
 
 
 def _columns(df: DataFrame, text_col: str, prefix: str) -> DataFrame:
     """Adds the hashes of the words and the first words (from 0) of the kept runs."""
     words, kept = f"{prefix}words", f"{prefix}kept"
-    df = df.withColumn(words, F.transform(
-        F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(rf"[^\x20\x09-\x0D]{{1,{PIECE}}}"), F.lit(0)),
-        lambda w: F.xxhash64(w)))
+    # A place in the middle of a surrogate pair is no code point.
+    grams = lambda w: F.regexp_extract_all(w, F.lit(rf"(?![\x{{DC00}}-\x{{DFFF}}])(?=({_INK}{{{GRAM}}}))"), F.lit(1))
+    found = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(f"{_INK}+"), F.lit(0))
+    df = df.withColumn(words, F.flatten(F.transform(found, lambda w: F.when(
+        F.char_length(w) > WHOLE, F.transform(grams(w), lambda g: F.xxhash64(g))).otherwise(F.array(F.xxhash64(w))))))
     n = F.size(words)
     at = lambda i, k: F.get(F.col(words), i + k)
     chosen = F.filter(F.sequence(F.lit(0), n - RUN), lambda i: F.least(at(i, 0), at(i, RUN - 1)) <= F.least(

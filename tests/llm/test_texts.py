@@ -280,6 +280,18 @@ def test_syncmers_look_at_nothing_outside_the_run(make_docs):
     assert inside[0] == inside[1] and len(inside[0]) > 25
 
 
+def test_anchors_of_a_text_without_blanks_survive_an_insertion(make_docs):
+    rng = random.Random(12)
+    for alphabet in ([chr(0x4E00 + i) for i in range(3000)], [chr(0x20000 + i) for i in range(500)] + list("abc"), list("abcdefgh")):
+        text = "".join(rng.choice(alphabet) for _ in range(2000))
+        edited = text[:7] + rng.choice(alphabet) + text[7:]
+        found = collections.defaultdict(list)
+        for r in syncmers.anchors(make_docs([(1, text, "zh", "a"), (2, edited, "zh", "a")])).collect():
+            found[r.doc_id].append((r.position, r.hash))
+        assert len(found[1]) > 1000 and max(p for p, _ in found[1]) < 2000
+        assert {(p + 1, h) for p, h in found[1] if p >= 8} == {(p, h) for p, h in found[2] if p >= 9}
+
+
 def test_mix_meets_targets(odd_docs, odd_rows, no_docs):
     rows = mixing.shares(odd_docs).collect()
     assert len(rows) == len(odd_rows)
