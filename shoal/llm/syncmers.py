@@ -4,7 +4,7 @@ A text is cut into words; a long word gives way to all its substrings of a few c
 points, one from each code point. Of the runs of three words those are kept whose least
 word, by hash, stands first or last: closed syncmers over words, and over code points
 inside long words. The choice looks at nothing outside the run, so two texts keep the
-same runs wherever they agree, with or without blanks. A fingerprint is the smallest hashes of the kept runs.
+same runs wherever they agree, with or without blanks.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from shoal.session import wide_partitions
 RUN = 3
 WHOLE = 16
 GRAM = 8
-#: Hashes in a fingerprint.
-KEPT = 64
 _INK = r"[^\x20\x09-\x0D]"
 
 
@@ -47,24 +45,23 @@ def _hashes(prefix: str) -> Column:
 
 
 def with_fingerprint(df: DataFrame, text_col: str, name: str) -> DataFrame:
-    """Adds ``name``: the smallest distinct hashes of the kept runs, their upper 32 bits, ascending (array of long)."""
+    """Adds ``name``: the distinct hashes of all kept runs (array of long), and ``{name}_digest``.
+
+    The digest is a SHA-256 of the hashes and places of all kept runs; empty for a text without words.
+    """
     prefix = f"_{name}_"
     df = _columns(df, text_col, prefix).withColumn(f"{prefix}all", _hashes(prefix))
-    upper = F.transform(F.col(f"{prefix}all"), lambda h: F.shiftrightunsigned(h, 32))
-    df = df.withColumn(name, F.slice(F.sort_array(F.array_distinct(upper)), 1, KEPT))
+    listed = F.concat_ws(";", *[F.concat_ws(",", F.col(f"{prefix}{c}").cast("array<string>")) for c in ("kept", "all")])
+    df = df.withColumn(f"{name}_digest", F.when(F.size(f"{prefix}all") > 0, F.sha2(listed.cast("binary"), 256)).otherwise(F.lit("")))
+    df = df.withColumn(name, F.array_distinct(f"{prefix}all"))
     return df.drop(*[f"{prefix}{c}" for c in ("words", "kept", "all")])
 
 
-def as_text(fingerprint: Column) -> Column:
-    """Eight hexadecimal digits for each hash."""
-    return F.concat_ws("", F.transform(fingerprint, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")))
-
-
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity estimated from the smallest hashes of the union; 1 for two texts without words."""
-    union = F.slice(F.sort_array(F.array_union(a, b)), 1, KEPT)
-    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(
-        F.size(F.array_intersect(F.array_intersect(a, b), union)).cast("double") / F.size(union))
+    """Jaccard similarity of two sets of hashes, exactly; 1 for two texts without words."""
+    both = F.size(F.array_intersect(a, b))
+    union = F.size(a) + F.size(b) - both
+    return F.when(union == 0, F.lit(1.0)).otherwise(both.cast("double") / union)
 
 
 def anchors(docs: DataFrame) -> DataFrame:
@@ -87,7 +84,7 @@ def _in_order(docs: DataFrame) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """Fingerprints of each text, of its edited text, and likeness to the edited and the next text.
+    """Fingerprints of each text, of its edited text, and likeness to the edited and the next text, from all kept runs.
 
     Per row of (doc_id, text): ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next``. The edited text has the last half of the code points (rounded down) replaced by the first as many
@@ -107,7 +104,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     guests = F.broadcast(docs.sparkSession.createDataFrame(before, "_to int, _id long, _hash long"))  # one row per range
     guest = (rows.join(guests, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_hash")))
              .withColumn("_part", F.col("_to")).drop("_to", "_id", "_hash"))
-    both = with_fingerprint(rows.withColumn("_guest", F.lit(0)).unionByName(guest.withColumn("_guest", F.lit(1))), "text", "own")
+    # Dealt out before the hashes are made, so that only texts are sent.
+    both = rows.withColumn("_guest", F.lit(0)).unionByName(guest.withColumn("_guest", F.lit(1))).repartition("_part")
+    both = with_fingerprint(both, "text", "own")
     following = Window.partitionBy("_part").orderBy("_guest", F.col("doc_id").asc_nulls_first(), "_tie")
     half = F.floor(F.col("n_chars") / 2)
     found = (both.withColumn("_next", F.lead("text").over(following)).withColumn("_near", F.lead("own").over(following))
@@ -115,6 +114,6 @@ def fingerprints(docs: DataFrame) -> DataFrame:
              .withColumn("_edited", F.concat(F.left("text", (F.col("n_chars") - half).cast("int")), F.left("_next", half.cast("int")))))
     found = with_fingerprint(found, "_edited", "other")
     return found.select("doc_id", "n_chars", F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
-                        as_text(F.col("own")).alias("fingerprint"), as_text(F.col("other")).alias("edited_fingerprint"),
+                        F.col("own_digest").alias("fingerprint"), F.col("other_digest").alias("edited_fingerprint"),
                         likeness(F.col("own"), F.col("other")).alias("near_edited"),
                         likeness(F.col("own"), F.col("_near")).alias("near_next"))

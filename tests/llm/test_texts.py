@@ -290,6 +290,27 @@ def test_anchors_of_a_text_without_blanks_survive_an_insertion(make_docs):
             found[r.doc_id].append((r.position, r.hash))
         assert len(found[1]) > 1000 and max(p for p, _ in found[1]) < 2000
         assert {(p + 1, h) for p, h in found[1] if p >= 8} == {(p, h) for p, h in found[2] if p >= 9}
+        row = syncmers.fingerprints(make_docs([(1, text, "zh", "a"), (2, edited, "zh", "a")])).filter("doc_id = 1").first()
+        assert row.near_next > 0.97
+
+
+def test_likeness_sees_a_short_passage_in_long_texts(make_docs):
+    rng = random.Random(13)
+    passage = [f"p{rng.randrange(10**9)}" for _ in range(50)]
+    rows = []
+    for i in range(12):
+        own = [f"u{rng.randrange(10**9)}" for _ in range(2000)]
+        at = rng.randrange(2000)
+        rows.append((i, " ".join(own[:at] + passage + own[at:]), "en", "a"))
+    found = {r.doc_id: r for r in syncmers.fingerprints(make_docs(rows)).collect()}
+    runs = collections.defaultdict(set)
+    for r in syncmers.anchors(make_docs(rows)).collect():
+        runs[r.doc_id].add(r.hash)
+    for i, r in found.items():
+        other = runs[(i + 1) % 12]
+        assert r.near_next == len(runs[i] & other) / len(runs[i] | other) > 0
+    moved = [(1, rows[0][1], "en", "a"), (2, "before " + rows[0][1], "en", "a")]  # the same runs at other places
+    assert len({r.fingerprint for r in syncmers.fingerprints(make_docs(moved)).collect()}) == 2
 
 
 def test_mix_meets_targets(odd_docs, odd_rows, no_docs):
