@@ -45,14 +45,14 @@ def cuts(data: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """One vocabulary file in one worker."""
+    """One vocabulary file in one worker; ``special_as_text`` reads the strings of special tokens as ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
         self.keys = np.zeros(0, dtype=np.uint64)
         self.starts = self.sizes = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype="<u4")
@@ -98,8 +98,9 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
+    """The worker's encoder whose ids are those of the tokenizer's plain call; special tokens hold no blank to cut at."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, special_as_text=False)
     return _ENCODERS[path]
 
 

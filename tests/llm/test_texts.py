@@ -35,6 +35,25 @@ def test_stretches_encode_as_whole_texts(name):
     assert got == ids_of(name, texts)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_are_those_of_the_plain_call(spark, make_docs, name):
+    rng = random.Random(14)
+    path = public_tokenizers.path(name)
+    tool = Tokenizer.from_file(path)
+    special = [t.content for t in tool.get_added_tokens_decoder().values()]
+    assert special and not any(c.isspace() for t in special for c in t)
+    pool = special + special + [" ", " ", "\n", "  ", "a", "b's", "é", ".", "<|", "|>", "\xa0"]
+    texts = ODD + ["a <|endoftext|> b"] + ["".join(rng.choice(pool) for _ in range(rng.randrange(30))) for _ in range(500)]
+    want = [e.ids for e in tool.encode_batch(texts, add_special_tokens=False)]
+    own = tokens.encoder(path)
+    got = [x.tolist() for part in tokens.batches_of(texts, limit=500) for x in own.encode(texts[part])]
+    assert got == want and got != ids_of(name, texts)
+    rows = token_files.token_files(make_docs([(i, t, "en", "a") for i, t in enumerate(texts)]), path, end_id=2).collect()
+    assert {r.doc_id: r.ids_crc32 for r in rows} == {i: zlib.crc32(np.array(ids + [2], "<u4").tobytes()) for i, ids in enumerate(want)}
+    packed = packing.pack(packing.pieces(make_docs([(i, t, "en", "a") for i, t in enumerate(texts)]), path, 1, 4096), 4096).collect()
+    assert {r.doc_id: r.length for r in packed} == {i: len(ids) + 1 for i, ids in enumerate(want)}
+
+
 def test_word_hashes_tell_words_apart(monkeypatch):
     monkeypatch.setattr(words, "_CHUNK", 64)
     monkeypatch.setattr(words, "_POWERS", {})
