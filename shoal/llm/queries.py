@@ -187,3 +187,44 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import similar_groups
 
     return similar_groups(table(spark, sf_dir, "documents"), per_cent=85, k=4)
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .infill import infill, restored
+
+    made = infill(table(spark, sf_dir, "documents"), seed=1)
+    back = restored(made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output"))
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
+ORACLES["op11_fill_in_middle"] = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+h AS (
+  SELECT *, CAST(CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS BIGINT) AS a,
+         CAST(CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS BIGINT) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+              WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+s AS (
+  SELECT *, substr(text, 1, least(a, b)) AS p, substr(text, least(a, b) + 1, abs(a - b)) AS m,
+         substr(text, greatest(a, b) + 1) AS s FROM h)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN least(a, b) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN abs(a - b) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM s
+"""
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .transducers import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=1024)
