@@ -228,3 +228,50 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .transducers import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=1024)
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .part_codes import codebooks_sha256, compress, with_label_error
+    from .topk import scaled
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", scaled(F.col("embedding"), 4096.0).alias("numbers"))
+    coded, books = compress(vectors)
+    return (with_label_error(coded).withColumn("codebooks_sha256", F.lit(codebooks_sha256(books)))
+            .select("vec_id", "code", "error", "label_error", "codebooks_sha256"))
+
+
+def _rounds(n: int) -> str:
+    """SQL of the rounds: distances, nearest entries and the entries they move to; the last assignment comes behind them."""
+    steps = []
+    for r in range(n + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT vec_id, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+  FROM (SELECT vec_id, part, entry, CAST(list_sum([(x[i] - y[i]) * (x[i] - y[i]) FOR i IN range(1, len(x) + 1)]) AS BIGINT) AS d
+        FROM p JOIN c{r} USING (part)) GROUP BY vec_id, part)""")
+        if r < n:
+            steps.append(f"""
+c{r + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(z, y) AS y FROM c{r} LEFT JOIN (
+    SELECT part, entry, list(CAST(floor(CAST(s AS DOUBLE) / n) AS BIGINT) ORDER BY i) AS z FROM (
+      SELECT part, entry, i, sum(v) AS s, count(*) AS n FROM (
+        SELECT part, entry, unnest(x) AS v, unnest(range(len(x))) AS i FROM a{r} JOIN p USING (vec_id, part)) GROUP BY part, entry, i)
+    GROUP BY part, entry) USING (part, entry))""")
+    return ",".join(steps)
+
+
+ORACLES["op12_vector_codes"] = f"""
+WITH k AS MATERIALIZED (
+  SELECT vec_id, label, [CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, part, e[1 + part * len(e) // 8 : (part + 1) * len(e) // 8] AS x FROM k, range(8) AS r(part)),
+c0 AS MATERIALIZED (
+  SELECT part, entry, x AS y FROM p JOIN (
+    SELECT vec_id, CAST(row_number() OVER (ORDER BY vec_id) - 1 AS BIGINT) AS entry FROM k ORDER BY vec_id LIMIT 16) USING (vec_id)),
+{_rounds(6)},
+b AS (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c6),
+v AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a6 GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM v JOIN k USING (vec_id), b
+"""
