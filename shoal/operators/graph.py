@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.draws import uniform
 from ..session import bucketed, stored, wide_partitions
+from .pairs import pairs_within
 from .sampling import bucket_counts, bucket_of, draw_table, weighted_draws
 
 
@@ -130,43 +131,129 @@ def second_order(edges: DataFrame, p: float = 1.0, q: float = 1.0) -> DataFrame:
             .select("prev", "cur", "next", "kind", (F.col("weight") * scale).alias("weight")))
 
 
+def second_order_sums(edges: DataFrame, p: float = 1.0, q: float = 1.0) -> DataFrame:
+    """``prev, cur, kind, n, weight``: :func:`second_order` added up by kind, without its rows.
+
+    ``back`` is the reverse edge. ``shared`` comes from triangles, each found once at its corner of lowest degree: edges
+    run from the lower degree to the higher one, so that even a hub has at most sqrt(2 * edges) of them, and two
+    edges of one corner are a triangle if a third edge closes them. ``far`` is what is left of the edges of ``cur``.
+    Loops are handled apart: a loop of ``cur`` is shared with every ``prev``, and after a loop all other steps are shared.
+    """
+    graph = stored(edges.select("src", "dst", "weight"), "graph")
+    loops, plain = graph.where(F.col("src") == F.col("dst")), graph.where(F.col("src") != F.col("dst"))
+    # One row per pair of nodes, with the weights of its edges in both directions.
+    low, high = F.least("src", "dst"), F.greatest("src", "dst")
+    up = F.col("src") < F.col("dst")
+    ties = plain.groupBy(low.alias("a"), high.alias("b")).agg(
+        F.max(F.when(up, F.col("weight"))).alias("ab"), F.max(F.when(~up, F.col("weight"))).alias("ba"))
+    degree = ties.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("d"))
+    sized = (ties.join(degree.select(F.col("node").alias("a"), F.col("d").alias("da")), "a")
+             .join(degree.select(F.col("node").alias("b"), F.col("d").alias("db")), "b"))
+    turn = F.struct("da", "a") > F.struct("db", "b")
+    pick = lambda x, y: F.when(turn, F.col(x)).otherwise(F.col(y))
+    oriented = stored(sized.select(pick("b", "a").alias("corner"), pick("a", "b").alias("other"),
+                                   pick("ba", "ab").alias("out"), pick("ab", "ba").alias("into")), "oriented")
+    wedges = pairs_within(oriented, ["corner"], "other", ["out", "into"])
+    # The closing tie, in the order of its names, which is that of other_1 and other_2.
+    closed = wedges.join(ties.select(F.col("a").alias("other_1"), F.col("b").alias("other_2"), "ab", "ba"), ["other_1", "other_2"])
+    x, y, z = "corner", "other_1", "other_2"
+    weight = {(x, y): "out_1", (y, x): "into_1", (x, z): "out_2", (z, x): "into_2", (y, z): "ab", (z, y): "ba"}
+    turns = [(u, v, w) for u in (x, y, z) for v in (x, y, z) for w in (x, y, z) if len({u, v, w}) == 3]
+    step = F.explode(F.array(*[F.struct(F.col(u).alias("prev"), F.col(v).alias("cur"), F.col(weight[v, w]).alias("weight"),
+                                        (F.col(weight[u, v]).isNotNull() & F.col(weight[u, w]).isNotNull()).alias("known"))
+                               for u, v, w in turns]))
+    triangles = (closed.select(step.alias("s")).select("s.*").where(F.col("known") & F.col("weight").isNotNull())
+                 .groupBy("prev", "cur").agg(F.count("*").alias("n"), F.sum("weight").alias("weight")))
+    total = graph.groupBy(F.col("src").alias("cur")).agg(F.count("*").alias("all_n"), F.sum("weight").alias("all_weight"))
+    own_loop = loops.select(F.col("src").alias("cur"), F.col("weight").alias("loop"))
+    back = plain.select(F.col("dst").alias("prev"), F.col("src").alias("cur"), F.col("weight").alias("back"))
+    steps = (plain.select(F.col("src").alias("prev"), F.col("dst").alias("cur")).join(total, "cur").join(back, ["prev", "cur"], "left")
+             .join(triangles, ["prev", "cur"], "left").join(own_loop, "cur", "left"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    once = lambda c: F.when(F.col(c).isNotNull(), 1).otherwise(0)
+    shared_n, shared = zero("n") + once("loop"), zero("weight") + zero("loop")
+    summed = steps.select("prev", "cur", F.array(
+        F.struct(F.lit("back").alias("kind"), once("back").cast("long").alias("n"), zero("back").cast("double").alias("weight")),
+        F.struct(F.lit("shared").alias("kind"), shared_n.cast("long").alias("n"), shared.cast("double").alias("weight")),
+        F.struct(F.lit("far").alias("kind"), (F.col("all_n") - once("back") - shared_n).cast("long").alias("n"),
+                 (F.col("all_weight") - zero("back") - shared).cast("double").alias("weight"))).alias("kinds"))
+    after_loop = own_loop.join(total, "cur").select(F.col("cur").alias("prev"), "cur", F.array(
+        F.struct(F.lit("back").alias("kind"), F.lit(1).cast("long").alias("n"), F.col("loop").cast("double").alias("weight")),
+        F.struct(F.lit("shared").alias("kind"), (F.col("all_n") - 1).cast("long").alias("n"),
+                 (F.col("all_weight") - F.col("loop")).cast("double").alias("weight"))).alias("kinds"))
+    scale = F.when(F.col("k.kind") == "back", F.lit(1.0 / p)).when(F.col("k.kind") == "far", F.lit(1.0 / q)).otherwise(F.lit(1.0))
+    return (summed.unionByName(after_loop).select("prev", "cur", F.explode("kinds").alias("k")).where(F.col("k.n") > 0)
+            .select("prev", "cur", "k.kind", "k.n", (F.col("k.weight") * scale).alias("weight")))
+
+
 def edge_probabilities(df: DataFrame, directed: bool = True, max_neighbours: int | None = None, p: float = 1.0,
-                       q: float = 1.0, seed=42) -> DataFrame:
-    """:func:`second_order`; with ``max_neighbours``, on the graph in which no node has more edges."""
+                       q: float = 1.0, seed=42, summed: bool = False) -> DataFrame:
+    """:func:`second_order`; with ``max_neighbours``, on the graph in which no node has more edges.
+
+    ``summed`` gives :func:`second_order_sums`, which needs no row for each two edges of a hub.
+    """
     graph = stored(merged_edges(edges_of(df), directed), "edges")
-    return second_order(graph if max_neighbours is None else capped_neighbours(graph, max_neighbours, seed), p, q)
+    graph = graph if max_neighbours is None else capped_neighbours(graph, max_neighbours, seed)
+    return (second_order_sums if summed else second_order)(graph, p, q)
+
+
+#: Draws of the first round for each walk; every further round draws so many times more.
+FIRST_DRAWS, MORE_DRAWS = 4, 4
 
 
 def node2vec_walks(df: DataFrame, seq_length: int = 5, keep: str = "end", directed: bool = True,
                    max_neighbours: int | None = None, p: float = 1.0, q: float = 1.0, seed=42) -> DataFrame:
     """``walk, pos, node``: walks whose steps depend on the last two nodes.
 
-    The first step goes by edge weight, the seq_length steps after it by the
-    second-order weights. A target is drawn as the smallest of exponential
-    times with rate equal to its weight, a plain aggregate that combines map-side.
+    The first step goes by edge weight, the seq_length steps after it by the second-order weights, by rejection: a
+    target is drawn by edge weight alone from the guide table, and accepted with its factor (1/p back, 1 to a
+    neighbour of the node before, 1/q elsewhere) divided by the largest of the three. That needs one look-up of (prev,
+    target) and never all edges of a hub. Draws are numbered; a walk takes its first accepted one. Walks without one
+    draw again, four times as often in each round, until all have moved; the only edge of a node needs no coin.
     """
     edges = edges_of(df)
     graph = stored(merged_edges(edges, directed), "edges")
     if max_neighbours is not None:
         graph = stored(capped_neighbours(graph, max_neighbours, seed), "graph")
-    heads = graph.select("src").distinct().select(F.col("src").alias("walk"), F.lit(None).cast("string").alias("prev"), F.col("src").alias("cur"))
-    steps = [heads.select("walk", F.lit(0).alias("pos"), F.col("cur").alias("node"))]
-    # Plain joins, not bucketed ones: AQE can split the heads that meet on a hub.
-    hops = graph.select(F.col("src").alias("cur"), F.col("dst").alias("next"), "weight")
-    known = graph.select(F.col("src").alias("prev"), F.col("dst").alias("next"), F.lit(True).alias("_known"))
-    for step in range(seq_length + 1):
-        options = heads.join(hops, "cur")
-        rate = F.col("weight")
-        if step > 0:
-            options = options.join(known, ["prev", "next"], "left")
-            rate = (F.when(F.col("next") == F.col("prev"), rate * F.lit(1.0 / p))
-                    .when(F.col("_known"), rate).otherwise(rate * F.lit(1.0 / q)))
-        # 1 - u lies in (0, 1], so the logarithm is finite.
-        time = -F.log(1 - uniform(seed, "walk", F.lit(step), "next")) / rate
-        heads = stored(options.withColumn("_time", time).groupBy("walk", "cur").agg(
-            F.min_by("next", F.struct("_time", "next")).alias("next")).select(
-            "walk", F.col("cur").alias("prev"), F.col("next").alias("cur")), "step")
-        steps.append(heads.select("walk", F.lit(step + 1).alias("pos"), F.col("cur").alias("node")))
+    live = graph.where(F.col("weight") > 0)
+    counts = stored(bucket_counts(graph).join(live.groupBy("src").agg(F.count("*").alias("edges")), "src"), "bucket-counts")
+    following = counts.select(F.col("src").alias("dst"), F.col("buckets").alias("next_buckets"), F.col("edges").alias("next_edges"))
+    draws = draw_table(graph, counts.drop("edges")).drop("buckets").join(following, "dst", "left")
+    known = live.select(F.col("src").alias("prev"), F.col("dst").alias("next"), F.lit(True).alias("_known"))
+    most = max(1.0 / p, 1.0, 1.0 / q)
+    heads = counts.select(F.col("src").alias("walk"), F.lit(None).cast("string").alias("prev"), F.col("src").alias("node"), "buckets", "edges")
+    steps = [heads.select("walk", F.lit(0).alias("pos"), "node")]
+
+    with bucketed((draws, ["src", "bucket"])) as (table,):
+        options = table.select(F.col("src").alias("node"), "bucket", "low", "high", F.col("dst").alias("next"), "next_buckets", "next_edges")
+
+        def drawn(frame: DataFrame, step: int) -> DataFrame:
+            keyed = (frame.withColumn("u", uniform(seed, "walk", F.lit(step), "draw"))
+                     .withColumn("bucket", bucket_of(F.col("u"), F.col("buckets"))))
+            return keyed.join(options, ["node", "bucket"]).where((F.col("u") >= F.col("low")) & (F.col("u") < F.col("high")))
+
+        def moved(frame: DataFrame) -> DataFrame:
+            return frame.select("walk", F.col("node").alias("prev"), F.col("next").alias("node"), F.col("next_buckets").alias("buckets"),
+                                F.col("next_edges").alias("edges"))
+
+        for step in range(seq_length + 1):
+            heads = heads.where(F.col("buckets").isNotNull())
+            if step == 0:
+                heads = stored(moved(drawn(heads.withColumn("draw", F.lit(0)), step)), "step")
+            else:
+                waiting, first, many, done = stored(heads, "heads"), 0, FIRST_DRAWS, []
+                while not waiting.isEmpty():
+                    tried = waiting.withColumn("draw", F.explode(F.sequence(F.lit(first), F.lit(first + many - 1))))
+                    tried = drawn(tried, step).join(known, ["prev", "next"], "left")
+                    factor = (F.when(F.col("next") == F.col("prev"), F.lit(1.0 / p)).when(F.col("_known"), F.lit(1.0)).otherwise(F.lit(1.0 / q)))
+                    coin = uniform(seed, "walk", F.lit(step), "draw", F.lit("coin"))
+                    taken = tried.where((F.col("edges") == 1) | (coin * F.lit(most) < factor))
+                    chosen = taken.groupBy("walk").agg(F.min_by(F.struct("node", "next", "next_buckets", "next_edges"), "draw").alias("s"))
+                    done.append(stored(moved(chosen.select("walk", "s.*")), "accepted"))
+                    waiting = stored(waiting.join(done[-1].select("walk"), "walk", "left_anti"), "waiting")
+                    first, many = first + many, many * MORE_DRAWS
+                heads = reduce(DataFrame.unionByName, done) if done else heads.limit(0)
+            steps.append(heads.select("walk", F.lit(step + 1).alias("pos"), "node"))
     return _shown(reduce(DataFrame.unionByName, steps), edges, keep)
 
 

@@ -221,23 +221,28 @@ define("second_order", "both_ways", """SELECT a.src AS prev, a.dst AS cur, b.dst
 @query("node2vec_edge_probs", """SELECT prev, cur, kind, count(*) AS n, round(sum(CASE kind WHEN 'back' THEN weight / 2 WHEN 'shared' THEN weight ELSE weight / 0.5 END), 6) AS weight
     FROM second_order GROUP BY prev, cur, kind""", "second_order")
 def _(t):
-    rows = graph.edge_probabilities(t.edges(), directed=False, p=2.0, q=0.5)
-    return rows.groupBy("prev", "cur", "kind").agg(F.count("*").alias("n"), r6(F.sum("weight"), "weight"))
+    rows = graph.edge_probabilities(t.edges(), directed=False, p=2.0, q=0.5, summed=True)
+    return rows.select("prev", "cur", "kind", "n", r6("weight"))
 
 
-def _node2vec_sql(seed: str, steps: int) -> str:
-    parts = ["s0 AS (SELECT DISTINCT src AS walk, NULL::VARCHAR AS prev, src AS cur FROM both_ways)"]
+def _node2vec_sql(seed: str, steps: int, draws: int = 100) -> str:
+    """Every walk's first accepted draw; the chance that all ``draws`` are refused is below 1e-12 (a quarter is the least factor)."""
+    parts = ["s0 AS (SELECT DISTINCT src AS walk, NULL::VARCHAR AS prev, src AS cur FROM both_ways)",
+             "many AS (SELECT src, count(*) AS edges FROM both_ways GROUP BY src)"]
     for i in range(steps):
-        u = u01(seed, "s.walk", str(i), "b.dst")
-        rate = "b.weight" if i == 0 else "CASE WHEN b.dst = s.prev THEN b.weight / 2 WHEN k.src IS NOT NULL THEN b.weight ELSE b.weight / 0.5 END"
-        known = "" if i == 0 else "LEFT JOIN both_ways k ON k.src = s.prev AND k.dst = b.dst"
-        parts.append(f"""s{i + 1} AS (SELECT walk, cur AS prev, arg_min(next, time) AS cur FROM (SELECT s.walk, s.cur, b.dst AS next, -ln(1 - {u}) / ({rate}) AS time
-            FROM s{i} s JOIN both_ways b ON s.cur = b.src {known}) GROUP BY walk, cur)""")
+        u, coin = u01(seed, "s.walk", str(i), "draw"), u01(seed, "s.walk", str(i), "draw", "'coin'")
+        known, taken = "", "true"
+        if i:
+            known = "LEFT JOIN both_ways k ON k.src = s.prev AND k.dst = x.dst"
+            taken = f"(edges = 1 OR {coin} * 2 < CASE WHEN x.dst = s.prev THEN 0.5 WHEN k.src IS NOT NULL THEN 1 ELSE 2 END)"
+        parts.append(f"""s{i + 1} AS MATERIALIZED (SELECT s.walk, s.cur AS prev, arg_min(x.dst, draw) AS cur
+            FROM s{i} s JOIN many m ON m.src = s.cur, range({draws if i else 1}) d(draw)
+            JOIN intervals x ON s.cur = x.src AND {u} >= x.low AND {u} < x.high {known} WHERE {taken} GROUP BY s.walk, s.cur)""")
     rows = " UNION ALL ".join(f"SELECT walk, {i} AS pos, cur AS node FROM s{i}" for i in range(steps + 1))
     return f"WITH {', '.join(parts)} SELECT walk, CAST(pos AS INTEGER) AS pos, node FROM ({rows}) WHERE node IN (SELECT dst FROM edges)"
 
 
-@query("node2vec", _node2vec_sql("n2v", 3), "both_ways")
+@query("node2vec", _node2vec_sql("n2v", 3), "edges intervals")
 def _(t):
     return graph.node2vec_walks(t.edges(), seq_length=2, directed=False, p=2.0, q=0.5, seed="n2v")
 
@@ -258,7 +263,7 @@ def _(t):
     return _walk_pairs(graph.deep_walk(t.edges(), seq_length=3, seed="walk"))
 
 
-@query("skipgram_node2vec", _WALK_PAIRS.format(walks=_node2vec_sql("n2v", 3)), "both_ways")
+@query("skipgram_node2vec", _WALK_PAIRS.format(walks=_node2vec_sql("n2v", 3)), "edges intervals")
 def _(t):
     return _walk_pairs(graph.node2vec_walks(t.edges(), seq_length=2, directed=False, p=2.0, q=0.5, seed="n2v"))
 

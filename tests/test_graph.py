@@ -147,3 +147,57 @@ def test_kmeans_picks_the_right_k(spark):
     assert best == 3 and set(scores) == {2, 3, 4} and assigned.count() == 24
     with pytest.raises(ValueError):
         cluster.kmeans_best_k(frame, 1, 3)
+
+
+@pytest.mark.parametrize("directed", [True, False])
+def test_sums_by_kind_equal_the_rows(spark, directed):
+    rng = random.Random(11)
+    rows = [(f"n{rng.randrange(14)}", f"n{rng.randrange(14)}", float(rng.randrange(1, 5))) for _ in range(70)] + [("n1", "n1", 2.0)]
+    rows += [("hub", f"n{n}", 1.0) for n in range(14)]
+    frame = edges(spark, rows)
+    own = graph.edge_probabilities(frame, directed, p=4.0, q=0.25).groupBy("prev", "cur", "kind").agg(
+        F.count("*").alias("n"), F.sum("weight").alias("weight")).collect()
+    summed = graph.edge_probabilities(frame, directed, p=4.0, q=0.25, summed=True).collect()
+    assert {(r.prev, r.cur, r.kind): (r.n, r.weight) for r in summed} == {(r.prev, r.cur, r.kind): (r.n, r.weight) for r in own}
+    assert len(summed) == len(own) and {"back", "shared", "far"} <= {r.kind for r in summed}
+
+
+def test_no_row_for_each_two_edges_of_a_hub(spark):
+    rows = [("hub", f"n{n}", 1.0) for n in range(30_000)] + [("n1", "n2", 1.0)]
+    summed = graph.edge_probabilities(edges(spark, rows), directed=False, summed=True)
+    got = {(r.prev, r.cur, r.kind): r.n for r in summed.where("prev in ('n1', 'n5') and cur = 'hub'").collect()}
+    assert got == {("n1", "hub", "back"): 1, ("n1", "hub", "shared"): 1, ("n1", "hub", "far"): 29_998,
+                   ("n5", "hub", "back"): 1, ("n5", "hub", "far"): 29_999}
+    assert summed.count() == 60_002 * 2 - 30_000 + 2 + 2
+
+
+def test_second_order_walks_have_the_right_shares(spark):
+    # From every s the walk goes to m; of m's other edges, one leads back, one to a neighbour of s, two elsewhere.
+    rows = []
+    for n in range(600):
+        rows += [(f"s{n}", f"m{n}", 1000.0), (f"m{n}", f"s{n}", 1.0), (f"m{n}", f"near{n}", 1.0), (f"s{n}", f"near{n}", 1e-9),
+                 (f"m{n}", f"x{n}", 1.0), (f"m{n}", f"y{n}", 2.0)]
+    paths = walked(graph.node2vec_walks(edges(spark, rows), 1, keep="all", directed=True, p=2.0, q=0.5))
+    ends = Counter(p[2][0] for w, p in paths.items() if w[0] == "s")
+    # back 1/2, near 1, x 2, y 4 of 7.5
+    assert sum(ends.values()) == 600
+    for name, share in {"s": 0.5 / 7.5, "n": 1 / 7.5, "x": 2 / 7.5, "y": 4 / 7.5}.items():
+        assert abs(ends[name] / 600 - share) < 0.06
+
+
+def test_walks_over_a_hub_read_no_list_of_its_edges(spark):
+    rows = [("hub", f"n{n}", 1.0) for n in range(100_000)]
+    frame = edges(spark, rows)
+    walks = graph.node2vec_walks(frame, 1, keep="all", directed=False, p=1e9, q=1.0)
+    assert walks.where("pos = 2").count() == 100_001
+    # Going back from the hub is as good as forbidden, so the walks spread over its other neighbours.
+    assert walks.where("pos = 2 and node <> 'hub'").join(
+        walks.where("pos = 0").select("walk", F.col("node").alias("start")), "walk").where("node = start").count() < 5
+
+
+def test_a_walk_may_need_many_draws(spark, monkeypatch):
+    monkeypatch.setattr(graph, "FIRST_DRAWS", 1)
+    monkeypatch.setattr(graph, "MORE_DRAWS", 2)
+    rows = [("a", "b", 1.0), ("b", "c", 1.0)]
+    paths = walked(graph.node2vec_walks(edges(spark, rows), 6, keep="all", directed=False, p=20.0, q=0.05))
+    assert all(len(p) == 8 for p in paths.values())
