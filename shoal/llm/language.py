@@ -10,7 +10,6 @@ batch of texts is scored by one matrix product.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +28,6 @@ RIDGE = 1e-2
 #: Texts scored by one matrix product.
 ROWS = 128
 
-_LETTER = re.compile(r"[^\W\d_]")
 _MIX = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)]
 
 
@@ -38,6 +36,11 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of the classes L* occurs; numbers such as Roman or circled ones are none."""
+    return any(c.isalpha() for c in text)
+
+
 def presence(text: str, row: np.ndarray) -> None:
     """Mark the places of all n-grams of the whole text, in lower case, in a row of zeros."""
     data = np.frombuffer(text.lower().encode(), dtype=np.uint8)
@@ -98,7 +101,8 @@ def identify(docs: DataFrame, learn: Column) -> DataFrame:
     """``doc_id, lang_pred, score`` of every row; learns from the rows where ``learn`` holds.
 
     ``und`` and 0 for null texts, texts without a letter, and where there is nothing to learn from. Of equal scores
-    the language first in the alphabet wins. The score is the winner's regression, cut to 0 to 1.
+    the language first in the alphabet wins. The score is the winner's regression, cut to 0 to 1. Texts are read whole,
+    whatever their length; repeated rows are scored one by one, and each counts in the sample if its id is drawn.
     """
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -120,7 +124,7 @@ def identify(docs: DataFrame, learn: Column) -> DataFrame:
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
             told, scores = np.full(len(texts), "und", dtype=object), np.zeros(len(texts))
-            known = [i for i, t in enumerate(texts) if names and _LETTER.search(t)]
+            known = [i for i, t in enumerate(texts) if names and has_letter(t)]
             for at in range(0, len(known), ROWS):
                 part = known[at:at + ROWS]
                 block[:] = 0

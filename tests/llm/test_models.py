@@ -194,3 +194,52 @@ def test_pipeline_stages(spark):
     last = corpus_pipeline.run(spark, folder)
     bins = last.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
     assert all(r.n == r.end <= 4096 for r in bins)
+
+
+def test_numbers_and_signs_are_no_letters(make_docs):
+    signs = ["½ ² ①", "Ⅷ", "٣", "_", "12", "ª", "ʰ", "中"]
+    rows = [(i, "the cat and the dog", "en", "a") for i in range(12)] + [(20 + i, "der hund und die katze", "de", "a") for i in range(12)]
+    rows += [(100 + i, t, None, "a") for i, t in enumerate(signs)]
+    found = {r.doc_id: r for r in language.identify(make_docs(rows), F.lit(True)).collect()}
+    told = [found[100 + i].lang_pred != "und" for i in range(len(signs))]
+    assert told == [False, False, False, False, False, True, True, True]
+    assert all(found[100 + i].score == 0 for i in range(5))
+
+
+def test_language_scores_equal_the_kernel_regression(make_docs, monkeypatch):
+    """Kernel between text and landmarks, Nyström map and ridge solved as one weighted least-squares problem, nothing folded."""
+    monkeypatch.setattr(language, "LANDMARKS", 20)
+    rng = random.Random(9)
+    vocabulary = {"en": "the and of to in that is was for it with".split(), "de": "der die und das ist nicht ein zu von mit".split(),
+                  "fr": "le la et les des est que une dans pour".split()}
+    rows = [(i, " ".join(rng.choice(vocabulary[lang]) for _ in range(rng.randrange(3, 20))), lang, "a")
+            for i, lang in enumerate(rng.choice(["en", "en", "de", "fr"]) for _ in range(90))]
+    found = {r.doc_id: r for r in language.identify(make_docs(rows), F.col("doc_id") < 70).collect()}
+
+    def grams(text):
+        row = np.zeros(language.PLACES, dtype=np.uint8)
+        language.presence(text, row)
+        return frozenset(np.flatnonzero(row).tolist())
+
+    sets = {i: grams(t) for i, t, _, _ in rows}
+    lang_of = {i: lang for i, _, lang, _ in rows}
+    kernel = lambda a, b: len(sets[a] & sets[b]) / np.sqrt(len(sets[a]) * len(sets[b]))
+    learnt = sorted(i for i in lang_of if i < 70)
+    turns, seen = [], {}
+    for i in learnt:
+        seen[lang_of[i]] = seen.get(lang_of[i], 0) + 1
+        turns.append((seen[lang_of[i]], lang_of[i], i))
+    marks = [i for *_, i in sorted(turns)][:20]
+    values, vectors = np.linalg.eigh(np.array([[kernel(a, b) for b in marks] for a in marks]))
+    good = values > 1e-6 * values[-1]
+    mapped = {i: np.array([kernel(i, m) for m in marks]) @ (vectors[:, good] / np.sqrt(values[good])) for i in lang_of}
+    names = sorted(set(lang_of.values()))
+    weight = np.array([1 / sum(lang_of[j] == lang_of[i] for j in learnt) for i in learnt])
+    x = np.stack([np.append(mapped[i], 1.0) for i in learnt])
+    ridge = np.diag([language.RIDGE * weight.sum() / len(learnt)] * (x.shape[1] - 1) + [0.0])
+    solved = np.stack([np.linalg.solve(x.T @ (x * weight[:, None]) + ridge, x.T @ (weight * np.array([lang_of[i] == n for i in learnt])))
+                       for n in names], axis=1)
+    for i in lang_of:
+        scores = np.append(mapped[i], 1.0) @ solved
+        assert found[i].lang_pred == names[int(scores.argmax())]
+        assert abs(found[i].score - np.clip(scores.max(), 0, 1)) < 1e-4
