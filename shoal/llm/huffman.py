@@ -60,20 +60,40 @@ class Coder:
     def __init__(self, lengths: np.ndarray):
         self.lengths = lengths
         self.bits = max(1, int(lengths.max(initial=1)))
-        codes = canonical_codes(lengths)
-        shift = lengths[:, None].astype(np.int64) - 1 - np.arange(self.bits)
-        self.mask = shift >= 0
-        self.rows = ((codes[:, None] >> np.maximum(shift, 0).astype(np.uint32)) & 1).astype(np.uint8)
-        self._codes = codes
+        self.codes = canonical_codes(lengths).astype(np.uint64)
 
     def encode(self, ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
         """Coded bytes and the first bit of each block."""
+        data, _, first, _ = self.encode_all(ids, np.array([len(ids)]), block)
+        return data, first
+
+    def encode_all(self, ids: np.ndarray, sizes: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Many sequences at once, one after the other in ``ids``; each begins on a byte.
+
+        Returns the coded bytes, the byte at which each sequence begins (and the end), the first bit of each block
+        counted from its sequence's begin, and the number of blocks of each sequence. Codes are put into 64-bit words.
+        """
+        sizes = np.asarray(sizes, dtype=np.int64)
+        blocks = -(-sizes // block)
         if not len(ids):
-            return np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=np.int64)
-        ends = np.cumsum(self.lengths[ids], dtype=np.int64)
-        first = np.concatenate([[0], ends[block - 1:len(ids) - 1:block]])
-        parts = [self.rows[part][self.mask[part]] for part in np.split(ids, range(1 << 16, len(ids), 1 << 16))]
-        return np.packbits(np.concatenate(parts)), first
+            return np.zeros(0, dtype=np.uint8), np.zeros(len(sizes) + 1, dtype=np.int64), np.zeros(0, dtype=np.int64), blocks
+        width = self.lengths[ids].astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(width)])
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        begin = np.concatenate([[0], np.cumsum((ends[edges[1:]] - ends[edges[:-1]] + 7) >> 3)])
+        at = ends[:-1] + np.repeat(8 * begin[:-1] - ends[edges[:-1]], sizes)
+        before = np.cumsum(blocks) - blocks
+        nth = np.arange(int(blocks.sum())) - np.repeat(before, blocks)
+        first = at[np.repeat(edges[:-1], blocks) + nth * block] - np.repeat(8 * begin[:-1], blocks)
+        words = np.zeros((int(begin[-1]) >> 3) + 2, dtype=np.uint64)
+        code, word = self.codes[ids], at >> 6
+        over = (at & 63) + width - 64  # bits that reach into the next word
+        own = np.where(over > 0, code >> np.maximum(over, 0).astype(np.uint64), code << np.maximum(-over, 0).astype(np.uint64))
+        starts = np.flatnonzero(np.diff(word, prepend=-1))
+        words[word[starts]] = np.bitwise_or.reduceat(own, starts)
+        split = np.flatnonzero(over > 0)  # at most one code of each word
+        words[word[split] + 1] |= code[split] << (64 - over[split]).astype(np.uint64)
+        return words.astype(">u8").view(np.uint8)[:int(begin[-1])], begin, first, blocks
 
     def decoder(self) -> tuple[np.ndarray, np.ndarray]:
         """Symbol and length for every possible window of ``bits`` bits."""

@@ -41,25 +41,42 @@ SHARD_IDS = 4_000_000
 
 
 def token_rows(docs: DataFrame, vocabulary: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text",
-               narrow: bool = False) -> DataFrame:
+               counted: bool = False) -> DataFrame:
     """``doc_id``, ``ids`` of each whole text, null texts empty, then ``end_id``.
 
-    Ids are little-endian unsigned 32-bit integers; with ``narrow``, two bytes where all ids of the text fit, behind
-    a mark.
+    Ids are little-endian unsigned 32-bit integers. With ``counted`` they are packed as of ``_narrow`` and a column ``counts`` is
+    added: null but for one more row of each task, which tells how often each id occurs in the task.
     """
     tail = np.array([] if end_id is None else [end_id], dtype="<u4")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tool = encoder(vocabulary)
+        tool, total = encoder(vocabulary), np.zeros(0, dtype=np.int64)
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
             for part in batches_of(texts):
                 ids = [np.concatenate([x, tail]) for x in tool.encode(texts[part])]
-                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[part].array,
-                                    "ids": [_narrow(x) if narrow else x.tobytes() for x in ids]})
+                frame = pd.DataFrame({"doc_id": batch["doc_id"].iloc[part].array, "ids": [_narrow(x) if counted else x.tobytes() for x in ids]})
+                if counted:
+                    total = _added(total, np.bincount(np.concatenate(ids)))
+                    frame["counts"] = None
+                yield frame
+        if counted:
+            yield pd.DataFrame({"doc_id": pd.array([None], dtype="Int64"), "ids": [None], "counts": [_count_bytes(total)]})
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInPandas(run, "doc_id long, ids binary")
+    return picked.mapInPandas(run, "doc_id long, ids binary" + (", counts binary" if counted else ""))
+
+
+def _added(total: np.ndarray, own: np.ndarray) -> np.ndarray:
+    if len(own) > len(total):
+        total, own = own, total
+    total[:len(own)] += own
+    return total
+
+
+def _count_bytes(total: np.ndarray) -> bytes:
+    used = np.flatnonzero(total)
+    return used.astype("<i8").tobytes() + total[used].astype("<i8").tobytes()
 
 
 def _narrow(ids: np.ndarray) -> bytes:
@@ -71,47 +88,49 @@ def _wide(data: bytes) -> np.ndarray:
     return np.frombuffer(data, dtype="<u2" if data[:1] == b"\2" else "<u4", offset=1)
 
 
-def _narrowed(rows: DataFrame) -> DataFrame:
+def _counted(rows: DataFrame) -> DataFrame:
+    """Rows of ``doc_id, ids`` as ``token_rows`` gives them with ``counted``."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            batch["ids"] = [_narrow(np.frombuffer(x, dtype="<u4")) for x in batch["ids"]]
+            own = [np.frombuffer(x, dtype="<u4") for x in batch["ids"]]
+            for part in batches_of(own):
+                total = _added(total, np.bincount(np.concatenate(own[part])))
+            batch["ids"], batch["counts"] = [_narrow(x) for x in own], None
             yield batch
+        yield pd.DataFrame({"doc_id": pd.array([None], dtype="Int64"), "ids": [None], "counts": [_count_bytes(total)]})
 
-    return rows.select("doc_id", "ids").mapInPandas(run, "doc_id long, ids binary")
+    return rows.select("doc_id", "ids").mapInPandas(run, "doc_id long, ids binary, counts binary")
 
 
-def global_counts(tokens: DataFrame) -> np.ndarray:
-    """How often each id occurs. Every task sends one row per id; the vocabulary bounds the result."""
+def global_counts(counts: DataFrame) -> np.ndarray:
+    """How often each id occurs, from the tasks' ``counts``; the vocabulary bounds the result."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for data in batch["ids"]:
-                own = np.bincount(_wide(data))
-                if len(own) > len(total):
-                    total = np.concatenate([total, np.zeros(len(own) - len(total), dtype=np.int64)])
-                total[:len(own)] += own
-        used = np.flatnonzero(total)
-        yield pd.DataFrame({"id": used, "n": total[used]})
+            for data in batch["counts"]:
+                ids, n = np.frombuffer(data, dtype="<i8").reshape(2, -1)
+                yield pd.DataFrame({"id": ids, "n": n})
 
-    rows = tokens.select("ids").mapInPandas(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 1, dtype=np.int64)
-    counts[rows["id"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
-    return counts
+    rows = counts.select("counts").mapInPandas(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    found = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 1, dtype=np.int64)
+    found[rows["id"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
+    return found
 
 
 def _coded(tokens: DataFrame, lengths: bytes, block: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = Coder(np.frombuffer(lengths, dtype=np.uint8))
         for batch in batches:
-            done = []
-            for doc_id, data in zip(batch["doc_id"].array, batch["ids"], strict=True):
-                ids = _wide(data)
-                bits, first = coder.encode(ids, block)
-                done.append((doc_id, len(ids), first.astype("<i8").tobytes(), bits.tobytes()))
-            frame = pd.DataFrame(done, columns=["doc_id", "n", "first", "bits"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+            own = [_wide(data) for data in batch["ids"]]
+            for part in batches_of(own):
+                sizes = np.fromiter(map(len, own[part]), dtype=np.int64)
+                bits, begin, first, blocks = coder.encode_all(np.concatenate(own[part]), sizes, block)
+                bits, first, last = bits.tobytes(), first.astype("<i8"), np.concatenate([[0], np.cumsum(blocks)])
+                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[part].astype("Int64").array, "n": sizes,
+                                    "first": [first[a:b].tobytes() for a, b in zip(last[:-1], last[1:], strict=True)],
+                                    "bits": [bits[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True)]})
 
     return tokens.mapInPandas(run, "doc_id long, n long, first binary, bits binary")
 
@@ -171,17 +190,18 @@ def _write_shards(coded: DataFrame, folder: str, lengths: bytes, block: int, sha
 
 
 def write_token_files(tokens: DataFrame, folder: str, block: int = BLOCK_IDS, shard_ids: int = SHARD_IDS,
-                      max_bits: int = MAX_BITS, narrow: bool = False) -> DataFrame:
-    """Write (doc_id, ids) as shards in ascending doc_id order under ``folder``; ``narrow`` as of ``token_rows``.
+                      max_bits: int = MAX_BITS) -> DataFrame:
+    """Write (doc_id, ids) as shards in ascending doc_id order under ``folder``; rows with ``counts`` as of ``token_rows`` are taken as they are.
 
     Returns the manifest: ``part, shard, name, n_docs, n_ids, start`` (ids in all shards before). Rows without a
     doc_id come first; rows that share one stand together. An empty table makes no file.
     """
     spark = tokens.sparkSession
-    held = scratch_path(spark, "ids")  # written once: the counts and the coding read the same ids
-    (tokens if narrow else _narrowed(tokens)).write.option("compression", "zstd").parquet(held)
-    kept = spark.read.schema("doc_id long, ids binary").parquet(held)
-    lengths = code_lengths(global_counts(kept), max_bits).tobytes()
+    held = scratch_path(spark, "ids")  # written once, with the counts beside the ids
+    (tokens if "counts" in tokens.columns else _counted(tokens)).write.option("compression", "zstd").parquet(held)
+    kept = spark.read.schema("doc_id long, ids binary, counts binary").parquet(held)
+    lengths = code_lengths(global_counts(kept.where("counts IS NOT NULL")), max_bits).tobytes()
+    kept = kept.where("ids IS NOT NULL").select("doc_id", "ids")
     ordered = (_coded(kept, lengths, block).repartitionByRange(wide_partitions(spark), "doc_id")
                .sortWithinPartitions("doc_id", "n", "bits"))
     listed = scratch_path(spark, "manifest")
@@ -256,7 +276,7 @@ def token_files(docs: DataFrame, vocabulary: str, end_id: int = 2) -> DataFrame:
     Null texts are empty and hold the end id alone; an empty table gives no rows.
     """
     spark, folder = docs.sparkSession, scratch_path(docs.sparkSession, "token-files")
-    manifest = write_token_files(token_rows(docs, vocabulary, end_id, narrow=True), folder, narrow=True)
+    manifest = write_token_files(token_rows(docs, vocabulary, end_id, counted=True), folder)
     if manifest.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     return read_token_files(spark, folder, manifest)

@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 
@@ -44,6 +45,28 @@ def cuts(data: np.ndarray) -> np.ndarray:
     return at[~unsure]
 
 
+class _Places(NamedTuple):
+    """Sorted keys of stretches with the begin and the number of their ids."""
+
+    keys: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def none(cls) -> _Places:
+        return cls(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
+
+    def merged(self, other: _Places) -> _Places:
+        at = np.searchsorted(self.keys, other.keys)
+        return _Places(*(np.insert(a, at, b) for a, b in zip(self, other, strict=True)))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not len(self.keys):
+            return np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[at] == keys, self.starts[at], self.sizes[at]
+
+
 class Encoder:
     """One vocabulary file in one worker; ``special_as_text`` reads the strings of special tokens as ordinary text."""
 
@@ -53,22 +76,34 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
-        self.keys = np.zeros(0, dtype=np.uint64)
-        self.starts = self.sizes = np.zeros(0, dtype=np.int64)
-        self.flat = np.zeros(0, dtype="<u4")
+        # Stretches known for long and the newer ones, each as sorted keys with places in the ids; merged when the newer have grown.
+        self.old = self.new = _Places.none()
+        self.flat = np.zeros(1 << 16, dtype="<u4")
+        self.used = 0
 
-    def _with(self, keys: np.ndarray, stretches: list[bytes]) -> tuple[np.ndarray, ...]:
-        """The table with new stretches, whose keys ascend."""
+    def _add(self, keys: np.ndarray, stretches: list[bytes]) -> None:
+        """Learn stretches, whose keys ascend."""
         lists = []
         for at in range(0, len(stretches), 100):
             part = [s.decode() for s in stretches[at:at + 100]]
             lists += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
         sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        new = np.fromiter(chain.from_iterable(lists), dtype="<u4", count=int(sizes.sum()))
-        starts = len(self.flat) + np.cumsum(sizes) - sizes
-        at = np.searchsorted(self.keys, keys)
-        return (np.insert(self.keys, at, keys), np.insert(self.starts, at, starts), np.insert(self.sizes, at, sizes),
-                np.concatenate([self.flat, new]))
+        total = int(sizes.sum())
+        if self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat[:self.used], np.zeros(self.used + 2 * total, dtype="<u4")])
+        self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(lists), dtype="<u4", count=total)
+        self.new = self.new.merged(_Places(keys, self.used + np.cumsum(sizes) - sizes, sizes))
+        self.used += total
+        if 8 * len(self.new.keys) > len(self.old.keys):
+            self.old, self.new = self.old.merged(self.new), _Places.none()
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each key is known, and the begin and number of its ids."""
+        known, starts, sizes = self.old.find(keys)
+        if len(self.new.keys) and not known.all():
+            rest = np.flatnonzero(~known)
+            known[rest], starts[rest], sizes[rest] = self.new.find(keys[rest])
+        return known, starts, sizes
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -82,17 +117,17 @@ class Encoder:
         begin = begin[np.append(True, begin[1:] != begin[:-1])]
         end = np.append(begin[1:], len(data))
         keys, first, inverse = np.unique(span_hashes(data, begin, end), return_index=True, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        missing = self.keys[at] != keys if len(self.keys) else np.ones(len(keys), dtype=bool)
-        table = (self.keys, self.starts, self.sizes, self.flat)
-        if missing.any():
-            table = self._with(keys[missing], [joined[begin[i]:end[i]] for i in first[missing]])
-            if len(table[0]) <= KEPT_STRETCHES:
-                self.keys, self.starts, self.sizes, self.flat = table
-        place = np.searchsorted(table[0], keys)
-        starts, sizes = table[1][place][inverse], table[2][place][inverse]
+        known, starts, sizes = self._find(keys)
+        if not known.all():
+            before = self.old, self.new, self.used
+            fresh = np.flatnonzero(~known)
+            self._add(keys[fresh], [joined[begin[i]:end[i]] for i in first[fresh]])
+            _, starts, sizes = self._find(keys)
+            if len(self.old.keys) + len(self.new.keys) > KEPT_STRETCHES:
+                self.old, self.new, self.used = before
+        starts, sizes = starts[inverse], sizes[inverse]
         ends = np.cumsum(sizes)
-        ids = table[3][np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
+        ids = self.flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
         limits = np.concatenate([[0], ends])[np.searchsorted(begin, bounds)]
         return [ids[a:b] for a, b in zip(limits[:-1], limits[1:], strict=True)]
 
