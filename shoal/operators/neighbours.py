@@ -10,20 +10,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from .balls import nearest
 from .topn import top_n
+from .vectors import NEAREST, best_per_row, similarities
 
 # Vectors of one side that one task compares with a block of the other side.
 BLOCK_ROWS = 2048
-# Rows per step inside a block pair when distances need the full difference.
-_STEP = 64
-# Dimensions of that difference held at once.
-_DIMS = 32
 # Rows below which a block is not cut further for the sake of idle cores.
 SMALL_BLOCK = 256
 
-_NEAREST = "id string, item string, score double"
-
-
 def vectors_of(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("string").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
 
@@ -84,36 +79,7 @@ def all_pairs_top_n(rows: DataFrame, member: str, block_rows: int, scores_of: Ca
             return best_per_row(scores, a, b, n, floor, keep_self)
         return pd.concat([best_per_row(scores.copy(), a, b, n, floor, keep_self), best_per_row(scores.T.copy(), b, a, n, floor, keep_self)])
 
-    return cells.groupBy("_row", "_col").applyInPandas(compare, _NEAREST)
-
-
-def best_per_row(scores: np.ndarray, ids: np.ndarray, items: np.ndarray, n: int, floor: float | None,
-                 keep_self: bool) -> pd.DataFrame:
-    """The n highest entries of every row; columns come sorted by item, so ties go by item."""
-    scores = np.round(scores, 12)
-    if not keep_self:
-        scores[ids[:, None] == items[None, :]] = -np.inf
-    if floor is not None:
-        scores[scores < floor] = -np.inf
-    order = np.argsort(-scores, axis=1, kind="stable")[:, :n]
-    values = np.take_along_axis(scores, order, axis=1)
-    keep = np.isfinite(values)
-    rows = np.repeat(np.arange(len(ids)), order.shape[1]).reshape(order.shape)
-    return pd.DataFrame({"id": ids[rows[keep]], "item": items[order[keep]], "score": values[keep]})
-
-
-def _similarities(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
-    """Higher is nearer: cosine, or the negated Euclidean distance."""
-    if metric == "euclidean":
-        out = np.empty((len(a), len(b)))
-        for start in range(0, len(a), _STEP):
-            squares = np.zeros((len(a[start:start + _STEP]), len(b)))
-            for d in range(0, a.shape[1], _DIMS):
-                squares += ((a[start:start + _STEP, None, d:d + _DIMS] - b[None, :, d:d + _DIMS]) ** 2).sum(axis=2)
-            out[start:start + _STEP] = -np.sqrt(squares)
-        return out
-    lengths = np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=1)[None, :]
-    return np.divide(a @ b.T, lengths, out=np.zeros((len(a), len(b))), where=lengths > 0)
+    return cells.groupBy("_row", "_col").applyInPandas(compare, NEAREST)
 
 
 def _nearest_in_cells(queries: DataFrame, candidates: DataFrame, cell: list[str], metric: str, n: int,
@@ -124,10 +90,10 @@ def _nearest_in_cells(queries: DataFrame, candidates: DataFrame, cell: list[str]
         if left.empty or right.empty:
             return pd.DataFrame({"id": [], "item": [], "score": []})
         right = right.sort_values("id", kind="stable")
-        scores = _similarities(np.stack(left["vector"].to_numpy()), np.stack(right["vector"].to_numpy()), metric)
+        scores = similarities(np.stack(left["vector"].to_numpy()), np.stack(right["vector"].to_numpy()), metric)
         return best_per_row(scores, left["id"].to_numpy(), right["id"].to_numpy(), n, floor, keep_self)
 
-    return queries.groupBy(*cell).cogroup(candidates.groupBy(*cell)).applyInPandas(compare, _NEAREST)
+    return queries.groupBy(*cell).cogroup(candidates.groupBy(*cell)).applyInPandas(compare, NEAREST)
 
 
 def _candidates(vectors: DataFrame, allow: DataFrame | None, deny: DataFrame | None) -> DataFrame:
@@ -149,19 +115,20 @@ def knn(vectors: DataFrame, n: int = 100, metric: str = "cosine", min_similarity
     """``id, item, score, rank``: the n nearest allowed items of every vector, exactly.
 
     ``vectors`` holds ``id, vector``. ``score`` is the cosine similarity (higher
-    first) or the Euclidean distance (lower first). Block pairs are compared by
-    one matrix product each and give up at most n rows per vector, so the full
-    set of pairs never exists. ``allow`` and ``deny`` act on the neighbours.
+    first) or the Euclidean distance (lower first). Vectors are dealt into balls
+    (:mod:`.balls`); headers of the balls tell which of them a vector has to be
+    compared with before it is sent anywhere. ``allow`` and ``deny`` act on the
+    neighbours.
     """
     floor = min_similarity if metric == "cosine" else (None if max_distance is None else -max_distance)
-    if allow is None and deny is None:
-        def scores_of(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
-            return _similarities(np.stack(left["vector"].to_numpy()), np.stack(right["vector"].to_numpy()), metric)
-
-        return _finish(all_pairs_top_n(vectors, "id", block_rows, scores_of, n, floor, keep_self), n, metric)
-    left, right = grid(vectors, _candidates(vectors, allow, deny), [], "id", block_rows)
-    near = _nearest_in_cells(left, right, ["_row", "_col"], metric, n, floor, keep_self)
-    return _finish(near, n, metric)
+    flagged, allowed = vectors.select("id", "vector").where(F.col("vector").isNotNull()), F.lit(True)
+    for frame, name in ((allow, "_allow"), (deny, "_deny")):
+        if frame is not None:
+            ids = frame.select(F.col(frame.columns[0]).cast("string").alias("id")).distinct().withColumn(name, F.lit(True))
+            flagged = flagged.join(ids, "id", "left")
+            allowed = allowed & (F.col(name).isNotNull() if name == "_allow" else F.col(name).isNull())
+    flagged = flagged.select("id", "vector", allowed.alias("allowed"))
+    return _finish(nearest(flagged, n, metric, floor, keep_self, block_rows), n, metric)
 
 
 def neighbour_text(lists: DataFrame, digits: int = 6) -> DataFrame:

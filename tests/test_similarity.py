@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shoal.operators import neighbours, sets, textsim
+from shoal.operators import balls, neighbours, sets, textsim
 
 
 @pytest.fixture(scope="module")
@@ -142,3 +142,54 @@ def test_rare_terms_in_steps_equal_one_product(monkeypatch):
         monkeypatch.setattr(textsim, "_PRODUCT_STEP", step)
         monkeypatch.setattr(textsim, "_COMMON_SHARE", 1.0)
         assert np.allclose(textsim._sparse_product(*sides, 7, 9), left @ right.T)
+
+
+@pytest.fixture(scope="module")
+def clustered(spark):
+    """Twelve clusters, copies, zero vectors and a hub of equal vectors."""
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((12, 6)) * 6
+    rows = [(f"c{n:03d}", (centres[n % 12] + rng.standard_normal(6) * 0.1).tolist()) for n in range(360)]
+    rows += [(f"hub{n:02d}", centres[0].tolist()) for n in range(40)] + [(f"zero{n}", [0.0] * 6) for n in range(3)]
+    return spark.createDataFrame(rows, "id string, vector array<double>").cache()
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+@pytest.mark.parametrize("n", [3, 30, 500])
+def test_balls_are_exact(spark, clustered, metric, n):
+    rows = [(r.id, r.vector) for r in clustered.collect()]
+    assert lists(neighbours.knn(clustered, n, metric, block_rows=20)) == brute(rows, metric, n)
+
+
+def test_balls_are_exact_with_few_candidates(spark, clustered):
+    rows = [(r.id, r.vector) for r in clustered.collect()]
+    allow = spark.createDataFrame([(i,) for i, _ in rows if i.endswith("7")], "id string")
+    deny = spark.createDataFrame([("c007",)], "id string")
+    names = {i for i, _ in rows if i.endswith("7")} - {"c007"}
+    for metric in ("cosine", "euclidean"):
+        assert lists(neighbours.knn(clustered, 5, metric, allow=allow, deny=deny, block_rows=16)) == brute(rows, metric, 5, names)
+    bounded = {k: [b for b in v] for k, v in lists(neighbours.knn(clustered, 400, min_similarity=0.9, block_rows=16)).items()}
+    want = lists(neighbours.knn(clustered, 400, min_similarity=0.9))
+    assert bounded == want and 0 < sum(map(len, want.values())) < 403 * 60
+    assert neighbours.knn(clustered.limit(0), 3).count() == 0
+
+
+def test_headers_spare_most_cells():
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((40, 16))
+    points = balls.placed(centres[rng.integers(0, 40, 4000)] + rng.standard_normal((4000, 16)) * 0.02, "cosine")
+    pivots = points[:80]
+    away = balls.distances(points, pivots)
+    cell = away.argmin(axis=1)
+    ends = [away[cell == c, c] for c in range(80)]
+    head = balls.Headers(pivots, np.array([e.min(initial=9) for e in ends]), np.array([e.max(initial=0) for e in ends]),
+                         np.bincount(cell, minlength=80), np.ones(80, dtype=np.int64))
+    exact = points[:, :-1] @ points[:, :-1].T
+    tenth = -np.sort(-exact, axis=1)[:, 10]
+    wanted = np.concatenate([balls.limits(points[cell == c], c, head, tenth[cell == c], 10, "cosine") for c in np.unique(cell)])
+    order = np.argsort(cell, kind="stable")
+    assert wanted.mean() < 0.1
+    needed = np.zeros(wanted.shape, dtype=bool)
+    for k, i in enumerate(order):
+        needed[k, cell[exact[i] >= tenth[i]]] = True
+    assert (wanted | ~needed).all()
