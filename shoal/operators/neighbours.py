@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,10 @@ from .vectors import NEAREST, best_per_row, similarities
 BLOCK_ROWS = 2048
 # Rows below which a block is not cut further for the sake of idle cores.
 SMALL_BLOCK = 256
+# Multi-probe: rows a bucket should have, signs a query may flip, and vectors the setting is fitted on.
+BUCKET_ROWS = 64
+FLIPPED = 10
+LSH_SAMPLE = 128
 
 def vectors_of(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("string").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
@@ -144,32 +149,149 @@ def sign_planes(seed, count: int, dim: int) -> np.ndarray:
     return np.array([1.0 - 2.0 * (int(x[:8], 16) % 2) for x in digests]).reshape(count, dim)
 
 
-def knn_lsh(vectors: DataFrame, n: int = 100, bits: int = 8, tables: int = 16, min_similarity: float | None = None,
-            allow: DataFrame | None = None, deny: DataFrame | None = None, seed: int = 42,
-            block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Approximate cosine neighbours by signs of random projections.
+def projections(matrix: np.ndarray, planes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets (rows × tables) and the projections behind their bits (rows × tables × bits)."""
+    values = (matrix @ planes.T).reshape(len(matrix), -1, bits)
+    return ((values >= 0) * (1 << np.arange(bits))).sum(axis=2), values
 
-    Vectors that agree on all signs of a table share a bucket. Buckets are
-    compared exactly, block by block, so a bucket holding a third of the vectors
-    is spread over many tasks.
+
+def flips(margins: np.ndarray, probes: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Per row of margins the bits to flip, as masks, in order of what the flipped margins add up to, and these sums.
+
+    Only the FLIPPED smallest margins are flipped; ties go by mask.
+    """
+    few = min(margins.shape[1], FLIPPED)
+    place = np.argsort(margins, axis=1, kind="stable")[:, :few]
+    subsets = (np.arange(1 << few)[:, None] >> np.arange(few)) & 1
+    sums = np.round(np.take_along_axis(margins, place, axis=1) @ subsets.T, 9)
+    masks = (1 << place) @ subsets.T
+    order = np.lexsort((masks, sums), axis=-1)[:, :probes]
+    return np.take_along_axis(masks, order, axis=1), np.take_along_axis(sums, order, axis=1)
+
+
+class Probing(NamedTuple):
+    """Bits of a bucket, tables, buckets looked up in each, and the recall met on the sample (None: not measured)."""
+
+    bits: int
+    tables: int
+    probes: int
+    recall: float | None
+
+
+def calibrated(vectors: DataFrame, n: int, target: float = 0.9, bits: int | None = None, tables: int = 16, seed=42,
+               sample: int = LSH_SAMPLE) -> Probing:
+    """The cheapest setting that finds the share ``target`` of the sample's exact neighbours.
+
+    ``sample`` vectors (those of smallest hash) are compared with all rows exactly; the signs of their neighbours tell at
+    which look-up each table would meet them. Cost is the expected share of rows compared: tables × probes ÷ 2^bits.
+    At most ``bits`` bits (by default so many that a bucket has about BUCKET_ROWS rows) and ``tables`` tables are tried.
     """
-    dim = vectors.select(F.size("vector").alias("d")).first().d
-    planes = sign_planes(seed, tables * bits, dim)
-    powers = 1 << np.arange(bits)
-
-    @F.pandas_udf("array<int>")
-    def signatures(column: pd.Series) -> pd.Series:
-        signs = (np.stack(column.to_numpy()) @ planes.T >= 0).reshape(len(column), tables, bits)
-        return pd.Series(list((signs * powers).sum(axis=2).astype("int32")))
-
-    hashed = vectors.withColumn("_sig", signatures("vector"))
-    left = hashed.select("id", "vector", F.posexplode("_sig").alias("_table", "_bucket"))
-    right = _candidates(hashed, allow, deny).select("id", "vector", F.posexplode("_sig").alias("_table", "_bucket"))
+    rows = vectors.where(F.col("vector").isNotNull())
+    size = rows.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dim")).first()
+    if not size.n:
+        return Probing(1, 1, 1, None)
+    bits = bits or max(1, min(24, math.ceil(math.log2(max(2.0, size.n / BUCKET_ROWS)))))
+    planes = sign_planes(seed, tables * bits, size.dim)
+    drawn = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("id", "vector").collect()
+    asked, names = np.array([r.vector for r in drawn]), np.array([r.id for r in drawn], dtype=object)
+
+    def exact(batches):
+        for batch in batches:
+            matrix = np.stack(batch["vector"].to_numpy())
+            buckets, ids = projections(matrix, planes, bits)[0], batch["id"].to_numpy(dtype=object)
+            order = np.argsort(ids, kind="stable")
+            place = dict(zip(ids, range(len(ids))))
+            near = best_per_row(similarities(asked, matrix[order], "cosine"), names, ids[order], n, None, False)
+            near["buckets"] = [buckets[place[i]].tolist() for i in near["item"]]
+            yield near
+
+    found = top_n(rows.select("id", "vector").mapInPandas(exact, NEAREST + ", buckets array<int>"), ["id"],
+                  [F.desc("score"), F.asc("item")], n).select("id", "buckets").collect()
+    if not found:
+        return Probing(bits, tables, 1, None)
+    own, values = projections(asked, planes, bits)
+    at = {name: k for k, name in enumerate(names)}
+    who = np.array([at[r.id] for r in found])
+    differ = np.array([r.buckets for r in found]) ^ own[who]
+    best = None
+    for b in range(1, bits + 1):
+        met = np.full(differ.shape, 1 << b, dtype=np.int64)  # the look-up at which each table meets the neighbour
+        for table in range(tables):
+            margins = np.abs(values[:, table, :b])
+            masks, _ = flips(margins)
+            for k in range(len(asked)):
+                mine = np.flatnonzero(who == k)
+                order = np.argsort(masks[k])
+                place = np.minimum(np.searchsorted(masks[k][order], differ[mine, table] & ((1 << b) - 1)), len(order) - 1)
+                hit = masks[k][order][place] == (differ[mine, table] & ((1 << b) - 1))
+                met[mine[hit], table] = order[place[hit]]
+        first = np.minimum.accumulate(met, axis=1)
+        for used in range(1, tables + 1):
+            wanted = np.sort(first[:, used - 1])[math.ceil(target * len(who)) - 1]
+            if wanted >= 1 << min(b, FLIPPED):
+                continue
+            probes = int(wanted) + 1
+            setting = Probing(b, used, probes, float((first[:, used - 1] < probes).mean()))
+            cost = used * probes / 2 ** b
+            if best is None or cost < best[0]:
+                best = cost, setting
+    return best[1] if best else Probing(1, 1, 2, 1.0)
+
+
+def _probed(vectors: DataFrame, candidates: DataFrame, setting: Probing, planes: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the look-up: ``id, vector, _table, _bucket``, a query in every bucket it looks into."""
+
+    def buckets(probes: int):
+        def run(batches):
+            for batch in batches:
+                own, values = projections(np.stack(batch["vector"].to_numpy()), planes, setting.bits)
+                masks = np.stack([flips(np.abs(values[:, t]), probes)[0] for t in range(setting.tables)], axis=1)
+                batch["_buckets"] = list((own[:, :, None] ^ masks).reshape(len(batch), -1).astype("int32"))
+                yield batch
+        return run
+
+    sides = []
+    for frame, probes in ((vectors, min(setting.probes, 1 << min(setting.bits, FLIPPED))), (candidates, 1)):
+        hashed = frame.select("id", "vector").mapInPandas(buckets(probes), "id string, vector array<double>, _buckets array<int>")
+        sides.append(hashed.select("id", "vector", F.posexplode("_buckets").alias("_at", "_bucket"))
+                     .select("id", "vector", F.floor(F.col("_at") / probes).cast("int").alias("_table"), "_bucket"))
+    return sides[0], sides[1]
+
+
+def knn_lsh(vectors: DataFrame, n: int = 100, bits: int | None = None, tables: int | None = None, probes: int | None = None,
+            target: float = 0.9, min_similarity: float | None = None, allow: DataFrame | None = None, deny: DataFrame | None = None,
+            seed: int = 42, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Approximate cosine neighbours by signs of random projections, several buckets looked up in each table.
+
+    Vectors that agree on all signs of a table share a bucket. A query looks into its own bucket and then into those that
+    differ in the signs it is least sure of, in order of the projections' sizes. Unless ``bits``, ``tables`` and ``probes`` are all
+    named, :func:`calibrated` chooses the cheapest setting that reaches ``target`` on a sample. Buckets are
+    compared exactly, block by block, so a bucket holding a third of the vectors is spread over many tasks.
+    """
+    vectors = vectors.where(F.col("vector").isNotNull())
+    setting = (Probing(bits, tables, probes, None) if bits and tables and probes
+               else calibrated(vectors, n, target, bits, tables or 16, seed))
+    left, right, _ = _meeting(vectors, setting, allow, deny, seed)
     left, right = grid(left, right, ["_table", "_bucket"], "id", block_rows)
     near = _nearest_in_cells(left, right, ["_table", "_bucket", "_row", "_col"], "cosine", n, min_similarity, False)
     return _finish(near.groupBy("id", "item").agg(F.max("score").alias("score")), n, "cosine")
 
 
+def _meeting(vectors: DataFrame, setting: Probing, allow: DataFrame | None, deny: DataFrame | None, seed) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    first = vectors.select(F.size("vector").alias("d")).first()
+    planes = sign_planes(seed, setting.tables * setting.bits, first.d if first else 0)
+    return (*_probed(vectors, _candidates(vectors, allow, deny), setting, planes), planes)
+
+
+def compared_pairs(vectors: DataFrame, setting: Probing, seed: int = 42) -> DataFrame:
+    """One row: ``met``, how often a query meets another row in a bucket (a pair counts once for each table that brings it together)."""
+    left, right, _ = _meeting(vectors.where(F.col("vector").isNotNull()), setting, None, None, seed)
+    asked = left.groupBy("_table", "_bucket").agg(F.count("*").alias("a"))
+    held = right.groupBy("_table", "_bucket").agg(F.count("*").alias("b"))
+    own = vectors.where(F.col("vector").isNotNull()).agg(F.count("*").alias("n")).scalar() * setting.tables
+    return asked.join(held, ["_table", "_bucket"]).agg((F.coalesce(F.sum(F.col("a") * F.col("b")), F.lit(0)) - own).alias("met"))
+
+
 def recall_against(found: DataFrame, exact: DataFrame) -> DataFrame:
     """One row: the share of exact neighbours that were found."""
     hits = exact.select("id", "item").join(found.select("id", "item").withColumn("_hit", F.lit(1)), ["id", "item"], "left")

@@ -120,15 +120,33 @@ def _(t):
     return neighbours.neighbour_text(neighbours.knn(t.vectors(), 5))
 
 
-@query("knn_lsh", f"""WITH planes AS (SELECT p, list(CAST(1 - 2 * ({draw('lsh', 'p', 'd')} % 2) AS DOUBLE) ORDER BY d) AS plane FROM
-        (SELECT range AS p FROM range(96)), (SELECT unnest(range((SELECT max(len(vector)) FROM vectors))) AS d) GROUP BY p),
-    sig AS (SELECT id, p // 4 AS t, sum(CASE WHEN list_inner_product(CAST(vector AS DOUBLE[]), plane) >= 0 THEN 1 << CAST(p % 4 AS INTEGER) ELSE 0 END) AS bucket
-        FROM vectors, planes GROUP BY ALL),
-    met AS (SELECT DISTINCT x.id, y.id AS item FROM sig x JOIN sig y ON x.t = y.t AND x.bucket = y.bucket AND x.id <> y.id),
-    near AS (SELECT m.id, m.item, list_cosine_similarity(a.vector, b.vector) AS score FROM met m JOIN vectors a ON a.id = m.id JOIN vectors b ON b.id = m.item)
-    SELECT id, item, round(score, 6) AS score FROM near QUALIFY row_number() OVER (PARTITION BY id ORDER BY round(score, 12) DESC, item) <= 10""", "vectors")
+define("lsh_near", "vectors", f"""WITH planes AS (SELECT p, list(CAST(1 - 2 * ({draw('lsh', 'p', 'd')} % 2) AS DOUBLE) ORDER BY d) AS plane FROM
+        (SELECT range AS p FROM range(10)), (SELECT unnest(range((SELECT max(len(vector)) FROM vectors))) AS d) GROUP BY p),
+    val AS (SELECT id, p // 5 AS t, CAST(p % 5 AS INTEGER) AS b, list_inner_product(CAST(vector AS DOUBLE[]), plane) AS v FROM vectors, planes),
+    sig AS (SELECT id, t, CAST(sum(CASE WHEN v >= 0 THEN 1 << b ELSE 0 END) AS BIGINT) AS bucket FROM val GROUP BY ALL),
+    flip AS (SELECT id, t, mask, round(sum(CASE WHEN (mask >> b) & 1 = 1 THEN abs(v) ELSE 0 END), 9) AS s FROM val, range(32) m(mask) GROUP BY id, t, mask
+        QUALIFY row_number() OVER (PARTITION BY id, t ORDER BY s, mask) <= 16),
+    look AS (SELECT f.id, f.t, xor(bucket, mask) AS bucket FROM flip f JOIN sig s ON f.id = s.id AND f.t = s.t),
+    met AS (SELECT DISTINCT x.id, y.id AS item FROM look x JOIN sig y ON x.t = y.t AND x.bucket = y.bucket AND x.id <> y.id)
+    SELECT m.id, m.item, list_cosine_similarity(a.vector, b.vector) AS score FROM met m JOIN vectors a ON a.id = m.id JOIN vectors b ON b.id = m.item
+        QUALIFY row_number() OVER (PARTITION BY m.id ORDER BY round(list_cosine_similarity(a.vector, b.vector), 12) DESC, m.item) <= 10""")
+_LSH = neighbours.Probing(bits=5, tables=2, probes=16, recall=None)
+
+
+def _lsh(t):
+    return neighbours.knn_lsh(t.vectors(), 10, _LSH.bits, _LSH.tables, _LSH.probes, seed="lsh")
+
+
+@query("knn_lsh", "SELECT id, item, round(score, 6) AS score FROM lsh_near", "lsh_near")
+def _(t):
+    return _lsh(t).select("id", "item", r6("score"))
+
+
+@query("knn_lsh_recall", """WITH exact AS (SELECT a.id, b.id AS item FROM vectors a JOIN vectors b ON a.id <> b.id
+        QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY round(list_cosine_similarity(a.vector, b.vector), 12) DESC, b.id) <= 10)
+    SELECT round(count(f.id) / count(*), 6) AS recall, count(*) AS wanted FROM exact e LEFT JOIN lsh_near f ON e.id = f.id AND e.item = f.item""", "vectors lsh_near")
 def _(t):
-    return neighbours.knn_lsh(t.vectors(), 10, bits=4, tables=24, seed="lsh").select("id", "item", r6("score"))
+    return neighbours.recall_against(_lsh(t), neighbours.knn(t.vectors(), 10)).select(r6("recall"), "wanted")
 
 
 _TFIDF = """SELECT id, term, tf * ln(((SELECT count(*) FROM texts) + 1) / (df + 1)) AS weight FROM
