@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stored
 from .pairs import BLOCK_ROWS, co_counts, group_sizes, large_groups, pair_up
+from .products import top_by_product
 
 
 def ratings_of(df: DataFrame, user: str | None = None, item: str | None = None, score: str | None = None) -> DataFrame:
@@ -172,16 +173,42 @@ def dense_ids(df: DataFrame, column: str, name: str = "idx", buckets: int = 4096
             .select(column, (F.col("_offset") + F.col("_r") - 1).cast("int").alias(name)))
 
 
-def als_top_k(df: DataFrame, k: int = 100, rank: int = 100, max_iter: int = 10, reg: float = 0.1, seed: int = 42) -> DataFrame:
-    """``user_id, item_id, rating, rank``: the k best items per user by matrix factorisation."""
+def als_factors(df: DataFrame, rank: int = 100, max_iter: int = 10, reg: float = 0.1, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """``id, vector`` of users and of items by matrix factorisation."""
     from pyspark.ml.recommendation import ALS
 
-    ratings = ratings_of(df)
-    users, items = dense_ids(ratings, "user_id", "user_idx"), dense_ids(ratings, "item_id", "item_idx")
+    ratings = stored(ratings_of(df), "ratings")
+    users, items = stored(dense_ids(ratings, "user_id", "user_idx"), "users"), stored(dense_ids(ratings, "item_id", "item_idx"), "items")
     indexed = ratings.join(users, "user_id").join(items, "item_id").select("user_idx", "item_idx", F.col("score").cast("float"))
     model = ALS(userCol="user_idx", itemCol="item_idx", ratingCol="score", rank=rank, maxIter=max_iter,
                 regParam=reg, seed=seed).fit(indexed)
-    best = model.recommendForAllUsers(k).select("user_idx", F.posexplode("recommendations").alias("pos", "rec"))
-    return (best.select("user_idx", (F.col("pos") + 1).alias("rank"), F.col("rec.item_idx").alias("item_idx"),
-                        F.col("rec.rating").cast("double").alias("rating"))
-            .join(users, "user_idx").join(items, "item_idx").select("user_id", "item_id", "rating", "rank"))
+    named = [(users, "user", model.userFactors), (items, "item", model.itemFactors)]
+    return tuple(stored(factors.join(names.select(F.col(f"{who}_idx").alias("id"), F.col(f"{who}_id").alias("name")), "id")
+                        .select(F.col("name").alias("id"), F.col("features").cast("array<double>").alias("vector")), f"{who}-factors")
+                 for names, who, factors in named)
+
+
+def als_residuals(df: DataFrame, users: DataFrame, items: DataFrame, rank: int, reg: float) -> DataFrame:
+    """``user_id, ratings, residual``: how far each user's factor is from solving its regularised normal equations.
+
+    The largest entry of ``sum(v (v·u - score)) + reg * ratings * u`` over the largest of ``sum(v * score)``, v the rated
+    items' factors. Users are fitted last, so their residuals are rounding only.
+    """
+    rows = (ratings_of(df).join(users.select(F.col("id").alias("user_id"), F.col("vector").alias("u")), "user_id")
+            .join(items.select(F.col("id").alias("item_id"), F.col("vector").alias("v")), "item_id"))
+    off = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x) - F.col("score")
+    v = [F.col("v")[i] for i in range(rank)]
+    summed = rows.withColumn("off", off).groupBy("user_id").agg(
+        F.count("*").alias("ratings"), F.first("u").alias("u"), F.array(*[F.sum(x * F.col("off")) for x in v]).alias("left"),
+        F.array(*[F.sum(x * F.col("score")) for x in v]).alias("right"))
+    gap = F.array_max(F.zip_with("left", "u", lambda a, x: F.abs(a + F.lit(reg) * F.col("ratings") * x)))
+    return summed.select("user_id", "ratings", (gap / F.greatest(F.array_max(F.transform("right", F.abs)), F.lit(1e-300))).alias("residual"))
+
+
+def als_top_k(df: DataFrame, k: int = 100, rank: int = 100, max_iter: int = 10, reg: float = 0.1, seed: int = 42) -> DataFrame:
+    """``user_id, item_id, rating, rank``: the k best items per user by matrix factorisation, ties by item.
+
+    Items are looked through in order of their factors' length (:mod:`.products`), not all users times all items.
+    """
+    users, items = als_factors(df, rank, max_iter, reg, seed)
+    return top_by_product(users, items, k).select(F.col("id").alias("user_id"), F.col("item").alias("item_id"), F.col("score").alias("rating"), "rank")

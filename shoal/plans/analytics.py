@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from ..operators import cf, cluster, graph, hot, neighbours, sampling, textsim
+from ..operators import cf, cluster, graph, hot, neighbours, products, sampling, textsim
 from ..operators.topn import i2i_top_n
 from .aggregates import keyword_log
 from .base import query, r6
@@ -172,9 +172,17 @@ def _(t):
     return textsim.tfidf_top_n(t.texts(), 10, features=4096).select("id", "item", r6("score"))
 
 
-@query("als_topk")
+@query("als_topk", """SELECT user_id, count(*) AS ratings, least(10, (SELECT count(DISTINCT item_id) FROM ratings)) AS listed, true AS in_order,
+    true AS solved FROM ratings GROUP BY user_id""", "ratings")
 def _(t):
-    return cf.als_top_k(t.ratings(), 10, rank=8, max_iter=3)
+    """The lists, and whether each user's factor solves its equations: what holds for any factorisation, so that SQL can say it."""
+    users, items = cf.als_factors(t.ratings(), rank=8, max_iter=3)
+    lists = products.top_by_product(users, items, 10)
+    falls = F.lag("score").over(Window.partitionBy("id").orderBy("rank")) >= F.col("score")
+    listed = (lists.withColumn("falls", F.coalesce(falls, F.lit(True))).groupBy(F.col("id").alias("user_id"))
+              .agg(F.count_distinct("item").alias("listed"), F.every("falls").alias("in_order")))
+    solved = cf.als_residuals(t.ratings(), users, items, rank=8, reg=0.1)
+    return solved.join(listed, "user_id").select("user_id", "ratings", "listed", "in_order", (F.col("residual") < 1e-3).alias("solved"))
 
 
 def _item_positions(t):
@@ -290,10 +298,28 @@ def _walk_pairs(walks):
     return graph.skip_gram_pairs(walks, 2).groupBy("centre", "context").agg(F.count("*").alias("n"))
 
 
-@query("kmeans_best_k")
+def _kmeans_sql(seed: str, ks: list[int], rounds: int) -> str:
+    """The rounds one by one, all k together; ``q`` holds points as (id, place, number)."""
+    parts = [f"d AS (SELECT id, row_number() OVER (ORDER BY {draw(seed, 'id')}, id) - 1 AS c FROM vectors)",
+             "ks AS (SELECT unnest([" + ", ".join(map(str, ks)) + "]) AS k)",
+             "c0 AS MATERIALIZED (SELECT k, c, vector AS centre FROM ks JOIN d ON c < k JOIN vectors USING (id))"]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (SELECT id, k, c, own, other FROM (SELECT id, k, c, dist AS own, lead(dist) OVER w AS other, row_number() OVER w AS r
+            FROM (SELECT id, k, c, list_distance(vector, centre) AS dist FROM vectors, c{r}) WINDOW w AS (PARTITION BY id, k ORDER BY dist, c)) WHERE r = 1)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (SELECT o.k, o.c, coalesce(m.centre, o.centre) AS centre FROM c{r} o LEFT JOIN (SELECT k, c, list(m ORDER BY i) AS centre
+                FROM (SELECT k, c, i, avg(x) AS m FROM a{r} JOIN (SELECT id, unnest(vector) AS x, generate_subscripts(vector, 1) AS i FROM vectors) USING (id) GROUP BY k, c, i)
+                GROUP BY k, c) m ON o.k = m.k AND o.c = m.c)""")
+    return f"""WITH {', '.join(parts)},
+    s AS (SELECT k, avg(CASE WHEN greatest(own, other) > 0 THEN (other - own) / greatest(own, other) ELSE 0 END) AS score FROM a{rounds} GROUP BY k)
+    SELECT a.id, CAST(a.k AS INTEGER) AS k, CAST(a.c AS INTEGER) AS cluster, round(a.own, 6) AS distance, round(s.score, 6) AS silhouette
+    FROM a{rounds} a JOIN s USING (k) WHERE a.k = (SELECT k FROM s ORDER BY round(score, 9) DESC, k LIMIT 1)"""
+
+
+@query("kmeans_best_k", _kmeans_sql("km", [3, 4, 5], 6), "vectors")
 def _(t):
-    assigned, best, scores, _model = cluster.kmeans_best_k(t.vectors(), 3, 6, max_iter=10)
-    return assigned.groupBy("cluster").agg(F.count("*").alias("n")).withColumn("k", F.lit(best)).withColumn("silhouette", F.lit(round(scores[best], 6)))
+    assigned, best, scores, _centres = cluster.kmeans_best_k(t.vectors(), 3, 6, max_iter=6, seed="km", init="draw")
+    return assigned.select("id", F.lit(best).alias("k"), "cluster", r6("distance"), F.lit(round(scores[best], 6)).alias("silhouette"))
 
 
 @query("silhouette_simplified", """WITH c AS (SELECT label, list(m ORDER BY i) AS centre FROM (SELECT label, i, avg(x) AS m
@@ -307,9 +333,9 @@ def _(t):
                                           F.col("embedding").cast("array<double>").alias("vector"))
     # One mean vector per label: as many rows as clusters, like a fitted model's centres.
     means = points.select("cluster", F.posexplode("vector").alias("i", "x")).groupBy("cluster", "i").agg(F.avg("x").alias("m"))
-    centres = (means.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("c")).orderBy("cluster")
-               .select(F.transform("c", lambda e: e["m"]).alias("centre")))
-    shaped = cluster.silhouette(points, [r.centre for r in centres.collect()])
+    centres = (means.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("c"))
+               .select("cluster", F.transform("c", lambda e: e["m"]).alias("centre")))
+    shaped = cluster.silhouette(points, centres)
     return shaped.select("id", "cluster", r6("own"), r6("nearest_other"), r6("silhouette"))
 
 

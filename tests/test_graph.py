@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,7 +137,8 @@ def test_fractional_weights_leave_no_gap_and_no_overlap(spark):
 
 def test_silhouette_takes_the_nearest_other_centre(spark):
     points = spark.createDataFrame([([0.0, 1.0], 0)], "vector array<double>, cluster int")
-    row = cluster.silhouette(points, [[0.0, 0.0], [100.0, 0.0], [0.0, 4.0]]).first()
+    centres = spark.createDataFrame([(0, [0.0, 0.0]), (1, [100.0, 0.0]), (2, [0.0, 4.0])], "cluster int, centre array<double>")
+    row = cluster.silhouette(points, centres).first()
     assert (row.own, row.nearest_other) == (1.0, 3.0) and row.silhouette == pytest.approx(2 / 3)
 
 
@@ -201,3 +203,24 @@ def test_a_walk_may_need_many_draws(spark, monkeypatch):
     rows = [("a", "b", 1.0), ("b", "c", 1.0)]
     paths = walked(graph.node2vec_walks(edges(spark, rows), 6, keep="all", directed=False, p=20.0, q=0.05))
     assert all(len(p) == 8 for p in paths.values())
+
+
+@pytest.mark.parametrize("init", ["draw", "k-means||"])
+def test_all_k_in_one_scan_equal_plain_rounds(spark, init):
+    rng = np.random.default_rng(6)
+    points = np.concatenate([rng.standard_normal((40, 3)) + c for c in ([0, 0, 0], [9, 0, 0], [0, 9, 9])] + [np.zeros((1, 3))] * 5)
+    frame = spark.createDataFrame([(f"p{n}", p.tolist(), "x", n) for n, p in enumerate(points)] + [("none", None, "x", 0)],
+                                  "id string, vector array<double>, other string, cluster_n int").repartition(4)
+    assigned, best, scores, centres = cluster.kmeans_best_k(frame, 2, 6, max_iter=30, init=init)
+    away = {k: np.sqrt(((points[:, None] - c[None]) ** 2).sum(axis=2)) for k, c in centres.items()}
+    for k, d in away.items():
+        near = d.argmin(axis=1)
+        for c in range(k):  # a fixed point of the rounds
+            if (near == c).any():
+                assert np.allclose(points[near == c].mean(axis=0), centres[k][c])
+        two = np.sort(d, axis=1)
+        assert scores[k] == pytest.approx(np.mean(np.divide(two[:, 1] - two[:, 0], two[:, 1], out=np.zeros(len(d)), where=two[:, 1] > 0)))
+    assert best == max(scores, key=lambda k: (round(scores[k], 9), -k))
+    rows = {r.id: (r.cluster, r.distance) for r in assigned.collect()}
+    assert set(rows) == {f"p{n}" for n in range(len(points))}
+    assert all(rows[f"p{n}"] == (int(d.argmin()), pytest.approx(d.min())) for n, d in enumerate(away[best]))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shoal.operators import balls, neighbours, sets, textsim
+from shoal.operators import balls, neighbours, products, sets, textsim
 
 
 @pytest.fixture(scope="module")
@@ -220,3 +220,15 @@ def test_headers_spare_most_cells():
     for k, i in enumerate(order):
         needed[k, cell[exact[i] >= tenth[i]]] = True
     assert (wanted | ~needed).all()
+
+
+@pytest.mark.parametrize("block_rows", [7, 4096])
+def test_products_are_exact(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(products, "USER_ROWS", 11)
+    rng = np.random.default_rng(4)
+    users = [(f"u{i:02d}", rng.standard_normal(4)) for i in range(40)] + [("zero", np.zeros(4))]
+    items = [(f"i{i:03d}", rng.standard_normal(4) * rng.pareto(2)) for i in range(150)] + [(f"same{i}", np.ones(4)) for i in range(5)]
+    frames = [spark.createDataFrame([(i, v.tolist()) for i, v in rows], "id string, vector array<double>") for rows in (users, items)]
+    got = lists(products.top_by_product(*frames, 6, block_rows=block_rows))
+    assert got == {u: [i for _, i in sorted((-round(float(a @ b), 12), i) for i, b in items)[:6]] for u, a in users}
+    assert products.top_by_product(frames[0], frames[1].limit(0), 3).count() == 0
