@@ -38,13 +38,14 @@ MAGIC = b"IDSHARD1"
 #: Ids of a block and (about) of a shard.
 BLOCK_IDS = 256
 SHARD_IDS = 4_000_000
+_COUNTS = ", used array<bigint>, times array<bigint>"
 
 
 def token_rows(docs: DataFrame, vocabulary: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text",
                counted: bool = False) -> DataFrame:
     """``doc_id``, ``ids`` of each whole text, null texts empty, then ``end_id``.
 
-    Ids are little-endian unsigned 32-bit integers. With ``counted`` they are packed as of ``_narrow`` and a column ``counts`` is
+    Ids are little-endian unsigned 32-bit integers. With ``counted`` they are packed as of ``_narrow`` and columns ``used, times`` are
     added: null but for one more row of each task, which tells how often each id occurs in the task.
     """
     tail = np.array([] if end_id is None else [end_id], dtype="<u4")
@@ -58,13 +59,13 @@ def token_rows(docs: DataFrame, vocabulary: str, end_id: int | None, id_col: str
                 frame = pd.DataFrame({"doc_id": batch["doc_id"].iloc[part].array, "ids": [_narrow(x) if counted else x.tobytes() for x in ids]})
                 if counted:
                     total = _added(total, np.bincount(np.concatenate(ids)))
-                    frame["counts"] = None
+                    frame["used"] = frame["times"] = None
                 yield frame
         if counted:
-            yield pd.DataFrame({"doc_id": pd.array([None], dtype="Int64"), "ids": [None], "counts": [_count_bytes(total)]})
+            yield _count_row(total)
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInPandas(run, "doc_id long, ids binary" + (", counts binary" if counted else ""))
+    return picked.mapInPandas(run, "doc_id long, ids binary" + (_COUNTS if counted else ""))
 
 
 def _added(total: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -74,9 +75,9 @@ def _added(total: np.ndarray, own: np.ndarray) -> np.ndarray:
     return total
 
 
-def _count_bytes(total: np.ndarray) -> bytes:
+def _count_row(total: np.ndarray) -> pd.DataFrame:
     used = np.flatnonzero(total)
-    return used.astype("<i8").tobytes() + total[used].astype("<i8").tobytes()
+    return pd.DataFrame({"doc_id": pd.array([None], dtype="Int64"), "ids": [None], "used": [used], "times": [total[used]]})
 
 
 def _narrow(ids: np.ndarray) -> bytes:
@@ -97,28 +98,41 @@ def _counted(rows: DataFrame) -> DataFrame:
             own = [np.frombuffer(x, dtype="<u4") for x in batch["ids"]]
             for part in batches_of(own):
                 total = _added(total, np.bincount(np.concatenate(own[part])))
-            batch["ids"], batch["counts"] = [_narrow(x) for x in own], None
+            batch["ids"], batch["used"], batch["times"] = [_narrow(x) for x in own], None, None
             yield batch
-        yield pd.DataFrame({"doc_id": pd.array([None], dtype="Int64"), "ids": [None], "counts": [_count_bytes(total)]})
+        yield _count_row(total)
 
-    return rows.select("doc_id", "ids").mapInPandas(run, "doc_id long, ids binary, counts binary")
+    return rows.select("doc_id", "ids").mapInPandas(run, "doc_id long, ids binary" + _COUNTS)
 
 
 def global_counts(counts: DataFrame) -> np.ndarray:
-    """How often each id occurs, from the tasks' ``counts``; the vocabulary bounds the result."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for data in batch["counts"]:
-                ids, n = np.frombuffer(data, dtype="<i8").reshape(2, -1)
-                yield pd.DataFrame({"id": ids, "n": n})
-
-    rows = counts.select("counts").mapInPandas(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    """How often each id occurs, from the tasks' rows of ``used, times``; the vocabulary bounds the result."""
+    pairs = counts.select(F.explode(F.arrays_zip("used", "times")).alias("p"))
+    rows = pairs.groupBy(F.col("p.used").alias("id")).agg(F.sum("p.times").alias("n")).toPandas()
     found = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 1, dtype=np.int64)
     found[rows["id"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
     return found
 
 
+def _dealt(kept: DataFrame, parts: int) -> tuple[DataFrame, int]:
+    """Rows with ``part``, which ascends with doc_id, and the number of parts; rows without an id come first.
+
+    Bounds share out the rows; an id that spans several bounds, and the rows without an id, are dealt to
+    their parts by a hash of the ids' bytes.
+    """
+    steps = [i / parts for i in range(1, parts)]
+    told = kept.agg(F.percentile_approx("doc_id", steps or [0.5], 100 * parts).alias("bounds"), F.count("doc_id").alias("known"),
+                    F.count("*").alias("n")).first()
+    bounds = sorted(told.bounds or []) if steps else []
+    nameless = -(-(told.n - told.known) * parts // max(told.n, 1))
+    array = F.array(*[F.lit(b) for b in bounds]).cast("array<bigint>")
+    low = F.size(F.filter(array, lambda b: b < F.col("doc_id")))
+    high = F.size(F.filter(array, lambda b: b <= F.col("doc_id")))
+    spread = F.xxhash64("ids")
+    part = F.when(F.col("doc_id").isNull(), F.pmod(spread, F.lit(max(nameless, 1)))).otherwise(nameless + low + F.pmod(spread, high - low + 1))
+    return kept.withColumn("part", part.cast("int")), nameless + len(bounds) + 1
+
+
 def _coded(tokens: DataFrame, lengths: bytes, block: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = Coder(np.frombuffer(lengths, dtype=np.uint8))
@@ -128,11 +142,11 @@ def _coded(tokens: DataFrame, lengths: bytes, block: int) -> DataFrame:
                 sizes = np.fromiter(map(len, own[part]), dtype=np.int64)
                 bits, begin, first, blocks = coder.encode_all(np.concatenate(own[part]), sizes, block)
                 bits, first, last = bits.tobytes(), first.astype("<i8"), np.concatenate([[0], np.cumsum(blocks)])
-                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[part].astype("Int64").array, "n": sizes,
+                yield pd.DataFrame({"part": batch["part"].iloc[part].array, "doc_id": batch["doc_id"].iloc[part].astype("Int64").array, "n": sizes,
                                     "first": [first[a:b].tobytes() for a, b in zip(last[:-1], last[1:], strict=True)],
                                     "bits": [bits[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True)]})
 
-    return tokens.mapInPandas(run, "doc_id long, n long, first binary, bits binary")
+    return tokens.mapInPandas(run, "part int, doc_id long, n long, first binary, bits binary")
 
 
 def _filesystem(folder: str):
@@ -191,19 +205,20 @@ def _write_shards(coded: DataFrame, folder: str, lengths: bytes, block: int, sha
 
 def write_token_files(tokens: DataFrame, folder: str, block: int = BLOCK_IDS, shard_ids: int = SHARD_IDS,
                       max_bits: int = MAX_BITS) -> DataFrame:
-    """Write (doc_id, ids) as shards in ascending doc_id order under ``folder``; rows with ``counts`` as of ``token_rows`` are taken as they are.
+    """Write (doc_id, ids) as shards in ascending doc_id order under ``folder``; rows with ``times`` as of ``token_rows`` are taken as they are.
 
     Returns the manifest: ``part, shard, name, n_docs, n_ids, start`` (ids in all shards before). Rows without a
     doc_id come first; rows that share one stand together. An empty table makes no file.
     """
     spark = tokens.sparkSession
     held = scratch_path(spark, "ids")  # written once, with the counts beside the ids
-    (tokens if "counts" in tokens.columns else _counted(tokens)).write.option("compression", "zstd").parquet(held)
-    kept = spark.read.schema("doc_id long, ids binary, counts binary").parquet(held)
-    lengths = code_lengths(global_counts(kept.where("counts IS NOT NULL")), max_bits).tobytes()
+    (tokens if "times" in tokens.columns else _counted(tokens)).write.option("compression", "zstd").parquet(held)
+    kept = spark.read.schema("doc_id long, ids binary" + _COUNTS).parquet(held)
+    lengths = code_lengths(global_counts(kept.where("times IS NOT NULL")), max_bits).tobytes()
     kept = kept.where("ids IS NOT NULL").select("doc_id", "ids")
-    ordered = (_coded(kept, lengths, block).repartitionByRange(wide_partitions(spark), "doc_id")
-               .sortWithinPartitions("doc_id", "n", "bits"))
+    # Shares of the ids are taken from the ids alone; a range partitioning would code all texts once more to sample them.
+    dealt, parts = _dealt(kept, wide_partitions(spark))
+    ordered = _coded(dealt, lengths, block).repartitionById(parts, "part").drop("part").sortWithinPartitions("doc_id", "n", "bits")
     listed = scratch_path(spark, "manifest")
     _write_shards(ordered, folder, lengths, block, shard_ids).write.parquet(listed)
     manifest = spark.read.parquet(listed)

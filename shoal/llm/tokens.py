@@ -11,6 +11,7 @@ beyond the bound is encoded anew with each batch.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from itertools import chain
@@ -22,6 +23,8 @@ from .words import span_hashes
 
 #: Stretches remembered by one worker.
 KEPT_STRETCHES = 1_000_000
+#: Stretches encoded together.
+JOINED = 2_000
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[32, 10]] = True
@@ -45,6 +48,23 @@ def cuts(data: np.ndarray) -> np.ndarray:
     return at[~unsure]
 
 
+def _byte_widths(path: str, tokenizer) -> np.ndarray | None:
+    """Bytes of text behind each id, for vocabularies over bytes without a normalizer; else None.
+
+    Byte-level vocabularies write one character for each byte, so a token's name is as long as its text.
+    """
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    if spec.get("normalizer") or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or spec["pre_tokenizer"].get("add_prefix_space"):
+        return None
+    names = tokenizer.get_vocab(with_added_tokens=True)
+    width = np.zeros(max(names.values()) + 1, dtype=np.int64)
+    width[list(names.values())] = [len(name) for name in names]
+    for i, token in tokenizer.get_added_tokens_decoder().items():
+        width[i] = len(token.content.encode())
+    return width
+
+
 class _Places(NamedTuple):
     """Sorted keys of stretches with the begin and the number of their ids."""
 
@@ -76,27 +96,57 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
+        self.width = _byte_widths(path, self.tokenizer)
         # Stretches known for long and the newer ones, each as sorted keys with places in the ids; merged when the newer have grown.
         self.old = self.new = _Places.none()
         self.flat = np.zeros(1 << 16, dtype="<u4")
         self.used = 0
 
-    def _add(self, keys: np.ndarray, stretches: list[bytes]) -> None:
-        """Learn stretches, whose keys ascend."""
-        lists = []
-        for at in range(0, len(stretches), 100):
-            part = [s.decode() for s in stretches[at:at + 100]]
-            lists += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        total = int(sizes.sum())
-        if self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat[:self.used], np.zeros(self.used + 2 * total, dtype="<u4")])
-        self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(lists), dtype="<u4", count=total)
-        self.new = self.new.merged(_Places(keys, self.used + np.cumsum(sizes) - sizes, sizes))
-        self.used += total
+    def _append(self, ids: np.ndarray) -> int:
+        """Put ids behind the known ones; returns the place of the first."""
+        at = self.used
+        if at + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat[:at], np.zeros(at + 2 * len(ids), dtype="<u4")])
+        self.flat[at:at + len(ids)] = ids
+        self.used += len(ids)
+        return at
+
+    def _add(self, keys: np.ndarray, stretches: list[bytes], inner: np.ndarray) -> None:
+        """Learn stretches, whose keys ascend.
+
+        ``inner`` ones begin at a cut and end before one, so that many of them joined are cut the same way; where ids tell
+        their bytes, they are encoded together and parted by the bytes.
+        """
+        starts, sizes = np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=np.int64)
+        together = np.flatnonzero(inner) if self.width is not None else np.zeros(0, dtype=np.int64)
+        apart = np.flatnonzero(~inner) if self.width is not None else np.arange(len(keys))
+        for at in range(0, len(together), JOINED):
+            part = together[at:at + JOINED]
+            own = [stretches[i] for i in part]
+            ids = np.array(self.tokenizer.encode_batch_fast([b"".join(own).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+            reach, wanted = np.cumsum(self.width[ids]), np.cumsum(np.fromiter(map(len, own), dtype=np.int64, count=len(own)))
+            last = np.searchsorted(reach, wanted)
+            if last[-1] >= len(reach) or not np.array_equal(reach[last], wanted):
+                raise ValueError("the vocabulary merges across a cut")
+            sizes[part] = np.diff(last, prepend=-1)
+            starts[part] = self._append(ids) + last + 1 - sizes[part]
+        for at in range(0, len(apart), 100):
+            part = apart[at:at + 100]
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast([stretches[i].decode() for i in part], add_special_tokens=False)]
+            sizes[part] = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+            ids = np.fromiter(chain.from_iterable(lists), dtype="<u4", count=int(sizes[part].sum()))
+            starts[part] = self._append(ids) + np.cumsum(sizes[part]) - sizes[part]
+        self.new = self.new.merged(_Places(keys, starts, sizes))
         if 8 * len(self.new.keys) > len(self.old.keys):
             self.old, self.new = self.old.merged(self.new), _Places.none()
 
+    @staticmethod
+    def _inner(begin: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Whether a stretch is neither the first nor the last one of its text."""
+        edge = np.zeros(len(begin) + 1, dtype=bool)
+        edge[np.searchsorted(begin, bounds)] = True
+        return ~(edge[:-1] | edge[1:])
+
     def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Whether each key is known, and the begin and number of its ids."""
         known, starts, sizes = self.old.find(keys)
@@ -121,7 +171,9 @@ class Encoder:
         if not known.all():
             before = self.old, self.new, self.used
             fresh = np.flatnonzero(~known)
-            self._add(keys[fresh], [joined[begin[i]:end[i]] for i in first[fresh]])
+            places = first[fresh]
+            inner = self._inner(begin, bounds)[places]
+            self._add(keys[fresh], [joined[begin[i]:end[i]] for i in places], inner)
             _, starts, sizes = self._find(keys)
             if len(self.old.keys) + len(self.new.keys) > KEPT_STRETCHES:
                 self.old, self.new, self.used = before
