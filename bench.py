@@ -14,7 +14,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from shoal.plans import QUERIES  # noqa: E402
-from shoal.session import build_session  # noqa: E402
+from shoal.session import build_session, scratch_space  # noqa: E402
 
 HEADLINE = (
     "agg_basic", "i2i_topn", "itemcf_v1", "pairs_once", "swing_v1", "swing_query_i2i", "knn_cosine", "levenshtein_pairs",
@@ -32,7 +32,8 @@ def main() -> None:
     seconds = {}
     for name in HEADLINE:
         start = time.perf_counter()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        with scratch_space(spark):
+            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
     spark.stop()

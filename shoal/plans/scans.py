@@ -8,6 +8,7 @@ from uuid import uuid4
 from pyspark.sql import functions as F
 
 from ..functions import dates
+from ..operators.topn import top_n
 from ..session import scratch_path, stored
 from ..sources import dated, docs, logs, sinks
 from .base import joined, query, r6
@@ -92,13 +93,21 @@ def _(t):
 
 @query("read_latest_snapshot", "SELECT item_id, displayname, level, category_id, date FROM latest", "latest")
 def _(t):
-    return dated.read_latest(t.catalog(), AS_OF).select("item_id", "displayname", "level", "category_id", "date")
+    rows = t.catalog().select("item_id", "displayname", "level", "category_id", "date")
+    with _databases(t.spark, "snapshots") as names:
+        name = f"{names['snapshots']}.catalog"
+        rows.repartition("date").write.partitionBy("date").saveAsTable(name, format="parquet")
+        return stored(dated.read_latest_listed(t.spark, name, AS_OF).select(*rows.columns), "latest")
 
 
 @query("read_latest_30d", """SELECT event_id, action, date FROM track
     WHERE date = (SELECT max(date) FROM track WHERE date BETWEEN '20231222' AND '20240121')""", "track")
 def _(t):
-    return dated.read_latest(t.track(), "20240121", 30).select("event_id", "action", "date")
+    rows = t.track().select("event_id", "action", "date")
+    with _databases(t.spark, "trailing") as names:
+        name = f"{names['trailing']}.log"
+        rows.repartition("date").write.partitionBy("date").saveAsTable(name, format="parquet")
+        return stored(dated.read_latest_listed(t.spark, name, "20240121", 30).select(*rows.columns), "latest")
 
 
 @query("scan_json", "SELECT event_id, user_id, event_type, round(value, 6) AS value FROM events")
@@ -109,19 +118,23 @@ def _(t):
     return rows.select("event_id", "user_id", "event_type", r6("value"))
 
 
+_DOC_ITEMS = 1000
+
+
 def _level_docs(t):
-    """Summed item values of every level as docs; items without a positive sum carry null."""
+    """The best items of every level as docs of bounded size; items without a positive sum come last and carry null."""
     scores = t.track().groupBy("item_id").agg(F.sum(F.when(F.col("action") == "item_click", F.col("value"))).alias("score"))
-    rows = t.latest_catalog().join(scores, "item_id").select(F.col("level").alias("list_id"), F.col("item_id").alias("item"), "score")
-    return docs.to_docs(rows, "list_id")
+    rows = t.latest_catalog().join(scores, "item_id").select(F.col("level").alias("list_id"), F.col("item_id").cast("string").alias("item"), "score")
+    best = top_n(rows, ["list_id"], [F.round("score", 9).desc_nulls_last(), F.asc("item")], _DOC_ITEMS, rank=None)
+    return docs.to_docs(best, "list_id")
 
 
-_DOC_SQL = """SELECT level AS id, CAST(item_id AS VARCHAR) AS item, round(score, 6) AS score FROM latest
+_DOC_SQL = f"""SELECT id, item, round(score, 6) AS score FROM (SELECT level AS id, CAST(item_id AS VARCHAR) AS item, score FROM latest
     JOIN (SELECT item_id, sum(value) FILTER (action = 'item_click') AS score FROM track GROUP BY item_id) USING (item_id)
-    WHERE score IS NOT NULL"""
+    QUALIFY row_number() OVER (PARTITION BY level ORDER BY round(score, 9) DESC NULLS LAST, CAST(item_id AS VARCHAR)) <= {_DOC_ITEMS}) WHERE score IS NOT NULL"""
 
 
-@query("doc_map_read", _DOC_SQL + " AND level IN ('S', 'A', 'B') AND level <> 'B'", "latest track")
+@query("doc_map_read", _DOC_SQL + " AND id IN ('S', 'A', 'B') AND id <> 'B'", "latest track")
 def _(t):
     path = scratch_path(t.spark, "docs")
     sinks.write_json_lines(_level_docs(t), path)

@@ -45,9 +45,31 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_SPACES: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/shoal/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, in the innermost :func:`scratch_space` if there is one."""
+    return "/".join([shared_dir(spark), "shoal", *_SPACES[-1:], f"{name}-{uuid.uuid4().hex}"])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_space(spark: SparkSession):
+    """Frames that operators store inside the block are gone after it, so results must be written or collected within.
+
+    Without it stored frames stay until somebody deletes the shared folder: a frame can't know when its last reader is done.
+    """
+    _SPACES.append(f"run-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        remove(spark, "/".join([shared_dir(spark), "shoal", _SPACES.pop()]))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -66,21 +88,22 @@ def bucketed(*frames: tuple[DataFrame, list[str]]):
     """Bucketed tables under the shared folder, one per frame and its keys.
 
     For frames joined on the same keys many times: the bucketed side stays where
-    it is. The catalog entries go at the end of the block, when the results of
-    the joins have been stored.
+    it is. The catalog entries and the files go at the end of the block, when the
+    results of the joins have been stored.
     """
     tables = []
     try:
         for df, keys in frames:
             spark, name = df.sparkSession, f"shoal_{uuid.uuid4().hex}"
             width = wide_partitions(spark)
-            (df.repartition(width, *keys).write.bucketBy(width, *keys).option("path", scratch_path(spark, "buckets"))
-             .saveAsTable(name, format="parquet"))
-            tables.append((spark, name))
-        yield [spark.read.table(name) for spark, name in tables]
+            path = scratch_path(spark, "buckets")
+            tables.append((spark, name, path))
+            df.repartition(width, *keys).write.bucketBy(width, *keys).option("path", path).saveAsTable(name, format="parquet")
+        yield [spark.read.table(name) for spark, name, _ in tables]
     finally:
-        for spark, name in tables:
+        for spark, name, path in tables:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+            remove(spark, path)
 
 
 def wide_partitions(spark: SparkSession) -> int:

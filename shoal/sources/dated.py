@@ -55,6 +55,32 @@ def latest_complete_day(spark: SparkSession, base: str, end: str, lookback: int
     return None
 
 
+def partitions_of(spark: SparkSession, table: str, column: str = "date") -> DataFrame:
+    """``column``: the partitions of a catalog table, from the catalog alone; no file is listed or read.
+
+    For formats that keep their partitions as a table beside their rows (``name.partitions``), that is asked instead.
+    """
+    provider = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'").first()
+    if provider is not None and provider["data_type"].lower() == "iceberg":
+        listed = spark.read.table(f"{table}.partitions").select(F.col(f"partition.{column}").cast("string").alias(column))
+    else:
+        spec = F.regexp_extract("partition", rf"(?:^|/){column}=([^/]*)", 1)
+        listed = spark.sql(f"SHOW PARTITIONS {table}").select(spec.alias(column))
+    return listed.where(F.col(column) != "").distinct()
+
+
+def latest_listed(spark: SparkSession, table: str, end: str, lookback: int | None = None, column: str = "date") -> str | None:
+    """The newest partition up to ``end``, optionally within a trailing window; None where there is none."""
+    return latest_partition(partitions_of(spark, table, column), end, lookback, column).first()[0]
+
+
+def read_latest_listed(spark: SparkSession, table: str, end: str, lookback: int | None = None, column: str = "date") -> DataFrame:
+    """The newest snapshot of a partitioned table: the catalog names the date, and the scan reads that partition alone."""
+    day = latest_listed(spark, table, end, lookback, column)
+    frame = spark.read.table(table)
+    return frame.where(F.col(column) == day) if day is not None else frame.where(F.lit(False))
+
+
 def latest_partition(df: DataFrame, end: str, lookback: int | None = None, column: str = "date") -> DataFrame:
     """One row: the newest date up to ``end``, optionally within a trailing window."""
     bounded = df.where(F.col(column) <= end)

@@ -127,3 +127,40 @@ def test_every_oracle_has_its_query():
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert len(entry.queries()) >= 184
+
+
+def test_latest_snapshot_comes_from_the_catalog(spark):
+    name = "shoal_test_latest"
+    try:
+        rows = spark.createDataFrame([(n, f"2024010{n % 4 + 1}") for n in range(20)], "v int, date string")
+        rows.repartition("date").write.partitionBy("date").saveAsTable(name, format="parquet", mode="overwrite")
+        assert sorted(r.date for r in dated.partitions_of(spark, name).collect()) == ["20240101", "20240102", "20240103", "20240104"]
+        latest = dated.read_latest_listed(spark, name, "20240103")
+        assert {(r.v, r.date) for r in latest.collect()} == {(n, "20240103") for n in range(2, 20, 4)}
+        plan = latest._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        assert "PartitionFilters: [isnotnull(date" in plan and "= 20240103)]" in plan
+        assert latest.select("_metadata.file_path").distinct().count() == 1
+        assert dated.latest_listed(spark, name, "20240301", 30) is None
+        assert dated.read_latest_listed(spark, name, "20231231").count() == 0
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_scratch_space_and_buckets_leave_nothing(spark):
+    import os
+
+    from shoal.session import bucketed, scratch_path, scratch_space, stored
+
+    with scratch_space(spark):
+        kept = stored(spark.range(5).toDF("v"), "kept")
+        with scratch_space(spark):
+            inner = scratch_path(spark, "x")
+            spark.range(3).write.parquet(inner)
+        assert not os.path.exists(inner) and kept.count() == 5
+        folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 2)[0]
+        with bucketed((kept, ["v"])) as (table,):
+            files = [f.removeprefix("file://") for f in table.inputFiles()]
+            assert files and all(os.path.exists(f) for f in files)
+        assert not any(os.path.exists(f) for f in files)
+    assert not os.path.exists(folder)
+    assert os.path.dirname(scratch_path(spark, "outside")).endswith("/shoal")
