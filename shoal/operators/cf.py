@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import stored
 from .pairs import BLOCK_ROWS, co_counts, group_sizes, large_groups, pair_up
 from .products import top_by_product
+from .topn import i2i_top_n
 
 
 def ratings_of(df: DataFrame, user: str | None = None, item: str | None = None, score: str | None = None) -> DataFrame:
@@ -42,20 +43,18 @@ def item_cf(df: DataFrame, version: str = "V1", block_rows: int = BLOCK_ROWS) ->
     """
     if version not in ("V1", "V2"):
         raise ValueError(f"unknown itemCF version {version}")
-    ratings = ratings_of(df)
-    ratings = stored(ratings, "ratings")
+    ratings = stored(ratings_of(df), "ratings")
+    # Scores are divided by their item's norm before pairing, so that no join on the pairs is needed.
+    unit = ratings.join(_norms(ratings), "item_id").select("user_id", "item_id", (F.col("score") / F.col("norm")).alias("score"))
     sizes = group_sizes(ratings, ["user_id"])
     large = large_groups(sizes, ["user_id"], block_rows)
     term = F.col("score_1") * F.col("score_2")
     if version == "V2":
-        pairs = pair_up(ratings.join(sizes, "user_id"), ["user_id"], "item_id", ["score"], ["group_rows"], large)
+        pairs = pair_up(unit.join(sizes, "user_id"), ["user_id"], "item_id", ["score"], ["group_rows"], large)
         term = term / F.sqrt(F.col("group_rows"))
     else:
-        pairs = pair_up(ratings, ["user_id"], "item_id", ["score"], large=large)
-    dots = (pairs.groupBy(F.col("item_id_1").alias("item_1"), F.col("item_id_2").alias("item_2"))
-            .agg(F.sum(term).alias("dot")))
-    return _with_norms(dots, _norms(ratings)).select(
-        "item_1", "item_2", (F.col("dot") / (F.col("norm_1") * F.col("norm_2"))).alias("sim"))
+        pairs = pair_up(unit, ["user_id"], "item_id", ["score"], large=large)
+    return pairs.groupBy(F.col("item_id_1").alias("item_1"), F.col("item_id_2").alias("item_2")).agg(F.sum(term).alias("sim"))
 
 
 def band_keys(df: DataFrame, key: str, low: float | None = None, high: float | None = None,
@@ -149,6 +148,14 @@ def swing(df: DataFrame, version: str = "V1", alpha: float = 1.0, user_items: tu
     return total
 
 
+def item_lists(pairs: DataFrame, n: int = 100, min_score: float | None = None) -> DataFrame:
+    """``id, item, score, rank``: the n most similar items of every item, from pairs that each stand once.
+
+    Similarities are compared to twelve places; below that ties go by item.
+    """
+    return i2i_top_n(pairs.withColumn("sim", F.round("sim", 12)), n, min_score)
+
+
 def merge_similarities(*sources: DataFrame) -> DataFrame:
     """Sum of several undirected similarity lists, each pair once and ordered."""
     stacked = None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import day_shift
 from ..functions.nested import json_list
@@ -37,10 +37,26 @@ def in_locale(df: DataFrame, regions: DataFrame, wanted: str, column: str = "loc
     return df.join(allowed, column, "left_semi")
 
 
-def locale_name(c, joint: tuple[str, ...] = ()) -> Column:
-    """Storage name of a locale argument: lists and joint clusters become ``OTHER``."""
+def locale_flags(regions: DataFrame, predicates: dict[str, tuple[str, tuple[str, ...] | bool]]) -> DataFrame:
+    """``locale`` and one flag per predicate ``name: (wanted, widening)``, so that one join serves many predicates.
+
+    As :func:`locales_of`; ``widening`` True widens to the cluster of any locale named, whatever it is.
+    """
+    flagged = regions.select("locale", "cluster").distinct()
+    for at, (wanted, widening) in enumerate(predicates.values()):
+        names = [w.strip() for w in wanted.split(",")]
+        hit = F.col("locale").isin(names) | F.col("cluster").isin(names)
+        if widening:
+            wide = F.lit(True) if widening is True else F.col("cluster").isin(list(widening))
+            hit = hit | F.coalesce(F.max(hit & wide).over(Window.partitionBy("cluster")), F.lit(False))
+        flagged = flagged.withColumn(f"_flag_{at}", hit)
+    return flagged.groupBy("locale").agg(*[F.max(f"_flag_{at}").alias(name) for at, name in enumerate(predicates)])
+
+
+def locale_name(c, joint: tuple[str, ...] | Column = ()) -> Column:
+    """Storage name of a locale argument: lists and joint clusters (by name or by a condition) become ``OTHER``."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.contains(",") | c.isin(list(joint)), JOINT_NAME).otherwise(c)
+    return F.when(c.contains(",") | (joint if isinstance(joint, Column) else c.isin(list(joint))), JOINT_NAME).otherwise(c)
 
 
 def valid_id(c) -> Column:

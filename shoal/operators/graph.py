@@ -300,16 +300,47 @@ def sentences(places: DataFrame, length: int) -> DataFrame:
     return places.groupBy("walk", chunk.alias("chunk")).agg(F.transform(ordered, lambda s: s["node"]).alias("path")).drop("chunk")
 
 
+def bridges(places: DataFrame, length: int, window: int) -> DataFrame:
+    """``walk, path``: two nodes each, the pairs at most ``window`` apart that cuts every ``length`` places part.
+
+    With :func:`sentences` every pair of a sequence stands in exactly one sentence. ``length`` must be at least ``window``.
+    """
+    inside = F.col("pos") % length
+    left = places.where(inside >= length - window).select("walk", (F.floor(F.col("pos") / length) + 1).alias("cut"),
+                                                          F.col("pos").alias("_at"), F.col("node").alias("_left"))
+    right = places.where((inside < window) & (F.col("pos") >= length)).select("walk", F.floor(F.col("pos") / length).alias("cut"), "pos", "node")
+    near = left.join(right, ["walk", "cut"]).where(F.col("pos") - F.col("_at") <= window)
+    return near.select("walk", F.array("_left", "node").alias("path"))
+
+
 def word2vec_items(sequences: DataFrame, min_count: int, column: str = "path", size: int = 128, window: int = 5,
-                   max_length: int = 1000, max_iter: int = 2, partitions: int | None = None, seed: int = 42) -> DataFrame:
+                   max_iter: int = 2, partitions: int | None = None, seed: int = 42) -> DataFrame:
     """``item, vector`` from item sequences, trained in as many tasks as a shuffle has.
 
-    Items with fewer than ``min_count`` occurrences have no vector. Spark cuts sentences at ``max_length``.
+    Items with fewer than ``min_count`` occurrences have no vector. No sentence is cut.
     """
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 
-    model = Word2Vec(vectorSize=size, minCount=min_count, windowSize=window, maxSentenceLength=max_length, maxIter=max_iter,
+    longest = sequences.agg(F.max(F.size(column))).first()[0] or 1
+    model = Word2Vec(vectorSize=size, minCount=min_count, windowSize=window, maxSentenceLength=max(longest, 1), maxIter=max_iter,
                      numPartitions=partitions or wide_partitions(sequences.sparkSession), seed=seed, inputCol=column,
                      outputCol="_v").fit(sequences)
     return model.getVectors().select(F.col("word").alias("item"), vector_to_array("vector").alias("vector"))
+
+
+def item_vectors(df: DataFrame, user: str, item: str, order: str, min_count: int, size: int = 128, window: int = 5, max_iter: int = 2,
+                 length: int = 1000, partitions: int | None = None, seed: int = 42) -> DataFrame:
+    """``item, n, vector``: a vector for every item that occurs at least ``min_count`` times in the users' sequences.
+
+    Rarer items leave the sequences before places are counted, so that their neighbours move together. Sequences are
+    written as sentences of ``length`` places and the pairs across the cuts, so that no pair of a long one is lost.
+    """
+    rows = stored(df.select(user, F.col(item).cast("string").alias(item), order), "rows")
+    counts = rows.groupBy(F.col(item).alias("item")).agg(F.count("*").alias("n")).where(F.col("n") >= min_count)
+    common = rows.join(counts.select(F.col("item").alias(item)), item, "left_semi")
+    places = stored(item_positions(common, user, item, order), "places")
+    length = max(length, window)
+    corpus = sentences(places, length).unionByName(bridges(places, length, window))
+    vectors = word2vec_items(stored(corpus.select("path"), "sentences"), 0, size=size, window=window, max_iter=max_iter, partitions=partitions, seed=seed)
+    return counts.join(vectors, "item")

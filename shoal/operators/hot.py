@@ -7,11 +7,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.dates import day_shift
 from ..functions.draws import uniform
 from ..functions.nested import json_list
 from ..functions.numeric import finite, ratio, ucb_log, ucb_sqrt, wilson
+from ..session import stored
 from .cf import band_keys, within_band
 from .filters import FIRST_GAME, activity_band, allow_deny
 from .topn import list_of, lists_of, top_n
@@ -259,6 +261,31 @@ def trending(log: DataFrame, day: str, before: tuple[str, str], days: int, rate:
             .select("item_id", (F.col("t") / (F.col("b") / days)).alias("ratio")).where(F.col("ratio") >= 1 + rate))
 
 
+def trending_days(log: DataFrame, days: list[str], before: int, rate: float, action: str = "activate", floor_today: int = 500,
+                  floor_before: int = 500, allow: DataFrame | None = None) -> DataFrame:
+    """``date, item_id, ratio``: :func:`trending` on each of several days, from one scan of the log.
+
+    The users of a sliding window are counted by gaps: a user's active day brings the user into the windows that end on
+    it and on the days after, until ``before`` days have passed or the user's next active day takes over. That is one +1 and
+    one -1 for each active day; running sums over an item's days give the distinct users of every window.
+    """
+    first, last = min(days), max(days)
+    number = F.unix_date(F.to_date("date", "yyyyMMdd"))
+    rows = log.where((F.col("action") == action) & (F.col("date") <= last) & (F.col("date") >= F.lit(day_shift(first, -before))))
+    active = allow_deny(rows, "item_id", allow).select("user_id", "item_id", number.alias("day")).distinct()
+    following = F.lead("day").over(Window.partitionBy("user_id", "item_id").orderBy("day"))
+    out = F.least(F.col("day") + before, F.coalesce(following, F.col("day") + before))
+    change = F.explode(F.array(F.struct(F.col("day").alias("d"), F.lit(1).alias("step"), F.lit(1).alias("here")),
+                               F.struct(F.col("out").alias("d"), F.lit(-1).alias("step"), F.lit(0).alias("here"))))
+    steps = (active.withColumn("out", out).select("item_id", change.alias("c")).groupBy("item_id", "c.d")
+             .agg(F.sum("c.step").alias("step"), F.sum("c.here").alias("t")))
+    earlier = Window.partitionBy("item_id").orderBy("d").rowsBetween(Window.unboundedPreceding, -1)
+    counts = steps.withColumn("b", F.coalesce(F.sum("step").over(earlier), F.lit(0)))
+    date = F.date_format(F.date_from_unix_date("d"), "yyyyMMdd")
+    return (counts.withColumn("date", date).where(F.col("date").isin(days) & (F.col("t") >= floor_today) & (F.col("b") > floor_before))
+            .select("date", "item_id", (F.col("t") / (F.col("b") / before)).alias("ratio")).where(F.col("ratio") >= 1 + rate))
+
+
 def merge_lists(history: DataFrame, today: DataFrame, name: str, how: str = "max", n: int | None = 200) -> DataFrame:
     """Today's list with earlier ones, the best (``max``) or the summed (``sum``) score per item."""
     combine = F.max("score") if how == "max" else F.sum("score")
@@ -268,29 +295,32 @@ def merge_lists(history: DataFrame, today: DataFrame, name: str, how: str = "max
 
 def cold_start(log: DataFrame, pool: DataFrame, name: str, n: int = 200, formula: str = "log", home: str = "recommend",
                status: str = "download_request", installs: tuple[str, ...] = ("manual_install", "auto_install"),
-               scale: float = 10) -> DataFrame:
-    """Cold-start list of a pool by an upper confidence bound of downloads per exposed user.
+               scale: float = 10, only_logged: bool = False) -> DataFrame:
+    """Cold-start lists by an upper confidence bound of downloads per exposed user, the n best of each list.
 
-    Items above the pool's overall rate stay; never exposed items come first
-    with a fixed score. The mean exposure is divided by ``scale``, which brings
-    both terms of the bound to one order of magnitude.
+    ``pool`` holds ``item_id`` and, for several lists at once, ``list_id`` behind ``name``; every list has its own
+    totals. Items above their list's overall rate stay; never exposed items come first with a fixed score. The mean
+    exposure is divided by ``scale``, which brings both terms of the bound to one order of magnitude. ``only_logged``
+    leaves out items that the log doesn't hold. The log is read once, into one row per list, item and user.
     """
-    rows = log.join(pool.select("item_id"), "item_id", "left_semi")
+    label = F.concat_ws("_", F.lit(name), F.col("list_id").cast("string")) if "list_id" in pool.columns else F.lit(name)
+    pool = pool.select(label.alias("list_id"), "item_id").distinct()
     shown = (F.col("page") == home) & (F.col("action") == "item_exposure")
     loaded = (F.col("page").contains("detail") & (F.col("action") == "download_install")
               & (F.col("install_status") == status) & F.col("install_type").isin(*installs))
-    folded = rows.groupBy("item_id", "user_id").agg(F.max(shown.cast("int")).alias("s"), F.max(loaded.cast("int")).alias("d"))
-    per_item = folded.groupBy("item_id").agg(F.sum("s").alias("seen"), F.sum("d").alias("got"))
-    seen_users = folded.groupBy("user_id").agg(F.max("s").alias("s")).agg(F.sum("s").alias("x")).scalar()
-    pool_size = pool.agg(F.count("*").alias("x")).scalar()
-    overall = F.coalesce(F.try_divide(per_item.agg(F.sum("got").alias("x")).scalar(), seen_users), F.lit(-1.0))
-    mean = F.try_divide(seen_users, pool_size) / scale
+    folded = stored(log.join(pool, "item_id").groupBy("list_id", "item_id", "user_id").agg(
+        F.max(F.coalesce(shown, F.lit(False)).cast("int")).alias("s"), F.max(F.coalesce(loaded, F.lit(False)).cast("int")).alias("d")), "folded")
+    per_item = folded.groupBy("list_id", "item_id").agg(F.sum("s").alias("seen"), F.sum("d").alias("got"))
+    counted = pool.join(per_item, ["list_id", "item_id"], "inner" if only_logged else "left").na.fill(0, ["seen", "got"])
+    users = folded.where("s = 1").groupBy("list_id", "user_id").agg(F.lit(1).alias("one")).groupBy("list_id").agg(F.count("*").alias("users"))
+    totals = (counted.groupBy("list_id").agg(F.count("*").alias("size"), F.sum("got").alias("all_got")).join(users, "list_id", "left"))
+    mean = F.try_divide(F.col("users"), F.col("size")) / scale
+    overall = F.coalesce(F.try_divide(F.col("all_got"), F.col("users")), F.lit(-1.0))
     bound = (ucb_log if formula == "log" else ucb_sqrt)(ratio("got", "seen"), mean, F.col("seen"))
-    counted = pool.select("item_id").join(per_item, "item_id", "left").na.fill(0, ["seen", "got"])
-    scored = counted.withColumn("score", F.when(F.col("seen") == 0, F.lit(UNSEEN_SCORE)).when(F.col("got") > 0, bound))
+    scored = counted.join(totals, "list_id").withColumn("score", F.when(F.col("seen") == 0, F.lit(UNSEEN_SCORE)).when(F.col("got") > 0, bound))
     # Below a mean exposure of 1 the square root has no value: such items carry no score.
     kept = scored.where(finite("score") & ((F.col("seen") == 0) | (F.col("score") > overall)))
-    return list_of(kept, name, "item_id", "score", n)
+    return lists_of(kept.select("list_id", F.col("item_id").cast("string").alias("item"), F.col("score").cast("double").alias("score")), n)
 
 
 def no_recall(catalog: DataFrame, recalled: DataFrame, scores: DataFrame, level: str, name: str, by_category: bool = False) -> DataFrame:

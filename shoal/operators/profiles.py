@@ -129,6 +129,32 @@ def game_flags(usage: DataFrame, catalog: DataFrame, min_frequency: float, min_d
     return means.where((F.col("f") >= min_frequency) | (F.col("d") >= min_duration)).select("user_id", F.lit(1).alias("is_game_user"))
 
 
+def hierarchy(log: DataFrame, day: str, week: tuple[str, str], home: str, action: str, duration_ms: Column, ignored: list[str],
+              page_refs: list[str], levels: dict[str, Column], prefix: str, card: str = "recApps") -> DataFrame:
+    """All flags of :func:`glide_flags`, :func:`duration_tiers`, :func:`active_flags` and :func:`level_flags` in one aggregate.
+
+    Glide and launch flags look at ``day``, seconds at ``week``, ``levels`` (name: condition on ``n``, the first that
+    holds) at all rows of the user. A flag is null where its own rows are missing, as after a full join. Invalid ids go.
+    """
+    real = launched(ignored, page_refs)
+    today, weekly = (F.col("date") == day) & real, F.col("date").between(*week) & real
+    per_user = log.where(valid_id("user_id")).groupBy("user_id").agg(
+        F.count("*").alias("n"), F.count_if(today).alias("_t"), F.count_if(weekly).alias("_w"),
+        F.max(F.when(today, F.when(F.col("card_type") == card, F.col("card_pos")).otherwise(0))).alias("_p"),
+        (F.sum(F.when(weekly, F.when(F.col("action") == action, duration_ms).otherwise(0.0))) / 1000).alias("_s"),
+        F.max(F.when(today, F.coalesce(F.col("launch_ref") == home, F.lit(False)).cast("int"))).alias("_o"))
+    level = F.lit(None).cast("string")
+    for name, condition in reversed(levels.items()):
+        level = F.when(condition, F.lit(name)).otherwise(level)
+    there = lambda count, flag: F.when(F.col(count) > 0, flag)
+    p, s = F.col("_p"), F.col("_s")
+    return per_user.withColumn("_level", level).select(
+        "user_id", there("_t", _flag(p >= GLIDE_FROM, "x")).alias("is_glide"), there("_t", _flag(p < GLIDE_FROM, "x")).alias("is_not_glide"),
+        there("_w", _flag(s < LIGHT_BELOW, "x")).alias("is_light"), there("_w", _flag(s.between(LIGHT_BELOW, HEAVY_ABOVE), "x")).alias("is_middle"),
+        there("_w", _flag(s > HEAVY_ABOVE, "x")).alias("is_heavy"), F.when(F.col("_o") == 1, 1).alias("is_active"),
+        F.when(F.col("_o") != 1, 1).alias("is_passive"), *[F.when(F.col("_level") == name, 1).alias(f"{prefix}_{name}") for name in levels])
+
+
 def sensitive_users(profiles: DataFrame, columns: list[str], barred: DataFrame) -> DataFrame:
     """``user_id, items, is_sensitive``: users with a barred item in any of the profile arrays."""
     arrays = [F.coalesce(F.col(c), F.array().cast("array<string>")) for c in columns]

@@ -214,31 +214,107 @@ def roll_up(df: DataFrame, column: str, members: DataFrame | list[str], label: s
     return flagged.unionByName(summed.select(*flagged.columns))
 
 
-# Report ratios as (name, numerator, denominator), plain counts, and rates that do not add up.
+def daily_counts(log: DataFrame, dims: list[str], kinds: dict[str, Column], means: dict[str, Column] | None = None,
+                 user: str = "user_id", item: str = "item_id") -> DataFrame:
+    """Per group of ``dims``: ``k_pv, k_uv, k_puv`` (rows, users, user-item pairs) of every kind, means over rows, ``users``.
+
+    The log is folded to one row per user and item and then to one per user, so all distinct counts are sums: one scan,
+    and no row is copied for a count. Rows without a user or an item count as rows only.
+    """
+    means = means or {}
+    folded = log.groupBy(*dims, user, item).agg(
+        *[F.count_if(c).alias(k) for k, c in kinds.items()], *[F.sum(c.cast("double")).alias(f"_s_{m}") for m, c in means.items()],
+        *[F.count(c).alias(f"_n_{m}") for m, c in means.items()])
+    both = F.col(user).isNotNull() & F.col(item).isNotNull()
+    per_user = folded.groupBy(*dims, user).agg(
+        *[F.sum(k).alias(k) for k in kinds], *[F.count_if((F.col(k) > 0) & both).alias(f"_p_{k}") for k in kinds],
+        *[F.sum(f"_{x}_{m}").alias(f"_{x}_{m}") for m in means for x in "sn"])
+    return per_user.groupBy(*dims).agg(
+        *[F.sum(k).alias(f"{k}_pv") for k in kinds], *[F.count_if((F.col(k) > 0) & F.col(user).isNotNull()).alias(f"{k}_uv") for k in kinds],
+        *[F.sum(f"_p_{k}").alias(f"{k}_puv") for k in kinds], F.count(user).alias("users"),
+        *[F.try_divide(F.sum(f"_s_{m}"), F.sum(f"_n_{m}")).alias(m) for m in means])
+
+
+def labels_of(members: dict[str, list[str]], column: str) -> Column:
+    """The labels of the groups that a value belongs to."""
+    return F.filter(F.array(*[F.when(F.col(column).isin(values), F.lit(label)) for label, values in members.items()]), lambda x: x.isNotNull())
+
+
+def roll_up(df: DataFrame, labels: dict[str, Column], dims: list[str], dropped: tuple[str, ...] = ()) -> DataFrame:
+    """The rows, and the sums of several members under one label, flagged ``rolled``.
+
+    ``labels`` gives for each column an array of the groups that a row's value belongs to (null or empty: none). A row is
+    copied to its own value and to every label, over all columns, so that a region of experiment groups is summed as well;
+    one aggregate makes all sums. Columns in ``dropped`` go.
+    """
+    metrics = [c for c in df.columns if c not in (*dims, "rolled", *dropped)]
+    rows = df.withColumn("rolled", F.coalesce(F.col("rolled"), F.lit(False)) if "rolled" in df.columns else F.lit(False))
+    for column, groups in labels.items():
+        own = F.array(F.struct(F.col(column).alias("v"), F.lit(False).alias("r")))
+        other = F.transform(F.coalesce(groups, F.array().cast("array<string>")), lambda g: F.struct(g.alias("v"), F.lit(True).alias("r")))
+        rows = (rows.withColumn("_l", F.explode(F.concat(own, other))).withColumn(column, F.col("_l.v"))
+                .withColumn("rolled", F.col("rolled") | F.col("_l.r")).drop("_l"))
+    return rows.groupBy(*dims, "rolled").agg(*[F.sum(m).alias(m) for m in metrics])
+
+
+# Report ratios as (name, numerator, denominator), counts as (name, column), rates that do not add up,
+# metrics of the whole market, metrics a table may lack, and the ranges whose names are written another way.
 RATIOS = (("cvr_pv", "download_puv", "expose_pv"), ("cvr_uv", "download_uv", "expose_uv"),
           ("avg_expose_download", "download_puv", "expose_uv"), ("ctr_pv", "click_pv", "expose_pv"),
           ("ctr_uv", "click_uv", "expose_uv"))
-COUNTS = ("expose_pv", "expose_uv", "click_pv", "click_uv", "download_uv", "download_puv")
-NOT_ADDITIVE = ("retain_rate",)
+COUNTS = (("expose_pv", "expose_pv"), ("expose_uv", "expose_uv"), ("click_pv", "click_pv"), ("click_uv", "click_uv"),
+          ("download_pv", "download_num"), ("download_uv", "download_uv"), ("download_puv", "download_puv"),
+          ("download_pv_detail", "discover_detail_download_pv"), ("download_uv_detail", "discover_detail_download_uv"),
+          ("download_puv_detail", "discover_detail_download_puv"), ("download_pv_get", "discover_get_pv"),
+          ("download_uv_get", "discover_get_uv"), ("download_puv_get", "discover_get_puv"), ("install_num", "install_num"),
+          ("install_uv", "install_uv"), ("install_puv", "install_puv"), ("active_num", "active_num"), ("active_uv", "active_uv"),
+          ("active_puv", "active_puv"), ("discover_detail_expose_uv", "discover_detail_expose_uv"),
+          ("discover_detail_expose_pv", "discover_detail_expose_pv"))
+NOT_ADDITIVE = ("down_scroll_rate", "slide_rate", "retain_rate")
+SEARCH = ("search_retain_rate", "search_uv", "search_retain_uv")
+OPTIONAL = ("uninstall_rate", "eff_install_puv", "adpdau", "uninstall_puv2")
+RANGES = ("top1000", "top1001-2000", "top2001-3000", "top3001-4000", "top4001-5000", "5000+")
 NO_VALUE = -1.0
 
 
-def report_ratios(wide: DataFrame) -> DataFrame:
-    """The report's ratios beside its counts; rates that do not add up become −1 on rolled rows."""
-    for name, top, bottom in RATIOS:
-        wide = wide.withColumn(name, ratio(top, bottom))
-    for name in NOT_ADDITIVE:
-        if name in wide.columns:
-            wide = wide.withColumn(name, F.when(F.col("rolled"), F.lit(NO_VALUE)).otherwise(F.col(name)))
-    return wide
+def report_metrics(wide: DataFrame, whole_market: bool = False) -> DataFrame:
+    """``date, locale, model_id, page, stat_type`` (and ``market_v``) with every metric of the report.
+
+    Rates that do not add up become −1 on rolled rows; metrics that a table may lack are −1 where it does; a count it
+    lacks is null. Search retention belongs to the table of the whole market alone.
+    """
+    def column(name: str, absent: Column) -> Column:
+        return F.col(name).cast("double") if name in wide.columns else absent
+
+    dims = [c for c in ("date", "locale", "model_id", "page", "stat_type", "market_v") if c in wide.columns]
+    none, missing = F.lit(None).cast("double"), F.lit(NO_VALUE)
+    rolled = F.coalesce(F.col("rolled"), F.lit(False)) if "rolled" in wide.columns else F.lit(False)
+    return wide.select(
+        *dims, *[ratio(column(top, none), column(bottom, none)).alias(name) for name, top, bottom in RATIOS],
+        *[column(source, none).alias(name) for name, source in COUNTS],
+        *[F.when(rolled, missing).otherwise(column(name, none)).alias(name) for name in NOT_ADDITIVE],
+        *[F.coalesce(column(name, missing), missing).alias(name) for name in (*(SEARCH if whole_market else ()), *OPTIONAL)])
+
+
+def range_name(c: Column) -> Column:
+    """Ranges of ranks as the report writes them; other names stay."""
+    written = F.replace(F.replace(F.replace(c, F.lit("-"), F.lit("_")), F.lit("top"), F.lit("Top")), F.lit("+"), F.lit(""))
+    return F.when(c.isin(*RANGES), written).otherwise(c)
 
 
-def report_rows(wide: DataFrame) -> DataFrame:
-    """``date, tag, index_key, index_value``: tag is locale and experiment, the key page, group and metric."""
-    rated = report_ratios(wide)
-    metrics = [m for m in [r[0] for r in RATIOS] + list(COUNTS) + list(NOT_ADDITIVE) if m in rated.columns]
-    tagged = rated.withColumn("tag", F.concat_ws("_", "locale", F.replace(F.col("model_id"), F.lit("-"), F.lit("_"))))
-    rows = long_metrics(tagged, ["date", "tag", "page", "stat_type"], metrics)
+def report_rows(wide: DataFrame, whole_market: bool = False) -> DataFrame:
+    """``date, tag, index_key, index_value``: tag is locale, experiment and market version, the key page, group and metric.
+
+    Group names of the whole market end in ``_all``; the version ``ALL`` is not written.
+    """
+    rated = report_metrics(wide, whole_market)
+    dims = ("date", "locale", "model_id", "page", "stat_type", "market_v")
+    tag = F.concat_ws("_", "locale", F.replace(F.col("model_id"), F.lit("-"), F.lit("_")))
+    if "market_v" in rated.columns:
+        tag = F.concat(tag, F.when(F.col("market_v") != "ALL", F.col("market_v")).otherwise(F.lit("")))
+    group = F.concat(range_name(F.col("stat_type")), F.lit("_all" if whole_market else ""))
+    tagged = rated.withColumn("tag", tag).withColumn("stat_type", group)
+    rows = long_metrics(tagged, ["date", "tag", "page", "stat_type"], [c for c in rated.columns if c not in dims])
     return rows.select("date", "tag", F.concat_ws("_", "page", "stat_type", "index_key").alias("index_key"), "index_value").distinct()
 
 

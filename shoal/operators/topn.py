@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import stored
+
 # Spark trims row_number() <= n per task before the shuffle up to this n
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT = 1000
@@ -50,18 +52,22 @@ def lists_of(df: DataFrame, n: int) -> DataFrame:
 def rank_any_under(df: DataFrame, scores: list[str], k: int, key: str) -> DataFrame:
     """Rows whose rank is below k for any of the scores, ties sharing a rank.
 
-    A global rank would sort everything in one task. A row ranks below k exactly
-    when its score is among the k-1 best, so a distributed top-(k-1) per score
-    gives the threshold and a filter does the rest. Nulls rank last.
+    A global rank would sort everything in one task. A row ranks below k exactly when its score is among the k-1 best, so
+    the scores are stacked as (score, value), cut to the k-1 best of each in every task, and the least of them is the bound:
+    one row per score, which the driver gets. Nulls rank last. The rows are written once and read twice.
     """
-    kept = None
+    rows = stored(df, "ranked")
+    stacked = rows.select(F.explode(F.array(*[F.struct(F.lit(s).alias("name"), F.col(s).cast("double").alias("value")) for s in scores])).alias("e"))
+    best = top_n(stacked.select("e.name", "e.value").where(F.col("value").isNotNull()), ["name"], [F.desc("value")], max(k - 1, 0))
+    bounds = {r["name"]: r for r in best.groupBy("name").agg(F.min("value").alias("lowest"), F.count("*").alias("found")).collect()}
+    kept = F.lit(False)
     for score in scores:
-        best = df.select(score).where(F.col(score).isNotNull()).orderBy(F.desc(score)).limit(k - 1)
-        bounds = best.agg(F.min(score).alias("lowest"), F.count("*").alias("found"))
-        lowest, found = bounds.select("lowest").scalar(), bounds.select("found").scalar()
-        hit = (F.col(score) >= lowest) | (found < F.lit(k - 1))
-        kept = hit if kept is None else kept | hit
-    return df.where(F.coalesce(kept, F.lit(False)))
+        bound = bounds.get(score)
+        if bound is None or bound.found < k - 1:
+            kept = F.lit(True)  # fewer than k values: every row ranks below k
+        else:
+            kept = kept | F.coalesce(F.col(score).cast("double") >= bound.lowest, F.lit(False))
+    return rows.where(kept)
 
 
 def mirrored(pairs: DataFrame, score: str = "sim") -> DataFrame:

@@ -132,69 +132,101 @@ def _(t):
     return rows.withColumn("index_value", F.round("index_value", 6))
 
 
-# Daily statistics per locale, arm and page, the shape of the wide report table.
+# Daily statistics per locale, arm and page, the shape of the wide report table: kinds of events as (Spark, SQL).
 _WIDE_DIMS = ["date", "locale", "model_id", "page", "stat_type"]
-define("wide", "track", """SELECT date, locale, CAST(event_id % 4 AS VARCHAR) AS model_id, page, launch_pkg AS stat_type,
-    count(*) FILTER (action = 'item_exposure') AS expose_pv, count(DISTINCT user_id) FILTER (action = 'item_exposure') AS expose_uv,
-    count(*) FILTER (action = 'item_click') AS click_pv, count(DISTINCT user_id) FILTER (action = 'item_click') AS click_uv,
-    count(DISTINCT user_id) FILTER (action = 'download_install') AS download_uv,
-    count(DISTINCT (user_id, item_id)) FILTER (action = 'download_install') AS download_puv,
-    avg(CASE WHEN hour >= 12 THEN 1.0 ELSE 0.0 END) AS retain_rate FROM track GROUP BY ALL""")
+_KINDS = {"expose": "action = 'item_exposure'", "click": "action = 'item_click'", "download": "action = 'download_install'",
+          "install": "action = 'install'", "active": "action = 'activate'", "get": "action = 'download_install' AND install_type = 'auto_install'",
+          "detail_expose": "action = 'item_exposure' AND pre_page = 'recommend'",
+          "detail_download": "action = 'download_install' AND pre_card_type = 'recApps'", "gone": "action = 'uninstall'",
+          "kept": "action = 'install' AND card_pos < 5", "searched": "action = 'item_click' AND card_type = 'recApps'",
+          "back": "action = 'item_click' AND card_type = 'recApps' AND hour >= 12"}
+_MEANS_OF = {"down_scroll_rate": "CASE WHEN card_pos >= 3 THEN 1.0D ELSE 0.0D END", "slide_rate": "CASE WHEN card_pos = 5 THEN 1.0D ELSE 0.0D END",
+             "retain_rate": "CASE WHEN hour >= 12 THEN 1.0D ELSE 0.0D END"}
+# Columns of the wide table by the counts above.
+_WIDE = {"expose_pv": "expose_pv", "expose_uv": "expose_uv", "click_pv": "click_pv", "click_uv": "click_uv", "download_num": "download_pv",
+         "download_uv": "download_uv", "download_puv": "download_puv", "install_num": "install_pv", "install_uv": "install_uv",
+         "install_puv": "install_puv", "active_num": "active_pv", "active_uv": "active_uv", "active_puv": "active_puv",
+         "discover_get_pv": "get_pv", "discover_get_uv": "get_uv", "discover_get_puv": "get_puv", "discover_detail_expose_uv": "detail_expose_uv",
+         "discover_detail_expose_pv": "detail_expose_pv", "discover_detail_download_uv": "detail_download_uv",
+         "discover_detail_download_pv": "detail_download_pv", "discover_detail_download_puv": "detail_download_puv",
+         "uninstall_puv2": "gone_puv", "eff_install_puv": "kept_puv", "search_uv": "searched_uv", "search_retain_uv": "back_uv"}
+_OF_KIND = {"pv": "count(*) FILTER ({c})", "uv": "count(DISTINCT user_id) FILTER ({c})", "puv": "count(DISTINCT (user_id, item_id)) FILTER ({c})"}
+
+
+def _counted(name: str) -> str:
+    kind, _, what = name.rpartition("_")
+    return _OF_KIND[what].format(c=_KINDS[kind])
+
+
+define("wide", "track", f"""SELECT date, locale, CAST(event_id % 4 AS VARCHAR) AS model_id, page, launch_pkg AS stat_type,
+    {', '.join(f'{_counted(source)} AS {name}' for name, source in _WIDE.items())},
+    {', '.join(f"avg({sql.replace('D ', ' ')}) AS {name}" for name, sql in _MEANS_OF.items())} FROM track GROUP BY ALL""")
 
 
 def _wide(t):
-    is_ = lambda a: F.col("action") == a
     track = t.track().withColumn("model_id", (F.col("event_id") % 4).cast("string")).withColumn("stat_type", F.col("launch_pkg"))
-    folded = track.groupBy(*_WIDE_DIMS, "user_id", "item_id").agg(
-        F.count_if(is_("item_exposure")).alias("e"), F.count_if(is_("item_click")).alias("c"),
-        F.count_if(is_("download_install")).alias("d"), F.count_if(F.col("hour") >= 12).alias("late"), F.count("*").alias("n"))
-    some = lambda n: F.when(F.col(n) > 0, F.col("user_id"))
-    return folded.groupBy(*_WIDE_DIMS).agg(
-        F.sum("e").alias("expose_pv"), F.count_distinct(some("e")).alias("expose_uv"), F.sum("c").alias("click_pv"),
-        F.count_distinct(some("c")).alias("click_uv"), F.count_distinct(some("d")).alias("download_uv"),
-        F.count_if(F.col("d") > 0).alias("download_puv"), (F.sum("late") / F.sum("n")).alias("retain_rate"))
+    counted = reports.daily_counts(track, _WIDE_DIMS, {k: F.expr(c) for k, c in _KINDS.items()}, {m: F.expr(c) for m, c in _MEANS_OF.items()})
+    return counted.select(*_WIDE_DIMS, *[F.col(source).alias(name) for name, source in _WIDE.items()], *_MEANS_OF)
 
 
-_SUMS = ", ".join(f"sum({c})::BIGINT AS {c}" for c in reports.COUNTS)
-_ARMS = f"""SELECT date, locale, model_id, page, stat_type, {', '.join(reports.COUNTS)}, retain_rate, false AS rolled FROM wide
-    UNION ALL SELECT date, locale, '1_3' AS model_id, page, stat_type, {_SUMS}, sum(retain_rate) AS retain_rate, true FROM wide
-    WHERE model_id IN ('1', '3') GROUP BY date, locale, page, stat_type"""
-define("arms", "wide", _ARMS)
-define("rolled", "arms regions", f"""SELECT * FROM arms UNION ALL SELECT date, 'ASIA' AS locale, model_id, page, stat_type, {_SUMS},
-    sum(retain_rate) AS retain_rate, true FROM arms WHERE locale IN (SELECT locale FROM regions WHERE cluster = 'ASIA')
-    GROUP BY date, model_id, page, stat_type""")
+_SUMS = ", ".join([f"sum({c})::BIGINT AS {c}" for c in _WIDE] + [f"sum({c}) AS {c}" for c in _MEANS_OF])
+_ALL = ", ".join([*_WIDE, *_MEANS_OF])
+define("arms", "wide", f"""SELECT {', '.join(_WIDE_DIMS)}, {_ALL}, false AS rolled FROM wide
+    UNION ALL SELECT date, locale, '1_3' AS model_id, page, stat_type, {_SUMS}, true FROM wide
+    WHERE model_id IN ('1', '3') GROUP BY date, locale, page, stat_type
+    UNION ALL SELECT date, locale, '0_1_2' AS model_id, page, stat_type, {_SUMS}, true FROM wide
+    WHERE model_id IN ('0', '1', '2') GROUP BY date, locale, page, stat_type""")
+define("rolled", "arms regions", f"""SELECT * FROM arms UNION ALL SELECT date, 'ASIA' AS locale, model_id, page, stat_type, {_SUMS}, true FROM arms
+    WHERE locale IN (SELECT locale FROM regions WHERE cluster = 'ASIA') GROUP BY date, model_id, page, stat_type""")
+_ARM_GROUPS = {"1_3": ["1", "3"], "0_1_2": ["0", "1", "2"]}
 
 
-def _arms(t):
-    return reports.roll_up(_wide(t), "model_id", ["1", "3"], "1_3", _WIDE_DIMS)
+def _rolled(t, *columns: str):
+    """Rolled up over the columns named: experiment groups, regions, or both at once."""
+    wide, labels = _wide(t), {}
+    if "locale" in columns:
+        asia = t.regions().where(F.col("cluster") == "ASIA").select("locale", F.array(F.lit("ASIA")).alias("_regions"))
+        wide, labels["locale"] = wide.join(asia, "locale", "left"), F.col("_regions")
+    if "model_id" in columns:
+        labels["model_id"] = reports.labels_of(_ARM_GROUPS, "model_id")
+    return reports.roll_up(wide, labels, _WIDE_DIMS, dropped=("_regions",))
 
 
-def _rolled(t):
-    asia = t.regions().where(F.col("cluster") == "ASIA").select("locale")
-    return reports.roll_up(_arms(t), "locale", asia, "ASIA", _WIDE_DIMS)
+_ROUNDED = ", ".join([*_WIDE, *[f"round({m}, 6) AS {m}" for m in _MEANS_OF]])
 
 
-@query("arm_rollup", f"SELECT date, locale, model_id, page, stat_type, rolled, {', '.join(reports.COUNTS)}, round(retain_rate, 6) AS retain_rate FROM arms", "arms")
+@query("arm_rollup", f"SELECT {', '.join(_WIDE_DIMS)}, rolled, {_ROUNDED} FROM arms", "arms")
 def _(t):
-    return _arms(t).withColumn("retain_rate", F.round("retain_rate", 6))
+    return _rolled(t, "model_id").withColumns({m: F.round(m, 6) for m in _MEANS_OF})
 
 
-@query("region_rollup", f"""SELECT date, locale, model_id, page, stat_type, rolled, {', '.join(reports.COUNTS)} FROM rolled""", "rolled")
+@query("region_rollup", f"SELECT {', '.join(_WIDE_DIMS)}, rolled, {_ROUNDED} FROM rolled", "rolled")
 def _(t):
-    return _rolled(t).drop("retain_rate")
+    return _rolled(t, "model_id", "locale").withColumns({m: F.round(m, 6) for m in _MEANS_OF})
 
 
-_RATIO_SQL = ", ".join(f"round({a} / nullif({b}, 0), 6) AS {n}" for n, a, b in reports.RATIOS)
-define("rated", "rolled", f"""SELECT date, locale, model_id, page, stat_type, {', '.join(reports.COUNTS)}, {_RATIO_SQL},
-    CASE WHEN rolled THEN -1.0 ELSE round(retain_rate, 6) END AS retain_rate FROM rolled""")
-_LONG = [n for n, _, _ in reports.RATIOS] + list(reports.COUNTS) + ["retain_rate"]
+def _report_sql(whole_market: bool) -> str:
+    values = {n: f"CAST({a} AS DOUBLE) / nullif({b}, 0)" for n, a, b in reports.RATIOS} | {n: source for n, source in reports.COUNTS}
+    values |= {n: f"CASE WHEN rolled THEN -1 ELSE {n} END" for n in reports.NOT_ADDITIVE}
+    if whole_market:
+        values |= {"search_retain_rate": "-1", "search_uv": "search_uv", "search_retain_uv": "search_retain_uv"}
+    values |= {"uninstall_rate": "-1", "eff_install_puv": "eff_install_puv", "adpdau": "-1", "uninstall_puv2": "uninstall_puv2"}
+    group = "CASE stat_type WHEN 'home' THEN 'Top1001_2000' WHEN 'ads' THEN '5000' ELSE stat_type END" + (" || '_all'" if whole_market else "")
+    return f"""SELECT DISTINCT date, locale || '_' || model_id AS tag, page || '_' || stat_type || '_' || k AS index_key, round(v, 6) AS index_value FROM
+        (SELECT date, locale, model_id, page, {group} AS stat_type, unnest({list(values)!r}) AS k,
+            unnest([{', '.join(f'CAST({v} AS DOUBLE)' for v in values.values())}]) AS v FROM rolled) WHERE v IS NOT NULL"""
 
 
-@query("report_ratios", f"""SELECT DISTINCT date, locale || '_' || model_id AS tag, page || '_' || stat_type || '_' || k AS index_key, v AS index_value FROM
-    (SELECT date, locale, model_id, page, stat_type, unnest({_LONG!r}) AS k, unnest([{', '.join(f'CAST({c} AS DOUBLE)' for c in _LONG)}]) AS v FROM rated)
-    WHERE v IS NOT NULL""", "rated")
-def _(t):
-    return reports.report_rows(_rolled(t)).withColumn("index_value", F.round("index_value", 6))
+def _ranged(t):
+    """Two of the groups stand for ranges of ranks, whose names the report writes another way."""
+    kind = F.col("stat_type")
+    return _rolled(t, "model_id", "locale").withColumn(
+        "stat_type", F.when(kind == "home", "top1001-2000").when(kind == "ads", "5000+").otherwise(kind))
+
+
+for _name, _market in (("report_ratios", False), ("report_whole_market", True)):
+    query(_name, _report_sql(_market), "rolled")(
+        lambda t, market=_market: reports.report_rows(_ranged(t), market).withColumn("index_value", F.round("index_value", 6)))
 
 
 @query("user_item_sets", """SELECT user_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
@@ -227,11 +259,8 @@ def _(t):
     SELECT user_id, k AS threshold, CAST(item_id AS VARCHAR) AS item FROM c, (VALUES (1), (2), (6), (8)) v(k) WHERE n >= k""", "track")
 def _(t):
     maps = hot.exposure_thresholds(t.track().where(F.col("action") == "item_exposure"), "user_id", "item_id")
-    parts = [maps.select("user_id", F.lit(k).alias("threshold"), F.explode_outer(F.map_keys(f"seen_{k}")).alias("item")) for k in hot.THRESHOLDS]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    return rows.where(F.col("item").isNotNull())
+    listed = F.array(*[F.struct(F.lit(k).alias("threshold"), F.map_keys(f"seen_{k}").alias("items")) for k in hot.THRESHOLDS])
+    return (maps.select("user_id", F.explode(listed).alias("l")).select("user_id", "l.threshold", F.explode("l.items").alias("item")))
 
 
 @query("group_concat_levels", """SELECT displayname, string_agg(DISTINCT locale || ':' || level, ',' ORDER BY locale || ':' || level) AS levels

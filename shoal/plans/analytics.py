@@ -11,18 +11,29 @@ from .base import query, r6
 from .sqltext import define, draw, u01
 
 
-@query("itemcf_v1", "SELECT item_1, item_2, round(sim, 6) AS sim FROM itemcf", "itemcf")
-def _(t):
-    return cf.item_cf(t.ratings()).withColumn("sim", F.round("sim", 6))
+_LIST_SIZE = 50
+
+
+def _lists(name: str, source: str, ctes: str, build):
+    """The lists that end a similarity: each item's best neighbours in both directions of the pairs."""
+    sql = f"""WITH sims AS ({source}) SELECT id, item, round(score, 6) AS score FROM (SELECT item_1 AS id, item_2 AS item, sim AS score FROM sims
+        UNION ALL SELECT item_2, item_1, sim FROM sims) QUALIFY row_number() OVER (PARTITION BY id ORDER BY round(score, 12) DESC, item) <= {_LIST_SIZE}"""
+    query(name, sql, ctes)(lambda t: cf.item_lists(build(t), _LIST_SIZE).select("id", "item", r6("score")))
 
 
-@query("itemcf_v2", """WITH s AS (SELECT user_id, sqrt(count(DISTINCT item_id)) AS w FROM ratings GROUP BY user_id),
+_lists("itemcf_v1", "SELECT item_1, item_2, sim FROM itemcf", "itemcf", lambda t: cf.item_cf(t.ratings()))
+_lists("itemcf_v2", """WITH s AS (SELECT user_id, sqrt(count(DISTINCT item_id)) AS w FROM ratings GROUP BY user_id),
     n AS (SELECT item_id, sqrt(sum(score * score)) AS norm FROM ratings GROUP BY item_id),
     d AS (SELECT a.item_id AS item_1, b.item_id AS item_2, sum(a.score * b.score / w) AS dot FROM ratings a JOIN ratings b
         ON a.user_id = b.user_id AND a.item_id < b.item_id JOIN s ON a.user_id = s.user_id GROUP BY ALL)
-    SELECT item_1, item_2, round(dot / (x.norm * y.norm), 6) AS sim FROM d JOIN n x ON item_1 = x.item_id JOIN n y ON item_2 = y.item_id""", "ratings")
+    SELECT item_1, item_2, dot / (x.norm * y.norm) AS sim FROM d JOIN n x ON item_1 = x.item_id JOIN n y ON item_2 = y.item_id""",
+       "ratings", lambda t: cf.item_cf(t.ratings(), "V2"))
+
+
+@query("itemcf_pairs", "SELECT item_1, item_2, round(sim, 6) AS sim FROM itemcf", "itemcf")
 def _(t):
-    return cf.item_cf(t.ratings(), "V2").withColumn("sim", F.round("sim", 6))
+    """All pairs, as an input of other operators."""
+    return cf.item_cf(t.ratings()).withColumn("sim", F.round("sim", 6))
 
 
 def _swing_cte(source: str) -> str:
@@ -40,16 +51,15 @@ def _pairs_cte(source: str) -> str:
 define("user_pairs", "ratings", _pairs_cte("ratings"))
 define("swing_rows", "user_pairs", _swing_cte("user_pairs"))
 define("item_norms", "ratings", "SELECT item_id, sqrt(sum(score * score)) AS norm FROM ratings GROUP BY item_id")
-_SWING = "SELECT item_1, item_2, round(sum({}), 6) AS sim FROM swing_rows GROUP BY item_1, item_2"
-_SWING_NORM = """SELECT item_1, item_2, round(s / sqrt(x.norm * y.norm), 6) AS sim FROM (SELECT item_1, item_2, sum({}) AS s FROM swing_rows GROUP BY ALL)
+_SWING = "SELECT item_1, item_2, sum({}) AS sim FROM swing_rows GROUP BY item_1, item_2"
+_SWING_NORM = """SELECT item_1, item_2, s / sqrt(x.norm * y.norm) AS sim FROM (SELECT item_1, item_2, sum({}) AS s FROM swing_rows GROUP BY ALL)
     JOIN item_norms x ON item_1 = x.item_id JOIN item_norms y ON item_2 = y.item_id"""
 
 for _version, _sql in {
     "V1": _SWING.format("w"), "V1p1": _SWING_NORM.format("w * (ui * vi + uj * vj)"), "V2": _SWING.format("w / sqrt(ku * kv)"),
     "V3": _SWING_NORM.format("w / sqrt(ku * kv) * (ui * uj + vi * vj)"),
 }.items():
-    query(f"swing_{_version.lower()}", _sql, "swing_rows item_norms")(
-        lambda t, version=_version: cf.swing(t.ratings(), version).withColumn("sim", F.round("sim", 6)))
+    _lists(f"swing_{_version.lower()}", _sql, "swing_rows item_norms", lambda t, version=_version: cf.swing(t.ratings(), version))
 
 
 define("kw_pairs", "keyword_v2", _pairs_cte("(SELECT * FROM keyword_v2 WHERE score > 0)"))
@@ -189,9 +199,13 @@ def _item_positions(t):
     return graph.item_positions(t.track().select("user_id", "item_id", "time_ms"), "user_id", "item_id", "time_ms")
 
 
-@query("word2vec_items")
+@query("word2vec_items", """SELECT CAST(item_id AS VARCHAR) AS item, count(*) AS n, 16 AS length, true AS usable
+    FROM track GROUP BY item_id HAVING count(*) >= 5""", "track")
 def _(t):
-    return graph.word2vec_items(graph.sentences(_item_positions(t), 1000), min_count=5, size=16).select("item", F.size("vector").alias("length"))
+    """Vocabulary and counts; of the vectors what holds for any training: their length, and that they are numbers and not all 0."""
+    vectors = graph.item_vectors(t.track(), "user_id", "item_id", "time_ms", min_count=5, size=16)
+    usable = F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("vector", lambda x: x != 0)
+    return vectors.select("item", "n", F.size("vector").alias("length"), usable.alias("usable"))
 
 
 @query("graph_node_index", """WITH n AS (SELECT src AS node FROM edges UNION SELECT dst FROM edges)

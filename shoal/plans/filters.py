@@ -17,24 +17,19 @@ from .sqltext import define
     UNION ALL SELECT 'member', count(*) FROM track WHERE cluster = (SELECT cluster FROM regions WHERE locale = 'NATION_7')
     UNION ALL SELECT 'single', count(*) FROM track WHERE locale = 'NATION_1'""", "track")
 def _(t):
-    regions = t.regions().select("locale", "cluster")
-    member = regions.where(F.col("locale") == "NATION_7").first().cluster
-    result = None
-    for name, wanted, widening in (("list", "NATION_3,NATION_4", ()), ("cluster", "ASIA", ()),
-                                   ("member", "NATION_7", (member,)), ("single", "NATION_1", ())):
-        rows = ops.in_locale(t.track(), regions, wanted, widening=widening).agg(F.count("*").alias("n"))
-        part = rows.select(F.lit(name).alias("predicate"), "n")
-        result = part if result is None else result.unionByName(part)
-    return result
+    predicates = {"list": ("NATION_3,NATION_4", ()), "cluster": ("ASIA", ()), "member": ("NATION_7", True), "single": ("NATION_1", ())}
+    rows = t.track().select("locale").join(ops.locale_flags(t.regions(), predicates), "locale")
+    counts = rows.agg(*[F.count_if(name).alias(name) for name in predicates])
+    return counts.unpivot([], list(predicates), "predicate", "n")
 
 
 @query("locale_normalise", """SELECT event_id, CASE WHEN cluster = 'ASIA' THEN 'OTHER' ELSE locale END AS name,
     'catalog_' || lower(cluster) AS catalog FROM track""", "track")
 def _(t):
-    joint = [r.locale for r in t.regions().where(F.col("cluster") == "ASIA").select("locale").collect()]
-    catalogs = t.regions().select("locale", F.concat(F.lit("catalog_"), F.lower("cluster")).alias("catalog"))
+    catalogs = t.regions().select("locale", F.concat(F.lit("catalog_"), F.lower("cluster")).alias("catalog"),
+                                  (F.col("cluster") == "ASIA").alias("joint"))
     return (t.track().select("event_id", "locale").join(catalogs, "locale")
-            .select("event_id", ops.locale_name("locale", tuple(joint)).alias("name"), "catalog"))
+            .select("event_id", ops.locale_name("locale", F.col("joint")).alias("name"), "catalog"))
 
 
 @query("valid_id_filter", """SELECT event_id, launch_ref FROM track WHERE launch_ref IS NOT NULL AND launch_ref <> ''""", "track")

@@ -133,7 +133,10 @@ _FLAGS = ", ".join(f"coalesce({c}, -1) AS {c}" for c in ("is_glide", "is_not_gli
 @query("user_hierarchy", f"""SELECT user_id, {_FLAGS}
     FROM glide FULL JOIN tier USING (user_id) FULL JOIN active USING (user_id) FULL JOIN level_flags USING (user_id)""", "glide tier active level_flags")
 def _(t):
-    return profiles.merged([_glide(t), _tier(t), _active(t), profiles.level_flags(_levels(t), "usage")], only_valid=True).na.fill(-1)
+    n = F.col("n")
+    flags = profiles.hierarchy(t.track(), NEW_SNAPSHOT, ("20240124", "20240130"), "home", "item_exposure", F.col("value") * 100,
+                               levels={"high": n > 70, "mid": n > 60, "low": F.lit(True)}, prefix="usage", **_LAUNCH_ARGS)
+    return flags.na.fill(-1)
 
 
 @query("user_features", """WITH a AS (SELECT user_id, CASE WHEN clicks_week > 1 THEN 'v3' ELSE 'v6' END AS audience FROM push_users),

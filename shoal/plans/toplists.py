@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import day_shift
 from ..operators import filters, hot
+from ..operators.filters import FIRST_GAME
 from ..operators.neighbours import knn
 from ..sources import logs
 from .aggregates import i2i_lists
@@ -126,43 +127,42 @@ def _(t):
     SELECT 'trending_week' AS list_id, CAST(item_id AS VARCHAR) AS item, round(max(score), 6) AS score FROM lists GROUP BY item_id
     ORDER BY round(max(score), 12) DESC, item LIMIT 200""", "track")
 def _(t):
-    history = None
-    for back in range(1, 8):
-        day = day_shift(_TODAY, -back)
-        part = _trend(t, day, (day_shift(day, -7), day_shift(day, -1)))
-        history = part if history is None else history.unionByName(part)
-    rounded = lambda df: df.withColumn("score", F.round("score", 12))
-    return hot.merge_lists(rounded(history), rounded(_trend(t)), "trending_week").withColumn("score", F.round("score", 6))
+    days = [day_shift(_TODAY, -back) for back in range(8)]
+    rows = hot.trending_days(t.track(), days, 7, 0.2, action="item_click", floor_today=1, floor_before=1)
+    best = rows.groupBy("item_id").agg(F.round(F.max("ratio"), 12).alias("score"))
+    return hot.list_of(best, "trending_week", "item_id", "score", 200).withColumn("score", F.round("score", 6))
 
 
 def _cold_sql(bound: str, pool: str = "") -> str:
-    return f"""WITH p AS (SELECT item_id FROM latest WHERE level = 'S'{pool}),
-    f AS (SELECT item_id, user_id, max(CASE WHEN page = 'recommend' AND action = 'item_exposure' THEN 1 ELSE 0 END) AS s,
+    return f"""WITH p AS (SELECT item_id, 'cold_S_' || CASE WHEN category_id >= 100 THEN 'game' ELSE 'app' END AS list_id FROM latest WHERE level = 'S'{pool}),
+    f AS (SELECT list_id, p.item_id, user_id, max(CASE WHEN page = 'recommend' AND action = 'item_exposure' THEN 1 ELSE 0 END) AS s,
         max(CASE WHEN page LIKE '%detail%' AND action = 'download_install' AND install_status = 'download_request'
             AND install_type IN ('manual_install', 'auto_install') THEN 1 ELSE 0 END) AS d
-        FROM track WHERE item_id IN (SELECT item_id FROM p) GROUP BY item_id, user_id),
-    i AS (SELECT p.item_id, coalesce(sum(s), 0) AS seen, coalesce(sum(d), 0) AS got FROM p LEFT JOIN f ON p.item_id = f.item_id GROUP BY p.item_id),
-    g AS (SELECT (SELECT count(DISTINCT user_id) FROM f WHERE s = 1) AS users, (SELECT sum(got) FROM i) AS got, (SELECT count(*) FROM p) AS size),
-    scored AS (SELECT item_id, seen, CASE WHEN seen = 0 THEN 10000.0 WHEN got > 0 THEN {bound} END AS score,
-        (SELECT got / users FROM g) AS overall FROM i)
-    SELECT 'cold' AS list_id, CAST(item_id AS VARCHAR) AS item, round(score, 6) AS score FROM scored
-    WHERE score IS NOT NULL AND (seen = 0 OR score > overall) ORDER BY round(score, 12) DESC, item LIMIT 1000"""
+        FROM track t JOIN p ON t.item_id = p.item_id GROUP BY ALL),
+    i AS (SELECT p.list_id, p.item_id, coalesce(sum(s), 0) AS seen, coalesce(sum(d), 0) AS got FROM p LEFT JOIN f ON p.item_id = f.item_id GROUP BY ALL),
+    g AS (SELECT i.list_id, count(*) AS size, sum(got) AS all_got, max(u) AS users FROM i LEFT JOIN
+        (SELECT list_id, count(DISTINCT user_id) AS u FROM f WHERE s = 1 GROUP BY list_id) x ON i.list_id = x.list_id GROUP BY i.list_id),
+    scored AS (SELECT i.list_id, item_id, seen, CASE WHEN seen = 0 THEN 10000.0 WHEN got > 0 THEN {bound} END AS score,
+        all_got / users AS overall FROM i JOIN g ON i.list_id = g.list_id)
+    SELECT list_id, CAST(item_id AS VARCHAR) AS item, round(score, 6) AS score FROM scored WHERE score IS NOT NULL AND (seen = 0 OR score > overall)
+    QUALIFY row_number() OVER (PARTITION BY list_id ORDER BY round(score, 12) DESC, item) <= 1000"""
 
 
-_MEAN = "((SELECT users / size FROM g) / 10)"
+def _cold_pool(t):
+    """One list for apps and one for games."""
+    kind = F.when(F.col("category_id") >= FIRST_GAME, "game").otherwise("app")
+    return t.latest_catalog().where(F.col("level") == "S").select("item_id", kind.alias("list_id"))
 
 
-@query("cold_start_ucb", _cold_sql(f"got / seen + log10({_MEAN} / seen)"), "track latest")
+@query("cold_start_ucb", _cold_sql("got / seen + log10((users / size / 10) / seen)"), "track latest")
 def _(t):
-    pool = t.latest_catalog().where(F.col("level") == "S").select("item_id")
-    return hot.cold_start(t.track(), pool, "cold", 1000).withColumn("score", F.round("score", 6))
+    return hot.cold_start(t.track(), _cold_pool(t), "cold_S", 1000).withColumn("score", F.round("score", 6))
 
 
-@query("cold_start_ucb_v2", _cold_sql(f"CASE WHEN {_MEAN.replace(' / 10', '')} >= 1 THEN got / seen + sqrt(log10({_MEAN.replace(' / 10', '')}) / seen) END",
+@query("cold_start_ucb_v2", _cold_sql("CASE WHEN users / size >= 1 THEN got / seen + sqrt(log10(users / size) / seen) END",
                                       " AND item_id IN (SELECT item_id FROM track)"), "track latest")
 def _(t):
-    pool = t.latest_catalog().where(F.col("level") == "S").join(t.track().select("item_id"), "item_id", "left_semi").select("item_id")
-    return hot.cold_start(t.track(), pool, "cold", 1000, formula="sqrt", scale=1).withColumn("score", F.round("score", 6))
+    return hot.cold_start(t.track(), _cold_pool(t), "cold_S", 1000, formula="sqrt", scale=1, only_logged=True).withColumn("score", F.round("score", 6))
 
 
 define("recalled", "recall_hits", """SELECT DISTINCT CAST(item_id AS BIGINT) AS item_id FROM (SELECT item_id, count(*) AS n, max(channel) AS c

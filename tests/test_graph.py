@@ -124,6 +124,24 @@ def test_places_follow_time_and_lose_no_pair(spark):
     assert sorted(len(r.path) for r in graph.sentences(places, 100).collect()) == [3, 50, 100, 100]
 
 
+@pytest.mark.parametrize("length,window", [(3, 3), (10, 4), (100, 1), (7, 2)])
+def test_sentences_and_bridges_hold_every_pair_once(spark, length, window):
+    sizes = {"u": 57, "v": 10, "w": 1}
+    places = spark.createDataFrame([(w, n, f"{w}{n}") for w, size in sizes.items() for n in range(size)], "walk string, pos int, node string")
+    seen = Counter()
+    for r in graph.sentences(places, length).unionByName(graph.bridges(places, length, window)).collect():
+        seen.update((a, b) for i, a in enumerate(r.path) for b in r.path[i + 1:i + 1 + window])
+    want = {(f"{w}{i}", f"{w}{j}") for w, size in sizes.items() for i in range(size) for j in range(i + 1, min(i + window + 1, size))}
+    assert set(seen) == want and set(seen.values()) == {1}
+
+
+def test_item_vectors_of_a_long_sequence(spark):
+    rows = [("u", f"i{n % 4}", n) for n in range(2500)] + [("v", "rare", 1), ("v", "i0", 2), ("v", "i1", 3)]
+    frame = spark.createDataFrame(rows, "user_id string, item_id string, at long")
+    got = {r.item: (r.n, len(r.vector)) for r in graph.item_vectors(frame, "user_id", "item_id", "at", 3, size=4, window=2, length=50, partitions=1).collect()}
+    assert got == {"i0": (626, 4), "i1": (626, 4), "i2": (625, 4), "i3": (625, 4)}
+
+
 def test_fractional_weights_leave_no_gap_and_no_overlap(spark):
     rng = random.Random(3)
     rows = [("h", f"t{n}", rng.random() * 10 ** rng.randrange(-3, 4)) for n in range(3000)] + [("s", "a", 0.1), ("s", "b", 0.2), ("s", "c", 0.7)]

@@ -1,11 +1,13 @@
 """Lists, reports, profiles and audiences on small frames."""
 
 import math
+import random
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from shoal.functions.dates import day_shift
 from shoal.operators import audience, filters, hot, profiles, reports, sets
 
 
@@ -104,10 +106,84 @@ def test_roll_up_and_sentinel(spark):
     cols = ["expose_pv", "expose_uv", "click_pv", "click_uv", "download_uv", "download_puv"]
     wide = spark.createDataFrame([("L", m, 10, 5, 2, 2, 1, 1, 0.5) for m in ("1", "2", "3")],
                                  "locale string, model_id string, " + ", ".join(f"{c} long" for c in cols) + ", retain_rate double")
-    rolled = reports.report_ratios(reports.roll_up(wide, "model_id", ["1", "3"], "1_3", ["locale", "model_id"]))
-    row = rolled.where("model_id = '1_3'").first()
-    assert (row.expose_pv, row.rolled, row.retain_rate, row.ctr_pv) == (20, True, -1.0, 0.2)
-    assert rolled.count() == 4 and rolled.where("model_id = '1'").first().retain_rate == 0.5
+    labels = {"model_id": reports.labels_of({"1_3": ["1", "3"], "1_2": ["1", "2"]}, "model_id"), "locale": F.array(F.lit("ALL"))}
+    summed = reports.roll_up(wide, labels, ["locale", "model_id"])
+    rows = {(r.locale, r.model_id): (r.expose_pv, r.rolled) for r in summed.collect()}
+    assert rows == {("L", "1"): (10, False), ("L", "2"): (10, False), ("L", "3"): (10, False), ("L", "1_3"): (20, True), ("L", "1_2"): (20, True),
+                    ("ALL", "1"): (10, True), ("ALL", "2"): (10, True), ("ALL", "3"): (10, True), ("ALL", "1_3"): (20, True), ("ALL", "1_2"): (20, True)}
+    rated = reports.report_metrics(summed)
+    row = rated.where("model_id = '1_3' and locale = 'L'").first()
+    assert (row.retain_rate, row.ctr_pv, row.install_uv, row.uninstall_rate, "search_uv" in rated.columns) == (-1.0, 0.2, None, -1.0, False)
+    assert rated.where("model_id = '1' and locale = 'L'").first().retain_rate == 0.5
+
+
+def test_report_names_ranges_versions_and_the_whole_market(spark):
+    wide = spark.createDataFrame([("d", "L", "1-2", "p", "top1001-2000", "ALL", 4, 2, 7), ("d", "L", "1", "p", "5000+", "v9", 4, 2, 7),
+                                  ("d", "L", "1", "p", "other-x+", "v9", 4, 0, 7)],
+                                 "date string, locale string, model_id string, page string, stat_type string, market_v string, expose_pv long, click_pv long, search_uv long")
+    rows = {(r.tag, r.index_key): r.index_value for r in reports.report_rows(wide, whole_market=True).collect()}
+    assert rows["L_1_2", "p_Top1001_2000_all_ctr_pv"] == 0.5 and rows["L_1v9", "p_5000_all_ctr_pv"] == 0.5
+    assert rows["L_1v9", "p_other-x+_all_search_uv"] == 7.0 and rows["L_1v9", "p_other-x+_all_search_retain_rate"] == -1.0
+    assert not any(k.endswith("install_uv") for _, k in rows)
+    assert not any("search" in k for _, k in {(r.tag, r.index_key) for r in reports.report_rows(wide).collect()})
+
+
+def test_daily_counts_equal_plain_counts(spark):
+    rng = random.Random(2)
+    rows = [("d%d" % rng.randrange(2), rng.choice(["u1", "u2", "u3", None]), rng.choice([1, 2, None]), rng.choice("ab"), rng.randrange(5)) for _ in range(120)]
+    frame = spark.createDataFrame(rows, "day string, user_id string, item_id int, kind string, x int")
+    got = {r.day: r for r in reports.daily_counts(frame, ["day"], {"a": F.col("kind") == "a"}, {"m": F.when(F.col("kind") == "a", F.col("x"))}).collect()}
+    for day in ("d0", "d1"):
+        own = [r for r in rows if r[0] == day and r[3] == "a"]
+        assert got[day].a_pv == len(own) and got[day].a_uv == len({r[1] for r in own} - {None})
+        assert got[day].a_puv == len({(r[1], r[2]) for r in own if r[1] and r[2]}) and got[day].m == pytest.approx(sum(r[4] for r in own) / len(own))
+        assert got[day].users == len({r[1] for r in rows if r[0] == day} - {None})
+
+
+def test_sliding_windows_equal_single_days(spark):
+    rng = random.Random(5)
+    rows = [(f"u{rng.randrange(12)}", rng.randrange(3), f"202401{rng.randrange(1, 29):02d}", "activate") for _ in range(500)]
+    log = spark.createDataFrame(rows, "user_id string, item_id int, date string, action string")
+    days = ["20240112", "20240113", "20240120", "20240128"]
+    got = {(r.date, r.item_id): r.ratio for r in hot.trending_days(log, days, 7, 0.0, floor_today=1, floor_before=0).collect()}
+    want = {}
+    for day in days:
+        before = (day_shift(day, -7), day_shift(day, -1))
+        for r in hot.trending(log, day, before, 7, 0.0, floor_today=1, floor_before=0).collect():
+            want[day, r.item_id] = r.ratio
+    assert got == want and len(want) > 3
+
+
+def test_cold_start_lists_have_their_own_totals(spark):
+    rows = [("u1", 1, "item_exposure", "recommend", None, None), ("u1", 1, "download_install", "app_detail", "download_request", "auto_install"),
+            ("u2", 3, "item_exposure", "recommend", None, None), ("u3", 3, "item_exposure", "recommend", None, None)]
+    log = spark.createDataFrame(rows, "user_id string, item_id int, action string, page string, install_status string, install_type string")
+    pool = spark.createDataFrame([(1, "app"), (2, "app"), (3, "game"), (4, "game")], "item_id int, list_id string")
+    got = {(r.list_id, r.item): r.score for r in hot.cold_start(log, pool, "c", scale=0.1).collect()}
+    assert got == {("c_app", "1"): pytest.approx(1 + math.log10(5)), ("c_app", "2"): hot.UNSEEN_SCORE, ("c_game", "4"): hot.UNSEEN_SCORE}
+    assert {(r.list_id, r.item) for r in hot.cold_start(log, pool, "c", scale=0.1, only_logged=True).collect()} == {("c_app", "1")}
+
+
+def test_hierarchy_equals_the_joined_flags(spark):
+    rng = random.Random(7)
+    rows = [(f"u{rng.randrange(9)}", rng.choice(["20240129", "20240130"]), rng.choice(["home", "push", "skip", None, ""]), rng.choice(["miniCard", "x"]),
+             rng.choice(["recApps", "other"]), rng.randrange(6), rng.choice(["end", "go"]), rng.random() * 9) for _ in range(60)] + [("", "20240130", "home", "x", "recApps", 1, "end", 1.0)]
+    log = spark.createDataFrame(rows, "user_id string, date string, launch_ref string, page_ref string, card_type string, card_pos int, action string, s double")
+    launch = {"ignored": ["skip"], "page_refs": ["miniCard"]}
+    today, ms = log.where("date = '20240130'"), F.col("s") * 1000
+    levels = log.groupBy("user_id").agg(F.count("*").alias("n")).select("user_id", F.when(F.col("n") > 7, "high").otherwise("low").alias("level"))
+    want = profiles.merged([profiles.glide_flags(today, **launch), profiles.duration_tiers(log, action="end", duration_ms=ms, **launch),
+                            profiles.active_flags(today, home="home", **launch), profiles.level_flags(levels, "l", ("high", "low"))], only_valid=True)
+    got = profiles.hierarchy(log, "20240130", ("20240129", "20240130"), "home", "end", ms, levels={"high": F.col("n") > 7, "low": F.lit(True)}, prefix="l", **launch)
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_locale_flags_equal_locales_of(spark):
+    regions = spark.createDataFrame([("A", "X"), ("B", "X"), ("C", "Y"), ("D", "Z")], "locale string, cluster string")
+    predicates = {"one": ("A", ()), "many": ("A, C", ()), "cluster": ("X", ()), "wide": ("B,C", ("X",)), "any": ("C", True)}
+    rows = filters.locale_flags(regions, predicates).collect()
+    got = {name: sorted(r.locale for r in rows if r[name]) for name in predicates}
+    assert got == {"one": ["A"], "many": ["A", "C"], "cluster": ["A", "B"], "wide": ["A", "B", "C"], "any": ["C"]}
 
 
 def test_volume_check(spark):
