@@ -24,6 +24,9 @@ BUCKET = 8192
 QUERIES = 2048
 FOCUS = 6
 COORDINATES_FROM = 0.8
+#: Headers of buckets that a group of queries meets at once, and groups of queries that a bucket meets in one task.
+HEADERS = 256
+MESSAGES = 16
 _EXACT = float(2**52)  # whole numbers below add up exactly in doubles
 _BLOCK = "kind string, block long, dim int, n int, longest double, ids binary, numbers binary, _rank double"
 
@@ -133,58 +136,96 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     share an id count once, with the least vector. Vectors are compared within their number of components. Fewer
     than k others give fewer rows; an empty table gives none.
     """
-    spark = vectors.sparkSession
-    rows = (vectors.filter(F.col("vec_id").isNotNull() & F.col("numbers").isNotNull())
-            .groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("numbers").alias("numbers"))
-            .withColumn("dim", F.size("numbers"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "numbers").filter("vec_id IS NOT NULL AND numbers IS NOT NULL")
+    # Ids alone tell which rows are repeated; only the vectors of those are shuffled to be compared.
+    again = stored(rows.groupBy("vec_id").agg(F.count("*").alias("n")).filter("n > 1").select("vec_id"), "repeated")
+    if not again.isEmpty():
+        least = rows.join(again, "vec_id", "left_semi").groupBy("vec_id").agg(F.min("numbers").alias("numbers"))
+        rows = rows.join(again, "vec_id", "left_anti").unionByName(least)
+    rows = (rows.withColumn("dim", F.size("numbers"))
             .withColumn("norm", F.aggregate("numbers", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))))
-    rows = stored(rows, "vectors")
     buckets = stored(_blocks(rows, "vectors", BUCKET), "buckets")
     groups = stored(_blocks(rows.filter(is_query), "queries", QUERIES), "queries")
-    result = "query_id long, vec_id long, score long"
-    # Headers only: one row per bucket.
+    seeds = stored(_bounds(buckets, groups, k), "bounds")
+    sent = stored(_sent(buckets, groups, seeds), "sent")
+    found = _searched(buckets, sent, k)
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _bounds(buckets: DataFrame, groups: DataFrame, k: int) -> DataFrame:
+    """``g, dim, least, need``: a bound on each query's k-th best product from its dimension's longest bucket, and how long a
+    vector must be for the group's least demanding query."""
     longest = buckets.groupBy("dim").agg(F.min_by("block", F.struct("_rank", "block")).alias("block"))
+    first = (buckets.join(F.broadcast(longest.select("block")), "block", "left_semi")  # one bucket per dimension
+             .select("dim", F.col("ids").alias("v_ids"), F.col("numbers").alias("v_numbers")))
 
-    def seed(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for bucket in right.itertuples():
-            ids, numbers = _unpack(bucket)
-            for group in left.itertuples():
-                query_ids, queries = _unpack(group)
-                nothing = np.full(len(query_ids), -np.inf)
-                for rows in [search_bucket(query_ids, queries, nothing, ids, numbers, k)]:
-                    seen: dict[int, list[int]] = {}
-                    for q, _, score in rows:
-                        seen.setdefault(q, []).append(score)
-                    low = [float(min(seen[q])) if len(seen.get(q, [])) == k else -np.inf for q in query_ids.tolist()]
-                out.append((group.block, np.array(low).tobytes()))
-        return pd.DataFrame(out, columns=["block", "least"])
-
-    first = buckets.join(F.broadcast(longest.select("block")), "block", "left_semi")  # one bucket per dimension
-    pairs = groups.select("block", "dim", "ids", "numbers")
-    seeds = stored(pairs.withColumn("target", F.col("block"))
-                   .join(first.select(F.col("dim"), F.col("ids").alias("v_ids"), F.col("numbers").alias("v_numbers")), "dim")
-                   .groupBy("target").applyInPandas(
-                       lambda key, frame: seed(key, frame[["block", "dim", "ids", "numbers"]],
-                                               frame[["dim", "v_ids", "v_numbers"]].rename(
-                                                   columns={"v_ids": "ids", "v_numbers": "numbers"})),
-                       "block long, least binary"), "bounds")
-
-    def search(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def seed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                query_ids, queries = _unpack(row)
+                ids = np.frombuffer(row.v_ids, dtype="<i8")
+                numbers = np.frombuffer(row.v_numbers, dtype="<i8").reshape(len(ids), row.dim)
+                seen: dict[int, list[int]] = {}
+                for q, _, score in search_bucket(query_ids, queries, np.full(len(query_ids), -np.inf), ids, numbers, k):
+                    seen.setdefault(q, []).append(score)
+                low = np.array([float(min(seen[q])) if len(seen.get(q, [])) == k else -np.inf for q in query_ids.tolist()])
+                yield pd.DataFrame({"g": [row.block], "dim": [row.dim], "least": [low.tobytes()],
+                                    "need": [float(lengths_needed(low, _lengths(queries)).min(initial=np.inf))]})
+
+    pairs = groups.select("block", "dim", "ids", "numbers").join(first, "dim")
+    return pairs.mapInPandas(seed, "g long, dim int, least binary, need double")
+
+
+def lengths_needed(least: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The shortest vector whose product with each query can reach its bound; 0 where any may."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where((least > 0) & (own > 0), least / own * (1 - 1e-9), np.where(least > 0, np.inf, 0.0))
+
+
+def _sent(buckets: DataFrame, groups: DataFrame, seeds: DataFrame) -> DataFrame:
+    """``b, dim, ids, numbers, least``: the queries that each bucket must see, decided by the buckets' headers.
+
+    A bucket whose longest vector can't reach the bound of any of a group's queries gets nothing from it; the others get
+    the queries whose bound they can reach. A group meets its buckets' headers in rows of at most HEADERS.
+    """
+    heads = buckets.select(F.col("block").alias("b"), F.col("dim").alias("_dim"), "longest")
+    able = seeds.select("g", "dim", "need").join(heads, (F.col("dim") == F.col("_dim")) & (F.col("longest") >= F.col("need")))
+    many = F.ceil(buckets.agg(F.count("*").alias("n")).scalar() / HEADERS)
+    listed = (able.withColumn("_chunk", F.pmod(F.xxhash64("b"), F.greatest(many, F.lit(1)))).groupBy("g", "_chunk")
+              .agg(F.collect_list(F.struct("b", "longest")).alias("heads")).drop("_chunk"))
+    meeting = (groups.select(F.col("block").alias("g"), "dim", "ids", "numbers").join(seeds.select("g", "least"), "g").join(listed, "g"))
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                query_ids, queries = _unpack(row)
+                least = np.frombuffer(row.least)
+                need = lengths_needed(least, _lengths(queries))
+                for head in row.heads:
+                    own = need <= head["longest"]
+                    if own.any():
+                        yield pd.DataFrame({"b": [head["b"]], "dim": [row.dim], "ids": [query_ids[own].tobytes()],
+                                            "numbers": [queries[own].tobytes()], "least": [least[own].tobytes()]})
+
+    return meeting.mapInPandas(send, "b long, dim int, ids binary, numbers binary, least binary")
+
+
+def _searched(buckets: DataFrame, sent: DataFrame, k: int) -> DataFrame:
+    """``query_id, vec_id, score``: a bucket goes once to each task of MESSAGES groups of queries that were sent to it."""
+    parts = F.greatest(F.ceil(F.max("n") / MESSAGES), F.lit(1))
+    per_bucket = sent.groupBy("b").agg(F.count("*").alias("n"))
+    left = sent.withColumn("part", F.pmod(F.xxhash64("ids"), per_bucket.agg(parts.alias("x")).scalar()).cast("int"))
+    right = buckets.select(F.col("block").alias("b"), "dim", "ids", "numbers").join(left.select("b", "part").distinct(), "b")
+    right = right.select([F.col(c).alias(c) for c in right.columns])  # fresh columns: both sides come from one frame
+
+    def search(queries: pd.DataFrame, bucket: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for bucket in right.itertuples():
-            ids, numbers = _unpack(bucket)
-            for group in left.itertuples():
-                query_ids, queries = _unpack(group)
-                out += search_bucket(query_ids, queries, np.frombuffer(group.least), ids, numbers, k)
+        for own in bucket.itertuples():
+            ids, numbers = _unpack(own)
+            for group in queries.itertuples():
+                query_ids, vectors = _unpack(group)
+                out += search_bucket(query_ids, vectors, np.frombuffer(group.least), ids, numbers, k)
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 
-    # Each group of queries meets each bucket of its dimension: the stated query set against all rows, in blocks.
-    lists = buckets.groupBy("dim").agg(F.collect_list("block").alias("buckets"))
-    whom = groups.groupBy("dim").agg(F.collect_list("block").alias("groups"))
-    left = (groups.join(seeds, "block").join(lists, "dim")
-            .select(F.col("block").alias("g"), "dim", "ids", "numbers", "least", F.explode("buckets").alias("b")))
-    right = (buckets.join(whom, "dim").select(F.col("block").alias("b"), "dim", "ids", "numbers", F.explode("groups").alias("g")))
-    found = left.groupBy("b", "g").cogroup(right.groupBy("b", "g")).applyInPandas(search, result)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return left.groupBy("b", "part").cogroup(right.groupBy("b", "part")).applyInPandas(search, "query_id long, vec_id long, score long")
