@@ -27,30 +27,43 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose nearest labelled neighbours vote for them; labels are learnt from the rows that aren't held out.
+
+    Null and empty texts, rows without an id and repeated rows are judged like any other. An empty table gives no rows.
+    """
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("int").alias("label"))
     return accepted(docs, labels, crc_mod(F.col("doc_id"), 5) != 0)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of similar documents the one with the smallest id. Rows without an id or words stay; rows that share an
+    id stay together."""
     return one_of_each(docs, per_cent=80, k=5)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that one with a smaller id holds.
+
+    A document that is left without words stays, as every row that comes in goes out: it's mixed once and packed as its end id
+    alone. Rows without an id keep their text and take none from others.
+    """
     return without_repeats(docs, window=13)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document once for each time it is used. Texts without words are kept once; a null source is one of its own."""
     return mix(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their sequence and offset; null texts are empty and hold the end id alone."""
     return pack(pieces(docs, vocabulary("word_bpe_49k.json"), end_id=1, cap=4096), 4096)
 
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality", quality), ("near_duplicates", near_duplicates), ("repeats", repeats), ("mix", mixture), ("pack", packed)]
 
-#: The first stage learns a model, which SQL can't express; tests/llm compares the stages with brute force.
+#: The first stage learns a model, which SQL can't express; tests/llm/test_pipeline.py compares every stage with brute force.
 ORACLE_SQL: str | None = None
 
 
