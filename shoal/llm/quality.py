@@ -2,9 +2,9 @@
 
 A text becomes a vector of hashed terms: its words, the shapes of its words (runs of
 capitals, small letters, digits; other characters as they are), how many of its
-three-word runs and how many words at once it repeats, and how long its words are. The vectors of a bounded
-sample of labelled texts give a latent-semantic map (truncated SVD of weighted
-terms). The mapped sample is broadcast, every text is compared with all of it by
+three-word runs and how many words at once it repeats, and how long its words are. Terms weigh by how few of all
+texts have them. The vectors of a bounded sample of labelled texts give a latent-semantic map (truncated SVD of
+weighted terms). The mapped sample is broadcast, every text is compared with all of it by
 blocked matrix products, and the labels of its nearest neighbours vote, each by its
 similarity and by the number of labelled texts it stands for.
 """
@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tokens import batches_of
@@ -95,9 +95,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFr
     marked = (labels.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull()).groupBy("doc_id")
               .agg(F.min("label").alias("label")).filter(learn))
     order = [F.md5(F.col("doc_id").cast("string").cast("binary")), F.col("doc_id")]
-    ranked = marked.withColumn("nth", F.row_number().over(Window.partitionBy("label").orderBy(*order)))
-    rows = ranked.filter(F.col("nth") <= PER_LABEL).select("doc_id", "label").collect()  # at most PER_LABEL per label
     counts = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}  # one row per label
+    # Every task gives up its first PER_LABEL rows of a label; no label is sorted as a whole.
+    rows = [r for label in sorted(counts)
+            for r in marked.filter(F.col("label") == label).orderBy(*order).limit(PER_LABEL).select("doc_id", "label").collect()]
     picked = docs.sparkSession.createDataFrame(
         [(r["doc_id"], r["label"], counts[r["label"]] / min(counts[r["label"]], PER_LABEL)) for r in rows],
         "doc_id long, label int, stands double")
@@ -110,9 +111,9 @@ class Voters:
     The sample's terms are weighed in place, as they are the largest thing the driver holds.
     """
 
-    def __init__(self, terms: np.ndarray, labels: np.ndarray, stands: np.ndarray):
+    def __init__(self, terms: np.ndarray, labels: np.ndarray, stands: np.ndarray, idf: np.ndarray):
         rng = np.random.default_rng(7)
-        self.idf = np.log((1 + len(terms)) / (1 + (terms > 0).sum(axis=0))).astype(np.float32) + 1
+        self.idf = idf.astype(np.float32)
         x = self._weighed(terms, out=terms)
         draw = rng.standard_normal((x.shape[1], DIMENSIONS + 16)).astype(np.float32)
         basis = x @ draw
@@ -149,6 +150,25 @@ class Voters:
         return np.clip((weight @ self.labels) / weight.sum(axis=1), 0, 1)
 
 
+def inverse_frequencies(docs: DataFrame) -> np.ndarray:
+    """Weight of each term by the number of all texts that have it; a task sends one row per term."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, n = np.zeros(PLACES, dtype=np.int64), 0
+        for batch in batches:
+            texts = [as_bytes(t) for t in batch["text"]]
+            n += len(texts)
+            for part in batches_of(texts, limit=500_000):
+                total += (term_counts(texts[part]) > 0).sum(axis=0)
+        yield pd.DataFrame({"place": np.arange(PLACES + 1), "n": np.append(total, n)})
+
+    rows = docs.select("text").mapInPandas(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros(PLACES + 1)
+    for r in rows:
+        counts[r["place"]] = r["n"]
+    return np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1
+
+
 def score_of(docs: DataFrame, labels: DataFrame, learn: Column) -> Callable[[Column], Column]:
     """A function from a text column to its score; fitted on ``docs`` and ``labels`` (doc_id, label) where ``learn`` holds.
 
@@ -169,7 +189,8 @@ def score_of(docs: DataFrame, labels: DataFrame, learn: Column) -> Callable[[Col
         vectors, "doc_id long, label int, stands double, places binary, terms binary").toPandas().sort_values(["doc_id", "places", "terms"])
     voters = None
     if len(drawn):
-        voters = Voters(dense(drawn["places"], drawn["terms"]), drawn["label"].to_numpy(), drawn["stands"].to_numpy())
+        voters = Voters(dense(drawn["places"], drawn["terms"]), drawn["label"].to_numpy(), drawn["stands"].to_numpy(),
+                        inverse_frequencies(docs))
     shared = docs.sparkSession.sparkContext.broadcast(voters)  # bounded by the sample and the dimensions
 
     @F.pandas_udf("double")
@@ -185,12 +206,16 @@ def score_of(docs: DataFrame, labels: DataFrame, learn: Column) -> Callable[[Col
 
 
 def scored(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
-    """``doc_id, score`` of every row of (doc_id, text); an empty table gives no rows."""
+    """``doc_id, score`` of every row of (doc_id, text); an empty table gives no rows.
+
+    Texts are read whole, whatever their length. Repeated rows are scored one by one; those of a labelled id each
+    stand in the sample. Rows without an id are scored like any other and never learnt from.
+    """
     score = score_of(docs, labels, learn)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), score(F.col("text")).alias("score"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, learn: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows whose score reaches the threshold, with all their columns."""
+    """The rows whose score reaches the threshold, with all their columns, whatever these are called; other cases as of ``scored``."""
     score = score_of(docs, labels, learn)
     return docs.filter(score(F.col("text")) >= threshold)

@@ -9,7 +9,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from shoal.llm import language, quality, topk, warc
 from shoal.session import scratch_path
 
@@ -179,23 +178,6 @@ def test_archives_round_trip(spark):
     assert warc.archived(frame.limit(0)).count() == 0
 
 
-def test_pipeline_stages(spark):
-    folder = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{folder}/documents.parquet").cache()
-    dtypes, counts = docs.dtypes, [docs.count()]
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        path = scratch_path(spark, f"test-{name}")
-        stage(spark, docs, folder).write.parquet(path)
-        docs = spark.read.parquet(path)
-        assert docs.dtypes == dtypes
-        counts.append(docs.count())
-    assert counts[0] > counts[1] > counts[2] == counts[3]
-    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "repeats", "mix", "pack"]
-    last = corpus_pipeline.run(spark, folder)
-    bins = last.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
-    assert all(r.n == r.end <= 4096 for r in bins)
-
-
 def test_numbers_and_signs_are_no_letters(make_docs):
     signs = ["½ ² ①", "Ⅷ", "٣", "_", "12", "ª", "ʰ", "中"]
     rows = [(i, "the cat and the dog", "en", "a") for i in range(12)] + [(20 + i, "der hund und die katze", "de", "a") for i in range(12)]
@@ -243,3 +225,65 @@ def test_language_scores_equal_the_kernel_regression(make_docs, monkeypatch):
         scores = np.append(mapped[i], 1.0) @ solved
         assert found[i].lang_pred == names[int(scores.argmax())]
         assert abs(found[i].score - np.clip(scores.max(), 0, 1)) < 1e-4
+
+
+def test_quality_scores_equal_plain_votes(judged, monkeypatch):
+    """Terms weighed by all texts, mapped, compared one by one, the nearest voting: nothing blocked, packed or broadcast."""
+    monkeypatch.setattr(quality, "PER_LABEL", 60)
+    docs, labels, marks = judged
+    learn = language.crc_mod(F.col("doc_id"), 5) != 0
+    rows = [(r.doc_id, r.text or "") for r in docs.collect()]
+    terms = {i: quality.term_counts([t.encode()])[0].astype(np.float64) for i, (_, t) in enumerate(rows)}
+    idf = np.log((1 + len(rows)) / (1 + sum((t > 0).astype(int) for t in terms.values()))) + 1
+    assert np.allclose(quality.inverse_frequencies(docs), idf)
+    learnt = [(r.doc_id, marks[r.doc_id]) for r in docs.filter(learn).select("doc_id").distinct().collect() if r.doc_id in marks]
+    by_label = {label: sorted((i for i, own in learnt if own == label), key=lambda i: (hashlib.md5(str(i).encode()).hexdigest(), i))
+                for label in (0, 1)}
+    drawn = {i: (label, len(ids) / min(len(ids), 60)) for label, ids in by_label.items() for i in ids[:60]}
+    unit = {}
+    for k, t in terms.items():
+        unit[k] = t * idf / max(np.sqrt(((t * idf) ** 2).sum()), 1e-12)
+    voters = sorted((k for k, (i, _) in enumerate(rows) if i in drawn), key=lambda k: rows[k][0])
+    model = quality.Voters(np.stack([terms[k] for k in voters]).astype(np.float32), np.array([drawn[rows[k][0]][0] for k in voters]),
+                           np.array([drawn[rows[k][0]][1] for k in voters]), idf)
+    vector = {k: (unit[k] @ model.map) / max(np.linalg.norm(unit[k] @ model.map), 1e-12) for k in unit}
+    found = {(r.doc_id, r.text): r.score for r in docs.withColumn("score", quality.score_of(docs, labels, learn)(F.col("text")))
+             .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "score").collect()}
+    off = 0
+    for k, (i, text) in enumerate(rows):
+        near = sorted(((float(vector[k] @ vector[v]), v) for v in voters), reverse=True)
+        edge = near[quality.NEIGHBOURS - 1][0] if len(near) >= quality.NEIGHBOURS else near[-1][0]
+        votes = [(max(s, 1e-6) ** 4 * drawn[rows[v][0]][1], drawn[rows[v][0]][0]) for s, v in near if s >= edge - 1e-6]
+        off += abs(found[i, text] - sum(w for w, label in votes if label) / sum(w for w, _ in votes)) > 1e-3
+    assert off <= 0.01 * len(rows)  # float ties at the edge of the neighbourhood
+
+
+def test_quality_takes_odd_rows(odd_docs, spark, no_docs):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(0, 1), (None, 0), (1, None)], "doc_id long, label int")
+    kept = quality.accepted(odd_docs, labels, F.lit(True))
+    assert kept.dtypes == odd_docs.dtypes and 0 < kept.count() <= odd_docs.count()
+    scores = quality.scored(odd_docs, labels, F.lit(True)).collect()
+    assert len(scores) == odd_docs.count() and all(0 <= r.score <= 1 for r in scores)
+    assert quality.accepted(no_docs, labels, F.lit(True)).count() == 0
+    found = language.identify(odd_docs, F.lit(True)).collect()
+    assert len(found) == odd_docs.count() and {r.lang_pred for r in found} <= {"en", "de", "und"}
+
+
+def test_headers_decide_which_blocks_meet(spark, monkeypatch):
+    """With lengths far apart few buckets are sent any query; with equal lengths all are. The result is exact in both cases."""
+    monkeypatch.setattr(topk, "BUCKET", 32)
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    rng = np.random.default_rng(8)
+    shares = []
+    for spread in (0.0, 3.0):
+        lengths = np.exp(spread * rng.standard_normal(800)) * 5
+        points = rng.standard_normal((800, 6))
+        points *= (lengths / np.linalg.norm(points, axis=1))[:, None]
+        rows = [(i, p.tolist()) for i, p in enumerate(points)]
+        vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").select("vec_id", topk.scaled(F.col("embedding")).alias("numbers"))
+        assert sorted(map(tuple, topk.top_k(vectors, F.col("vec_id") % 100 == 0, 10).collect())) == brute_top(rows, 10)
+        sized = vectors.withColumn("dim", F.size("numbers")).withColumn("norm", F.aggregate("numbers", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
+        buckets, groups = topk._blocks(sized, "v", 32).cache(), topk._blocks(sized.filter("vec_id % 100 = 0"), "q", 4).cache()
+        sent = topk._sent(buckets, groups, topk._bounds(buckets, groups, 10)).collect()
+        shares.append(sum(len(r.ids) // 8 for r in sent) / (8 * buckets.count()))
+    assert shares[0] == 1.0 and shares[1] < 0.3
