@@ -43,6 +43,9 @@ SIMILARITY = 85  # per cent
 CELLS = 1 << 20
 LIST_NODES = 8192
 CELL_SHINGLES = 3_000_000
+#: Sets of a group up to which all are listed at once; beyond it, sets that are compared with all others first.
+LISTED_SETS = 64
+REPRESENTATIVES = 16
 
 _SEEDS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA5A3564E27F88713))
 _MARKS = 256  # bits of the mark of a set's shared shingles in the second order
@@ -332,29 +335,59 @@ def _folded(words: np.ndarray) -> np.ndarray:
 
 
 def exact_links(nodes: np.ndarray, sets: list[np.ndarray], per_cent: int = SIMILARITY) -> list[tuple[int, int]]:
-    """Links that hold together all sets joined by pairs of the similarity; overlaps are counted over posting lists."""
+    """Links that hold together all sets joined by pairs of the similarity.
+
+    In a large group a few representatives are compared with all sets first, each by one scan; true near copies are held
+    together after that. Then only the sets outside the largest part are listed by their shingles, and every
+    set looks up its overlaps with them, so a group of copies costs as much as its size and not its square.
+    """
     n = np.array([len(s) for s in sets])
     order = np.argsort(n, kind="stable")
     nodes, sets, n = nodes[order], [sets[i] for i in order], n[order]
     _, code = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), n)
-    by = np.argsort(code, kind="stable")  # postings, owners ascending
-    lists = np.append(runs(code[by]), len(code))
-    post, begin = owner[by], np.concatenate([[0], np.cumsum(n)])
+    owner, begin = np.repeat(np.arange(len(sets)), n), np.concatenate([[0], np.cumsum(n)])
     label, links = np.arange(len(sets)), []
-    for i in range(1, len(sets)):
+
+    def link(i: int, others: np.ndarray) -> None:
+        for j in others:
+            x, y = label[i], label[j]
+            if x != y:
+                links.append((int(nodes[i]), int(nodes[j])))
+                label[label == max(x, y)] = min(x, y)
+
+    def similar(i: int, both: np.ndarray, others: np.ndarray) -> np.ndarray:
+        return others[100 * both >= per_cent * (n[i] + n[others] - both)]
+
+    everyone, used = np.arange(len(sets)), np.zeros(len(sets), dtype=bool)
+    for _ in range(REPRESENTATIVES if len(sets) > LISTED_SETS else 0):
+        outside = np.flatnonzero((label != np.bincount(label).argmax()) & ~used)
+        if not len(outside):
+            break
+        # The middle one by size among those not yet held by the largest part.
+        i = int(outside[len(outside) // 2])
+        used[i] = True
+        held = np.zeros(code.max() + 1, dtype=bool)
+        held[code[begin[i]:begin[i + 1]]] = True
+        near = similar(i, np.bincount(owner[held[code]], minlength=len(sets)), everyone)
+        link(i, near[np.sort(np.unique(label[near], return_index=True)[1])])
+    if label.max() == 0:
+        return links
+    largest = np.bincount(label).argmax() if len(sets) > LISTED_SETS else -1
+    listed = label[owner] != largest
+    by = np.flatnonzero(listed)[np.argsort(code[listed], kind="stable")]  # postings, owners ascending
+    lists = np.searchsorted(code[by], np.arange(code.max() + 2))
+    post = owner[by]
+    main = label == largest
+    for i in range(len(sets)):
         if label.max() == 0:
             break
         own = code[begin[i]:begin[i + 1]]
         sizes_ = lists[own + 1] - lists[own]
         ends = np.cumsum(sizes_)
-        place = np.repeat(lists[own] - (ends - sizes_), sizes_) + np.arange(int(ends[-1]))
-        both = np.bincount(post[place], minlength=len(sets))[:i]
-        for j in np.flatnonzero(100 * both >= per_cent * (n[i] + n[:i] - both)):
-            x, y = label[i], label[j]
-            if x != y:
-                links.append((int(nodes[i]), int(nodes[j])))
-                label[label == max(x, y)] = min(x, y)
+        place = np.repeat(lists[own] - (ends - sizes_), sizes_) + np.arange(int(ends[-1]) if len(ends) else 0)
+        both = np.bincount(post[place], minlength=len(sets))
+        met = np.flatnonzero(both if main[i] else both[:i])  # sets outside the largest part meet each other once
+        link(i, similar(i, both[met], met))
     return links
 
 
