@@ -112,13 +112,19 @@ def plan(counts: dict[int, int], cap: int = CAP) -> np.ndarray:
 def pack(found: DataFrame, cap: int = CAP) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``: no sequence longer than ``cap``, no gap in it.
 
-    Needs ``doc_id, piece, length`` (1 to cap); other columns pass through. Repeated rows are pieces of their own;
-    ties go by doc_id (nulls first) and piece. An empty table gives no rows. Ranks among pieces of one length are
-    counted in slices, so a length that a third of all pieces have is shared out.
+    Needs ``doc_id, piece, length`` (1 to cap); other columns pass through, whatever they are called, but for earlier ones
+    called ``sequence_id`` and ``offset``, which are replaced. Repeated rows are pieces of their own; ties go by doc_id
+    (nulls first), piece and, where there, start and ids_crc32, so that reruns agree also on documents that came
+    twice. An empty table gives no rows. Ranks among pieces of one length are counted in slices dealt by all of these, so that
+    a length or an absent id that a third of all pieces have is shared out.
     """
     spark = found.sparkSession
     slices = max(256, wide_partitions(spark))
-    kept = stored(found.withColumn("_slice", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(slices)).cast("int")), "pieces")
+    order = ["doc_id", "piece", *(c for c in ("start", "ids_crc32") if c in found.columns)]
+    others = [c for c in found.columns if c not in (*order, "length", "sequence_id", "offset")]
+    names = [*order, "length", *(f"_other{i}" for i in range(len(others)))]
+    plain = found.select(*order, "length", *[F.col(f"`{c}`").alias(f"_other{i}") for i, c in enumerate(others)])
+    kept = stored(plain.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(slices)).cast("int")), "pieces")
     counted = kept.groupBy("length", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     per_length = {r["length"]: r["n"] for r in counted.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     if any(not 1 <= length <= cap for length in per_length):
@@ -126,11 +132,10 @@ def pack(found: DataFrame, cap: int = CAP) -> DataFrame:
     places = plan(per_length, cap)
     before = Window.partitionBy("length").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counted.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    inside = Window.partitionBy("length", "_slice").orderBy("doc_id", "piece")
+    inside = Window.partitionBy("length", "_slice").orderBy(*order)
     ranked = (kept.withColumn("_in", F.row_number().over(inside)).join(offsets, ["length", "_slice"])
               .withColumn("_rank", F.col("_before") + F.col("_in") - 1).drop("_before", "_in", "_slice"))
     shared = spark.sparkContext.broadcast(places)  # bounded: a few rows for each of at most cap lengths
-    names = [c for c in found.columns]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = shared.value
@@ -144,8 +149,11 @@ def pack(found: DataFrame, cap: int = CAP) -> DataFrame:
             out["offset"] = own[:, 4] + place * length
             yield out
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields)
-    return ranked.mapInPandas(run, schema + ", sequence_id long, offset long")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields)
+    placed = ranked.mapInPandas(run, schema + ", sequence_id long, offset long")
+    back = dict(zip(others, names[len(order) + 1:], strict=True))
+    return placed.select(*[F.col(back.get(c, c)).alias(c) for c in found.columns if c not in ("sequence_id", "offset")],
+                         "sequence_id", "offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
