@@ -36,8 +36,10 @@ def sizes(docs: DataFrame, text_col: str = "text") -> Sizes:
     return Sizes(groups, max(width, -(-total // BUCKET_BYTES)), max(width, groups // 8))
 
 
-def group_of(doc_id: Column, size: Sizes) -> Column:
-    return F.pmod(F.xxhash64(doc_id), F.lit(size.groups)).cast("int")
+def group_of(doc_id: Column, size: Sizes, text: Column | None = None) -> Column:
+    """The group of an id; rows without an id, which are compared with nothing, are dealt by their text where it's given."""
+    spread = F.xxhash64(doc_id) if text is None else F.when(doc_id.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(doc_id))
+    return F.pmod(spread, F.lit(size.groups)).cast("int")
 
 
 def runs(ordered: np.ndarray) -> np.ndarray:

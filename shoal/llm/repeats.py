@@ -209,7 +209,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
         raise ValueError("the window must be odd, so that it holds one aligned block")
     size = sizes(docs, text_col)
     passed = [docs.schema[c] for c in keep]
-    dealt = (docs.select(group_of(F.col(id_col), size).alias("_g"), F.col(id_col).cast("long").alias("_id"),
+    dealt = (docs.select(group_of(F.col(id_col), size, F.col(text_col)).alias("_g"), F.col(id_col).cast("long").alias("_id"),
                          F.col(text_col).alias("_text"), *[F.col(f.name).alias(f"_keep{i}") for i, f in enumerate(passed)])
              .repartition(size.partitions, "_g"))  # one exchange, read by all three steps
 
