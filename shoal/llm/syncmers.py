@@ -72,15 +72,23 @@ def anchors(docs: DataFrame) -> DataFrame:
 
 
 def _in_order(docs: DataFrame) -> DataFrame:
-    """Rows of (doc_id, text, …) with ``_part``: ranges of ascending ids, nulls first, one range per task.
+    """Rows of (doc_id, text, _tie, …) with ``_part``: ranges of ascending ids, one range per task.
 
-    The bounds are quantiles of the ids; they share out the rows and do not change what comes after what.
+    Rows without an id come first, in ranges of their text's hash, as many as their share of the rows. The bounds are
+    quantiles; they share out the rows and do not change what comes after what.
     """
     n = min(2048, wide_partitions(docs.sparkSession))
-    cut = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else None
-    bounds = F.array(*[F.lit(int(x)) for x in sorted(set(cut or []))]).cast("array<bigint>")
-    return docs.withColumn("_part", F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(
-        F.size(F.filter(bounds, lambda b: b <= F.col("doc_id")))))
+    steps = [i / n for i in range(1, n)] or [0.5]
+    nameless = F.col("doc_id").isNull()
+    told = docs.agg(F.percentile_approx("doc_id", steps, 10_000).alias("ids"),
+                    F.percentile_approx(F.when(nameless, F.col("_tie")), steps, 10_000).alias("ties"),
+                    F.count_if(nameless).alias("nameless"), F.count("*").alias("n")).first()
+    many = -(-told["nameless"] * n // max(told["n"], 1))
+    ties = sorted({told["ties"][min(i * n // many, n - 1) - 1] for i in range(1, many)}) if many > 1 and n > 1 else []
+    ids = sorted(set(told["ids"] or [])) if n > 1 else []
+    place = lambda bounds, c: F.size(F.filter(F.array(*[F.lit(int(x)) for x in bounds]).cast("array<bigint>"), lambda b: b <= F.col(c)))
+    first = len(ties) + 1 if many else 0
+    return docs.withColumn("_part", F.when(nameless, place(ties, "_tie")).otherwise(first + place(ids, "doc_id")))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

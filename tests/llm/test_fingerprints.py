@@ -5,6 +5,7 @@ import random
 import re
 
 import xxhash
+from pyspark.sql import functions as F
 
 from shoal.llm import syncmers
 
@@ -73,3 +74,20 @@ def test_kept_runs_are_the_anchors(make_docs):
     words = [of_text(w) for w in text.split()]
     got = {(r.position, r.hash) for r in syncmers.anchors(make_docs([(1, text, "en", "a")])).collect()}
     assert got == {(i, chained(words[i:i + 3])) for i in range(198) if min(words[i], words[i + 2]) <= words[i + 1]}
+
+
+def test_rows_without_an_id_are_dealt_by_their_text(spark, make_docs):
+    """Half of the rows lack an id: they come first, by the hash of their text, in several ranges of rows."""
+    rng = random.Random(6)
+    rows = [(None if i % 2 else i, " ".join(f"w{rng.randrange(90)}" for _ in range(rng.randrange(3, 30))), "en", "a") for i in range(240)]
+    docs = make_docs(rows)
+    parts = syncmers._in_order(docs.withColumn("_tie", F.xxhash64("text"))).groupBy("_part").agg(
+        F.count_if(F.col("doc_id").isNull()).alias("nameless"), F.count("*").alias("n")).collect()
+    assert sum(r.nameless > 0 for r in parts) >= 2 and all(r.nameless in (0, r.n) for r in parts)
+    order = sorted((r for r in rows if r[0] is None), key=lambda r: of_text(r[1])) + sorted((r for r in rows if r[0] is not None))
+    want = []
+    for k, (doc_id, text, *_) in enumerate(order):
+        following, half = order[(k + 1) % len(order)][1], len(text) // 2
+        want.append((doc_id, hashlib.sha256((text[:len(text) - half] + following[:half]).encode()).hexdigest()))
+    got = [(r.doc_id, r.edited_sha256) for r in syncmers.fingerprints(docs).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)

@@ -366,3 +366,69 @@ def test_groups_helpers():
     assert (groups.unplanes(groups.planes(values)) == values).all()
     assert groups.runs(np.array([1, 1, 2, 3, 3])).tolist() == [0, 2, 3] and groups.runs(np.array([])).tolist() == []
     assert groups.run_ids(np.array([0, 2, 3]), 5).tolist() == [0, 0, 1, 2, 2]
+
+
+def joined_by(links, n):
+    label = list(range(n))
+    for a, b in links:
+        old, new = label[b], label[a]
+        label = [new if x == old else x for x in label]
+    return {frozenset(i for i in range(n) if label[i] == x) for x in set(label)}
+
+
+@pytest.mark.parametrize("listed,representatives", [(64, 16), (2, 1), (2, 16), (2, 0), (10**6, 16)])
+def test_exact_links_hold_the_same_parts_together(monkeypatch, listed, representatives):
+    monkeypatch.setattr(jaccard, "LISTED_SETS", listed)
+    monkeypatch.setattr(jaccard, "REPRESENTATIVES", representatives)
+    rng = np.random.default_rng(12)
+    for edits, bases in ((2, 1), (10, 3), (25, 2), (60, 5)):
+        centres = [rng.choice(10**6, 60, replace=False) for _ in range(bases)]
+        sets = []
+        for i in range(90):
+            own = centres[i % bases].copy()
+            own[rng.integers(0, 60, rng.integers(0, edits + 1))] = rng.integers(10**6, 10**7)
+            sets.append(np.unique(own[: rng.integers(45, 61)]))
+        nodes = rng.permutation(90)
+        want = joined_by([(a, b) for a in range(90) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))], 90)
+        found = jaccard.exact_links(nodes, sets, 80)
+        back = {int(x): i for i, x in enumerate(nodes)}
+        assert joined_by([(back[a], back[b]) for a, b in found], 90) == want
+        assert all(100 * len(np.intersect1d(sets[back[a]], sets[back[b]])) >= 80 * len(np.union1d(sets[back[a]], sets[back[b]])) for a, b in found)
+
+
+def test_near_copies_cost_their_size_and_not_its_square():
+    import time
+
+    rng = np.random.default_rng(3)
+    base, spent = rng.choice(10**6, 200, replace=False), []
+    for many in (1000, 4000):
+        sets = []
+        for _ in range(many):
+            own = base.copy()
+            own[rng.integers(0, 200, 3)] = rng.integers(10**6, 10**9, 3)
+            sets.append(np.unique(own))
+        start = time.perf_counter()
+        assert len(jaccard.exact_links(np.arange(many), sets, 85)) == many - 1
+        spent.append(time.perf_counter() - start)
+    assert spent[1] < 10 * spent[0]
+
+
+def test_pack_keeps_other_columns_and_orders_copies(spark):
+    rng = random.Random(5)
+    rows = [(None if i % 3 == 0 else i % 40, 0, i % 2 * 7, rng.randrange(1, 60), i % 5, f"x{i}", i, 1.5, -1, 3, "old", "a.b") for i in range(600)]
+    schema = ("doc_id long, piece int, start long, length long, ids_crc32 long, _slice string, _rank int, _in double, _before int, sequence_id int,"
+              " offset string, `dotted.name` string")
+    frame = spark.createDataFrame(rows, schema)
+    first = packing.pack(frame, 64)
+    assert first.columns == [c for c in frame.columns if c not in ("sequence_id", "offset")] + ["sequence_id", "offset"]
+    got = first.collect()
+    assert collections.Counter((r.doc_id, r.start, r.length, r.ids_crc32, r["_slice"], r["_rank"], r["dotted.name"]) for r in got) == collections.Counter(
+        (r[0], r[2], r[3], r[4], r[5], r[6], r[11]) for r in rows)
+    ends = collections.defaultdict(list)
+    for r in got:
+        ends[r.sequence_id].append((r.offset, r.offset + r.length))
+    for spans in ends.values():
+        spans.sort()
+        assert spans[0][0] == 0 and spans[-1][1] <= 64 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+    place = lambda rs: collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32, r.sequence_id, r.offset) for r in rs)
+    assert place(packing.pack(frame.repartition(7), 64).collect()) == place(got)
