@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shoal.operators import balls, neighbours, products, sets, textsim
+from shoal.operators import balls, neighbours, products, sets, textsim, vectors as vectors_module
 
 
 @pytest.fixture(scope="module")
@@ -201,6 +201,28 @@ def test_balls_are_exact_with_few_candidates(spark, clustered):
     assert neighbours.knn(clustered.limit(0), 3).count() == 0
 
 
+def test_a_vector_goes_once_to_a_bunch_of_blocks(spark, vectors, monkeypatch):
+    """Vectors without structure have to see all blocks; they are not sent to each of them."""
+    seen = {}
+    monkeypatch.setattr(balls, "stored", lambda df, name: seen.setdefault(name, df.cache()))
+    rows = [(r.id, r.vector) for r in vectors.collect()]
+    assert lists(neighbours.knn(vectors, 4, block_rows=4)) == brute(rows, "cosine", 4)
+    blocks = seen["blocks"].where("kind = 'block'").count()
+    assert blocks > 16
+    assert seen["messages"].agg(F.sum(F.size("ids"))).first()[0] <= len(rows) * -(-blocks // balls.MESSAGES)
+
+
+def test_the_best_of_several_blocks_are_those_of_one():
+    rng = np.random.default_rng(2)
+    left, right = rng.integers(0, 3, (9, 4)).astype(float), rng.integers(0, 3, (40, 4)).astype(float)
+    names = np.array([f"n{i:02d}" for i in range(40)], dtype=object)
+    ids = names[:9]
+    got = vectors_module.reaching(ids, left, np.full(9, -np.inf), np.ones((9, 4), dtype=bool),
+                                  [(b, right[b::4], names[b::4]) for b in range(4)], lambda a, b: a @ b.T, 5, 2.0, False)
+    want = vectors_module.best_per_row(left @ right.T, ids, names, 5, 2.0, False)
+    assert got.sort_values(["id", "score", "item"]).to_numpy().tolist() == want.sort_values(["id", "score", "item"]).to_numpy().tolist()
+
+
 def test_headers_spare_most_cells():
     rng = np.random.default_rng(5)
     centres = rng.standard_normal((40, 16))
