@@ -6,7 +6,7 @@ from collections import defaultdict
 
 import pytest
 
-from shoal.operators import cf
+from shoal.operators import cells, cf
 from shoal.operators.pairs import co_counts
 from shoal.operators.topn import i2i_maps, i2i_stats, i2i_top_n, rank_any_under, recall_counts, top_n
 
@@ -165,3 +165,37 @@ def test_similarity_queries_give_all_pairs(spark, tmp_path):
         got = QUERIES[name](spark, str(tmp_path))
         assert got.columns == ["item_1", "item_2", "sim"] and got.count() == 60 * 59 // 2
         assert "QUALIFY" not in ORACLES[name]
+
+
+@pytest.mark.parametrize("version", ["V1", "V1p1", "V2", "V3"])
+def test_sums_in_cells_are_those_of_all_pairs(spark, monkeypatch, version):
+    """Many small messages, steps and shares, a crowded user and a crowded item; the pairs themselves are not shuffled."""
+    import random
+
+    for name, size in {"PACK_ROWS": 20, "PRODUCTS": 30, "NAMES": 4, "CELL_ROWS": 64}.items():
+        monkeypatch.setattr(cells, name, size)
+    draw = random.Random(3)
+    rows = [(f"u{u:02d}", f"i{i:02d}", float(draw.randint(1, 5))) for u in range(25) for i in range(18) if u == 3 or i == 4 or draw.random() < 0.3]
+    got = cf.swing(ratings(spark, rows), version, block_rows=5)
+    assert found(got) == pytest.approx(swing_by_hand(rows, version))
+    if version in ("V1", "V2"):
+        pairs = cf.item_cf(ratings(spark, rows), version, block_rows=5)
+        assert "item_id_1" not in pairs._jdf.queryExecution().executedPlan().toString()
+        norm, sizes, want = defaultdict(float), defaultdict(int), defaultdict(float)
+        for user, item, score in rows:
+            norm[item] += score * score
+            sizes[user] += 1
+        for (user, i, a), (other, j, b) in itertools.product(rows, rows):
+            if user == other and i < j:
+                want[i, j] += a * b / math.sqrt(norm[i] * norm[j]) / (math.sqrt(sizes[user]) if version == "V2" else 1)
+        assert found(pairs) == pytest.approx(want)
+        lists = lambda p, **how: {(r.id, r["rank"]): r.item for r in i2i_top_n(p.selectExpr("item_1", "item_2", "round(sim, 12) AS sim"), 3, **how).collect()}
+        assert lists(cf.item_cf(ratings(spark, rows), version, 5, best=3), directed=True) == lists(pairs)
+
+
+def test_an_unknown_score_leaves_the_pair(spark):
+    rows = [("u", "a", 1.0), ("u", "b", None), ("v", "b", 2.0), ("v", "c", 1.0), ("w", None, 1.0), (None, "a", 1.0)]
+    got = found(cf.item_cf(ratings(spark, rows)))
+    assert got["a", "b"] is None and got["b", "c"] == pytest.approx(1.0) and len(got) == 2
+    best = i2i_top_n(cf.item_cf(ratings(spark, rows), best=5), 5, directed=True)
+    assert sorted((r.id, r.item, r["rank"]) for r in best.collect()) == [("a", "b", 1), ("b", "a", 2), ("b", "c", 1), ("c", "b", 1)]
