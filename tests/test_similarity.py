@@ -254,3 +254,17 @@ def test_products_are_exact(spark, monkeypatch, block_rows):
     got = lists(products.top_by_product(*frames, 6, block_rows=block_rows))
     assert got == {u: [i for _, i in sorted((-round(float(a @ b), 12), i) for i, b in items)[:6]] for u, a in users}
     assert products.top_by_product(frames[0], frames[1].limit(0), 3).count() == 0
+
+
+def test_blocks_meet_in_bunches(spark, monkeypatch):
+    """A row goes to the cells of its bunch, not of its block, and the best of all blocks are found."""
+    monkeypatch.setattr(neighbours, "SMALL_BLOCK", 1 << 20)
+    rng = np.random.default_rng(6)
+    points = rng.integers(0, 4, (150, 3)).astype(float)
+    rows = spark.createDataFrame([(f"t{i:03d}", x.tolist()) for i, x in enumerate(points)], "id string, vector array<double>")
+    made = neighbours.all_pairs_top_n(rows, "id", 3, lambda a, b: np.stack(a["vector"].to_numpy()) @ np.stack(b["vector"].to_numpy()).T, 4)
+    got = lists(neighbours.top_n(made, ["id"], [F.desc("score"), F.asc("item")], 4))
+    names = [f"t{i:03d}" for i in range(150)]
+    assert got == {a: [b for _, b in sorted((-(x @ y), b) for b, y in zip(names, points) if a != b)[:4]] for a, x in zip(names, points)}
+    bunches = -(-150 // (neighbours.BUNCH * 3))
+    assert made.where("id <> ''").count() <= 150 * 4 * (bunches + 1)
