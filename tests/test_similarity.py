@@ -268,3 +268,30 @@ def test_blocks_meet_in_bunches(spark, monkeypatch):
     assert got == {a: [b for _, b in sorted((-(x @ y), b) for b, y in zip(names, points) if a != b)[:4]] for a, x in zip(names, points)}
     bunches = -(-150 // (neighbours.BUNCH * 3))
     assert made.where("id <> ''").count() <= 150 * 4 * (bunches + 1)
+
+
+@pytest.mark.parametrize("n", [1, 4, 40])
+def test_best_per_row_sorts_only_what_can_win(monkeypatch, n):
+    rng = np.random.default_rng(1)
+    scores = np.round(rng.random((12, 30)), 1) + rng.random((12, 30)) * 1e-14
+    scores[2, 3], scores[4], scores[5, :7] = np.nan, -np.inf, np.inf
+    names = np.array([f"n{i:02d}" for i in range(29)] + [None], dtype=object)
+    rows = []
+    for i in range(12):
+        shown = sorted((-x, j) for j, x in enumerate(np.round(scores[i], 12)) if not np.isnan(x) and x >= 0.3 and j != i)[:n]
+        rows += [[names[i], names[j], -x] for x, j in shown if np.isfinite(x)]
+    sizes = []
+    plain = np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys, **how: sizes.append(len(keys[0])) or plain(keys, **how))
+    got = vectors_module.best_per_row(scores, names[:12], names, n, 0.3, False)
+    assert got.to_numpy().tolist() == rows
+    assert sizes and sizes[0] < scores.size
+
+
+def test_lsh_cells_grow_with_the_table(vectors, monkeypatch):
+    """Blocks of a cell change nothing in the result, and a vector is not sent to each of them."""
+    want = lists(neighbours.knn_lsh(vectors, 4, 2, 2, 2))
+    seen, plain = [], neighbours.grid
+    monkeypatch.setattr(neighbours, "grid", lambda left, right, keys, member, rows: seen.append(rows) or plain(left, right, keys, member, rows))
+    assert lists(neighbours.knn_lsh(vectors, 4, 2, 2, 2, block_rows=2)) == want
+    assert seen == [2 * (61 // 8)]
