@@ -194,7 +194,7 @@ def test_no_row_for_each_two_edges_of_a_hub(spark):
 def test_second_order_walks_have_the_right_shares(spark):
     # From every s the walk goes to m; of m's other edges, one leads back, one to a neighbour of s, two elsewhere.
     rows = []
-    for n in range(600):
+    for n in range(200):
         rows += [(f"s{n}", f"m{n}", 1000.0), (f"m{n}", f"s{n}", 1.0), (f"m{n}", f"near{n}", 1.0), (f"s{n}", f"near{n}", 1e-9),
                  (f"m{n}", f"x{n}", 1.0), (f"m{n}", f"y{n}", 2.0)]
     paths = walked(graph.node2vec_walks(edges(spark, rows), 1, keep="all", directed=True, p=2.0, q=0.5))
@@ -242,3 +242,36 @@ def test_all_k_in_one_scan_equal_plain_rounds(spark, init):
     rows = {r.id: (r.cluster, r.distance) for r in assigned.collect()}
     assert set(rows) == {f"p{n}" for n in range(len(points))}
     assert all(rows[f"p{n}"] == (int(d.argmin()), pytest.approx(d.min())) for n, d in enumerate(away[best]))
+
+
+def _large(spark):
+    """A hub of 200 spokes, a ring, parallel edges and fractional weights."""
+    rows = [("hub", f"s{i:03d}", 1 + i % 7 / 10) for i in range(200)] + [(f"s{i:03d}", f"s{(i + 1) % 200:03d}", 2.0) for i in range(200)]
+    return spark.createDataFrame(rows + rows[:50] + [("hub", None, 1.0), (None, "s001", 1.0)], "a string, b string, w double")
+
+
+@pytest.mark.parametrize("make", [
+    lambda e: graph.deep_walk(e, 2, keep="all", seed=1), lambda e: graph.deep_walk(e, 1, keep="all", directed=True, mode="dfs&bfs", seed=1),
+    lambda e: graph.node2vec_walks(e, 1, keep="all", directed=False, p=2.0, q=0.5, seed=1),
+    lambda e: sampling.weighted_draws(graph.merged_edges(graph.edges_of(e), False), 5, 1)])
+def test_walks_and_draws_do_not_depend_on_where_edges_lie(spark, monkeypatch, make):
+    rows = lambda: sorted(map(tuple, make(_large(spark)).collect()), key=str)
+    plain = rows()
+    assert plain
+    monkeypatch.setattr(graph, "LIGHT", 3)  # guide tables for what has more edges
+    monkeypatch.setattr(sampling, "CROWDED", 100)  # the hub in slices
+    assert rows() == plain
+
+
+@pytest.mark.parametrize("make", [lambda e: graph.deep_walk(e, 1, keep="all"), lambda e: graph.node2vec_walks(e, 1, keep="all", directed=False)])
+def test_edges_are_shuffled_once_and_stay_with_their_node(spark, monkeypatch, make):
+    plans, write = [], graph.stored
+
+    def stored(frame, name):
+        if name in ("step", "tried"):
+            plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return write(frame, name)
+
+    monkeypatch.setattr(graph, "stored", stored)
+    make(edges(spark)).count()
+    assert plans and all("Bucketed: true" in p for p in plans)
