@@ -191,6 +191,21 @@ def test_no_row_for_each_two_edges_of_a_hub(spark):
     assert summed.count() == 60_002 * 2 - 30_000 + 2 + 2
 
 
+def test_a_corner_gets_lists_and_no_row_for_each_two_of_its_edges(spark):
+    # Every low node leads to the same 60 others, of which only 0 and 1 are joined: 1770 pairs of edges at each, one closed.
+    lists = [(1000 + n, list(range(60))) for n in range(20)] + [(0, [1])]
+    found = graph.closing(spark.createDataFrame(lists, "corner int, others array<int>")).collect()
+    assert sorted((r.corner, r.other, r.thirds) for r in found) == [(1000 + n, 0, [1]) for n in range(20)]
+
+
+def test_sums_over_missing_ends_and_weights(spark):
+    rows = [("a", "b", None), ("b", "a", 2.0), ("a", "c", 1.0), ("b", "c", 3.0), ("c", "c", None), ("a", None, 5.0), (None, "b", 1.0), ("a", "c", 4.0)]
+    got = {(r.prev, r.cur, r.kind): (r.n, r.weight) for r in graph.edge_probabilities(edges(spark, rows), directed=True, summed=True).collect()}
+    # An edge without a weight is a step, but leads nobody back and shares nothing.
+    assert got == {("a", "b", "back"): (1, 2.0), ("a", "b", "far"): (1, 3.0), ("b", "a", "shared"): (1, 5.0), ("b", "a", "far"): (2, 5.0), ("a", "c", "far"): (1, None),
+                   ("b", "c", "far"): (1, None), ("c", "c", "back"): (1, None)}
+
+
 def test_second_order_walks_have_the_right_shares(spark):
     # From every s the walk goes to m; of m's other edges, one leads back, one to a neighbour of s, two elsewhere.
     rows = []
