@@ -223,6 +223,38 @@ def test_the_best_of_several_blocks_are_those_of_one():
     assert got.sort_values(["id", "score", "item"]).to_numpy().tolist() == want.sort_values(["id", "score", "item"]).to_numpy().tolist()
 
 
+@pytest.mark.parametrize("scale", [1e-3, 1.0, 1e6, 1e160])
+def test_few_differences_are_taken_and_none_that_counts_is_missing(scale):
+    rng = np.random.default_rng(8)
+    left, right = rng.standard_normal((90, 40)) * scale, rng.standard_normal((300, 40)) * scale
+    right[:30], right[40:50] = left[:30], right[:10]
+    with np.errstate(over="ignore"):
+        exact = vectors_module.similarities(left, right, "euclidean")
+        tenth = np.round(-np.sort(-exact, axis=1)[:, 9], 12)
+        # Every third row has no bound so far and asks for its ten highest.
+        got = vectors_module.near_distances(left, right, np.where(np.arange(90) % 3 == 0, -np.inf, tenth), 10)
+    counts = np.round(exact, 12) >= tenth[:, None]
+    assert (got[counts] == exact[counts]).all()
+    assert ((got == exact) | np.isneginf(got)).all()
+    assert np.isfinite(got).sum() <= 2 * 90 * 10
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_vectors_meet_the_pivots_a_few_at_a_time(vectors, metric, monkeypatch):
+    """What a task holds against all pivots does not grow with the batch or the block."""
+    rows, most = [(r.id, r.vector) for r in vectors.collect()], []
+    monkeypatch.setattr(balls, "STEP", 3)
+    assert lists(neighbours.knn(vectors, 4, metric, block_rows=16)) == brute(rows, metric, 4)
+    plain = balls.distances
+    monkeypatch.setattr(balls, "distances", lambda a, b: most.append(len(a)) or plain(a, b))
+    matrix = np.array([v for _, v in rows])
+    cell, away = balls.placed_at(matrix, balls.placed(matrix[:7], metric), metric)
+    full = plain(balls.placed(matrix, metric), balls.placed(matrix[:7], metric))
+    assert max(most) == 3
+    assert cell.tolist() == full.argmin(axis=1).tolist()
+    assert np.allclose(away, full.min(axis=1))
+
+
 def test_headers_spare_most_cells():
     rng = np.random.default_rng(5)
     centres = rng.standard_normal((40, 16))
