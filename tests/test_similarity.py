@@ -327,3 +327,47 @@ def test_lsh_cells_grow_with_the_table(vectors, monkeypatch):
     monkeypatch.setattr(neighbours, "grid", lambda left, right, keys, member, rows: seen.append(rows) or plain(left, right, keys, member, rows))
     assert lists(neighbours.knn_lsh(vectors, 4, 2, 2, 2, block_rows=2)) == want
     assert seen == [2 * (61 // 8)]
+
+
+def text_lists(docs, n, rows):
+    """Brute force over words by id; ``rows`` is the number of rows, as ids may repeat."""
+    df = {t: sum(t in d for d in docs.values()) for d in docs.values() for t in d}
+    vec = {k: {t: d.count(t) * math.log((rows + 1) / (df[t] + 1)) for t in set(d)} for k, d in docs.items()}
+    size = {k: math.sqrt(sum(w * w for w in v.values())) for k, v in vec.items()}
+    out = {}
+    for a in docs:
+        found = [(-round(sum(w * vec[b].get(t, 0) for t, w in vec[a].items()) / (size[a] * size[b]), 12), b)
+                 for b in docs if b != a and size[a] and size[b]]
+        if best := [b for score, b in sorted(found) if score < 0][:n]:
+            out[a] = best
+    return out
+
+
+@pytest.mark.parametrize("bunch", [1, 4])
+def test_texts_lie_once_in_packed_bunches(spark, monkeypatch, bunch):
+    """Bunches meet two by two; a text is in one of them and nowhere else."""
+    seen, plain = {}, textsim.stored
+    monkeypatch.setattr(textsim, "stored", lambda df, name: seen.setdefault(name, plain(df, name)))
+    monkeypatch.setattr(textsim, "TEXT_BUNCH", bunch)
+    monkeypatch.setattr(textsim, "_TERM_STEP", 3)
+    rng = np.random.default_rng(9)
+    docs = {f"d{i:02d}": [f"w{int(w)}" for w in rng.zipf(1.5, rng.integers(1, 9)) if w < 40] + ["all"] for i in range(70)}
+    docs |= {f"same{i}": ["twin", "pair", "all"] for i in range(7)} | {"bare": ["all"]}
+    rows = list(docs.items()) + [("d03", ["w1", "w1", "more"]), ("none", None), ("empty", [])]
+    got = lists(textsim.tfidf_top_n(spark.createDataFrame(rows, "id string, words array<string>"), 4, block_rows=3))
+    assert got == text_lists(docs | {"d03": docs["d03"] + ["w1", "w1", "more"]}, 4, len(rows))
+    kept = seen["weighed-bunches"]
+    assert kept.count() >= 70 // (3 * bunch) and kept.agg(F.sum(F.size("ids"))).first()[0] == len(docs)
+
+
+def test_equal_scores_take_no_place_and_bounds_rise():
+    rng = np.random.default_rng(4)
+    scores = np.round(rng.random((5, 40)), 1) * (rng.random((5, 40)) < 0.6)
+    best, other = textsim._Best(5, 4), textsim._Best(5, 4)
+    for at in range(0, 40, 8):
+        best.see(scores[:, at:at + 8], at, 0)
+        other.see(scores[:, at:at + 8].T, at, 1)
+    want = [(r, c) for r in range(5) for c in sorted(np.flatnonzero(scores[r]), key=lambda c: (-scores[r, c], c))[:4]]
+    for found in (best, other):
+        assert list(zip(found.row, found.item)) == want
+        assert found.bound.tolist() == [scores[r, want[4 * r + 3][1]] for r in range(5)]
