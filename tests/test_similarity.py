@@ -371,3 +371,27 @@ def test_equal_scores_take_no_place_and_bounds_rise():
     for found in (best, other):
         assert list(zip(found.row, found.item)) == want
         assert found.bound.tolist() == [scores[r, want[4 * r + 3][1]] for r in range(5)]
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_a_part_gives_up_its_best_once(vectors, metric, monkeypatch):
+    """Blocks pass by parts; what leaves them does not grow with the blocks."""
+    rows, left, plain = [(r.id, r.vector) for r in vectors.collect()], [], balls._passing
+    monkeypatch.setattr(balls, "PART_ROWS", 8)
+    monkeypatch.setattr(balls, "_passing", lambda *args: left.append(plain(*args)) or left[-1])
+    assert lists(neighbours.knn(vectors, 4, metric, block_rows=4)) == brute(rows, metric, 4)
+    assert left[0].groupBy("id").count().agg(F.max("count")).first()[0] == 4
+
+
+def test_rows_hold_a_few_times_n_of_equal_items():
+    rng = np.random.default_rng(5)
+    names = np.array([f"n{i:03d}" for i in rng.permutation(400)], dtype=object)
+    rows = vectors_module.Reaching(np.array(["a", "n007"], dtype=object), np.ones((2, 1)), np.full(2, -np.inf), 6, None, False)
+    held = []
+    for at in range(0, 400, 20):
+        rows.see(np.arange(2), np.ones((20, 1)), names[at:at + 20], lambda a, b: a @ b.T)
+        held.append(len(rows.own))
+    assert max(held) <= 2 * 6 * 2
+    got = rows.found()
+    assert got[got["id"] == "a"]["item"].tolist() == [f"n{i:03d}" for i in range(6)]
+    assert got[got["id"] == "n007"]["item"].tolist() == [f"n{i:03d}" for i in range(6)]
