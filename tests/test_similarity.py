@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoal.operators import balls, neighbours, products, sets, textsim, vectors as vectors_module
+from shoal.plans import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -395,3 +396,12 @@ def test_rows_hold_a_few_times_n_of_equal_items():
     got = rows.found()
     assert got[got["id"] == "a"]["item"].tolist() == [f"n{i:03d}" for i in range(6)]
     assert got[got["id"] == "n007"]["item"].tolist() == [f"n{i:03d}" for i in range(6)]
+
+
+def test_the_cosine_list_is_as_long_as_the_published_one(spark, tmp_path):
+    """A list holds 100 neighbours, not the first few of them."""
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.standard_normal(4).tolist()) for i in range(120)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {r.id: [p.split("&")[0] for p in r.value.split(",")] for r in QUERIES["knn_cosine_list"](spark, str(tmp_path)).collect()}
+    assert got == brute([(str(i), np.float32(v).astype(float)) for i, v in rows], "cosine", 100)
