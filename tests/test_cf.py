@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shoal.operators import cells, cf
 from shoal.operators.pairs import co_counts
@@ -224,3 +225,24 @@ def test_messages_lie_in_planes(spark):
     assert {x.values[k, 0] for x, _ in sides for k in range(len(x.places))} <= {q for _, _, q in rows}
     plain = sum(len(zlib.compress(np.ascontiguousarray(x.values).tobytes(), 1)) for x, _ in sides)
     assert sum(len(zlib.compress(data, 1)) for _, data in sides) < 0.9 * plain
+
+
+def test_a_list_leaves_its_strip_once(spark, monkeypatch):
+    """The n best of an item are merged over all cells of its block: what leaves does not grow with the blocks."""
+    monkeypatch.setattr(cells, "CELL_ROWS", 16)
+    rng = np.random.default_rng(8)
+    rows = [(f"u{u}", f"i{i:02d}", float(rng.random())) for u in range(30) for i in rng.choice(40, 12, replace=False)]
+    frame = ratings(spark, rows)
+    assert cells.block_count(frame) >= 2 * spark.sparkContext.defaultParallelism
+    found = cf.item_cf(frame, best=3)
+    assert found.groupBy("item_1").count().where("count <> 3").count() == 0
+    whole = i2i_top_n(cf.item_cf(frame).withColumn("sim", F.round("sim", 12)), 3)
+    mine = i2i_top_n(found.withColumn("sim", F.round("sim", 12)), 3, directed=True)
+    assert sorted((r.id, r.item, r["rank"]) for r in mine.collect()) == sorted((r.id, r.item, r["rank"]) for r in whole.collect())
+
+
+def test_equal_scores_of_many_cells_end_in_whole_lists(spark, monkeypatch):
+    monkeypatch.setattr(cells, "CELL_ROWS", 16)
+    rows = [(f"u{u}", f"i{i:02d}", 1.0) for u in range(3) for i in range(40)]
+    mine = i2i_top_n(cf.item_cf(ratings(spark, rows), best=2).withColumn("sim", F.round("sim", 12)), 2, directed=True)
+    assert sorted((r.id, r.item) for r in mine.collect()) == [(f"i{i:02d}", f"i{j:02d}") for i in range(40) for j in [k for k in range(40) if k != i][:2]]
