@@ -246,3 +246,16 @@ def test_equal_scores_of_many_cells_end_in_whole_lists(spark, monkeypatch):
     rows = [(f"u{u}", f"i{i:02d}", 1.0) for u in range(3) for i in range(40)]
     mine = i2i_top_n(cf.item_cf(ratings(spark, rows), best=2).withColumn("sim", F.round("sim", 12)), 2, directed=True)
     assert sorted((r.id, r.item) for r in mine.collect()) == [(f"i{i:02d}", f"i{j:02d}") for i in range(40) for j in [k for k in range(40) if k != i][:2]]
+
+
+def test_blocks_of_a_factorisation_grow_with_the_ratings(spark, monkeypatch):
+    from pyspark.ml.recommendation import ALS
+
+    asked, plain = [], ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda als, df: asked.append((als.getNumUserBlocks(), als.getNumItemBlocks())) or plain(als, df))
+    rows = [(f"u{n % 9}", f"i{n // 9}", 1.0 + n % 5) for n in range(90)]
+    for size in (4, 1 << 22):
+        monkeypatch.setattr(cf, "ALS_ROWS", size)
+        users, items = cf.als_factors(ratings(spark, rows), rank=2, max_iter=1)
+        assert users.count() == 9 and items.count() == 10
+    assert asked == [(23, 23), (10, 10)]

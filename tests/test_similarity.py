@@ -405,3 +405,20 @@ def test_the_cosine_list_is_as_long_as_the_published_one(spark, tmp_path):
     spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
     got = {r.id: [p.split("&")[0] for p in r.value.split(",")] for r in QUERIES["knn_cosine_list"](spark, str(tmp_path)).collect()}
     assert got == brute([(str(i), np.float32(v).astype(float)) for i, v in rows], "cosine", 100)
+
+
+def test_a_user_is_sent_once_and_lists_leave_once(spark, monkeypatch):
+    """Many blocks of items of one length, so that no bound spares any: users are not sent to each of them."""
+    monkeypatch.setattr(products, "USER_ROWS", 8)
+    seen, left, plain, passing = {}, [], products.stored, products._passing
+    monkeypatch.setattr(products, "stored", lambda df, name: seen.setdefault(name, plain(df, name)))
+    monkeypatch.setattr(products, "_passing", lambda *args: left.append(passing(*args)) or left[-1])
+    rng = np.random.default_rng(2)
+    unit = lambda n: [v / np.linalg.norm(v) for v in rng.standard_normal((n, 3))]
+    users, items = [(f"u{i:02d}", v) for i, v in enumerate(unit(40))], [(f"i{i:03d}", v) for i, v in enumerate(unit(200))]
+    frames = [spark.createDataFrame([(i, v.tolist()) for i, v in rows], "id string, vector array<double>") for rows in (users, items)]
+    got = lists(products.top_by_product(*frames, 5, block_rows=10))
+    assert got == {u: [i for _, i in sorted((-round(float(a @ b), 12), i) for i, b in items)[:5]] for u, a in users}
+    assert seen["item-blocks"].count() >= 20
+    assert seen["users"].where("kind = 'sent'").agg(F.sum(F.size("ids"))).first()[0] <= 40
+    assert left[0].groupBy("id").count().agg(F.max("count")).first()[0] <= 5
