@@ -259,3 +259,16 @@ def test_blocks_of_a_factorisation_grow_with_the_ratings(spark, monkeypatch):
         users, items = cf.als_factors(ratings(spark, rows), rank=2, max_iter=1)
         assert users.count() == 9 and items.count() == 10
     assert asked == [(23, 23), (10, 10)]
+
+
+def test_lists_are_made_once_for_both_ends(spark, monkeypatch):
+    """The most and the least recalled items come from one stored count; the lists behind it are not made for each."""
+    from shoal.operators import topn
+
+    kept, plain = [], topn.stored
+    monkeypatch.setattr(topn, "stored", lambda df, name: kept.append(plain(df, name)) or kept[-1])
+    rows = [(f"i{a}", f"i{b}", 1.0, 1) for a in range(6) for b in range(a)]
+    lists = spark.createDataFrame(rows, "id string, item string, score double, rank int")
+    got = {(r.side, r.item, r.times) for r in recall_counts(lists, 1).collect()}
+    assert got == {("most", "i0", 5), ("least", "i4", 1)}
+    assert [sorted(map(tuple, df.collect())) for df in kept] == [[(f"i{k}", 5 - k) for k in range(5)]]
